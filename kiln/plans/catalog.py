@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.config import IngestConfig
-from kiln.operators import reports
+from kiln.config import DedupConfig
+from kiln.operators import dedup, reports
 from kiln.plans.tables import documents, metrics, kept, table
 from kiln.sources import corpus
 
@@ -59,7 +60,10 @@ def q_shard_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_manifest(spark: SparkSession, sf: str) -> DataFrame:
     docs = corpus.with_shards(documents(spark, sf), shard_size=64)
-    m = corpus.manifest(docs, IngestConfig(shard_size=64), size_bytes=3_126_374)
+    # Bytes here are the UTF-8 text bytes the query reads; ``manifest`` also
+    # takes the on-disk size from ``corpus.directory_size``.
+    text_bytes = docs.agg(F.sum(F.octet_length("text")).cast("long")).first()[0]
+    m = corpus.manifest(docs, IngestConfig(shard_size=64), size_bytes=text_bytes)
     return m.drop("created_at")
 
 
@@ -116,6 +120,63 @@ def q_dropped_examples(spark: SparkSession, sf: str) -> DataFrame:
     return ex.select("seq", "doc_id", F.array_join("reasons", ",").alias("reasons"), "text")
 
 
+# ---------------------------------------------------------------- dedup
+DCFG = DedupConfig()
+
+
+def _firsts(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.exact_dedup(kept(spark, sf))
+
+
+def q_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return _firsts(spark, sf).select("seq", "doc_id")
+
+
+def q_shingles(spark: SparkSession, sf: str) -> DataFrame:
+    d = dedup.with_shingle_hashes(documents(spark, sf).select("seq", "text"), DCFG.shingle_size, "text", "h")
+    return d.select(
+        "seq",
+        F.size("h").alias("n_shingles"),
+        F.aggregate("h", F.lit(0).cast("long"), lambda acc, x: acc + x).alias("hash_sum"),
+    )
+
+
+def q_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    signed = dedup.with_signatures(documents(spark, sf).select("seq", "text"), DCFG)
+    return signed.select("seq", F.array_join(F.transform("signature", lambda v: v.cast("string")), ",").alias("signature"))
+
+
+def q_lsh_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    signed = dedup.with_signatures(_firsts(spark, sf).select("seq", "text"), DCFG)
+    return dedup.first_partner(dedup.band_membership(signed, DCFG))
+
+
+def q_verified_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = dedup.verified_pairs(_firsts(spark, sf).select("seq", "text"), DCFG)
+    return pairs.select("lo", "hi", _r("jaccard"))
+
+
+def q_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    result, _ = dedup.near_dedup(kept(spark, sf), DCFG)
+    return result.select("seq", "doc_id", "kept")
+
+
+def q_verified_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    result, _ = dedup.verified_near_dedup(kept(spark, sf), DCFG)
+    return result.select("seq", "doc_id", "kept")
+
+
+def q_dedup_stats(spark: SparkSession, sf: str) -> DataFrame:
+    result, _ = dedup.near_dedup(kept(spark, sf), DCFG)
+    return dedup.dedup_stats(result).select("seen", "kept", "removed", "removed_tokens", _r("duplicate_rate"))
+
+
+def q_dup_examples(spark: SparkSession, sf: str) -> DataFrame:
+    result, membership = dedup.near_dedup(kept(spark, sf), DCFG)
+    ex = dedup.dup_examples(result, membership)
+    return ex.select("seq", "removed_doc", F.array_join("matched_docs", ",").alias("matched_docs"), "cluster_size")
+
+
 QUERIES: dict[str, Query] = {
     "conform_documents": q_conform_documents,
     "assign_doc_id": q_assign_doc_id,
@@ -134,4 +195,13 @@ QUERIES: dict[str, Query] = {
     "drop_reasons": q_drop_reasons,
     "metric_summary": q_metric_summary,
     "dropped_examples": q_dropped_examples,
+    "exact_dedup": q_exact_dedup,
+    "shingles": q_shingles,
+    "minhash": q_minhash,
+    "lsh_candidates": q_lsh_candidates,
+    "verified_pairs": q_verified_pairs,
+    "near_dedup": q_near_dedup,
+    "verified_near_dedup": q_verified_near_dedup,
+    "dedup_stats": q_dedup_stats,
+    "dup_examples": q_dup_examples,
 }

@@ -131,8 +131,12 @@ FROM sh GROUP BY shard""",
         """
 SELECT 'documents' AS dataset, 'train' AS split, true AS streaming, count(*) AS documents,
        CAST(coalesce(sum(token_count), 0) AS BIGINT) AS tokens, count(DISTINCT shard) AS shards,
-       NULL::BIGINT AS target_tokens, NULL::BIGINT AS target_docs, 3126374::BIGINT AS bytes,
-       '2.98 MB' AS size, 64 AS shard_size, 1 AS schema_version
+       NULL::BIGINT AS target_tokens, NULL::BIGINT AS target_docs, sum(strlen(text))::BIGINT AS bytes,
+       CASE WHEN sum(strlen(text)) < 1024 THEN printf('%.2f B', sum(strlen(text))::DOUBLE)
+            WHEN sum(strlen(text)) < 1048576 THEN printf('%.2f KB', sum(strlen(text)) / 1024.0)
+            WHEN sum(strlen(text)) < 1073741824 THEN printf('%.2f MB', sum(strlen(text)) / 1048576.0)
+            ELSE printf('%.2f GB', sum(strlen(text)) / 1073741824.0) END AS size,
+       64 AS shard_size, 1 AS schema_version
 FROM sh""",
     ),
     "length_filter": with_(METRICS, "SELECT seq, char_length, p_len AS passed FROM m"),
@@ -178,3 +182,131 @@ SELECT seq, doc_id, array_to_string(reasons, ',') AS reasons, substring(text, 1,
 FROM m WHERE NOT passed ORDER BY seq LIMIT 20""",
     ),
 }
+
+
+# ---------------------------------------------------------------- dedup
+def _dedup_sql() -> dict[str, str]:
+    from kiln.config import DedupConfig
+    from kiln.operators.dedup import MERSENNE_LIKE_PRIME, permutations
+
+    d = DedupConfig()
+    k = d.shingle_size
+    a, b = permutations(d.num_perm, d.seed)
+    perms = ", ".join(f"({i}, {int(x)}, {int(y)})" for i, (x, y) in enumerate(zip(a, b)))
+    words = f"list_filter(regexp_split_to_array(lower(text), {lit(WS_CLASS + '+')}), lambda x: x <> '')"
+
+    def hashes(src: str) -> str:
+        return f"""
+sw AS (SELECT seq, {words} AS w FROM {src}),
+sh AS (
+  SELECT seq, CASE WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+                   ELSE list_distinct(list_transform(range(0, len(w) - {k - 1}),
+                                      lambda i: array_to_string(w[i + 1:i + {k}], ' '))) END AS shingles
+  FROM sw
+),
+hs AS (
+  SELECT seq, list_distinct(list_transform(shingles, lambda s: ('0x' || substring(md5(s), 1, 8))::BIGINT)) AS hs
+  FROM sh
+)"""
+
+    def signatures(src: str) -> str:
+        return hashes(src) + f""",
+perms(p, a, b) AS (VALUES {perms}),
+hrow AS (SELECT seq, unnest(hs) AS h FROM hs),
+sig AS (SELECT seq, p, min((a * h + b) % {MERSENNE_LIKE_PRIME}) AS v FROM hrow, perms GROUP BY seq, p),
+bands AS (
+  SELECT seq, p // {d.rows} AS band,
+         (p // {d.rows})::VARCHAR || ':' || string_agg(v::VARCHAR, ',' ORDER BY p) AS bkey
+  FROM sig GROUP BY seq, p // {d.rows}
+)"""
+
+    firsts = """,
+reps AS (SELECT seq, min(seq) OVER (PARTITION BY text) AS rep FROM kept),
+firsts AS (SELECT k.* FROM kept k JOIN reps r ON r.seq = k.seq WHERE r.rep = k.seq)"""
+
+    walk = """,
+bk AS (SELECT seq, list(hash(bkey)) AS keys FROM bands GROUP BY seq),
+ord AS (SELECT row_number() OVER (ORDER BY seq) AS rn, seq, keys FROM bk),
+walk AS (
+  SELECT rn, seq, true AS kept, keys AS bank FROM ord WHERE rn = 1
+  UNION ALL
+  SELECT o.rn, o.seq, NOT list_has_any(w.bank, o.keys),
+         CASE WHEN list_has_any(w.bank, o.keys) THEN w.bank ELSE list_concat(w.bank, o.keys) END
+  FROM walk w JOIN ord o ON o.rn = w.rn + 1
+),
+result AS (
+  SELECT k.seq, k.doc_id, k.token_count, r.rep, (r.rep = k.seq AND coalesce(w.kept, true)) AS kept
+  FROM kept k JOIN reps r ON r.seq = k.seq LEFT JOIN walk w ON w.seq = k.seq
+)"""
+    near = KEPT + firsts + "," + signatures("firsts") + walk
+    verified = KEPT + firsts + "," + hashes("firsts") + f""",
+hrow AS (SELECT seq, unnest(hs) AS h FROM hs),
+nsz AS (SELECT seq, len(hs) AS n FROM hs),
+inter AS (SELECT a.seq AS lo, b.seq AS hi, count(*) AS i FROM hrow a JOIN hrow b ON a.h = b.h AND a.seq < b.seq
+          GROUP BY a.seq, b.seq),
+pairs AS (
+  SELECT lo, hi, i::DOUBLE / (x.n + y.n - i) AS jaccard
+  FROM inter JOIN nsz x ON x.seq = lo JOIN nsz y ON y.seq = hi
+  WHERE i::DOUBLE / (x.n + y.n - i) >= {d.similarity_threshold}::DOUBLE
+)"""
+    verified_walk = verified + """,
+nb AS (SELECT lo AS seq, hi AS other FROM pairs UNION ALL SELECT hi, lo FROM pairs),
+bk AS (SELECT f.seq, list(nb.other) FILTER (WHERE nb.other IS NOT NULL) AS nbrs
+       FROM firsts f LEFT JOIN nb ON nb.seq = f.seq GROUP BY f.seq),
+ord AS (SELECT row_number() OVER (ORDER BY seq) AS rn, seq, coalesce(nbrs, []::BIGINT[]) AS nbrs FROM bk),
+walk AS (
+  SELECT rn, seq, true AS kept, [seq] AS bank FROM ord WHERE rn = 1
+  UNION ALL
+  SELECT o.rn, o.seq, NOT list_has_any(w.bank, o.nbrs),
+         CASE WHEN list_has_any(w.bank, o.nbrs) THEN w.bank ELSE list_append(w.bank, o.seq) END
+  FROM walk w JOIN ord o ON o.rn = w.rn + 1
+)"""
+    return {
+        "exact_dedup": with_(KEPT, "SELECT min(seq) AS seq, arg_min(doc_id, seq) AS doc_id FROM kept GROUP BY text"),
+        "shingles": with_(
+            DOCS + "," + hashes("docs"),
+            "SELECT seq, len(hs) AS n_shingles, list_sum(hs)::BIGINT AS hash_sum FROM hs",
+        ),
+        "minhash": with_(
+            DOCS + "," + signatures("docs"),
+            "SELECT seq, string_agg(v::VARCHAR, ',' ORDER BY p) AS signature FROM sig GROUP BY seq",
+        ),
+        "lsh_candidates": with_(
+            KEPT + firsts + "," + signatures("firsts") + """,
+bmin AS (SELECT bkey, min(seq) AS m FROM bands GROUP BY bkey)""",
+            """
+SELECT b.seq, min(m.m) AS first_match FROM bands b JOIN bmin m ON m.bkey = b.bkey
+WHERE m.m < b.seq GROUP BY b.seq""",
+        ),
+        "verified_pairs": with_(verified, "SELECT lo, hi, round(jaccard, 6) AS jaccard FROM pairs"),
+        "near_dedup": "WITH RECURSIVE " + near + "\nSELECT seq, doc_id, kept FROM result",
+        "verified_near_dedup": "WITH RECURSIVE "
+        + verified_walk
+        + """
+SELECT k.seq, k.doc_id, (r.rep = k.seq AND coalesce(w.kept, true)) AS kept
+FROM kept k JOIN reps r ON r.seq = k.seq LEFT JOIN walk w ON w.seq = k.seq""",
+        "dedup_stats": "WITH RECURSIVE "
+        + near
+        + """
+SELECT count(*) AS seen, count(*) FILTER (WHERE kept) AS kept, count(*) FILTER (WHERE NOT kept) AS removed,
+       CAST(coalesce(sum(token_count) FILTER (WHERE NOT kept), 0) AS BIGINT) AS removed_tokens,
+       round(CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE NOT kept) / count(*)::DOUBLE ELSE 0.0 END, 6)
+         AS duplicate_rate
+FROM result""",
+        "dup_examples": "WITH RECURSIVE "
+        + near
+        + """,
+ex AS (SELECT seq, doc_id, rep FROM result WHERE NOT kept ORDER BY seq LIMIT 20),
+km AS (SELECT b.bkey, r.seq, r.doc_id FROM bands b JOIN result r ON r.seq = b.seq WHERE r.kept),
+mt AS (
+  SELECT ex.seq, list_sort(list(DISTINCT km.doc_id)) AS ids
+  FROM ex JOIN bands b ON b.seq = ex.rep JOIN km ON km.bkey = b.bkey AND km.seq < ex.seq
+  GROUP BY ex.seq
+)
+SELECT ex.seq, ex.doc_id AS removed_doc, coalesce(array_to_string(mt.ids, ','), '') AS matched_docs,
+       coalesce(len(mt.ids), 0) AS cluster_size
+FROM ex LEFT JOIN mt ON mt.seq = ex.seq""",
+    }
+
+
+SQL.update(_dedup_sql())
