@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.config import IngestConfig
-from kiln.config import DedupConfig
-from kiln.operators import dedup, reports
+from kiln.config import DedupConfig, PackConfig
+from kiln.operators import dedup, packing, reports, vocab
+from kiln.operators.ordering import with_prefix_sum
 from kiln.plans.tables import documents, metrics, kept, table
 from kiln.sources import corpus
 
@@ -177,6 +178,55 @@ def q_dup_examples(spark: SparkSession, sf: str) -> DataFrame:
     return ex.select("seq", "removed_doc", F.array_join("matched_docs", ",").alias("matched_docs"), "cluster_size")
 
 
+# ---------------------------------------------------------------- packing
+PCFG = PackConfig()
+STEPS, BATCH = 50, 8
+
+
+def _ints(c: str) -> F.Column:
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+
+
+def _word_docs(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact-deduplicated kept documents with word-level ids."""
+    firsts = _firsts(spark, sf).select("seq", "text")
+    return vocab.word_ids(firsts, vocab.word_vocab(firsts))
+
+
+def _blocks(spark: SparkSession, sf: str) -> DataFrame:
+    blocks, _, _ = packing.pack_blocks(_word_docs(spark, sf), PCFG)
+    return blocks
+
+
+def q_prefix_sum(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf).select("seq", (F.col("token_count") + 1).alias("n"))
+    out, _ = with_prefix_sum(docs, "seq", "n", "cum_before")
+    return out.select("seq", "n", "cum_before")
+
+
+def q_packed_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    b = _blocks(spark, sf)
+    return b.select("split", "block", "n_real", _ints("input_ids"), _ints("labels"), _ints("loss_mask"))
+
+
+def q_packing_report(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _word_docs(spark, sf)
+    blocks, _, _ = packing.pack_blocks(docs, PCFG)
+    rep = packing.packing_report(docs, blocks, PCFG)
+    doubles = ("utilization_percent", "pad_percentage", "avg_tokens_per_doc", "avg_tokens_per_block")
+    return rep.select(*[_r(c) if c in doubles else c for c in rep.columns if c != "vocab_size"])
+
+
+def q_batch_plan(spark: SparkSession, sf: str) -> DataFrame:
+    plan = packing.batch_plan(_blocks(spark, sf), STEPS, BATCH, seed=0)
+    return plan.select("step", "slot", "block", "n_real")
+
+
+def q_batch_contract(spark: SparkSession, sf: str) -> DataFrame:
+    plan = packing.batch_plan(_blocks(spark, sf), STEPS, BATCH, seed=0)
+    return packing.batch_contract(plan, PCFG.block_size, accumulation=4)
+
+
 QUERIES: dict[str, Query] = {
     "conform_documents": q_conform_documents,
     "assign_doc_id": q_assign_doc_id,
@@ -204,4 +254,9 @@ QUERIES: dict[str, Query] = {
     "verified_near_dedup": q_verified_near_dedup,
     "dedup_stats": q_dedup_stats,
     "dup_examples": q_dup_examples,
+    "prefix_sum": q_prefix_sum,
+    "packed_blocks": q_packed_blocks,
+    "packing_report": q_packing_report,
+    "batch_plan": q_batch_plan,
+    "batch_contract": q_batch_contract,
 }

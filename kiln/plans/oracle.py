@@ -310,3 +310,98 @@ FROM ex LEFT JOIN mt ON mt.seq = ex.seq""",
 
 
 SQL.update(_dedup_sql())
+
+
+# ---------------------------------------------------------------- packing
+def _packing_sql() -> dict[str, str]:
+    from kiln.config import PackConfig
+
+    c = PackConfig()
+    s = c.block_size
+    firsts = """,
+reps AS (SELECT seq, min(seq) OVER (PARTITION BY text) AS rep FROM kept),
+firsts AS (SELECT k.* FROM kept k JOIN reps r ON r.seq = k.seq WHERE r.rep = k.seq)"""
+    blocks = KEPT + firsts + f""",
+wl AS (SELECT seq, {WORDS} AS w FROM firsts),
+words AS (SELECT seq, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM wl),
+vocab AS (SELECT word, CAST(3 + dense_rank() OVER (ORDER BY word) AS INTEGER) AS id
+          FROM (SELECT DISTINCT word FROM words)),
+toks AS (
+  SELECT w.seq, w.pos, v.id FROM words w JOIN vocab v ON v.word = w.word
+  UNION ALL SELECT seq, 2147483647 AS pos, {c.eos_id} AS id FROM firsts
+),
+g AS (SELECT id, row_number() OVER (ORDER BY seq, pos) - 1 AS gpos FROM toks),
+tot AS (SELECT count(*) AS n, CAST(floor(count(*) * {c.train_split}::DOUBLE) AS BIGINT) AS cut FROM g),
+placed AS (
+  SELECT id, CASE WHEN gpos < cut THEN 'train' ELSE 'val' END AS split,
+         CASE WHEN gpos < cut THEN gpos ELSE gpos - cut END AS lpos
+  FROM g, tot
+),
+blk AS (
+  SELECT split, lpos // {s} AS block, count(*)::INTEGER AS n_real, list(id ORDER BY lpos) AS real
+  FROM placed GROUP BY split, lpos // {s}
+),
+blocks AS (
+  SELECT split, block, n_real, list_resize(real, {s}, {c.pad_id}) AS input_ids,
+         list_concat(list_resize(real, {s}, {c.pad_id})[2:{s}], [{c.pad_id}]) AS labels,
+         list_transform(range({s}), lambda i: CASE WHEN i < n_real THEN 1 ELSE 0 END) AS loss_mask
+  FROM blk
+)"""
+    plan = blocks + """,
+nb AS (SELECT count(*) AS n FROM blocks WHERE split = 'train'),
+plan AS (
+  SELECT r // 8 AS step, CAST(r % 8 AS INTEGER) AS slot,
+         ('0x' || substring(md5(concat_ws(':', '0', (r // 8)::VARCHAR, (r % 8)::VARCHAR)), 1, 8))::BIGINT % nb.n
+           AS block
+  FROM range(400) t(r), nb
+),
+batches AS (SELECT p.step, p.slot, p.block, b.n_real FROM plan p JOIN blocks b ON b.split = 'train' AND b.block = p.block)"""
+    return {
+        "prefix_sum": with_(
+            DOCS,
+            """
+SELECT seq, token_count + 1 AS n,
+       coalesce(sum(token_count + 1) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT
+         AS cum_before
+FROM docs""",
+        ),
+        "packed_blocks": with_(
+            blocks,
+            """
+SELECT split, block, n_real, array_to_string(input_ids, ',') AS input_ids, array_to_string(labels, ',') AS labels,
+       array_to_string(loss_mask, ',') AS loss_mask
+FROM blocks""",
+        ),
+        "packing_report": with_(
+            blocks + """,
+b AS (
+  SELECT count(*) FILTER (WHERE split = 'train') AS train_blocks, count(*) FILTER (WHERE split = 'val') AS val_blocks,
+         CAST(coalesce(sum(n_real) FILTER (WHERE split = 'train'), 0) AS BIGINT) AS train_tokens,
+         CAST(coalesce(sum(n_real) FILTER (WHERE split = 'val'), 0) AS BIGINT) AS val_tokens,
+         CAST(coalesce(sum(""" + str(s) + """ - n_real), 0) AS BIGINT) AS pad_tokens
+  FROM blocks
+),
+d AS (SELECT count(*) AS documents FROM firsts)""",
+            f"""
+SELECT d.documents, train_tokens + val_tokens AS tokens, d.documents AS eos_count, {s} AS block_size,
+       train_blocks, val_blocks, train_tokens, val_tokens, pad_tokens,
+       round(100.0 * (train_tokens + val_tokens) / ((train_blocks + val_blocks) * {s}), 6) AS utilization_percent,
+       {c.eos_id} AS eos_token_id, {c.pad_id} AS pad_token_id, {c.bos_id} AS bos_token_id,
+       {c.train_split}::DOUBLE AS train_split,
+       round(100.0 * pad_tokens / ((train_blocks + val_blocks) * {s}), 6) AS pad_percentage,
+       round((train_tokens + val_tokens) / d.documents::DOUBLE, 6) AS avg_tokens_per_doc,
+       round((train_tokens + val_tokens) / (train_blocks + val_blocks)::DOUBLE, 6) AS avg_tokens_per_block
+FROM b, d""",
+        ),
+        "batch_plan": with_(plan, "SELECT step, slot, block, n_real FROM batches"),
+        "batch_contract": with_(
+            plan,
+            f"""
+SELECT step, count(*) AS batch_size, true AS same_shape, CAST(sum(n_real) AS BIGINT) AS masked_tokens,
+       CAST(count(*) * {s * 4} AS BIGINT) AS tokens_per_step
+FROM batches GROUP BY step""",
+        ),
+    }
+
+
+SQL.update(_packing_sql())
