@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.config import IngestConfig
-from kiln.config import DedupConfig, PackConfig
-from kiln.operators import dedup, packing, reports, vocab
+from kiln.config import DedupConfig, PackConfig, TokenizerConfig
+from kiln.operators import bpe, dedup, packing, reports, vocab
 from kiln.operators.ordering import with_prefix_sum
 from kiln.plans.tables import documents, metrics, kept, table
 from kiln.sources import corpus
@@ -227,6 +227,88 @@ def q_batch_contract(spark: SparkSession, sf: str) -> DataFrame:
     return packing.batch_contract(plan, PCFG.block_size, accumulation=4)
 
 
+# ---------------------------------------------------------------- tokenizer
+TCFG = TokenizerConfig(vocab_size=512)
+_MODELS: dict[tuple[str, int], bpe.BPEModel] = {}
+
+
+def _bpe_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return _firsts(spark, sf).select("seq", "text")
+
+
+def _model(spark: SparkSession, sf: str) -> bpe.BPEModel:
+    """Trained once per input folder and size (the model is bounded by the vocabulary)."""
+    key = (sf, TCFG.vocab_size)
+    if key not in _MODELS:
+        _MODELS[key] = bpe.train_bpe(_bpe_docs(spark, sf), TCFG)
+    return _MODELS[key]
+
+
+def q_heldout_split(spark: SparkSession, sf: str) -> DataFrame:
+    out = bpe.heldout_split(documents(spark, sf).select("seq"), shard_size=64, heldout=TCFG.heldout_split)
+    return out.select("seq", "shard", "heldout")
+
+
+def q_pretoken_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe.pretoken_counts(_bpe_docs(spark, sf))
+
+
+def q_bpe_vocab(spark: SparkSession, sf: str) -> DataFrame:
+    return _model(spark, sf).vocab_frame(spark).select("id", "token")
+
+
+def q_bpe_merges(spark: SparkSession, sf: str) -> DataFrame:
+    return _model(spark, sf).merges_frame(spark)
+
+
+def q_bpe_encode(spark: SparkSession, sf: str) -> DataFrame:
+    enc = bpe.encode_documents(_bpe_docs(spark, sf), _model(spark, sf))
+    return enc.select("seq", F.size("ids").alias("n_tokens"), _ints("ids"))
+
+
+def q_bpe_decode(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _bpe_docs(spark, sf)
+    model = _model(spark, sf)
+    dec = bpe.decode_documents(bpe.encode_documents(docs, model), model).withColumnRenamed("text", "decoded")
+    out = docs.join(dec, "seq")
+    return out.select("seq", (F.col("decoded") == bpe.with_prefix_space("text")).alias("roundtrip"))
+
+
+def q_bpe_contract(spark: SparkSession, sf: str) -> DataFrame:
+    model = _model(spark, sf)
+    checks = bpe.vocab_checks(model)
+    vocab_df = model.vocab_frame(spark)
+    return vocab_df.agg(
+        F.count("*").alias("vocab_size"),
+        F.max("id").alias("max_id"),
+        F.count_if(F.col("id") < len(model.specials)).alias("specials"),
+        F.lit(all(checks.values())).alias("contract_ok"),
+    )
+
+
+def _fertility_rows(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _bpe_docs(spark, sf)
+    split = bpe.heldout_split(docs, shard_size=64, heldout=TCFG.heldout_split)
+    held = split.where("heldout").select("seq", "text")
+    return bpe.fertility_rows(held, bpe.token_counts(held, _model(spark, sf)))
+
+
+def q_fertility(spark: SparkSession, sf: str) -> DataFrame:
+    f = bpe.fertility(_fertility_rows(spark, sf))
+    return f.select("ratio", _r("mean"), _r("median"), _r("p90"), "documents", "total_tokens", "total_words",
+                    "total_characters")
+
+
+def q_worst_fertility(spark: SparkSession, sf: str) -> DataFrame:
+    w = bpe.worst_fertility(_fertility_rows(spark, sf))
+    return w.select("seq", "tokens", "words", "chars", _r("tokens_per_word"), _r("tokens_per_char"))
+
+
+def q_nfc_normalize(spark: SparkSession, sf: str) -> DataFrame:
+    d = documents(spark, sf).select("seq", "text", bpe.nfc("text").alias("nfc"))
+    return d.select("seq", F.length("nfc").alias("n_chars"), (F.col("nfc") != F.col("text")).alias("changed"))
+
+
 QUERIES: dict[str, Query] = {
     "conform_documents": q_conform_documents,
     "assign_doc_id": q_assign_doc_id,
@@ -259,4 +341,14 @@ QUERIES: dict[str, Query] = {
     "packing_report": q_packing_report,
     "batch_plan": q_batch_plan,
     "batch_contract": q_batch_contract,
+    "heldout_split": q_heldout_split,
+    "pretoken_counts": q_pretoken_counts,
+    "bpe_vocab": q_bpe_vocab,
+    "bpe_merges": q_bpe_merges,
+    "bpe_encode": q_bpe_encode,
+    "bpe_decode": q_bpe_decode,
+    "bpe_contract": q_bpe_contract,
+    "fertility": q_fertility,
+    "worst_fertility": q_worst_fertility,
+    "nfc_normalize": q_nfc_normalize,
 }

@@ -405,3 +405,18 @@ FROM batches GROUP BY step""",
 
 
 SQL.update(_packing_sql())
+
+
+SQL.update(
+    {
+        "heldout_split": with_(
+            DOCS + "," + _shard_positions(64) + """,
+ns AS (SELECT max(shard) + 1 AS n FROM sh)""",
+            """
+SELECT seq, shard, shard >= CAST(floor(n * (1 - 0.1)) AS INTEGER) AS heldout FROM sh, ns""",
+        ),
+        "nfc_normalize": with_(
+            DOCS, "SELECT seq, CAST(length(nfc_normalize(text)) AS INTEGER) AS n_chars, nfc_normalize(text) <> text AS changed FROM docs"
+        ),
+    }
+)
