@@ -139,8 +139,16 @@ def exact_quantiles(
         F.element_at("_br", 2 * F.col("_q") + 1).alias("_lo"),
         F.element_at("_br", 2 * F.col("_q") + 2).alias("_hi"),
     )
-    qrows = qrows.withColumn("_lo", F.when(F.col("_p") - eps <= 0, F.lit(float("-inf"))).otherwise(F.col("_lo")))
-    qrows = qrows.withColumn("_hi", F.when(F.col("_p") + eps >= 1, F.lit(float("inf"))).otherwise(F.col("_hi")))
+    # The sketch's rank error is at most n / accuracy, so +-2/accuracy covers
+    # the target ranks once n > 4 * accuracy; smaller groups use their whole
+    # range (at most 4 * accuracy values).
+    small = F.col("n") <= 4 * accuracy
+    qrows = qrows.withColumn(
+        "_lo", F.when(small | (F.col("_p") - eps <= 0), F.lit(float("-inf"))).otherwise(F.col("_lo"))
+    )
+    qrows = qrows.withColumn(
+        "_hi", F.when(small | (F.col("_p") + eps >= 1), F.lit(float("inf"))).otherwise(F.col("_hi"))
+    )
     qrows = qrows.withColumn("_pos", F.col("_p") * (F.col("n") - 1))
     qrows = qrows.withColumn("_rlo", F.floor("_pos")).withColumn("_rhi", F.ceil("_pos"))
 
@@ -170,6 +178,9 @@ def exact_quantiles(
         "_v",
         F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_rlo")),
     )
+    picked = picked.withColumn(
+        "_v", F.when(F.col("_vlo").isNull() | F.col("_vhi").isNull(), F.raise_error(F.lit("quantile bracket missed"))).otherwise(F.col("_v"))
+    )
     wide = picked.groupBy("_g").pivot("_q", list(range(len(probs)))).agg(F.first("_v"))
     for i, (name, _) in enumerate(probs):
         wide = wide.withColumnRenamed(str(i), name)

@@ -309,6 +309,42 @@ def q_nfc_normalize(spark: SparkSession, sf: str) -> DataFrame:
     return d.select("seq", F.length("nfc").alias("n_chars"), (F.col("nfc") != F.col("text")).alias("changed"))
 
 
+# ---------------------------------------------------------------- streaming
+def _doc_stream(spark: SparkSession, sf: str) -> DataFrame:
+    from kiln.streaming.ingest import document_stream
+
+    schema = table(spark, sf, "documents").schema
+    return document_stream(spark, sf, schema, glob="documents.parquet")
+
+
+def q_stream_filter(spark: SparkSession, sf: str) -> DataFrame:
+    from kiln.streaming.ingest import run_to_end, scratch, start_filter
+
+    out, ck = scratch(spark, "stream-filter"), scratch(spark, "stream-filter-ckpt")
+    run_to_end(start_filter(_doc_stream(spark, sf), out, ck))
+    return spark.read.parquet(out).select("seq", "doc_id", "token_count", "text")
+
+
+def q_stream_totals(spark: SparkSession, sf: str) -> DataFrame:
+    from kiln.streaming.ingest import run_to_end, scratch, start_totals
+
+    name = "stream_totals_" + scratch(spark, "t").rsplit("-", 1)[1]
+    run_to_end(start_totals(_doc_stream(spark, sf), name, scratch(spark, "stream-totals-ckpt")))
+    return spark.table(name)
+
+
+def q_stream_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from kiln.operators.filters import quality_filter
+    from kiln.sources.corpus import conform
+    from kiln.streaming.dedup import start_near_dedup
+    from kiln.streaming.ingest import run_to_end, scratch
+
+    kept_stream = quality_filter(conform(_doc_stream(spark, sf)))
+    out, index = scratch(spark, "stream-dedup"), scratch(spark, "stream-dedup-index")
+    run_to_end(start_near_dedup(kept_stream, out, index, scratch(spark, "stream-dedup-ckpt"), DCFG))
+    return spark.read.parquet(out).select("seq", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "conform_documents": q_conform_documents,
     "assign_doc_id": q_assign_doc_id,
@@ -351,4 +387,7 @@ QUERIES: dict[str, Query] = {
     "fertility": q_fertility,
     "worst_fertility": q_worst_fertility,
     "nfc_normalize": q_nfc_normalize,
+    "stream_filter": q_stream_filter,
+    "stream_totals": q_stream_totals,
+    "stream_near_dedup": q_stream_near_dedup,
 }

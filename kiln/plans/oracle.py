@@ -420,3 +420,16 @@ SELECT seq, shard, shard >= CAST(floor(n * (1 - 0.1)) AS INTEGER) AS heldout FRO
         ),
     }
 )
+
+
+SQL["stream_filter"] = SQL["quality_filter"]
+SQL["stream_totals"] = with_(
+    METRICS,
+    """
+SELECT count(*) AS seen, count(*) FILTER (WHERE passed) AS kept,
+       CAST(coalesce(sum(token_count) FILTER (WHERE passed), 0) AS BIGINT) AS kept_tokens
+FROM m""",
+)
+SQL["stream_near_dedup"] = SQL["near_dedup"].replace(
+    "SELECT seq, doc_id, kept FROM result", "SELECT seq, doc_id FROM result WHERE kept"
+)
