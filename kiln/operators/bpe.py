@@ -149,6 +149,7 @@ def train_bpe(
     cfg: TokenizerConfig = TokenizerConfig(),
     text_col: str = "text",
     top_k: int = 512,
+    checkpoint_every: int = 4,
 ) -> BPEModel:
     """T4/T5: greedy byte-level BPE with batched rounds (see module notes)."""
     spark = docs.sparkSession
@@ -173,6 +174,8 @@ def train_bpe(
     words = cut_lineage(words)
     merges: list[tuple[int, int, int]] = []
     done = False
+    rounds = 0
+    stale: list[DataFrame] = []
     while not done and len(tokens) < cfg.vocab_size:
         top = (
             _pairs(words)
@@ -205,7 +208,17 @@ def train_bpe(
             used |= {a, b, new_id}
         if not batch:
             break
-        words = cut_lineage(_apply_merges(words, batch))
+        rounds += 1
+        previous = words
+        if rounds % checkpoint_every == 0:
+            words = cut_lineage(_apply_merges(words, batch))
+        else:
+            words = _apply_merges(words, batch).persist()
+        stale.append(previous)
+        if len(stale) > 2:
+            stale.pop(0).unpersist()
+    for df in stale:
+        df.unpersist()
     return BPEModel(tokens, specials, byte_ids, merges)
 
 

@@ -38,14 +38,17 @@ def prefix_sums(
     order_col: str,
     value_col: str | None = None,
     num_partitions: int | None = None,
+    carry: Sequence[str] = (),
 ) -> tuple[DataFrame, int]:
-    """Narrow table ``(order_col, cum_before)`` and the grand total.
+    """``(order_col, *carry, cum_before)`` and the grand total.
 
     ``cum_before`` is the exclusive running total of ``value_col`` (1 per row
     when ``None``) in ascending ``order_col``; the key must be unique.
+    ``carry`` columns travel with the key through the range partitioning,
+    which saves a join back when the caller needs them next to the sums.
     """
     value = F.lit(1).cast("long") if value_col is None else F.col(value_col).cast("long")
-    narrow = df.select(F.col(order_col).alias("_k"), value.alias("_v"))
+    narrow = df.select(F.col(order_col).alias("_k"), value.alias("_v"), *carry)
     ranged = (
         narrow.repartitionByRange(_partitions(df, num_partitions), "_k")
         .sortWithinPartitions("_k")
@@ -59,7 +62,9 @@ def prefix_sums(
 
     key_type = ranged.schema["_k"].dataType
     out_schema = T.StructType(
-        [T.StructField(order_col, key_type), T.StructField("cum_before", T.LongType(), False)]
+        [T.StructField(order_col, key_type)]
+        + [ranged.schema[c] for c in carry]
+        + [T.StructField("cum_before", T.LongType(), False)]
     )
 
     def running(batches):
@@ -71,13 +76,16 @@ def prefix_sums(
                 run = int(pdf["_off"].iloc[0])
             vals = pdf["_v"].fillna(0).astype("int64")
             csum = vals.cumsum()
-            out = pd.DataFrame({order_col: pdf["_k"], "cum_before": run + csum - vals})
+            out = pd.DataFrame({order_col: pdf["_k"]})
+            for c in carry:
+                out[c] = pdf[c]
+            out["cum_before"] = run + csum - vals
             run += int(csum.iloc[-1])
             yield out
 
     # The broadcast side is bounded by the partition count; the streamed side
     # keeps its range partitioning and in-partition order.
-    joined = ranged.join(F.broadcast(offsets), "_p").select("_k", "_v", "_off")
+    joined = ranged.join(F.broadcast(offsets), "_p").select("_k", "_v", *carry, "_off")
     return joined.mapInPandas(running, out_schema), int(grand)
 
 
@@ -87,8 +95,18 @@ def with_prefix_sum(
     value_col: str | None = None,
     out_col: str = "cum_before",
     num_partitions: int | None = None,
+    carry: bool = False,
 ) -> tuple[DataFrame, int]:
-    """``df`` plus the exclusive running total column; returns the total too."""
+    """``df`` plus the exclusive running total column; returns the total too.
+
+    ``carry=False`` joins the narrow sums back on the key (right when ``df``
+    is a cheap scan).  ``carry=True`` moves every column through the range
+    partitioning instead: no join, and an expensive input plan runs once.
+    """
+    if carry:
+        cols = [c for c in df.columns if c != order_col]
+        sums, total = prefix_sums(df, order_col, value_col, num_partitions, carry=cols)
+        return sums.withColumnRenamed("cum_before", out_col), total
     sums, total = prefix_sums(df, order_col, value_col, num_partitions)
     return df.join(sums.withColumnRenamed("cum_before", out_col), order_col), total
 
@@ -114,6 +132,9 @@ def exact_quantiles(
     vals = df.select(F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_x")).where(
         F.col("_x").isNotNull()
     )
+    # Two passes read the values: fix the narrow input once instead of
+    # recomputing its (possibly text-heavy) plan.
+    vals = cut_lineage(vals)
     eps = 2.0 / accuracy
     edges: list[float] = []
     for _, p in probs:

@@ -36,7 +36,7 @@ def document_slices(
     """``(split, block, pos, piece)`` rows, the token total and the cut."""
     toks = docs.select(order_col, with_eos(ids_col, cfg.eos_id).alias("toks"))
     toks = toks.withColumn("n", F.size("toks"))
-    placed, total = with_prefix_sum(toks, order_col, "n", "start")
+    placed, total = with_prefix_sum(toks, order_col, "n", "start", carry=True)
     cut = split_cut(total, cfg.train_split)
     s = cfg.block_size
     start, end = F.col("start"), F.col("start") + F.col("n")
@@ -141,6 +141,7 @@ def batch_plan(
     batch_size: int,
     seed: int = 0,
     split: str = "train",
+    n_blocks: int | None = None,
 ) -> DataFrame:
     """Repeatable uniform draw with replacement of ``batch_size`` blocks per step.
 
@@ -150,7 +151,8 @@ def batch_plan(
     """
     spark = blocks.sparkSession
     chosen = blocks.where(F.col("split") == split)
-    n = chosen.count()
+    # ``split_block_counts`` gives the count from the packing totals without a pass.
+    n = chosen.count() if n_blocks is None else n_blocks
     if n == 0:
         raise ValueError(f"no blocks in split {split!r}")
     plan = spark.range(steps * batch_size).select(
@@ -162,6 +164,11 @@ def batch_plan(
     return plan.join(chosen.drop("split"), "block")
 
 
+def split_block_counts(total: int, cut: int, block_size: int) -> dict[str, int]:
+    """Blocks per split from the token total and the cut (ceil division)."""
+    return {"train": -(-cut // block_size), "val": -(-(total - cut) // block_size)}
+
+
 def batch_contract(batches: DataFrame, block_size: int, accumulation: int = 1) -> DataFrame:
     """Per step, shapes agree, the mask is boolean, and the token budget."""
     mask_bool = F.transform("loss_mask", lambda m: m == F.lit(1))

@@ -217,14 +217,18 @@ def q_packing_report(spark: SparkSession, sf: str) -> DataFrame:
     return rep.select(*[_r(c) if c in doubles else c for c in rep.columns if c != "vocab_size"])
 
 
+def _plan(spark: SparkSession, sf: str) -> DataFrame:
+    blocks, total, cut = packing.pack_blocks(_word_docs(spark, sf), PCFG)
+    n = packing.split_block_counts(total, cut, PCFG.block_size)["train"]
+    return packing.batch_plan(blocks, STEPS, BATCH, seed=0, n_blocks=n)
+
+
 def q_batch_plan(spark: SparkSession, sf: str) -> DataFrame:
-    plan = packing.batch_plan(_blocks(spark, sf), STEPS, BATCH, seed=0)
-    return plan.select("step", "slot", "block", "n_real")
+    return _plan(spark, sf).select("step", "slot", "block", "n_real")
 
 
 def q_batch_contract(spark: SparkSession, sf: str) -> DataFrame:
-    plan = packing.batch_plan(_blocks(spark, sf), STEPS, BATCH, seed=0)
-    return packing.batch_contract(plan, PCFG.block_size, accumulation=4)
+    return packing.batch_contract(_plan(spark, sf), PCFG.block_size, accumulation=4)
 
 
 # ---------------------------------------------------------------- tokenizer
