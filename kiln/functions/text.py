@@ -19,6 +19,10 @@ WS_CLASS = (
     r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
+# The same whitespace as a plain character set, for trim().
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
+    chr(c) for c in range(0x2000, 0x200B)
+) + "\u2028\u2029\u202f\u205f\u3000"
 # Line boundaries of str.splitlines() (CRLF counts as one).
 LINE_BREAK = r"\r\n|[\n\r\x{0B}\f\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 # The 32 ASCII symbols of string.punctuation.
@@ -31,20 +35,27 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def py_strip(text: Column | str) -> Column:
+    """``str.strip()``: ``trim`` with the whitespace character set (no regex)."""
+    return F.trim(_col(text), F.lit(WS_CHARS))
+
+
 def py_split(text: Column | str) -> Column:
-    """``str.split()``: runs of whitespace separate, no empty items."""
-    return F.filter(F.split(_col(text), WS_CLASS + "+"), lambda w: w != F.lit(""))
+    """``str.split()``: runs of whitespace separate, no empty items.
+
+    Splitting the stripped text leaves no empty item except for a text that
+    is all whitespace, which gives ``[]``.
+    """
+    stripped = py_strip(text)
+    return F.when(stripped == F.lit(""), F.array().cast("array<string>")).otherwise(
+        F.split(stripped, WS_CLASS + "+")
+    )
 
 
 def word_count(text: Column | str) -> Column:
     return F.size(py_split(text))
 
 
-def py_strip(text: Column | str) -> Column:
-    """``str.strip()`` (Spark's ``trim`` only removes spaces)."""
-    return F.regexp_replace(_col(text), STRIP_PATTERN, "")
-
-
 def stripped_lines(text: Column | str) -> Column:
     """``[l.strip() for l in s.splitlines() if l.strip()]``."""
     parts = F.split(_col(text), LINE_BREAK)
@@ -52,8 +63,9 @@ def stripped_lines(text: Column | str) -> Column:
 
 
 def punctuation_count(text: Column | str) -> Column:
-    t = _col(text)
-    return F.length(t) - F.length(F.translate(t, PUNCTUATION, ""))
+    """Characters of ``string.punctuation``: Java's ``\\p{Punct}`` is exactly
+    those 32 ASCII symbols (no Unicode flag)."""
+    return F.regexp_count(_col(text), F.lit(r"\p{Punct}"))
 
 
 def longest_char_run(text: Column | str) -> Column:

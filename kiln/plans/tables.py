@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kiln.config import FilterConfig
 from kiln.operators.filters import quality_filter, quality_metrics
-from kiln.sources.corpus import conform
+from kiln.sources.corpus import conform, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` in the ten-column schema plus ``seq`` (= source doc_id)."""
-    return conform(table(spark, sf_dir, "documents"))
+    return conform(spread(table(spark, sf_dir, "documents")))
 
 
 def metrics(spark: SparkSession, sf_dir: str, cfg: FilterConfig = FilterConfig()) -> DataFrame:

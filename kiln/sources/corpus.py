@@ -46,6 +46,19 @@ def read_corpus(spark: SparkSession, path: str, schema: T.StructType | None = No
     return reader.parquet(path)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster when it has fewer splits than cores.
+
+    A file with one row group is one scan task, which would run all the
+    per-document text work on one core.  Large inputs already have many
+    splits and pass through unchanged (no extra shuffle).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def conform(
     df: DataFrame,
     renames: Mapping[str, str] = TEST_RENAMES,
