@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from kiln.config import TokenizerConfig
 from kiln.functions.text import py_split
 from kiln.operators.ordering import exact_quantiles, with_position
-from kiln.session import cut_lineage
+from kiln.session import adaptive_off, cut_lineage
 
 # Whitespace as the byte-level pretokenizer sees it (Unicode
 # White_Space; unlike str.isspace() it excludes \x1C-\x1F).
@@ -88,6 +88,7 @@ class BPEModel:
     specials: tuple[str, ...]
     byte_ids: list[int]  # byte value -> id (-1 when the byte is unknown)
     merges: list[tuple[int, int, int]]  # rank order: (left, right, new id)
+    rounds: int = 0  # Spark rounds the training took
 
     @property
     def vocab_size(self) -> int:
@@ -173,6 +174,13 @@ def train_bpe(
     ).where(F.size("sym") >= 2)
     words = cut_lineage(words)
     merges: list[tuple[int, int, int]] = []
+    with adaptive_off(spark):
+        rounds = _merge_rounds(words, tokens, index, merges, cfg, top_k, checkpoint_every)
+    return BPEModel(tokens, specials, byte_ids, merges, rounds)
+
+
+def _merge_rounds(words, tokens, index, merges, cfg, top_k, checkpoint_every) -> int:
+    """The training loop: one pair-count job per round (state persisted)."""
     done = False
     rounds = 0
     stale: list[DataFrame] = []
@@ -219,7 +227,7 @@ def train_bpe(
             stale.pop(0).unpersist()
     for df in stale:
         df.unpersist()
-    return BPEModel(tokens, specials, byte_ids, merges)
+    return rounds
 
 
 def vocab_checks(model: BPEModel) -> dict[str, bool]:
@@ -362,7 +370,12 @@ def fertility_rows(docs: DataFrame, n_tokens: DataFrame, text_col: str = "text",
 
 
 def fertility(rows: DataFrame) -> DataFrame:
-    """Mean, median, p90 of both ratios, and the totals (one row per ratio)."""
+    """Mean, median, p90 of both ratios, and the totals (one row per ratio).
+
+    The per-document rows are read three times (quantile passes, totals), so
+    they are materialised once; they are narrow (six numbers per document).
+    """
+    rows = cut_lineage(rows)
     long = rows.select(
         F.explode(
             F.array(

@@ -17,6 +17,7 @@ from kiln.config import DedupConfig, PackConfig, TokenizerConfig
 from kiln.operators import bpe, dedup, packing, reports, vocab
 from kiln.operators.ordering import with_prefix_sum
 from kiln.plans.tables import documents, metrics, kept, table
+from kiln.session import cut_lineage
 from kiln.sources import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,7 +127,8 @@ DCFG = DedupConfig()
 
 
 def _firsts(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.exact_dedup(kept(spark, sf))
+    """Filtered, exact-deduplicated documents, materialised once (a stage boundary)."""
+    return cut_lineage(dedup.exact_dedup(kept(spark, sf)))
 
 
 def q_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -318,7 +320,9 @@ def _doc_stream(spark: SparkSession, sf: str) -> DataFrame:
     from kiln.streaming.ingest import document_stream
 
     schema = table(spark, sf, "documents").schema
-    return document_stream(spark, sf, schema, glob="documents.parquet")
+    return document_stream(
+        spark, sf, schema, glob="documents.parquet", spread_to=spark.sparkContext.defaultParallelism
+    )
 
 
 def q_stream_filter(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +57,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never a local one): survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def adaptive_off(spark: SparkSession):
+    """Plan without AQE inside a loop of many tiny jobs (restores the setting).
+
+    Only for loops whose shuffles are partially pre-aggregated group-bys
+    with no join, where AQE has no skew to handle and only adds
+    per-stage re-planning.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

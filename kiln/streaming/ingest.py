@@ -27,14 +27,20 @@ def document_stream(
     schema: T.StructType,
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
+    spread_to: int | None = None,
 ) -> DataFrame:
-    """S1 streaming form: Parquet files arriving in ``folder``."""
+    """S1 streaming form: Parquet files arriving in ``folder``.
+
+    ``spread_to`` round-robins each micro-batch over that many tasks, for
+    sources whose files are few and large (one row group is one task).
+    """
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(folder)
+    stream = reader.parquet(folder)
+    return stream.repartition(spread_to) if spread_to else stream
 
 
 def scratch(spark: SparkSession, name: str) -> str:
