@@ -22,7 +22,7 @@ from kiln.operators.dedup import keep_first, lsh_membership
 def dedup_batch(batch: DataFrame, index_dir: str, cfg: DedupConfig, order_col: str = "seq"):
     """``(kept documents, their buckets)`` of one batch against the index."""
     spark = batch.sparkSession
-    reps, membership = lsh_membership(batch, cfg, "text", order_col)
+    first_seqs, membership = lsh_membership(batch, cfg, "text", order_col)
     try:
         index = spark.read.parquet(index_dir).select("bucket")
     except AnalysisException:  # no index before the first batch
@@ -34,8 +34,7 @@ def dedup_batch(batch: DataFrame, index_dir: str, cfg: DedupConfig, order_col: s
         hit = spark.createDataFrame([], membership.select(order_col).schema)
         live = membership
     removed = keep_first(live, order_col, cfg.max_rounds).unionByName(hit)
-    firsts = reps.where(F.col("rep") == F.col(order_col)).select(order_col)
-    kept_seq = firsts.join(removed, order_col, "left_anti")
+    kept_seq = first_seqs.join(removed, order_col, "left_anti")
     kept_docs = batch.join(kept_seq, order_col, "left_semi")
     kept_buckets = membership.join(kept_seq, order_col, "left_semi").select("band", "bucket")
     return kept_docs, kept_buckets
