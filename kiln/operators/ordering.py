@@ -103,8 +103,9 @@ def with_prefix_sum(
     is a cheap scan).  ``carry=True`` moves every column through the range
     partitioning instead: no join, and an expensive input plan runs once.
     """
-    if carry:
-        cols = [c for c in df.columns if c != order_col]
+    cols = [c for c in df.columns if c != order_col]
+    if carry or set(cols) <= {value_col}:
+        # Carried, or nothing but the key and value: no join back is needed.
         sums, total = prefix_sums(df, order_col, value_col, num_partitions, carry=cols)
         return sums.withColumnRenamed("cum_before", out_col), total
     sums, total = prefix_sums(df, order_col, value_col, num_partitions)
