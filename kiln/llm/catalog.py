@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, langid, mixing, tokens, toxicity
+from kiln.llm import chat, dart, langid, mixing, superkmer, tokens, toxicity
 from kiln.llm.common import held_out, learnable, table
 
 
@@ -55,11 +55,22 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(log))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = superkmer.deduplicate(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart.near_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_token_counts": op3_token_counts,
     "op4_source_mix": op4_source_mix,
     "op6_language": op6_language,
     "op7_chat": op7_chat,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 SQL: dict[str, str] = {}
