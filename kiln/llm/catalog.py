@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, dart, langid, mixing, superkmer, tokens, toxicity
+from kiln.llm import chat, dart, decontam, langid, mixing, superkmer, tokens, toxicity
 from kiln.llm.common import held_out, learnable, table
 
 
@@ -23,6 +23,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tokens.with_token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), byte_bpe())
     return docs.select("doc_id", tokens.utf8_bytes("text").alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
@@ -66,6 +70,7 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_source_mix": op4_source_mix,
     "op6_language": op6_language,
