@@ -42,6 +42,17 @@ def learnable(key: str | Column, modulus: int, rest: int) -> Column:
     return F.coalesce(remainder(key, modulus) != rest, F.lit(False))
 
 
+def drawn(keys: DataFrame, group: str, most: Column) -> DataFrame:
+    """About ``most`` rows of each ``group``, by a hash of the column ``k``; groups that have fewer keep all.
+
+    A share per group follows from its size, so no group is ordered or gathered;
+    ``most`` may depend on the group.
+    """
+    sizes = keys.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
+    draw = F.pmod(F.xxhash64(F.col("k").cast("string"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
+    return keys.join(sizes, group).where(draw < most / F.col("__n")).drop("__n")
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it again (cuts the lineage)."""
     spark = df.sparkSession

@@ -23,9 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from kiln.llm.common import pieces, utf8
+from kiln.llm.common import drawn, pieces, utf8
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -39,7 +38,7 @@ _FOLD[:0x21] = 0x20
 
 @dataclass(frozen=True)
 class Settings:
-    """``per_language`` and ``rows`` bound the training sample (rows drawn by a hash of the key)."""
+    """``per_language`` (about) and ``rows`` (at most) bound the training sample, drawn by a hash of the key."""
 
     bits: int = 15
     dim: int = 16
@@ -118,20 +117,13 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def _rows(labelled: DataFrame, key: str, text: str, lang: str, s: Settings) -> DataFrame:
-    """The bounded sample: ids first (narrow), then their texts."""
-    order = [F.xxhash64(F.col("k").cast("string")), F.col("k").cast("string")]
-    ids = (
-        labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-        .select(F.col(key).alias("k"), F.col(lang).alias("l"))
-        .withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy(*order)))
-        .where(F.col("r") <= s.per_language)
-        .orderBy("r", *order)
-        .limit(s.rows)
-        .select("k")
-        .distinct()
+    """The bounded sample: keys first (narrow), then their texts, one row a key."""
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(key).alias("k"), F.col(lang).alias("l"), F.col(text).alias("t")
     )
-    rows = labelled.where(F.col(lang).isNotNull()).select(F.col(key).alias("k"), F.col(lang).alias("l"), F.col(text).alias("t"))
-    return rows.join(F.broadcast(ids), "k", "left_semi")
+    keys = drawn(rows.select("k", "l").distinct(), "l", F.lit(s.per_language)).select("k").distinct()
+    keys = keys.orderBy(F.xxhash64(F.col("k").cast("string")), "k").limit(s.rows)
+    return rows.join(F.broadcast(keys), "k", "left_semi").groupBy("k").agg(F.min(F.struct("l", "t")).alias("r")).select("k", "r.l", "r.t")
 
 
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", settings: Settings | None = None) -> Model:

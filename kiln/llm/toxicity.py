@@ -31,7 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from kiln.llm.common import drawn
 
 # Seed word lists of the transducers (lower case).
 INSULTS = "idiot idiots moron morons loser losers stupid scum trash worthless pathetic disgusting clown imbecile dumb"
@@ -109,14 +110,15 @@ CONTEXT = _words(TARGETS, TARGET) | _words(NEGATIONS, NEGATION) | _words(REPORTS
 
 @dataclass(frozen=True)
 class Settings:
-    """``toxic_rows`` and ``clean_rows`` bound the training sample (drawn by a hash of the key);
-    ``patterns`` bounds the learned lexicon."""
+    """``toxic_rows`` and ``clean_rows`` (about, and never twice as many) bound the training sample, drawn by a
+    hash of the key; ``patterns`` bounds the learned lexicon."""
 
     toxic_rows: int = 2_000
     clean_rows: int = 4_000
     patterns: int = 4_000
-    shortest: int = 4
-    longest: int = 8
+    shortest: int = 3
+    longest: int = 9
+    least_odds: float = 1.0
     seed_weight: float = 2.0
 
 
@@ -206,15 +208,12 @@ class Grammar:
 
 
 def _sample(labelled: DataFrame, key: str, text: str, label: str, s: Settings) -> tuple[DataFrame, dict[int, int]]:
-    order = [F.xxhash64(F.col("k").cast("string")), F.col("k").cast("string")]
+    """The bounded sample (k, y, t), one row a key, and how many keys each label has."""
     keys = labelled.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where("y in (0, 1) and k is not null")
     keys = keys.groupBy("k").agg(F.max("y").alias("y"))
     sizes = {r.y: r["count"] for r in keys.groupBy("y").count().collect()}
-    ids = (
-        keys.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy(*order)))
-        .where((F.col("r") <= F.when(F.col("y") == 1, s.toxic_rows).otherwise(s.clean_rows)))
-        .select("k", "y")
-    )
+    most = F.when(F.col("y") == 1, s.toxic_rows).otherwise(s.clean_rows)
+    ids = drawn(keys, "y", most).orderBy(F.xxhash64(F.col("k").cast("string")), "k").limit(2 * (s.toxic_rows + s.clean_rows)).select("k", "y")
     texts = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"))
     rows = texts.join(F.broadcast(ids), "k").groupBy("k").agg(F.max("y").alias("y"), F.max("t").alias("t"))
     return rows, sizes
@@ -224,11 +223,13 @@ def _patterns(text: str | None, s: Settings) -> tuple[str, list[str]]:
     """(a sketch that near copies mostly share, the distinct patterns of a text)."""
     import zlib
 
-    words = set(TOKEN.findall((text or "").lower()))
+    sequence = TOKEN.findall((text or "").lower())
+    words = set(sequence)
     out = set(words)
     for word in words:
         out.update(word[:n] + "*" for n in range(s.shortest, min(s.longest, len(word)) + 1))
-    return min((f"{zlib.crc32(w.encode()):08x}{w}" for w in words if len(w) > 6), default=""), sorted(out)
+    grams = (" ".join(sequence[i : i + 4]) for i in range(max(1, len(sequence) - 3)))
+    return min(f"{zlib.crc32(g.encode()):08x}{g}" for g in grams), sorted(out)
 
 
 def learn_lexicon(rows: DataFrame, s: Settings) -> dict[str, tuple[int, float]]:
@@ -264,17 +265,19 @@ def learn_lexicon(rows: DataFrame, s: Settings) -> dict[str, tuple[int, float]]:
     best = (
         counts.withColumn("g2", g2)
         .withColumn("w", odds)
-        .where((F.col("g2") >= 2 * math.log(max(candidates, 2))) & (F.col("w") >= 2.0))
+        .where((F.col("g2") >= 2 * math.log(max(candidates, 2))) & (F.col("w") >= s.least_odds))
         .orderBy(F.desc("g2"), "p")
         .limit(s.patterns)
         .collect()
     )
     chosen: dict[str, tuple[int, float]] = {}
+    taken: set[str] = set()  # beginnings of chosen patterns
     threats = set(THREATS.split())
-    for row in sorted(best, key=lambda r: (len(r.p.rstrip("*")), r.p)):
+    for row in best:  # strongest first; its own beginnings and what it begins are told by it already
         letters = row.p.rstrip("*")
-        if any(letters[:i] + "*" in chosen for i in range(s.shortest, len(letters) + row.p.endswith("*"))):
-            continue  # a shorter beginning takes it in
+        if letters in taken or any(letters[:i] + "*" in chosen or letters[:i] in chosen for i in range(s.shortest, len(letters) + 1)):
+            continue
+        taken.update(letters[:i] for i in range(s.shortest, len(letters) + 1))
         chosen[row.p] = (THREAT if letters in threats else INSULT, float(row.w))
     return chosen
 
