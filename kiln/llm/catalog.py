@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, dart, decontam, langid, mixing, superkmer, tokens, toxicity
+from kiln.llm import ann, chat, dart, decontam, hmm, langid, mixing, superkmer, tokens, toxicity
 from kiln.llm.common import held_out, learnable, table
 
 
@@ -38,6 +38,10 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.where(learnable("doc_id", 4, 2)))
@@ -68,14 +72,21 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart.near_classes(table(spark, sf_dir, "documents"))
 
 
+def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return hmm.score(docs, learnable("doc_id", 7, 2), held_out("doc_id", 7, 2))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_source_mix": op4_source_mix,
+    "op5_nearest": op5_nearest,
     "op6_language": op6_language,
     "op7_chat": op7_chat,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_hidden_markov": op10_hidden_markov,
 }
 SQL: dict[str, str] = {}
