@@ -52,7 +52,7 @@ class Settings:
     stay: float = 0.9
     prior: float = 50.0  # pseudo-counts that draw a state's emissions to the corpus'
     group: int = 400_000  # tokens of sequences that are run side by side
-    spread: int = 4
+    spread: int = 2  # blocks per shuffle partition; there is one bucket per partition
     seed: int = 13
 
     @property
@@ -412,7 +412,7 @@ def score(docs: DataFrame, learn: Column, held: Column, key: str = "doc_id", tex
     s = settings or Settings()
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = s.spread * partitions
+    buckets = partitions
     k = F.col(key).cast("bigint")
     rows = docs.select(
         F.pmod(F.xxhash64(k, F.col(text)), F.lit(s.spread * partitions)).cast("int").alias("block"),
