@@ -1,28 +1,59 @@
-"""The training-data pipeline: stages over the documents table, each written as Parquet and read again."""
+"""The training-data pipeline: stages over documents, each written as Parquet and read again."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import langid, mixing
+from kiln.llm import dart, decontam, langid, mixing, superkmer
 from kiln.llm.common import learnable, table, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language is rejected (no text, no letter, or too uncertain)."""
-    labelled = table(spark, sf_dir, "documents").where(learnable("doc_id", 4, 2))
-    model = langid.train(labelled)
+    """Drop documents whose language is rejected: no text, no letter, or too uncertain.
+
+    The model learns from the labelled rows of this stage's input.
+    """
+    model = langid.train(docs.where(learnable("doc_id", 4, 2)))
     return langid.with_language(docs, model, column="__language").where("not __language.rejected").drop("__language")
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each near-duplicate class: the one with the least doc_id."""
+    return dart.kept(docs, dart.near_classes(docs))
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages of 13 words and more that a document with a smaller doc_id holds.
+
+    Texts that lose nothing stay as they are; a document that loses every
+    word goes, and ``n_chars`` follows the text.
+    """
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    done = superkmer.deduplicate(docs, carry=tuple(rest), untouched=True)
+    left = done.where("n_removed = 0 or n_removed < n_words")
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("kept")} | {c: F.col(f"carry.`{c}`") for c in rest}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast("bigint")).otherwise(columns["n_chars"])
+    return left.select(*(columns[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item."""
+    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The final mix: each document as often as its source's target asks, numbered by ``copy``."""
+    """The mix: each document as often as its source's target asks, numbered by ``copy``."""
     return mixing.mixed(docs)
 
 
 STAGES = [
     ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("substrings", substrings),
+    ("decontaminate", decontaminate),
     ("mix", mix),
 ]
 
