@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kiln.llm import ann, chat, dart, decontam, hmm, langid, mixing, superkmer, tokens, toxicity
 from kiln.llm.common import held_out, learnable, table
+from kiln.llm.oracle import SQL  # noqa: F401
 
 
 def byte_bpe() -> str:
@@ -89,4 +90,4 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_hidden_markov": op10_hidden_markov,
 }
-SQL: dict[str, str] = {}
+

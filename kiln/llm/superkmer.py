@@ -40,17 +40,18 @@ NO_KEY = np.iinfo(np.int64).max
 
 @dataclass(frozen=True)
 class Settings:
-    """``blocks`` and ``buckets``: 0 takes ``spread`` times the session's shuffle partitions.
+    """There are ``spread`` blocks and one bucket per shuffle partition of the session.
 
-    A task holds one block or bucket at a time.  ``longest`` is the most
+    So what passes between blocks and buckets is a few rows per pair of tasks,
+    as in any shuffle.  A task holds one block or the strings of one bucket at
+    a time, and solves a bucket in ``parts`` by minimiser.  ``longest`` is the most
     windows of one super-k-mer (longer runs are parted, none is lost).
     """
 
     k: int = 13
     m: int = 3
-    blocks: int = 0
-    buckets: int = 0
-    spread: int = 4
+    spread: int = 2
+    parts: int = 4
     longest: int = 256
     level: int = 3
 
@@ -151,23 +152,25 @@ class Block:
         return self.raw[self.starts[self.first[i]] : self.ends[self.first[i] + self.count[i] + k - 2]]
 
 
-def _frame(strings: list[bytes], least: np.ndarray, most: np.ndarray, level: int) -> bytes:
+def _frame(strings: list[bytes], part: np.ndarray, least: np.ndarray, most: np.ndarray, level: int) -> bytes:
     import zstandard
 
-    head = struct.pack("<I", len(strings)) + np.array([len(x) for x in strings], np.uint32).tobytes()
+    head = struct.pack("<I", len(strings)) + np.array([len(x) for x in strings], np.uint32).tobytes() + part.astype(np.uint8).tobytes()
     return zstandard.ZstdCompressor(level=level).compress(head + least.tobytes() + (most - least).tobytes() + b"".join(strings))
 
 
-def _unframe(frame: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def _unframe(frame: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """(strings, part, least key, largest key)."""
     import zstandard
 
     raw = zstandard.ZstdDecompressor().decompress(frame)
     n = struct.unpack_from("<I", raw)[0]
-    edge = 4 + 20 * n + np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.uint32, n, 4), dtype=np.int64)])
-    least = np.frombuffer(raw, np.int64, n, 4 + 4 * n)
-    most = least + np.frombuffer(raw, np.int64, n, 4 + 12 * n)
+    edge = 4 + 21 * n + np.concatenate([[0], np.cumsum(np.frombuffer(raw, np.uint32, n, 4), dtype=np.int64)])
+    part = np.frombuffer(raw, np.uint8, n, 4 + 4 * n)
+    least = np.frombuffer(raw, np.int64, n, 4 + 5 * n)
+    most = least + np.frombuffer(raw, np.int64, n, 4 + 13 * n)
     edge = edge.tolist()
-    return [raw[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)], least, most
+    return [raw[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)], part, least, most
 
 
 def _asks(block: Block, keys: np.ndarray, buckets: int, s: Settings) -> Iterator[tuple[int, bytes]]:
@@ -184,11 +187,12 @@ def _asks(block: Block, keys: np.ndarray, buckets: int, s: Settings) -> Iterator
     bucket = (block.minimiser[string] % np.uint64(buckets)).astype(np.int64)
     by = np.argsort(bucket, kind="stable")
     string, least, most, bucket = string[by], least[by], most[by], bucket[by]
+    part = block.minimiser[string] // np.uint64(buckets) % np.uint64(s.parts)
     lo = block.starts[block.first[string]].tolist()
     hi = block.ends[block.first[string] + block.count[string] + s.k - 2].tolist()
     cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-        yield int(bucket[a]), _frame([block.raw[x:y] for x, y in zip(lo[a:b], hi[a:b], strict=True)], least[a:b], most[a:b], s.level)
+        yield int(bucket[a]), _frame([block.raw[x:y] for x, y in zip(lo[a:b], hi[a:b], strict=True)], part[a:b], least[a:b], most[a:b], s.level)
 
 
 def least_holders(strings: list[bytes], keys: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, Block]:
@@ -231,25 +235,45 @@ def _solve(bucket: list[tuple[int, bytes]], s: Settings) -> Iterator[tuple[int,
     import zstandard
 
     index: dict[bytes, int] = {}
-    asked = []
+    asked, parts = [], []
     for block, frame in bucket:
-        strings, least, most = _unframe(frame)
-        asked.append((block, np.array([index.setdefault(x, len(index)) for x in strings]), least, most))
-    which = np.concatenate([a[1] for a in asked])
+        strings, part, least, most = _unframe(frame)
+        known = len(index)
+        which = np.array([index.setdefault(x, len(index)) for x in strings])
+        parts.append(part[np.unique(which, return_index=True)[1]][np.unique(which) >= known])
+        asked.append((block, which, least, most))
+    which, part = np.concatenate([a[1] for a in asked]), np.concatenate(parts)
     keys = np.full(len(index), NO_KEY, np.int64)
     np.minimum.at(keys, which, np.concatenate([a[2] for a in asked]))
-    first, least, words = least_holders(list(index), keys, s)
-    lowest = np.minimum.reduceat(least, first)
-    end = np.append(first[1:], len(least))
-    last = np.cumsum(words.words)
-    digest = digests(words.hashes, last - words.words, last)
+    largest = np.full(len(index), np.iinfo(np.int64).min)
+    np.maximum.at(largest, which, np.concatenate([a[3] for a in asked]))
+    spelled = list(index)
+    del index
+    answers: dict[int, list] = {}
+    for p in range(s.parts):
+        own = np.flatnonzero(part == p)
+        if not len(own):
+            continue
+        first, least, words = least_holders([spelled[i] for i in own.tolist()], keys[own], s)
+        lowest = np.minimum.reduceat(least, first)
+        end = np.append(first[1:], len(least))
+        # strings that no holder loses a word of need no answer
+        matter = np.flatnonzero(lowest < largest[own])
+        place = np.full(len(part), -1, np.int64)
+        place[own[matter]] = matter
+        last = np.cumsum(words.words)
+        digest = digests(words.hashes, last - words.words, last)
+        for block, strings, _, most in asked:
+            at = place[strings]
+            told = at[(at >= 0) & (lowest[np.maximum(at, 0)] < most)]
+            if len(told):
+                size = (end - first)[told]
+                spans = np.arange(size.sum()) + np.repeat(first[told] - (np.cumsum(size) - size), size)
+                answers.setdefault(block, []).append((digest[told], size.astype(np.uint32), least[spans]))
     pack = zstandard.ZstdCompressor(level=s.level)
-    for block, strings, _, most in asked:
-        told = strings[lowest[strings] < most]
-        if len(told):
-            spans = [least[first[i] : end[i]] for i in told.tolist()]
-            head = struct.pack("<I", len(told)) + digest[told].tobytes() + (end - first)[told].astype(np.uint32).tobytes()
-            yield block, pack.compress(head + np.concatenate(spans).tobytes())
+    for block, found in answers.items():
+        digest, size, least = (np.concatenate(x) for x in zip(*found, strict=True))
+        yield block, pack.compress(struct.pack("<I", len(size)) + digest.tobytes() + size.tobytes() + least.tobytes())
 
 
 def _told(answers: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -331,7 +355,7 @@ def deduplicate(
     s = settings or Settings()
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks, buckets = s.blocks or s.spread * partitions, s.buckets or s.spread * partitions
+    blocks, buckets = s.spread * partitions, partitions
     k = F.col(key).cast("bigint")
     rows = docs.select(
         F.pmod(F.xxhash64(k, F.col(text)), F.lit(blocks)).cast("int").alias("block"),
