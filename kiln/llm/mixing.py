@@ -25,8 +25,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,7 +41,8 @@ class Settings:
     share: float = 1.5
     cap: int = 2
     tolerance: float = 1e-9
-    rounds: int = 100
+    rounds: int = 40
+    steps: int = 3  # Newton steps in one job
     part: int = 10_000  # documents of a cell that one window orders
 
 
@@ -85,75 +86,85 @@ def _exact(term: Column) -> Column:
     return F.sum(term.cast("decimal(38,9)")).cast("double")
 
 
+def _step(histogram: DataFrame, state: DataFrame, s: Settings) -> DataFrame:
+    """One Newton step of every source that has not converged, kept inside its bracket."""
+    x = F.col("size") / F.col("mean")
+    rate = _rate(F.col("lam"), x, s.cap)
+    words = F.col("n") * F.col("size") * rate
+    sums = (
+        histogram.join(state.where("not done").select("sid", "mean", "lam"), "sid")
+        .groupBy("sid")
+        .agg(_exact(words).alias("f"), _exact(words * x * (1 - rate / s.cap)).alias("slope"))
+    )
+    miss = F.col("f") - F.col("target")
+    moved = (
+        state.join(sums, "sid", "left")
+        .withColumn("nlo", F.when(miss < 0, F.col("lam")).otherwise(F.col("lo")))
+        .withColumn("nhi", F.when(miss > 0, F.col("lam")).otherwise(F.col("hi")))
+    )
+    step = F.col("lam") - miss / F.nullif(F.col("slope"), F.lit(0.0))
+    inside = (
+        step.isNotNull()
+        & (F.abs(step - F.col("lam")) <= 4)
+        & (F.col("nlo").isNull() | (step > F.col("nlo")))
+        & (F.col("nhi").isNull() | (step < F.col("nhi")))
+    )
+    middle = F.when(F.col("nlo").isNull(), F.col("lam") - 4).when(F.col("nhi").isNull(), F.col("lam") + 4).otherwise((F.col("nlo") + F.col("nhi")) / 2)
+    still = F.col("done") | F.col("f").isNull() | (F.abs(miss) <= s.tolerance * F.greatest(F.col("target"), F.lit(1.0)))
+    # a bracket as narrow as a double allows is as near as a target can be met
+    narrow = F.coalesce(F.abs(F.col("nhi") - F.col("nlo")) <= 1e-14 * F.greatest(F.abs("nhi"), F.lit(1e-3)), F.lit(False))
+    return moved.select(
+        "sid",
+        "target",
+        "mean",
+        F.when(still, F.col("lam")).when(inside, step).otherwise(middle).alias("lam"),
+        F.when(F.col("done"), F.col("lo")).otherwise(F.col("nlo")).alias("lo"),
+        F.when(F.col("done"), F.col("hi")).otherwise(F.col("nhi")).alias("hi"),
+        (still | narrow).alias("done"),
+    )
+
+
 def newton(histogram: DataFrame, targets: DataFrame, s: Settings) -> DataFrame:
     """(sid, lam) solving every source's dual; lam is null where the target is all that may be taken.
 
-    Each round is one job over the histogram; a source that has converged stays as it is.
+    A few steps make one job over the histogram, whose result (a row per
+    source) is written; a source that has converged stays as it is.
     """
-    state = written(
-        targets.select(
-            "sid",
-            "target",
-            (F.col("source_size") / F.col("n")).alias("mean"),
-            F.lit(0.0).alias("lam"),
-            F.lit(None).cast("double").alias("lo"),
-            F.lit(None).cast("double").alias("hi"),
-            (F.col("target") >= s.cap * F.col("source_size")).alias("done"),
-        ),
-        "balance",
+    most = s.cap * F.col("source_size")
+    state = targets.select(
+        "sid",
+        "target",
+        (F.col("source_size") / F.col("n")).alias("mean"),
+        F.lit(0.0).alias("lam"),
+        F.lit(None).cast("double").alias("lo"),
+        F.lit(None).cast("double").alias("hi"),
+        (F.col("target") >= most).alias("done"),
     )
     for _ in range(s.rounds):
-        if not state.where("not done").limit(1).count():
+        for _ in range(s.steps):
+            state = _step(histogram, state, s)
+        left = Observation()
+        state = written(state.coalesce(8).observe(left, F.count_if(~F.col("done")).alias("n")), "balance")
+        if not left.get["n"]:
             break
-        x = F.col("size") / F.col("mean")
-        rate = _rate(F.col("lam"), x, s.cap)
-        words = F.col("n") * F.col("size") * rate
-        sums = (
-            histogram.join(state.where("not done").select("sid", "mean", "lam"), "sid")
-            .groupBy("sid")
-            .agg(_exact(words).alias("f"), _exact(words * x * (1 - rate / s.cap)).alias("slope"))
-        )
-        miss = F.col("f") - F.col("target")
-        met = F.abs(miss) <= s.tolerance * F.greatest(F.col("target"), F.lit(1.0))
-        lo = F.when(miss < 0, F.col("lam")).otherwise(F.col("lo"))
-        hi = F.when(miss > 0, F.col("lam")).otherwise(F.col("hi"))
-        step = F.col("lam") - miss / F.nullif(F.col("slope"), F.lit(0.0))
-        inside = step.isNotNull() & (F.abs(step - F.col("lam")) <= 4) & (F.col("nlo").isNull() | (step > F.col("nlo"))) & (F.col("nhi").isNull() | (step < F.col("nhi")))
-        middle = F.when(F.col("nlo").isNull(), F.col("lam") - 4).when(F.col("nhi").isNull(), F.col("lam") + 4).otherwise((F.col("nlo") + F.col("nhi")) / 2)
-        moved = state.join(sums, "sid", "left").withColumn("nlo", lo).withColumn("nhi", hi)
-        still = F.col("done") | F.col("f").isNull() | met
-        # a bracket as narrow as a double allows is as near as a target can be met
-        narrow = F.coalesce(F.abs(F.col("nhi") - F.col("nlo")) <= 1e-14 * F.greatest(F.abs("nhi"), F.lit(1e-3)), F.lit(False))
-        state = written(
-            moved.select(
-                "sid",
-                "target",
-                "mean",
-                F.when(still, F.col("lam")).when(inside, step).otherwise(middle).alias("lam"),
-                F.when(F.col("done"), F.col("lo")).otherwise(F.col("nlo")).alias("lo"),
-                F.when(F.col("done"), F.col("hi")).otherwise(F.col("nhi")).alias("hi"),
-                (still | narrow).alias("done"),
-            ),
-            "balance",
-        )
     return state.join(targets.select("sid", "source_size"), "sid").select(
-        "sid", F.when(F.col("target") >= s.cap * F.col("source_size"), None).otherwise(F.col("lam")).alias("lam"), "mean"
+        "sid", F.when(F.col("target") >= most, None).otherwise(F.col("lam")).alias("lam"), "mean"
     )
 
 
 def _walk(cap: int):
     """Copies of each (size, n, rate) cell of one source, from the largest size down."""
 
-    def fold(cells: pd.DataFrame) -> pd.DataFrame:
-        cells = cells.sort_values("size", ascending=False, kind="stable")
+    def fold(cells: pa.Table) -> pa.Table:
+        cells = cells.sort_by([("size", "descending")])
         due = taken = 0.0
         copies = []
-        for size, n, rate in zip(cells["size"].tolist(), cells["n"].tolist(), cells["rate"].tolist(), strict=True):
+        for size, n, rate in zip(*(cells.column(c).to_pylist() for c in ("size", "n", "rate")), strict=True):
             due += size * n * rate
             take = n if size == 0 else min(cap * n, max(0, round((due - taken) / size)))
             taken += size * take
             copies.append(take)
-        return cells.assign(copies=copies)[["sid", "size", "n", "copies"]]
+        return cells.select(["sid", "size", "n"]).append_column("copies", pa.array(copies, pa.int64()))
 
     return fold
 
@@ -176,7 +187,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     )
     cells = units.groupBy("source", "size").agg(F.sum("m").alias("n"))
     sources = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n"))
-    targets = written(source_targets(sources, s), "mix-targets")
+    targets = written(source_targets(sources, s).coalesce(8), "mix-targets")
     t = targets.select("sid", F.col("source").alias("s"))
     histogram = written(cells.join(t, F.col("source").eqNullSafe(F.col("s"))).select("sid", "size", "n"), "mix-histogram")
     solved = newton(histogram, targets, s)
@@ -184,7 +195,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         "rate", F.when(F.col("lam").isNull(), F.lit(float(s.cap))).otherwise(_rate(F.col("lam"), F.col("size") / F.col("mean"), s.cap))
     )
     # a group holds the distinct sizes of a source: bounded by its longest text, not by its documents
-    copies = rates.select("sid", "size", "n", "rate").groupBy("sid").applyInPandas(_walk(s.cap), "sid int, size bigint, n bigint, copies bigint")
+    copies = rates.select("sid", "size", "n", "rate").groupBy("sid").applyInArrow(_walk(s.cap), "sid int, size bigint, n bigint, copies bigint")
+    copies = written(copies, "mix-copies")
 
     placed = (
         units.join(targets.select("sid", F.col("source").alias("s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("s")))
@@ -192,6 +204,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         .join(copies, ["sid", "size"])
         .withColumn("h", F.xxhash64(F.coalesce(F.col("k").cast("string"), F.lit(""))))
         .withColumn("part", F.pmod(F.col("h"), F.ceil(F.col("n") / s.part)))
+        .repartition("sid", "size", "part")  # so that the join on a common size may be split
     )
     parts = placed.groupBy("sid", "size", "part").agg(F.sum("m").alias("pn"), F.max("n").alias("n"), F.max("copies").alias("copies"))
     within = Window.partitionBy("sid", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
