@@ -19,7 +19,7 @@ def byte_bpe() -> str:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    grammar = toxicity.train(docs.join(labels, "doc_id").where(learnable("doc_id", 5, 0)))
+    grammar = toxicity.train(docs, labels.where(learnable("doc_id", 5, 0)))
     scored = toxicity.with_toxicity(docs, grammar, column="score")
     return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import drawn
+from kiln.llm.common import drawn, written
 
 # Seed word lists of the transducers (lower case).
 INSULTS = "idiot idiots moron morons loser losers stupid scum trash worthless pathetic disgusting clown imbecile dumb"
@@ -207,16 +207,19 @@ class Grammar:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _sample(labelled: DataFrame, key: str, text: str, label: str, s: Settings) -> tuple[DataFrame, dict[int, int]]:
-    """The bounded sample (k, y, t), one row a key, and how many keys each label has."""
-    keys = labelled.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where("y in (0, 1) and k is not null")
+def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, s: Settings) -> tuple[DataFrame, dict[int, int]]:
+    """The bounded sample (k, y, t), one row a key, and how many keys each label has.
+
+    Keys are drawn from the narrow labels; only their texts are fetched, where they are read.
+    """
+    keys = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where("y in (0, 1) and k is not null")
     keys = keys.groupBy("k").agg(F.max("y").alias("y"))
     sizes = {r.y: r["count"] for r in keys.groupBy("y").count().collect()}
     most = F.when(F.col("y") == 1, s.toxic_rows).otherwise(s.clean_rows)
     ids = drawn(keys, "y", most).orderBy(F.xxhash64(F.col("k").cast("string")), "k").limit(2 * (s.toxic_rows + s.clean_rows)).select("k", "y")
-    texts = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
     rows = texts.join(F.broadcast(ids), "k").groupBy("k").agg(F.max("y").alias("y"), F.max("t").alias("t"))
-    return rows, sizes
+    return written(rows, "toxicity-sample"), sizes
 
 
 def _patterns(text: str | None, s: Settings) -> tuple[str, list[str]]:
@@ -282,10 +285,12 @@ def learn_lexicon(rows: DataFrame, s: Settings) -> dict[str, tuple[int, float]]:
     return chosen
 
 
-def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", settings: Settings | None = None) -> Grammar:
-    """Learn a grammar from a bounded sample of labelled rows; other labels than 0 and 1 take no part."""
+def train(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", settings: Settings | None = None
+) -> Grammar:
+    """Learn a grammar from a bounded sample of the labelled documents; other labels than 0 and 1 take no part."""
     s = settings or Settings()
-    rows, sizes = _sample(labelled, key, text, label, s)
+    rows, sizes = _sample(docs, labels, key, text, label, s)
     lexicon = {w: (INSULT, s.seed_weight) for w in INSULTS.split()} | {w: (THREAT, s.seed_weight) for w in THREATS.split()}
     lexicon |= learn_lexicon(rows, s)
     grammar = Grammar(lexicon)

@@ -55,16 +55,14 @@ def test_learns_invented_words_and_leaves_clean_texts_alone(spark, documents):
         rows.append((i, " ".join(body)))
         labels.append((i, int(toxic)))
     docs = documents(rows)
-    labelled = docs.join(spark.createDataFrame(labels, "doc_id bigint, toxic int"), "doc_id")
-    g = T.train(labelled.where("doc_id % 3 <> 0"))
+    g = T.train(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int").where("doc_id % 3 <> 0"))
     out = {r.doc_id: r.toxicity for r in T.with_toxicity(docs.where("doc_id % 3 = 0"), g).collect()}
     judged = [(out[i] >= 0.5) == bool(t) for i, t in labels if i in out]
     assert sum(judged) >= 0.98 * len(judged)
 
 
 def test_without_labels_seeds_score_and_columns_pass(spark, documents):
-    empty = documents([]).withColumn("toxic", T.F.lit(1))
-    g = T.train(empty)
+    g = T.train(documents([(1, "a")]), spark.createDataFrame([(1, None), (None, 1), (7, 1), (7, 3)], "doc_id bigint, toxic int"))
     docs = documents([(1, "you are a stupid idiot"), (1, "you are a stupid idiot"), (2, None), (None, "good day")]).withColumn("toxicity", T.F.lit("x"))
     out = T.with_toxicity(docs, g).collect()
     assert [r.toxicity for r in out if r.doc_id == 1][0] > [r.toxicity for r in out if r.doc_id == 2][0]
