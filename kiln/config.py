@@ -26,9 +26,6 @@ class DedupConfig:
     bands: int = 8
     rows: int = 16
     seed: int = 1
-    # Keep-first rounds are bounded by the longest chain in corpus order;
-    # hitting the cap raises instead of returning a partial answer.
-    max_rounds: int = 200
 
 
 @dataclass(frozen=True)

@@ -5,27 +5,32 @@
   each round counts weighted adjacent pairs with a distributed group-by,
   brings the top ``K`` pairs (a bounded list) to the driver, picks the
   longest safe batch of merges and applies it with a JVM fold over each
-  word's symbols.  A batch is the ranking's prefix of pairs with pairwise
+  word's symbols.  Pairs whose token would be too long are left out before
+  the ranking (the token lengths, bounded by the vocabulary, are broadcast).  A batch is the ranking's prefix of pairs with pairwise
   disjoint symbols, cut at the first pair touching a used symbol; a merge
   can only create or lower pairs ranked after that cut, so the batch equals
   the same merges done one at a time (greedy, ties to smaller ids).
-* Encoding (T6) encodes each distinct pretoken once (``mapInPandas``, with
-  the merge ranks, bounded by the vocabulary size, shipped to the tasks) and
-  joins the result back to the pretoken occurrences.
+* Encoding (T6) is one Arrow pass where the documents are: the merge ranks,
+  bounded by the vocabulary, are broadcast, and a bounded cache per task
+  keeps the ids of pretokens; nothing is exploded or shuffled.  Merging one
+  pretoken takes a heap over a linked list, n log n in its length.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.config import TokenizerConfig
-from kiln.functions.text import py_split
-from kiln.operators.ordering import exact_quantiles, with_position
+from kiln.functions.text import excerpt, py_split
+from kiln.operators.ordering import exact_quantiles, with_prefix_sum
 from kiln.session import adaptive_off, cut_lineage
 
 # Whitespace as the byte-level pretokenizer sees it (Unicode
@@ -36,7 +41,7 @@ PRETOKEN_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + BPE_WS + r"\p{L}\p{N}]+"
     r"|[" + BPE_WS + r"]+(?![^" + BPE_WS + r"])|[" + BPE_WS + r"]+"
 )
-KEY = 1 << 20  # pair key = left * KEY + right; ids stay below 2^20
+KEY = 1 << 32  # pair key = left * KEY + right; ids are 32-bit
 
 
 def byte_chars() -> list[str]:
@@ -181,31 +186,33 @@ def train_bpe(
 
 def _merge_rounds(words, tokens, index, merges, cfg, top_k, checkpoint_every) -> int:
     """The training loop: one pair-count job per round (state persisted)."""
-    done = False
     rounds = 0
     stale: list[DataFrame] = []
-    while not done and len(tokens) < cfg.vocab_size:
+    while len(tokens) < cfg.vocab_size:
+        sizes = words.sparkSession.createDataFrame([(i, len(t)) for i, t in enumerate(tokens)], "id int, bytes int")
+        left = F.broadcast(sizes.select(F.col("id").alias("a"), F.col("bytes").alias("an")))
+        right = F.broadcast(sizes.select(F.col("id").alias("b"), F.col("bytes").alias("bn")))
         top = (
             _pairs(words)
+            .where(F.col("c") >= cfg.min_frequency)
+            .join(left, "a")
+            .join(right, "b")
+            .where(F.col("an") + F.col("bn") <= cfg.max_token_length)
+            .select("a", "b", "c")
             .orderBy(F.desc("c"), "a", "b")
             .limit(top_k)
             .collect()
         )
-        if not top:
+        if not top:  # no pair left that may be merged
             break
         used: set[int] = set()
         batch: dict[tuple[int, int], int] = {}
-        for a, b, c in top:
-            if c < cfg.min_frequency:
-                done = True
-                break
+        for a, b, _ in top:
             if len(tokens) >= cfg.vocab_size:
                 break
             if a in used or b in used:
                 break
             merged = tokens[a] + tokens[b]
-            if len(merged) > cfg.max_token_length:
-                continue
             new_id = index.get(merged)
             if new_id is None:
                 new_id = len(tokens)
@@ -214,8 +221,6 @@ def _merge_rounds(words, tokens, index, merges, cfg, top_k, checkpoint_every) ->
             batch[(a, b)] = new_id
             merges.append((a, b, new_id))
             used |= {a, b, new_id}
-        if not batch:
-            break
         rounds += 1
         previous = words
         if rounds % checkpoint_every == 0:
@@ -230,107 +235,134 @@ def _merge_rounds(words, tokens, index, merges, cfg, top_k, checkpoint_every) ->
     return rounds
 
 
-def vocab_checks(model: BPEModel) -> dict[str, bool]:
-    """The four specials exist with distinct ids and every id < vocab size."""
-    ids = {s: i for i, s in enumerate(model.specials)}
-    need = ("<pad>", "<bos>", "<eos>", "<unk>")
-    return {
-        "specials_present": all(s in ids for s in need),
-        "specials_distinct": len({ids.get(s) for s in need}) == len(need),
-        "ids_below_size": all(n < model.vocab_size for _, _, n in model.merges),
-    }
+NEED = ("<pad>", "<bos>", "<eos>", "<unk>")
+
+
+def contract(vocab: DataFrame, merges: DataFrame, encoded: DataFrame, cfg: TokenizerConfig) -> DataFrame:
+    """T9 on the tables themselves: one row of facts about vocabulary, merges and encoded ids.
+
+    ``encoded`` is ``(seq, ids)``; the specials are looked up by their text.
+    """
+    v = vocab.agg(
+        F.count("*").alias("vocab_size"),
+        F.countDistinct("id").alias("distinct_ids"),
+        F.countDistinct("token").alias("distinct_tokens"),
+        F.max("id").alias("max_id"),
+        *[F.max(F.when(F.col("token") == s, F.col("id"))).alias(s.strip("<>")) for s in NEED],
+    )
+    m = merges.agg(F.count("*").alias("merges"), F.max(F.greatest("left_id", "right_id", "new_id")).alias("max_merge_id"))
+    e = encoded.agg(F.max(F.array_max("ids")).alias("max_encoded_id"))
+    rows = v.withColumn("one", F.lit(1)).join(m.withColumn("one", F.lit(1)), "one").join(e.withColumn("one", F.lit(1)), "one")
+    size = F.col("vocab_size")
+    specials = F.array(*[F.col(s.strip("<>")) for s in NEED])
+    ok = (
+        (F.col("distinct_ids") == size)
+        & (F.col("distinct_tokens") == size)
+        & (F.col("max_id") == size - 1)
+        & (size <= cfg.vocab_size)
+        & (F.size(F.array_distinct(F.filter(specials, lambda x: x.isNotNull()))) == len(NEED))
+        & (F.coalesce("max_merge_id", F.lit(-1)) < size)
+        & (F.coalesce("max_encoded_id", F.lit(-1)) < size)
+    )
+    return rows.drop("one").withColumn("contract_ok", ok)
 
 
 # ------------------------------------------------------------------ T6, T7, T8
-def _encoder(model: BPEModel):
-    ranks = {(a, b): (r, n) for r, (a, b, n) in enumerate(model.merges)}
-    byte_ids = model.byte_ids
-    unk = model.specials.index("<unk>") if "<unk>" in model.specials else 3
-
-    def encode_word(w: str) -> list[int]:
-        ids = [byte_ids[b] if byte_ids[b] >= 0 else unk for b in w.encode("utf-8")]
-        while len(ids) > 1:
-            best = None
-            for i in range(len(ids) - 1):
-                r = ranks.get((ids[i], ids[i + 1]))
-                if r is not None and (best is None or r[0] < best[0]):
-                    best = (r[0], r[1], ids[i], ids[i + 1])
-            if best is None:
-                break
-            _, new, a, b = best
-            out, i = [], 0
-            while i < len(ids):
-                if i + 1 < len(ids) and ids[i] == a and ids[i + 1] == b:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+class Encoder:
+    """Ids of one pretoken at a time, with a bounded cache."""
+
+    def __init__(self, model: BPEModel, cache: int = 200_000):
+        self.ranks = {(a, b): (r, n) for r, (a, b, n) in enumerate(model.merges)}
+        self.byte_ids = model.byte_ids
+        self.unk = model.specials.index("<unk>") if "<unk>" in model.specials else 3
+        self.held: dict[str, list[int]] = {}
+        self.cache = cache
+
+    def __call__(self, word: str) -> list[int]:
+        ids = self.held.get(word)
+        if ids is None:
+            ids = self.merge([b if b >= 0 else self.unk for b in (self.byte_ids[x] for x in word.encode("utf-8"))])
+            if len(self.held) >= self.cache:
+                self.held.clear()
+            self.held[word] = ids
         return ids
 
-    return encode_word
+    def merge(self, ids: list[int]) -> list[int]:
+        """Apply merges in rank order, leftmost first: a heap of pairs over a linked list."""
+        n = len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple[int, int, int, int, int]] = []
+
+        def push(i: int) -> None:
+            j = after[i]
+            if j < n:
+                found = self.ranks.get((ids[i], ids[j]))
+                if found:
+                    heapq.heappush(heap, (found[0], i, ids[i], ids[j], found[1]))
+
+        for i in range(n - 1):
+            push(i)
+        while heap:
+            _, i, a, b, new = heapq.heappop(heap)
+            j = after[i] if ids[i] == a else n
+            if j >= n or ids[j] != b:
+                continue  # one of the two has been merged since
+            ids[i], ids[j], after[i] = new, -1, after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            if before[i] >= 0:
+                push(before[i])
+            push(i)
+        return [x for x in ids if x >= 0]
+
+
+def _encoded(model: BPEModel, counts: bool):
+    """Arrow UDF over arrays of pretokens: their ids, or the number of them."""
+
+    @F.arrow_udf("bigint" if counts else "array<int>")
+    def encode(frames: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = Encoder(model)
+        for words in frames:
+            rows = ([i for w in row or () for i in encoder(w)] for row in (x.as_py() for x in words))
+            yield pa.array(map(len, rows), pa.int64()) if counts else pa.array(rows, pa.list_(pa.int32()))
+
+    return encode
 
 
-def encode_pretokens(words: DataFrame, model: BPEModel, word_col: str = "word") -> DataFrame:
-    """``(word, ids)`` for distinct pretokens; each is encoded once (Arrow batches)."""
-    encode_word = _encoder(model)
+def encode_documents(docs: DataFrame, model: BPEModel, text_col: str = "text", order_col: str = "seq") -> DataFrame:
+    """``(seq, ids)`` per document; a null or empty text has no id.
 
-    def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({word_col: pdf[word_col], "ids": [encode_word(w) for w in pdf[word_col]]})
+    Special tokens inside a text are ordinary text: their bytes are encoded.
+    """
+    return docs.select(order_col, _encoded(model, False)(pretokens(text_col)).alias("ids"))
 
-    schema = T.StructType([T.StructField(word_col, T.StringType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return words.select(word_col).mapInPandas(run, schema)
 
+def token_counts(docs: DataFrame, model: BPEModel, text_col: str = "text", order_col: str = "seq") -> DataFrame:
+    """``(seq, n_tokens)`` without shipping the ids back."""
+    return docs.select(order_col, _encoded(model, True)(pretokens(text_col)).alias("n_tokens"))
 
-def pretoken_rows(docs: DataFrame, text_col: str = "text", order_col: str = "seq") -> DataFrame:
-    return docs.select(order_col, F.posexplode(pretokens(text_col)).alias("pos", "word"))
 
+def token_strings(ids: Column | str, model: BPEModel) -> Column:
+    """The token strings of an id array (the vocabulary travels as a broadcast in the UDF)."""
+    spelled = [model.token_string(i) for i in range(model.vocab_size)]
 
-def encode_documents(docs: DataFrame, model: BPEModel, text_col: str = "text", order_col: str = "seq") -> DataFrame:
-    """``(seq, ids)`` per document."""
-    rows = pretoken_rows(docs, text_col, order_col)
-    enc = encode_pretokens(rows.select("word").distinct(), model)
-    joined = rows.join(enc, "word")
-    per_doc = joined.groupBy(order_col).agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda x: x["ids"])).alias("ids")
-    )
-    return (
-        docs.select(order_col)
-        .join(per_doc, order_col, "left")
-        .select(order_col, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
-    )
+    @F.arrow_udf("array<string>")
+    def spell(arrays: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else [spelled[i] for i in x] for x in arrays.to_pylist()], pa.list_(pa.string()))
 
-
-def token_counts(docs: DataFrame, model: BPEModel, text_col: str = "text", order_col: str = "seq") -> DataFrame:
-    """``(seq, n_tokens)`` without materialising the ids."""
-    rows = pretoken_rows(docs, text_col, order_col)
-    enc = encode_pretokens(rows.select("word").distinct(), model).select("word", F.size("ids").alias("k"))
-    per_doc = rows.join(enc, "word").groupBy(order_col).agg(F.sum("k").cast("long").alias("n_tokens"))
-    return (
-        docs.select(order_col)
-        .join(per_doc, order_col, "left")
-        .select(order_col, F.coalesce("n_tokens", F.lit(0).cast("long")).alias("n_tokens"))
-    )
+    return spell(F.col(ids) if isinstance(ids, str) else ids)
 
 
 def decode_documents(encoded: DataFrame, model: BPEModel, order_col: str = "seq") -> DataFrame:
-    """``(seq, text)`` from ids; the vocabulary side is broadcast
-    (its size is bounded by the configured vocabulary size)."""
-    spark = encoded.sparkSession
-    vocab = model.vocab_frame(spark).select(F.col("id"), F.col("hex"))
-    rows = encoded.select(order_col, F.posexplode("ids").alias("pos", "id"))
-    joined = rows.join(F.broadcast(vocab), "id")
-    per_doc = joined.groupBy(order_col).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "hex"))), lambda x: x["hex"]), "").alias("hx")
-    )
-    text = F.decode(F.unhex("hx"), "UTF-8")
-    return (
-        encoded.select(order_col)
-        .join(per_doc, order_col, "left")
-        .select(order_col, F.coalesce(text, F.lit("")).alias("text"))
-    )
+    """``(seq, text)`` from ids: specials are skipped, and malformed bytes (of a cut block) become U+FFFD."""
+    specials, tokens = len(model.specials), model.tokens
+
+    @F.arrow_udf("string")
+    def decode(arrays: pa.Array) -> pa.Array:
+        rows = (b"".join(tokens[i] for i in x or () if i >= specials) for x in arrays.to_pylist())
+        return pa.array([r.decode("utf-8", errors="replace") for r in rows], pa.string())
+
+    return encoded.select(order_col, decode(F.col("ids")).alias("text"))
 
 
 def nfc(text: Column | str) -> Column:
@@ -347,11 +379,9 @@ def nfc(text: Column | str) -> Column:
 # ------------------------------------------------------------------ T1, A8, A9
 def heldout_split(docs: DataFrame, shard_size: int, heldout: float = 0.1, order_col: str = "seq") -> DataFrame:
     """Shards in corpus order; the first ``int(n * (1 - heldout))`` train."""
-    pos = with_position(docs, order_col, "position")
+    pos, n = with_prefix_sum(docs, order_col, None, "position")
     pos = pos.withColumn("shard", F.floor(F.col("position") / shard_size).cast("int"))
-    n_shards = pos.agg(F.max("shard")).first()[0]
-    n_shards = 0 if n_shards is None else n_shards + 1
-    n_train = int(n_shards * (1 - heldout))
+    n_train = int(-(-n // shard_size) * (1 - heldout))
     return pos.withColumn("heldout", F.col("shard") >= F.lit(n_train))
 
 
@@ -403,6 +433,14 @@ def fertility(rows: DataFrame) -> DataFrame:
     )
 
 
-def worst_fertility(rows: DataFrame, k: int = 20, order_col: str = "seq") -> DataFrame:
-    """Top ``k`` by tokens per word, ties kept in corpus order."""
-    return rows.orderBy(F.desc("tokens_per_word"), order_col).limit(k)
+def worst_fertility(rows: DataFrame, docs: DataFrame, model: BPEModel, k: int = 20, order_col: str = "seq") -> DataFrame:
+    """Top ``k`` by tokens per word, ties kept in corpus order, with their text
+    (500 characters), decoded text, token strings and ids (k rows, so the join is bounded)."""
+    worst = rows.orderBy(F.desc("tokens_per_word"), order_col).limit(k)
+    texts = docs.join(F.broadcast(worst.select(order_col)), order_col, "left_semi").select(order_col, "text")
+    ids = encode_documents(texts, model, "text", order_col)
+    decoded = decode_documents(ids, model, order_col).withColumnRenamed("text", "decoded")
+    told = ids.select(order_col, "ids", token_strings("ids", model).alias("token_strings"))
+    return (
+        worst.join(texts.select(order_col, excerpt("text", 500).alias("text")), order_col).join(decoded, order_col).join(told, order_col)
+    )

@@ -1,30 +1,27 @@
 """Global order without a single-partition window.
 
-Spark rows carry no order, so corpus order is an explicit key column
-(``seq``).  Running totals over that key (X1) and exact quantiles (A3, A8)
-are computed here with bounded per-task state:
+Spark rows carry no order, so corpus order is an explicit key (``seq``).
+Running totals over that key (X1) and exact quantiles (A3, A8) are computed
+here with bounded per-task state:
 
-* ``prefix_sum``: range-partition the narrow ``(key, value)`` pair, fix the
+* ``prefix_totals``: range-partition the narrow ``(key, values)`` rows, fix the
   layout with a reliable checkpoint, total each partition (one row per
-  partition), turn the totals into offsets, then add a per-partition running
-  sum.  Two passes, like ``zipWithIndex``; no task ever sees more than one
-  range partition, and the offsets table is bounded by the partition count.
-* ``exact_quantiles``: a mergeable sketch (``percentile_approx``) brackets each
-  target rank; a second pass counts the rows below the bracket and the value
-  counts inside it.  The bracket holds about ``4 n / accuracy`` rows, so the
-  exact answer never needs all values in one place.
+  partition), turn the totals into offsets, and add them to a running sum in
+  a JVM window per range partition.  The offsets table is bounded by the
+  partition count.
+* ``exact_quantiles``: values are counted per distinct value first; the
+  running totals of those counts place every rank, so nothing is sketched
+  and no group's values meet in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from kiln.session import cut_lineage
+from kiln.session import cut_lineage, stage_table
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -33,81 +30,46 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def prefix_sums(
+def prefix_totals(
     df: DataFrame,
-    order_col: str,
-    value_col: str | None = None,
+    order_cols: Sequence[str],
+    values: Mapping[str, Column],
     num_partitions: int | None = None,
     carry: Sequence[str] = (),
-) -> tuple[DataFrame, int]:
-    """``(order_col, *carry, cum_before)`` and the grand total.
+) -> tuple[DataFrame, dict[str, int]]:
+    """``(order_cols, carry, one exclusive running total per value)`` and the grand totals.
 
-    ``cum_before`` is the exclusive running total of ``value_col`` (1 per row
-    when ``None``) in ascending ``order_col``; the key must be unique.
-    ``carry`` columns travel with the key through the range partitioning,
-    which saves a join back when the caller needs them next to the sums.
+    One pass serves any number of ``values``; ``order_cols`` must be unique.
+    ``carry`` is for further narrow columns only: what is wide is joined back.
     """
-    value = F.lit(1).cast("long") if value_col is None else F.col(value_col).cast("long")
-    narrow = df.select(F.col(order_col).alias("_k"), value.alias("_v"), *carry)
-    ranged = (
-        narrow.repartitionByRange(_partitions(df, num_partitions), "_k")
-        .sortWithinPartitions("_k")
-        .withColumn("_p", F.spark_partition_id())
+    names = list(values)
+    narrow = df.select(*order_cols, *carry, *[F.coalesce(v.cast("long"), F.lit(0)).alias(f"_v_{n}") for n, v in values.items()])
+    ranged = cut_lineage(
+        narrow.repartitionByRange(_partitions(df, num_partitions), *order_cols).withColumn("_p", F.spark_partition_id())
     )
-    ranged = cut_lineage(ranged)
-    totals = ranged.groupBy("_p").agg(F.sum("_v").alias("_t"))
+    totals = ranged.groupBy("_p").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_p", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
-    grand = totals.agg(F.coalesce(F.sum("_t"), F.lit(0)).alias("t")).first()["t"]
-
-    key_type = ranged.schema["_k"].dataType
-    out_schema = T.StructType(
-        [T.StructField(order_col, key_type)]
-        + [ranged.schema[c] for c in carry]
-        + [T.StructField("cum_before", T.LongType(), False)]
+    offsets = totals.select("_p", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in names])
+    grand = totals.agg(*[F.coalesce(F.sum(f"_t_{n}"), F.lit(0)).alias(n) for n in names]).first().asDict()
+    running = Window.partitionBy("_p").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    # The broadcast side has one row per range partition.
+    out = ranged.join(F.broadcast(offsets), "_p").select(
+        *order_cols, *carry, *[(F.coalesce(F.sum(f"_v_{n}").over(running), F.lit(0)) + F.col(f"_o_{n}")).alias(n) for n in names]
     )
+    return out, grand
+
 
-    def running(batches):
-        run = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if run is None:
-                run = int(pdf["_off"].iloc[0])
-            vals = pdf["_v"].fillna(0).astype("int64")
-            csum = vals.cumsum()
-            out = pd.DataFrame({order_col: pdf["_k"]})
-            for c in carry:
-                out[c] = pdf[c]
-            out["cum_before"] = run + csum - vals
-            run += int(csum.iloc[-1])
-            yield out
-
-    # The broadcast side is bounded by the partition count; the streamed side
-    # keeps its range partitioning and in-partition order.
-    joined = ranged.join(F.broadcast(offsets), "_p").select("_k", "_v", *carry, "_off")
-    return joined.mapInPandas(running, out_schema), int(grand)
+def prefix_sums(df: DataFrame, order_col: str, value_col: str | None = None, num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``(order_col, cum_before)`` and the grand total of ``value_col`` (1 per row when ``None``)."""
+    value = F.lit(1) if value_col is None else F.col(value_col)
+    sums, total = prefix_totals(df, [order_col], {"cum_before": value}, num_partitions)
+    return sums, total["cum_before"]
 
 
 def with_prefix_sum(
-    df: DataFrame,
-    order_col: str,
-    value_col: str | None = None,
-    out_col: str = "cum_before",
-    num_partitions: int | None = None,
-    carry: bool = False,
+    df: DataFrame, order_col: str, value_col: str | None = None, out_col: str = "cum_before", num_partitions: int | None = None
 ) -> tuple[DataFrame, int]:
-    """``df`` plus the exclusive running total column; returns the total too.
-
-    ``carry=False`` joins the narrow sums back on the key (right when ``df``
-    is a cheap scan).  ``carry=True`` moves every column through the range
-    partitioning instead: no join, and an expensive input plan runs once.
-    """
-    cols = [c for c in df.columns if c != order_col]
-    if carry or set(cols) <= {value_col}:
-        # Carried, or nothing but the key and value: no join back is needed.
-        sums, total = prefix_sums(df, order_col, value_col, num_partitions, carry=cols)
-        return sums.withColumnRenamed("cum_before", out_col), total
+    """``df`` plus the exclusive running total, joined back on the key; returns the total too."""
     sums, total = prefix_sums(df, order_col, value_col, num_partitions)
     return df.join(sums.withColumnRenamed("cum_before", out_col), order_col), total
 
@@ -118,92 +80,35 @@ def with_position(df: DataFrame, order_col: str, out_col: str = "position") -> D
     return out
 
 
-def exact_quantiles(
-    df: DataFrame,
-    group_col: str,
-    value_col: str,
-    probs: Sequence[tuple[str, float]],
-    accuracy: int = 10_000,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: Sequence[tuple[str, float]]) -> DataFrame:
     """Per group: ``n, min, max, mean`` and each named linear-interpolated quantile.
 
     Matches ``numpy.percentile`` / ``statistics.median`` (rank ``p (n - 1)``).
-    Nulls are ignored.
+    Nulls are ignored.  The broadcast side has one row per group; groups are
+    few (metrics, ratios).
     """
-    vals = df.select(F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_x")).where(
-        F.col("_x").isNotNull()
-    )
-    # Two passes read the values: fix the narrow input once instead of
-    # recomputing its (possibly text-heavy) plan.
-    vals = cut_lineage(vals)
-    eps = 2.0 / accuracy
-    edges: list[float] = []
-    for _, p in probs:
-        edges += [max(p - eps, 0.0), min(p + eps, 1.0)]
-    stats = vals.groupBy("_g").agg(
-        F.count("_x").alias("n"),
+    vals = df.select(F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    counts = stage_table(vals.groupBy("_g", "_x").agg(F.count("*").alias("_c")), "value-counts")
+    ranked, _ = prefix_totals(counts, ["_g", "_x"], {"_start": F.col("_c")}, carry=["_c"])
+    ranked = stage_table(ranked, "value-ranks")
+    stats = ranked.groupBy("_g").agg(
+        F.sum("_c").alias("n"),
         F.min("_x").alias("min"),
         F.max("_x").alias("max"),
-        F.avg("_x").alias("mean"),
-        F.percentile_approx("_x", edges, accuracy).alias("_br"),
-    )
-    # One row per (group, quantile): bounded by groups x probs.
-    qrows = stats.select(
-        "_g",
-        "n",
-        F.posexplode(F.array(*[F.lit(p) for _, p in probs])).alias("_q", "_p"),
-        "_br",
-    ).select(
-        "_g",
-        "n",
-        "_q",
-        "_p",
-        F.element_at("_br", 2 * F.col("_q") + 1).alias("_lo"),
-        F.element_at("_br", 2 * F.col("_q") + 2).alias("_hi"),
-    )
-    # The sketch's rank error is at most n / accuracy, so +-2/accuracy covers
-    # the target ranks once n > 4 * accuracy; smaller groups use their whole
-    # range (at most 4 * accuracy values).
-    small = F.col("n") <= 4 * accuracy
-    qrows = qrows.withColumn(
-        "_lo", F.when(small | (F.col("_p") - eps <= 0), F.lit(float("-inf"))).otherwise(F.col("_lo"))
-    )
-    qrows = qrows.withColumn(
-        "_hi", F.when(small | (F.col("_p") + eps >= 1), F.lit(float("inf"))).otherwise(F.col("_hi"))
+        (F.sum(F.col("_x") * F.col("_c")) / F.sum("_c")).alias("mean"),
+        F.min("_start").alias("_base"),
     )
-    qrows = qrows.withColumn("_pos", F.col("_p") * (F.col("n") - 1))
-    qrows = qrows.withColumn("_rlo", F.floor("_pos")).withColumn("_rhi", F.ceil("_pos"))
-
-    tagged = vals.join(F.broadcast(qrows.select("_g", "_q", "_lo", "_hi")), "_g")
-    below = tagged.groupBy("_g", "_q").agg(F.count_if(F.col("_x") < F.col("_lo")).alias("_below"))
-    inside = (
-        tagged.where((F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi")))
-        .groupBy("_g", "_q", "_x")
-        .agg(F.count("*").alias("_c"))
-    )
-    w = Window.partitionBy("_g", "_q").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
-    inside = inside.withColumn("_cb", F.coalesce(F.sum("_c").over(w), F.lit(0)))
-    ranked = inside.join(below, ["_g", "_q"]).withColumn("_start", F.col("_below") + F.col("_cb"))
-    ranked = ranked.join(F.broadcast(qrows.select("_g", "_q", "_pos", "_rlo", "_rhi")), ["_g", "_q"])
+    placed = ranked.join(F.broadcast(stats), "_g").withColumn("_rank", F.col("_start") - F.col("_base"))
 
-    def value_at(rank: str) -> F.Column:
-        hit = (F.col(rank) >= F.col("_start")) & (F.col(rank) < F.col("_start") + F.col("_c"))
+    def value_at(rank: Column) -> Column:
+        hit = (rank >= F.col("_rank")) & (rank < F.col("_rank") + F.col("_c"))
         return F.max(F.when(hit, F.col("_x")))
 
-    picked = ranked.groupBy("_g", "_q").agg(
-        value_at("_rlo").alias("_vlo"),
-        value_at("_rhi").alias("_vhi"),
-        F.first("_pos").alias("_pos"),
-        F.first("_rlo").alias("_rlo"),
-    )
-    picked = picked.withColumn(
-        "_v",
-        F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_rlo")),
-    )
-    picked = picked.withColumn(
-        "_v", F.when(F.col("_vlo").isNull() | F.col("_vhi").isNull(), F.raise_error(F.lit("quantile bracket missed"))).otherwise(F.col("_v"))
+    at = [(name, F.lit(p) * (F.col("n") - 1)) for name, p in probs]
+    picked = placed.groupBy("_g").agg(
+        *[value_at(F.floor(pos)).alias(f"_lo_{name}") for name, pos in at], *[value_at(F.ceil(pos)).alias(f"_hi_{name}") for name, pos in at]
     )
-    wide = picked.groupBy("_g").pivot("_q", list(range(len(probs)))).agg(F.first("_v"))
-    for i, (name, _) in enumerate(probs):
-        wide = wide.withColumnRenamed(str(i), name)
-    return stats.drop("_br").join(wide, "_g").withColumnRenamed("_g", group_col)
+    between = [
+        (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (pos - F.floor(pos))).alias(name) for name, pos in at
+    ]
+    return stats.join(picked, "_g").select(F.col("_g").alias(group_col), "n", "min", "max", "mean", *between)

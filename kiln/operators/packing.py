@@ -19,7 +19,7 @@ from kiln.operators.ordering import with_prefix_sum
 def with_eos(ids: Column | str, eos_id: int) -> Column:
     """Append EOS (no BOS)."""
     c = F.col(ids) if isinstance(ids, str) else ids
-    return F.concat(c, F.array(F.lit(eos_id).cast("int")))
+    return F.concat(c, F.array(F.lit(eos_id)))
 
 
 def split_cut(total_tokens: int, train_split: float) -> int:
@@ -36,7 +36,7 @@ def document_slices(
     """``(split, block, pos, piece)`` rows, the token total and the cut."""
     toks = docs.select(order_col, with_eos(ids_col, cfg.eos_id).alias("toks"))
     toks = toks.withColumn("n", F.size("toks"))
-    placed, total = with_prefix_sum(toks, order_col, "n", "start", carry=True)
+    placed, total = with_prefix_sum(toks, order_col, "n", "start")
     cut = split_cut(total, cfg.train_split)
     s = cfg.block_size
     start, end = F.col("start"), F.col("start") + F.col("n")
@@ -96,12 +96,12 @@ def pack_blocks(
 
 
 def packing_report(
-    docs: DataFrame,
+    documents: int,
     blocks: DataFrame,
     cfg: PackConfig = PackConfig(),
     vocab_size: int | None = None,
 ) -> DataFrame:
-    """The packing report from the document and block tables (no token explode)."""
+    """The packing report from the number of documents and the block table (no token explode)."""
     s = cfg.block_size
     b = blocks.agg(
         F.count_if(F.col("split") == "train").alias("train_blocks"),
@@ -110,7 +110,7 @@ def packing_report(
         F.coalesce(F.sum(F.when(F.col("split") == "val", F.col("n_real"))), F.lit(0)).cast("long").alias("val_tokens"),
         F.coalesce(F.sum(F.lit(s) - F.col("n_real")), F.lit(0)).cast("long").alias("pad_tokens"),
     )
-    d = docs.agg(F.count("*").alias("documents")).first()["documents"]
+    d = documents
     slots = (F.col("train_blocks") + F.col("val_blocks")) * s
     real = F.col("train_tokens") + F.col("val_tokens")
     return b.select(
@@ -146,7 +146,7 @@ def batch_plan(
     """Repeatable uniform draw with replacement of ``batch_size`` blocks per step.
 
     The plan ``(step, slot)`` is generated by ``spark.range``; the block of
-    a slot is ``md5(seed:step:slot) mod n_blocks``, then an equi-join brings
+    a slot is 60 bits of ``md5(seed:step:slot) mod n_blocks``, then an equi-join brings
     the block's arrays.
     """
     spark = blocks.sparkSession
@@ -160,7 +160,7 @@ def batch_plan(
         (F.col("id") % batch_size).cast("int").alias("slot"),
     )
     key = F.concat_ws(":", F.lit(str(seed)), F.col("step").cast("string"), F.col("slot").cast("string"))
-    plan = plan.withColumn("block", (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % F.lit(n)))
+    plan = plan.withColumn("block", (F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long") % F.lit(n)))
     return plan.join(chosen.drop("split"), "block")
 
 

@@ -40,7 +40,7 @@ def drop_reasons(metrics: DataFrame) -> DataFrame:
     )
 
 
-def metric_summary(metrics: DataFrame, accuracy: int = 10_000) -> DataFrame:
+def metric_summary(metrics: DataFrame) -> DataFrame:
     """A3: min, max, mean, median, p95 of each metric over all seen documents."""
     long = metrics.select(
         F.explode(
@@ -52,7 +52,7 @@ def metric_summary(metrics: DataFrame, accuracy: int = 10_000) -> DataFrame:
             )
         ).alias("m")
     ).select("m.metric", "m.value")
-    q = exact_quantiles(long, "metric", "value", [("median", 0.5), ("p95", 0.95)], accuracy)
+    q = exact_quantiles(long, "metric", "value", [("median", 0.5), ("p95", 0.95)])
     return q.select("metric", "min", "max", "mean", "median", "p95")
 
 

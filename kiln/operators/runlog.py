@@ -28,15 +28,18 @@ LOG_SCHEMA = T.StructType(
 
 def read_log(spark: SparkSession, path: str, with_run: bool = True) -> DataFrame:
     """S14 source: JSONL records; ``run`` is the folder holding the file."""
-    df = spark.read.schema(LOG_SCHEMA).json(path)
+    df = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").json(path)
     if with_run:
-        df = df.withColumn("run", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))
+        df = df.withColumn("run", F.regexp_extract(F.col("_metadata.file_path"), r"(?:run=)?([^/]+)/[^/]+$", 1))
     return df
 
 
 def append_log(df: DataFrame, path: str) -> None:
     """S14 sink: append records as JSON lines."""
-    df.write.mode("append").json(path)
+    fields = [f.name for f in LOG_SCHEMA.fields if f.name in df.columns]
+    runs = [c for c in ("run",) if c in df.columns]
+    writer = df.select(*runs, *fields).write.mode("append")
+    (writer.partitionBy("run") if runs else writer).json(path)  # a folder per run
 
 
 def loss_curves(log: DataFrame) -> DataFrame:
@@ -44,15 +47,13 @@ def loss_curves(log: DataFrame) -> DataFrame:
     return log.select(*[c for c in ("run",) if c in log.columns], "step", "train_loss", "val_loss")
 
 
-def running_best(log: DataFrame, run_col: str | None = "run") -> DataFrame:
-    """L2: best validation loss before each evaluation and whether it improved.
+def running_best(log: DataFrame, run_col: str = "run") -> DataFrame:
+    """L2: best validation loss before each evaluation of a run and whether it improved.
 
     Strict improvement over every earlier evaluation, starting from +inf;
-    ``best_val_loss`` includes the current row, as the logger writes it.
+    ``best_so_far`` includes the current row, as the logger writes it.
     """
-    w = Window.orderBy("step")
-    if run_col and run_col in log.columns:
-        w = Window.partitionBy(run_col).orderBy("step")
+    w = Window.partitionBy(run_col).orderBy("step")
     before = F.min("val_loss").over(w.rowsBetween(Window.unboundedPreceding, -1))
     prior = F.coalesce(before, F.lit(float("inf")))
     return log.select(

@@ -26,7 +26,7 @@ def word_vocab(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(word, id)`` over the distinct words, ranked by the word's bytes."""
     distinct = docs.select(F.explode(py_split(text_col)).alias("word")).distinct()
     ranked = with_position(distinct, "word", "rank")
-    return ranked.select("word", (F.col("rank") + N_SPECIAL).cast("int").alias("id"))
+    return ranked.select("word", (F.col("rank") + N_SPECIAL).cast("bigint").alias("id"))
 
 
 def word_ids(docs: DataFrame, vocab: DataFrame, text_col: str = "text", order_col: str = "seq") -> DataFrame:
@@ -42,5 +42,5 @@ def word_ids(docs: DataFrame, vocab: DataFrame, text_col: str = "text", order_co
     return (
         docs.select(order_col)
         .join(per_doc, order_col, "left")
-        .select(order_col, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+        .select(order_col, F.coalesce("ids", F.array().cast("array<bigint>")).alias("ids"))
     )

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from kiln.config import IngestConfig
 from kiln.config import DedupConfig, PackConfig, TokenizerConfig
-from kiln.operators import bpe, dedup, packing, reports, vocab
+from kiln.operators import bpe, dedup, packing, reports, runlog, vocab
 from kiln.operators.ordering import with_prefix_sum
-from kiln.plans.tables import documents, metrics, kept, table
-from kiln.session import cut_lineage
-from kiln.sources import corpus
+from kiln.plans.tables import conformed, documents, kept, metrics, scan_partitions, table
+from kiln.session import stage_table
+from kiln.sources import corpus, sinks
+from kiln.streaming.ingest import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 R = 6  # rounding of doubles in query outputs
@@ -65,10 +66,25 @@ def q_manifest(spark: SparkSession, sf: str) -> DataFrame:
     # Bytes here are the UTF-8 text bytes the query reads; ``manifest`` also
     # takes the on-disk size from ``corpus.directory_size``.
     text_bytes = docs.agg(F.sum(F.octet_length("text")).cast("long")).first()[0]
-    m = corpus.manifest(docs, IngestConfig(shard_size=64), size_bytes=text_bytes)
+    m = corpus.manifest(docs, IngestConfig(shard_size=64), size_bytes=text_bytes, output_dir="shards")
     return m.drop("created_at")
 
 
+def q_format_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """Document lengths scaled so that every unit occurs."""
+    docs = table(spark, sf, "documents").select("doc_id", (F.col("n_chars") * F.pow(F.lit(1024.0), F.col("doc_id") % 6)).alias("n"))
+    return docs.select("doc_id", corpus.format_bytes("n").alias("size"))
+
+
+def q_filtered_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """The filter's result written by the shards of its input, and read again."""
+    out = scratch(spark, "filtered-shards")
+    passed = metrics(spark, sf).where("passed").select("seq", *corpus.DOC_COLUMNS)
+    shards = corpus.with_shards(documents(spark, sf).select("seq"), shard_size=64).select("seq", "shard")
+    corpus.write_shards(passed.join(shards, "seq"), out, shard_size=64)
+    return corpus.scan_shards(spark, out).select("shard", "seq", "doc_id", "token_count")
+
+
 # ---------------------------------------------------------------- filters
 def q_length_filter(spark: SparkSession, sf: str) -> DataFrame:
     return metrics(spark, sf).select("seq", "char_length", F.col("passed_too_short").alias("passed"))
@@ -126,13 +142,18 @@ def q_dropped_examples(spark: SparkSession, sf: str) -> DataFrame:
 DCFG = DedupConfig()
 
 
+def _kept(spark: SparkSession, sf: str) -> DataFrame:
+    """Filtered documents as a written stage: the filter runs once, later reads are pruned."""
+    return stage_table(kept(spark, sf), "filtered")
+
+
 def _firsts(spark: SparkSession, sf: str) -> DataFrame:
-    """Filtered, exact-deduplicated documents, materialised once (a stage boundary)."""
-    return cut_lineage(dedup.exact_dedup(kept(spark, sf)))
+    """Filtered, exact-deduplicated documents as a written stage."""
+    return stage_table(dedup.exact_dedup(_kept(spark, sf)), "firsts")
 
 
 def q_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return _firsts(spark, sf).select("seq", "doc_id")
+    return dedup.exact_dedup(_kept(spark, sf)).select("seq", "doc_id")
 
 
 def q_shingles(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,7 +161,7 @@ def q_shingles(spark: SparkSession, sf: str) -> DataFrame:
     return d.select(
         "seq",
         F.size("h").alias("n_shingles"),
-        F.aggregate("h", F.lit(0).cast("long"), lambda acc, x: acc + x).alias("hash_sum"),
+        F.aggregate("h", F.lit(0).cast("long"), lambda acc, x: acc + x % F.lit(1 << 32)).alias("hash_sum"),
     )
 
 
@@ -160,22 +181,22 @@ def q_verified_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    result, _ = dedup.near_dedup(kept(spark, sf), DCFG)
+    result, _ = dedup.near_dedup(_kept(spark, sf), DCFG)
     return result.select("seq", "doc_id", "kept")
 
 
 def q_verified_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    result, _ = dedup.verified_near_dedup(kept(spark, sf), DCFG)
+    result, _ = dedup.verified_near_dedup(_kept(spark, sf), DCFG)
     return result.select("seq", "doc_id", "kept")
 
 
 def q_dedup_stats(spark: SparkSession, sf: str) -> DataFrame:
-    result, _ = dedup.near_dedup(kept(spark, sf), DCFG)
+    result, _ = dedup.near_dedup(_kept(spark, sf), DCFG)
     return dedup.dedup_stats(result).select("seen", "kept", "removed", "removed_tokens", _r("duplicate_rate"))
 
 
 def q_dup_examples(spark: SparkSession, sf: str) -> DataFrame:
-    result, membership = dedup.near_dedup(kept(spark, sf), DCFG)
+    result, membership = dedup.near_dedup(_kept(spark, sf), DCFG)
     ex = dedup.dup_examples(result, membership)
     return ex.select("seq", "removed_doc", F.array_join("matched_docs", ",").alias("matched_docs"), "cluster_size")
 
@@ -190,9 +211,9 @@ def _ints(c: str) -> F.Column:
 
 
 def _word_docs(spark: SparkSession, sf: str) -> DataFrame:
-    """Exact-deduplicated kept documents with word-level ids."""
+    """Exact-deduplicated kept documents with word-level ids, as a written stage."""
     firsts = _firsts(spark, sf).select("seq", "text")
-    return vocab.word_ids(firsts, vocab.word_vocab(firsts))
+    return stage_table(vocab.word_ids(firsts, vocab.word_vocab(firsts)), "word-ids")
 
 
 def _blocks(spark: SparkSession, sf: str) -> DataFrame:
@@ -206,6 +227,16 @@ def q_prefix_sum(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("seq", "n", "cum_before")
 
 
+REPORT_DOUBLES = ("utilization_percent", "pad_percentage", "avg_tokens_per_doc", "avg_tokens_per_block")
+
+
+def q_packed_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Packed blocks written by split in several files, read back with the length check."""
+    out = scratch(spark, "packed")
+    sinks.write_packed(_blocks(spark, sf), out, files=4)
+    return sinks.read_packed(spark, out).select("split", "block", "n_real", F.size("input_ids").alias("n_ids"))
+
+
 def q_packed_blocks(spark: SparkSession, sf: str) -> DataFrame:
     b = _blocks(spark, sf)
     return b.select("split", "block", "n_real", _ints("input_ids"), _ints("labels"), _ints("loss_mask"))
@@ -214,9 +245,9 @@ def q_packed_blocks(spark: SparkSession, sf: str) -> DataFrame:
 def q_packing_report(spark: SparkSession, sf: str) -> DataFrame:
     docs = _word_docs(spark, sf)
     blocks, _, _ = packing.pack_blocks(docs, PCFG)
-    rep = packing.packing_report(docs, blocks, PCFG)
-    doubles = ("utilization_percent", "pad_percentage", "avg_tokens_per_doc", "avg_tokens_per_block")
-    return rep.select(*[_r(c) if c in doubles else c for c in rep.columns if c != "vocab_size"])
+    size = vocab.N_SPECIAL + docs.select(F.explode("ids").alias("id")).agg(F.countDistinct("id")).first()[0]
+    rep = packing.packing_report(docs.count(), blocks, PCFG, vocab_size=size)
+    return rep.select(*[_r(c) if c in REPORT_DOUBLES else c for c in rep.columns])
 
 
 def _plan(spark: SparkSession, sf: str) -> DataFrame:
@@ -234,80 +265,75 @@ def q_batch_contract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- tokenizer
+#: The queries train this many tokens; ``TokenizerConfig`` defaults to 16,000 (README, "Known limits").
 TCFG = TokenizerConfig(vocab_size=512)
-_MODELS: dict[tuple[str, int], bpe.BPEModel] = {}
+SHARD = 64
 
 
-def _bpe_docs(spark: SparkSession, sf: str) -> DataFrame:
-    return _firsts(spark, sf).select("seq", "text")
-
-
-def _model(spark: SparkSession, sf: str) -> bpe.BPEModel:
-    """Trained once per input folder and size (the model is bounded by the vocabulary)."""
-    key = (sf, TCFG.vocab_size)
-    if key not in _MODELS:
-        _MODELS[key] = bpe.train_bpe(_bpe_docs(spark, sf), TCFG)
-    return _MODELS[key]
+def _split_docs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(train, held-out) documents by whole shards, one written stage for both sides."""
+    split = bpe.heldout_split(_firsts(spark, sf).select("seq", "text"), shard_size=SHARD, heldout=TCFG.heldout_split)
+    split = stage_table(split.select("seq", "text", "heldout"), "tokenizer-split")
+    return split.where("not heldout").select("seq", "text"), split.where("heldout").select("seq", "text")
 
 
 def q_heldout_split(spark: SparkSession, sf: str) -> DataFrame:
-    out = bpe.heldout_split(documents(spark, sf).select("seq"), shard_size=64, heldout=TCFG.heldout_split)
+    out = bpe.heldout_split(documents(spark, sf).select("seq"), shard_size=SHARD, heldout=TCFG.heldout_split)
     return out.select("seq", "shard", "heldout")
 
 
 def q_pretoken_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return bpe.pretoken_counts(_bpe_docs(spark, sf))
+    return bpe.pretoken_counts(_firsts(spark, sf).select("seq", "text"))
 
 
 def q_bpe_vocab(spark: SparkSession, sf: str) -> DataFrame:
-    return _model(spark, sf).vocab_frame(spark).select("id", "token")
+    return bpe.train_bpe(_split_docs(spark, sf)[0], TCFG).vocab_frame(spark).select("id", "token")
 
 
 def q_bpe_merges(spark: SparkSession, sf: str) -> DataFrame:
-    return _model(spark, sf).merges_frame(spark)
+    return bpe.train_bpe(_split_docs(spark, sf)[0], TCFG).merges_frame(spark)
 
 
 def q_bpe_encode(spark: SparkSession, sf: str) -> DataFrame:
-    enc = bpe.encode_documents(_bpe_docs(spark, sf), _model(spark, sf))
+    train, held = _split_docs(spark, sf)
+    enc = bpe.encode_documents(train.unionByName(held), bpe.train_bpe(train, TCFG))
     return enc.select("seq", F.size("ids").alias("n_tokens"), _ints("ids"))
 
 
 def q_bpe_decode(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _bpe_docs(spark, sf)
-    model = _model(spark, sf)
-    dec = bpe.decode_documents(bpe.encode_documents(docs, model), model).withColumnRenamed("text", "decoded")
-    out = docs.join(dec, "seq")
-    return out.select("seq", (F.col("decoded") == bpe.with_prefix_space("text")).alias("roundtrip"))
+    train, held = _split_docs(spark, sf)
+    model = bpe.train_bpe(train, TCFG)
+    return bpe.decode_documents(bpe.encode_documents(train.unionByName(held), model), model)
 
 
 def q_bpe_contract(spark: SparkSession, sf: str) -> DataFrame:
-    model = _model(spark, sf)
-    checks = bpe.vocab_checks(model)
-    vocab_df = model.vocab_frame(spark)
-    return vocab_df.agg(
-        F.count("*").alias("vocab_size"),
-        F.max("id").alias("max_id"),
-        F.count_if(F.col("id") < len(model.specials)).alias("specials"),
-        F.lit(all(checks.values())).alias("contract_ok"),
-    )
-
-
-def _fertility_rows(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _bpe_docs(spark, sf)
-    split = bpe.heldout_split(docs, shard_size=64, heldout=TCFG.heldout_split)
-    held = split.where("heldout").select("seq", "text")
-    return bpe.fertility_rows(held, bpe.token_counts(held, _model(spark, sf)))
+    train, held = _split_docs(spark, sf)
+    model = bpe.train_bpe(train, TCFG)
+    encoded = bpe.encode_documents(train.unionByName(held), model)
+    return bpe.contract(model.vocab_frame(spark), model.merges_frame(spark), encoded, TCFG)
 
 
 def q_fertility(spark: SparkSession, sf: str) -> DataFrame:
-    f = bpe.fertility(_fertility_rows(spark, sf))
+    train, held = _split_docs(spark, sf)
+    f = bpe.fertility(bpe.fertility_rows(held, bpe.token_counts(held, bpe.train_bpe(train, TCFG))))
     return f.select("ratio", _r("mean"), _r("median"), _r("p90"), "documents", "total_tokens", "total_words",
                     "total_characters")
 
 
 def q_worst_fertility(spark: SparkSession, sf: str) -> DataFrame:
-    w = bpe.worst_fertility(_fertility_rows(spark, sf))
-    return w.select("seq", "tokens", "words", "chars", _r("tokens_per_word"), _r("tokens_per_char"))
+    train, held = _split_docs(spark, sf)
+    model = bpe.train_bpe(train, TCFG)
+    w = bpe.worst_fertility(bpe.fertility_rows(held, bpe.token_counts(held, model)), held, model)
+    return w.select("seq", "tokens", "words", "chars", _r("tokens_per_word"), _r("tokens_per_char"), "text", "decoded",
+                    F.array_join("token_strings", " ").alias("token_strings"), _ints("ids"))
+
+
+def q_packed_blocks_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents encoded by the trained tokenizer, packed."""
+    train, held = _split_docs(spark, sf)
+    encoded = stage_table(bpe.encode_documents(train.unionByName(held), bpe.train_bpe(train, TCFG)), "bpe-ids")
+    blocks, _, _ = packing.pack_blocks(encoded, PCFG)
+    return blocks.select("split", "block", "n_real", F.array_max("input_ids").alias("max_id"), _ints("input_ids"))
 
 
 def q_nfc_normalize(spark: SparkSession, sf: str) -> DataFrame:
@@ -320,39 +346,99 @@ def _doc_stream(spark: SparkSession, sf: str) -> DataFrame:
     from kiln.streaming.ingest import document_stream
 
     schema = table(spark, sf, "documents").schema
-    return document_stream(
-        spark, sf, schema, glob="documents.parquet", spread_to=spark.sparkContext.defaultParallelism
-    )
+    return conformed(document_stream(spark, sf, schema, glob="documents.parquet", spread_to=scan_partitions(spark)))
 
 
 def q_stream_filter(spark: SparkSession, sf: str) -> DataFrame:
-    from kiln.streaming.ingest import run_to_end, scratch, start_filter
+    from kiln.streaming.ingest import run_to_end, start_filter
 
     out, ck = scratch(spark, "stream-filter"), scratch(spark, "stream-filter-ckpt")
     run_to_end(start_filter(_doc_stream(spark, sf), out, ck))
-    return spark.read.parquet(out).select("seq", "doc_id", "token_count", "text")
+    return spark.read.parquet(out)
 
 
 def q_stream_totals(spark: SparkSession, sf: str) -> DataFrame:
-    from kiln.streaming.ingest import run_to_end, scratch, start_totals
+    from kiln.streaming.ingest import run_to_end, start_totals, totals
+
+    out = scratch(spark, "stream-totals")
+    run_to_end(start_totals(_doc_stream(spark, sf), out, scratch(spark, "stream-totals-ckpt")))
+    return totals(spark, out)
+
 
-    name = "stream_totals_" + scratch(spark, "t").rsplit("-", 1)[1]
-    run_to_end(start_totals(_doc_stream(spark, sf), name, scratch(spark, "stream-totals-ckpt")))
-    return spark.table(name)
+BATCHES = 3
+
+
+def _arrivals(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """The documents as files that arrive in corpus order, one per range of doc_id."""
+    raw = table(spark, sf, "documents")
+    src = scratch(spark, "arrivals")
+    low, high = raw.agg(F.min("doc_id"), F.max("doc_id")).first()
+    step = ((high or 0) - (low or 0)) // BATCHES + 1
+    for i in range(BATCHES):
+        part = raw.where((F.col("doc_id") >= (low or 0) + i * step) & (F.col("doc_id") < (low or 0) + (i + 1) * step))
+        part.coalesce(1).write.mode("append").parquet(src)
+    return src, raw
 
 
 def q_stream_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     from kiln.operators.filters import quality_filter
-    from kiln.sources.corpus import conform
     from kiln.streaming.dedup import start_near_dedup
-    from kiln.streaming.ingest import run_to_end, scratch
+    from kiln.streaming.ingest import document_stream, run_to_end
 
-    kept_stream = quality_filter(conform(_doc_stream(spark, sf)))
+    src, raw = _arrivals(spark, sf)
+    stream = document_stream(spark, src, raw.schema, max_files_per_trigger=1, spread_to=scan_partitions(spark))
     out, index = scratch(spark, "stream-dedup"), scratch(spark, "stream-dedup-index")
-    run_to_end(start_near_dedup(kept_stream, out, index, scratch(spark, "stream-dedup-ckpt"), DCFG))
+    run_to_end(start_near_dedup(quality_filter(conformed(stream)), out, index, scratch(spark, "stream-dedup-ckpt"), DCFG))
     return spark.read.parquet(out).select("seq", "doc_id")
 
 
+# ---------------------------------------------------------------- run logs, reports
+def _log(spark: SparkSession, sf: str) -> DataFrame:
+    """A run log from ``events``: a run per user, a record per event."""
+    return table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("run"),
+        F.col("event_id").alias("step"),
+        (F.col("value") + 1).alias("train_loss"),
+        F.col("value").alias("val_loss"),
+    )
+
+
+def _read_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The log appended as JSON lines, a folder per run, and read again."""
+    out = scratch(spark, "run-log")
+    runlog.append_log(_log(spark, sf).withColumn("run", F.pmod(F.col("run").cast("long"), F.lit(20)).cast("string")), out)
+    return runlog.read_log(spark, out)
+
+
+def q_run_log(spark: SparkSession, sf: str) -> DataFrame:
+    return _read_log(spark, sf).select("run", "step", _r("train_loss"), _r("val_loss"))
+
+
+def q_loss_curves(spark: SparkSession, sf: str) -> DataFrame:
+    return runlog.loss_curves(_log(spark, sf)).select("run", "step", _r("train_loss"), _r("val_loss"))
+
+
+def q_run_best(spark: SparkSession, sf: str) -> DataFrame:
+    return runlog.running_best(_log(spark, sf)).select("run", "step", "improved", _r("best_so_far"))
+
+
+def q_run_throughput(spark: SparkSession, sf: str) -> DataFrame:
+    timed = _log(spark, sf).withColumn("step_time", 1 + F.col("step") % 7)
+    out = runlog.throughput(timed, runlog.tokens_per_step(BATCH, PCFG.block_size, 4))
+    return out.select("run", "step", _r("tokens_per_second"))
+
+
+def q_eval_steps(spark: SparkSession, sf: str) -> DataFrame:
+    return runlog.eval_steps(_log(spark, sf), 100).select("run", "step", _r("val_loss"))
+
+
+def q_json_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The drop-reason report written as JSON and read again."""
+    out = scratch(spark, "report")
+    sinks.write_report(reports.drop_reasons(metrics(spark, sf)), out)
+    return spark.read.schema("reason string, documents bigint").json(out)
+
+
 QUERIES: dict[str, Query] = {
     "conform_documents": q_conform_documents,
     "assign_doc_id": q_assign_doc_id,
@@ -360,6 +446,8 @@ QUERIES: dict[str, Query] = {
     "take_budget_docs": q_take_budget_docs,
     "shard_counts": q_shard_counts,
     "manifest": q_manifest,
+    "format_bytes": q_format_bytes,
+    "filtered_shards": q_filtered_shards,
     "length_filter": q_length_filter,
     "symbol_ratio": q_symbol_ratio,
     "repeated_chars": q_repeated_chars,
@@ -382,6 +470,8 @@ QUERIES: dict[str, Query] = {
     "dup_examples": q_dup_examples,
     "prefix_sum": q_prefix_sum,
     "packed_blocks": q_packed_blocks,
+    "packed_sink": q_packed_sink,
+    "packed_blocks_bpe": q_packed_blocks_bpe,
     "packing_report": q_packing_report,
     "batch_plan": q_batch_plan,
     "batch_contract": q_batch_contract,
@@ -398,4 +488,10 @@ QUERIES: dict[str, Query] = {
     "stream_filter": q_stream_filter,
     "stream_totals": q_stream_totals,
     "stream_near_dedup": q_stream_near_dedup,
+    "run_log": q_run_log,
+    "loss_curves": q_loss_curves,
+    "run_best": q_run_best,
+    "run_throughput": q_run_throughput,
+    "eval_steps": q_eval_steps,
+    "json_report": q_json_report,
 }

@@ -8,7 +8,10 @@ character run is computed by gaps and islands over code points.
 
 from __future__ import annotations
 
-from kiln.config import FilterConfig
+import dataclasses
+import json
+
+from kiln.config import FilterConfig, IngestConfig
 from kiln.functions.text import LINE_BREAK, PUNCTUATION, WS_CLASS
 
 CFG = FilterConfig()
@@ -136,7 +139,9 @@ SELECT 'documents' AS dataset, 'train' AS split, true AS streaming, count(*) AS
             WHEN sum(strlen(text)) < 1048576 THEN printf('%.2f KB', sum(strlen(text)) / 1024.0)
             WHEN sum(strlen(text)) < 1073741824 THEN printf('%.2f MB', sum(strlen(text)) / 1048576.0)
             ELSE printf('%.2f GB', sum(strlen(text)) / 1073741824.0) END AS size,
-       64 AS shard_size, 1 AS schema_version
+       64 AS shard_size, 1 AS schema_version, """
+        + lit(json.dumps(dataclasses.asdict(IngestConfig(shard_size=64)), sort_keys=True))
+        + """ AS config, 'shards' AS output_dir
 FROM sh""",
     ),
     "length_filter": with_(METRICS, "SELECT seq, char_length, p_len AS passed FROM m"),
@@ -187,7 +192,7 @@ FROM m WHERE NOT passed ORDER BY seq LIMIT 20""",
 # ---------------------------------------------------------------- dedup
 def _dedup_sql() -> dict[str, str]:
     from kiln.config import DedupConfig
-    from kiln.operators.dedup import MERSENNE_LIKE_PRIME, permutations
+    from kiln.operators.dedup import LANE, MERSENNE_LIKE_PRIME, permutations, position_factors
 
     d = DedupConfig()
     k = d.shingle_size
@@ -195,24 +200,38 @@ def _dedup_sql() -> dict[str, str]:
     perms = ", ".join(f"({i}, {int(x)}, {int(y)})" for i, (x, y) in enumerate(zip(a, b)))
     words = f"list_filter(regexp_split_to_array(lower(text), {lit(WS_CLASS + '+')}), lambda x: x <> '')"
 
+    (f1, f2), lane = position_factors(k), LANE
+
+    def lane_sum(column: str, factors: list[int]) -> str:
+        return "(" + " + ".join(f"coalesce({column}[i + {j + 1}], 0) * {f}" for j, f in enumerate(factors)) + f") % {lane}"
+
     def hashes(src: str) -> str:
         return f"""
 sw AS (SELECT seq, {words} AS w FROM {src}),
-sh AS (
+lanes AS (
+  SELECT seq, len(w) AS n, list_transform(w, lambda x: ('0x' || substring(md5(x), 1, 7))::BIGINT) AS a,
+         list_transform(w, lambda x: ('0x' || substring(md5(x), 8, 7))::BIGINT) AS b FROM sw
+),
+hs AS (
+  SELECT seq, list_distinct(list_transform(range(0, greatest(1, n - {k - 1})),
+           lambda i: ({lane_sum('a', f1)}) * 2147483648 + {lane_sum('b', f2)})) AS hs
+  FROM lanes
+)"""
+
+    def strings(src: str) -> str:
+        return f"""
+sw AS (SELECT seq, {words} AS w FROM {src}),
+hs AS (
   SELECT seq, CASE WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
                    ELSE list_distinct(list_transform(range(0, len(w) - {k - 1}),
-                                      lambda i: array_to_string(w[i + 1:i + {k}], ' '))) END AS shingles
+                                      lambda i: array_to_string(w[i + 1:i + {k}], ' '))) END AS hs
   FROM sw
-),
-hs AS (
-  SELECT seq, list_distinct(list_transform(shingles, lambda s: ('0x' || substring(md5(s), 1, 8))::BIGINT)) AS hs
-  FROM sh
 )"""
 
     def signatures(src: str) -> str:
         return hashes(src) + f""",
 perms(p, a, b) AS (VALUES {perms}),
-hrow AS (SELECT seq, unnest(hs) AS h FROM hs),
+hrow AS (SELECT seq, unnest(hs) % 4294967296 AS h FROM hs),
 sig AS (SELECT seq, p, min((a * h + b) % {MERSENNE_LIKE_PRIME}) AS v FROM hrow, perms GROUP BY seq, p),
 bands AS (
   SELECT seq, p // {d.rows} AS band,
@@ -239,7 +258,7 @@ result AS (
   FROM kept k JOIN reps r ON r.seq = k.seq LEFT JOIN walk w ON w.seq = k.seq
 )"""
     near = KEPT + firsts + "," + signatures("firsts") + walk
-    verified = KEPT + firsts + "," + hashes("firsts") + f""",
+    verified = KEPT + firsts + "," + strings("firsts") + f""",
 hrow AS (SELECT seq, unnest(hs) AS h FROM hs),
 nsz AS (SELECT seq, len(hs) AS n FROM hs),
 inter AS (SELECT a.seq AS lo, b.seq AS hi, count(*) AS i FROM hrow a JOIN hrow b ON a.h = b.h AND a.seq < b.seq
@@ -265,7 +284,7 @@ walk AS (
         "exact_dedup": with_(KEPT, "SELECT min(seq) AS seq, arg_min(doc_id, seq) AS doc_id FROM kept GROUP BY text"),
         "shingles": with_(
             DOCS + "," + hashes("docs"),
-            "SELECT seq, len(hs) AS n_shingles, list_sum(hs)::BIGINT AS hash_sum FROM hs",
+            "SELECT seq, len(hs) AS n_shingles, list_sum(list_transform(hs, lambda x: x % 4294967296))::BIGINT AS hash_sum FROM hs",
         ),
         "minhash": with_(
             DOCS + "," + signatures("docs"),
@@ -324,7 +343,7 @@ firsts AS (SELECT k.* FROM kept k JOIN reps r ON r.seq = k.seq WHERE r.rep = k.s
     blocks = KEPT + firsts + f""",
 wl AS (SELECT seq, {WORDS} AS w FROM firsts),
 words AS (SELECT seq, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM wl),
-vocab AS (SELECT word, CAST(3 + dense_rank() OVER (ORDER BY word) AS INTEGER) AS id
+vocab AS (SELECT word, CAST(3 + dense_rank() OVER (ORDER BY word) AS BIGINT) AS id
           FROM (SELECT DISTINCT word FROM words)),
 toks AS (
   SELECT w.seq, w.pos, v.id FROM words w JOIN vocab v ON v.word = w.word
@@ -351,7 +370,7 @@ blocks AS (
 nb AS (SELECT count(*) AS n FROM blocks WHERE split = 'train'),
 plan AS (
   SELECT r // 8 AS step, CAST(r % 8 AS INTEGER) AS slot,
-         ('0x' || substring(md5(concat_ws(':', '0', (r // 8)::VARCHAR, (r % 8)::VARCHAR)), 1, 8))::BIGINT % nb.n
+         ('0x' || substring(md5(concat_ws(':', '0', (r // 8)::VARCHAR, (r % 8)::VARCHAR)), 1, 15))::BIGINT % nb.n
            AS block
   FROM range(400) t(r), nb
 ),
@@ -381,12 +400,12 @@ b AS (
          CAST(coalesce(sum(""" + str(s) + """ - n_real), 0) AS BIGINT) AS pad_tokens
   FROM blocks
 ),
-d AS (SELECT count(*) AS documents FROM firsts)""",
+d AS (SELECT (SELECT count(*) FROM firsts) AS documents, (SELECT CAST(count(*) + 4 AS INTEGER) FROM vocab) AS vocab_size)""",
             f"""
 SELECT d.documents, train_tokens + val_tokens AS tokens, d.documents AS eos_count, {s} AS block_size,
        train_blocks, val_blocks, train_tokens, val_tokens, pad_tokens,
        round(100.0 * (train_tokens + val_tokens) / ((train_blocks + val_blocks) * {s}), 6) AS utilization_percent,
-       {c.eos_id} AS eos_token_id, {c.pad_id} AS pad_token_id, {c.bos_id} AS bos_token_id,
+       vocab_size, {c.eos_id} AS eos_token_id, {c.pad_id} AS pad_token_id, {c.bos_id} AS bos_token_id,
        {c.train_split}::DOUBLE AS train_split,
        round(100.0 * pad_tokens / ((train_blocks + val_blocks) * {s}), 6) AS pad_percentage,
        round((train_tokens + val_tokens) / d.documents::DOUBLE, 6) AS avg_tokens_per_doc,
@@ -422,7 +441,7 @@ SELECT seq, shard, shard >= CAST(floor(n * (1 - 0.1)) AS INTEGER) AS heldout FRO
 )
 
 
-SQL["stream_filter"] = SQL["quality_filter"]
+SQL["stream_filter"] = with_(KEPT, "SELECT * FROM kept")
 SQL["stream_totals"] = with_(
     METRICS,
     """
@@ -433,3 +452,63 @@ FROM m""",
 SQL["stream_near_dedup"] = SQL["near_dedup"].replace(
     "SELECT seq, doc_id, kept FROM result", "SELECT seq, doc_id FROM result WHERE kept"
 )
+
+
+def _tokenizer_sql() -> dict[str, str]:
+    """Pretokens and the decoded texts; learning merges has no plain SQL form."""
+    from kiln.operators.bpe import BPE_WS
+
+    ws, word = BPE_WS, r"\p{L}\p{N}"
+    # RE2 has no lookahead. A run of separators before a non-separator leaves its last one to what follows
+    # (as part of it if it is a space, else alone), so runs are cut there first with a mark that no text holds.
+    mark = "\ue000"
+    cut = f"regexp_replace(t, {lit(f'([{ws}])([^{ws}])')}, {lit(mark + chr(92) + '1' + chr(92) + '2')}, 'g')"
+    pattern = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{ws}{word}]+|[{ws}]+"
+    firsts = KEPT + """,
+firsts AS (SELECT min(seq) AS seq, text FROM kept GROUP BY text),
+spaced AS (SELECT seq, CASE WHEN text = '' OR text LIKE ' %' THEN text ELSE ' ' || text END AS t FROM firsts)"""
+    return {
+        "pretoken_counts": with_(
+            firsts
+            + f""",
+pieces AS (SELECT unnest(string_split({cut}, {lit(mark)})) AS p FROM spaced),
+words AS (SELECT unnest(regexp_extract_all(p, {lit(pattern)})) AS word FROM pieces)""",
+            "SELECT word, count(*) AS cnt FROM words WHERE word <> '' GROUP BY word",
+        ),
+        "bpe_decode": with_(firsts, "SELECT seq, t AS text FROM spaced"),
+    }
+
+
+SQL.update(_tokenizer_sql())
+
+
+def _log_sql() -> dict[str, str]:
+    log = """
+WITH log AS (
+  SELECT CAST(user_id AS VARCHAR) AS run, event_id AS step, value + 1 AS train_loss, value AS val_loss FROM events
+)"""
+    return {
+        "run_log": log + " SELECT CAST(CAST(run AS BIGINT) % 20 AS VARCHAR) AS run, step, round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss FROM log",
+        "loss_curves": log + " SELECT run, step, round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss FROM log",
+        "run_best": log
+        + """,
+w AS (SELECT *, min(val_loss) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM log)
+SELECT run, step, coalesce(val_loss < b, true) AS improved, round(least(val_loss, coalesce(b, val_loss)), 6) AS best_so_far FROM w""",
+        "run_throughput": log + " SELECT run, step, round(32768.0::DOUBLE / (1 + step % 7), 6) AS tokens_per_second FROM log",
+        "eval_steps": log + " SELECT run, step, round(val_loss, 6) AS val_loss FROM log WHERE step % 100 = 0",
+    }
+
+
+SQL.update(_log_sql())
+SQL["json_report"] = SQL["drop_reasons"]
+SQL["packed_sink"] = SQL["packed_blocks"].split("\nSELECT split, block, n_real, array_to_string")[0] + "\nSELECT split, block, n_real, len(input_ids) AS n_ids FROM blocks"
+SQL["filtered_shards"] = with_(
+    METRICS + "," + _shard_positions(64), "SELECT sh.shard, sh.seq, sh.doc_id, sh.token_count FROM sh JOIN m ON m.seq = sh.seq WHERE m.passed"
+)
+_N = "n_chars * pow(1024.0, doc_id % 6)"
+_UNITS = ["B", "KB", "MB", "GB", "TB"]
+SQL["format_bytes"] = (
+    "SELECT doc_id, CASE "
+    + " ".join(f"WHEN {_N} < {1024 ** (i + 1)} THEN printf('%.2f {u}', {_N} / {1024**i}::DOUBLE)" for i, u in enumerate(_UNITS))
+    + f" ELSE printf('%.2f PB', {_N} / {1024**5}::DOUBLE) END AS size FROM documents"
+)

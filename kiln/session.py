@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", os.environ.get("KILN_DRIVER_MEMORY", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.kiln.scanPartitions", str(shuffle_partitions))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -59,6 +61,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_table(df: DataFrame, what: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it again.
+
+    For stage boundaries that hold texts: columnar, pruned by what reads it,
+    and the lineage ends there.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def adaptive_off(spark: SparkSession):
     """Plan without AQE inside a loop of many tiny jobs (restores the setting).

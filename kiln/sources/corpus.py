@@ -6,7 +6,9 @@ that needs "first", "prefix" or "running" reads it instead of row order.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql import types as T
 
 from kiln.config import IngestConfig
 from kiln.functions.text import word_count
-from kiln.operators.ordering import prefix_sums, with_position
+from kiln.operators.ordering import prefix_totals, with_position
 
 # The ten-column document schema, in order.
 DOC_SCHEMA = T.StructType(
@@ -34,10 +36,6 @@ DOC_SCHEMA = T.StructType(
 )
 DOC_COLUMNS = tuple(f.name for f in DOC_SCHEMA.fields)
 
-# How the test tables' columns map onto the document schema.
-TEST_RENAMES = {"lang": "language", "source": "dump"}
-
-
 def read_corpus(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read Parquet documents (a folder of shards or one file)."""
     reader = spark.read
@@ -46,32 +44,28 @@ def read_corpus(spark: SparkSession, path: str, schema: T.StructType | None = No
     return reader.parquet(path)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster when it has fewer splits than cores.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal the rows over ``partitions`` tasks; ``None`` leaves the scan as it is.
 
-    A file with one row group is one scan task, which would run all the
-    per-document text work on one core.  Large inputs already have many
-    splits and pass through unchanged (no extra shuffle).
+    For sources of few, large files: one row group is one scan task.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(partitions) if partitions else df
 
 
 def conform(
     df: DataFrame,
-    renames: Mapping[str, str] = TEST_RENAMES,
+    seq: Column | str = "seq",
+    renames: Mapping[str, str] | None = None,
     token_count: Column | None = None,
-    order_col: str = "doc_id",
 ) -> DataFrame:
     """The ten-column schema plus ``seq``.
 
     Renamed and cast source columns fill the schema, missing ones are
     typed nulls, extra ones are dropped.  ``seq`` is the unique corpus-order
-    key (the source ``order_col``).  ``token_count`` defaults to the
-    whitespace word count when the source has none.
+    key, a long; ``doc_id`` may be any string.  ``token_count`` defaults to
+    the whitespace word count when the source has none.
     """
+    renames = renames or {}
     src = {renames.get(c, c): F.col(c) for c in df.columns}
     cols = []
     for f in DOC_SCHEMA.fields:
@@ -84,7 +78,8 @@ def conform(
         else:
             expr = F.lit(None)
         cols.append(expr.cast(f.dataType).alias(f.name))
-    return df.select(F.col(order_col).cast("long").alias("seq"), *cols)
+    key = F.col(seq) if isinstance(seq, str) else seq
+    return df.select(key.cast("long").alias("seq"), *cols)
 
 
 def assign_doc_id(df: DataFrame, prefix: str = "doc", order_col: str = "seq") -> DataFrame:
@@ -113,17 +108,13 @@ def take_budget(
     The document that crosses the token target is kept (the reference tests
     after appending); with both targets the first one reached stops.
     """
-    sums, _ = prefix_sums(df.select(order_col, token_col), order_col, token_col)
-    cnt, _ = prefix_sums(df.select(order_col), order_col, None)
-    sums = sums.withColumnRenamed("cum_before", "_tok_before")
-    cnt = cnt.withColumnRenamed("cum_before", "_docs_before")
-    out = df.join(sums, order_col).join(cnt, order_col)
+    before, _ = prefix_totals(df, [order_col], {"_tok_before": F.col(token_col), "_docs_before": F.lit(1)})
     cond = F.lit(True)
     if target_tokens is not None:
         cond = cond & (F.col("_tok_before") < F.lit(target_tokens))
     if target_docs is not None:
         cond = cond & (F.col("_docs_before") < F.lit(target_docs))
-    return out.where(cond).drop("_tok_before", "_docs_before")
+    return df.join(before.where(cond).select(order_col), order_col, "left_semi")
 
 
 def shard_of(position: Column | str, shard_size: int) -> Column:
@@ -166,11 +157,11 @@ def format_bytes(n: Column | str) -> Column:
     units = ["B", "KB", "MB", "GB", "TB"]
     expr = None
     for i, unit in enumerate(units):
-        scaled = x / F.lit(float(1024**i))
+        scaled = F.bround(x / F.lit(float(1024**i)), 2)  # a tie goes to the even digit
         branch = F.format_string(f"%.2f {unit}", scaled)
         cond = x < F.lit(float(1024 ** (i + 1)))
         expr = F.when(cond, branch) if expr is None else expr.when(cond, branch)
-    return expr.otherwise(F.format_string("%.2f PB", x / F.lit(float(1024**5))))
+    return expr.otherwise(F.format_string("%.2f PB", F.bround(x / F.lit(float(1024**5)), 2)))
 
 
 def manifest(
@@ -180,8 +171,9 @@ def manifest(
     dataset: str = "documents",
     split: str = "train",
     token_col: str = "token_count",
+    output_dir: str | None = None,
 ) -> DataFrame:
-    """One-row manifest (documents, tokens, shards, targets, size...)."""
+    """One-row manifest (documents, tokens, shards, targets, size, settings, place)."""
     agg = docs.agg(
         F.count("*").alias("documents"),
         F.coalesce(F.sum(token_col), F.lit(0)).cast("long").alias("tokens"),
@@ -201,6 +193,8 @@ def manifest(
         format_bytes(b).alias("size"),
         F.lit(cfg.shard_size).alias("shard_size"),
         F.lit(cfg.schema_version).alias("schema_version"),
+        F.lit(json.dumps(dataclasses.asdict(cfg), sort_keys=True)).alias("config"),
+        F.lit(output_dir).cast("string").alias("output_dir"),
         F.lit(_dt.datetime.now(_dt.timezone.utc).isoformat().replace("+00:00", "Z")).alias("created_at"),
     )
 

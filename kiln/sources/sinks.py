@@ -11,9 +11,11 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_packed(blocks: DataFrame, path: str) -> None:
-    """Packed blocks as Parquet, one folder per split."""
-    blocks.repartition("split").sortWithinPartitions("block").write.mode("overwrite").partitionBy("split").parquet(path)
+def write_packed(blocks: DataFrame, path: str, files: int | None = None) -> None:
+    """Packed blocks as Parquet, one folder per split, each cut into files by block range."""
+    keys = ["split", "block"]
+    ranged = blocks.repartitionByRange(files, *keys) if files else blocks.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def read_packed(spark: SparkSession, path: str, split: str | None = None, check: bool = True) -> DataFrame:

@@ -1,45 +1,56 @@
 """Keep-first near-dedup across micro-batches.
 
-The index of kept band buckets lives in Parquet partitioned by band.  Each
-micro-batch (documents arrive in corpus order) is handled in
-``foreachBatch``: documents sharing a bucket with the index are removed,
-keep-first (D4) runs on the rest, and the batch's kept documents and
-buckets are written under ``batch_id=<n>`` with dynamic partition
-overwrite, so a replayed batch rewrites the same files (idempotent).
+The index of kept band buckets lives in Parquet partitioned by batch and
+band.  Each micro-batch (documents arrive in corpus order) is handled in
+``foreachBatch``: documents that share a bucket with an earlier batch's kept
+document are removed, keep-first (D4) runs on the rest, and the batch's kept
+documents and buckets are written under ``batch_id=<n>`` with dynamic
+partition overwrite.  A batch reads the index of earlier batches only, so a
+batch replayed after a crash at any point decides the same and rewrites the
+same partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kiln.config import DedupConfig
 from kiln.operators.dedup import keep_first, lsh_membership
+from kiln.streaming.ingest import write_batch
 
 
-def dedup_batch(batch: DataFrame, index_dir: str, cfg: DedupConfig, order_col: str = "seq"):
-    """``(kept documents, their buckets)`` of one batch against the index."""
-    spark = batch.sparkSession
+def dedup_batch(batch: DataFrame, index: DataFrame, cfg: DedupConfig, order_col: str = "seq"):
+    """``(kept documents, their buckets)`` of one batch against the ``index`` of earlier ones."""
     first_seqs, membership = lsh_membership(batch, cfg, "text", order_col)
-    try:
-        index = spark.read.parquet(index_dir).select("bucket")
-    except AnalysisException:  # no index before the first batch
-        index = None
-    if index is not None:
-        hit = membership.join(index, "bucket", "left_semi").select(order_col).distinct()
-        live = membership.join(hit, order_col, "left_anti")
-    else:
-        hit = spark.createDataFrame([], membership.select(order_col).schema)
-        live = membership
-    removed = keep_first(live, order_col, cfg.max_rounds).unionByName(hit)
+    hit = membership.join(index.select("bucket"), "bucket", "left_semi").select(order_col).distinct()
+    live = membership.join(hit, order_col, "left_anti")
+    removed = keep_first(live, order_col).unionByName(hit)
     kept_seq = first_seqs.join(removed, order_col, "left_anti")
     kept_docs = batch.join(kept_seq, order_col, "left_semi")
     kept_buckets = membership.join(kept_seq, order_col, "left_semi").select("band", "bucket")
     return kept_docs, kept_buckets
 
 
+INDEX_SCHEMA = T.StructType(
+    [
+        T.StructField(
+            "bucket",
+            T.StructType([T.StructField("band", T.IntegerType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.IntegerType())]),
+        ),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("band", T.IntegerType()),
+    ]
+)
+
+
+def earlier(spark, index_dir: str, batch_id: int) -> DataFrame:
+    """The buckets of batches before ``batch_id`` (partition pruning; a damaged index is an error)."""
+    return spark.read.schema(INDEX_SCHEMA).parquet(index_dir).where(F.col("batch_id") < batch_id)
+
+
 def start_near_dedup(
     stream: DataFrame,
     out_dir: str,
@@ -47,17 +58,14 @@ def start_near_dedup(
     ckpt: str,
     cfg: DedupConfig = DedupConfig(),
 ) -> StreamingQuery:
+    # The index exists from the start, so that a missing one later is an error.
+    stream.sparkSession.createDataFrame([], INDEX_SCHEMA).write.mode("ignore").partitionBy("batch_id", "band").parquet(index_dir)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         batch = batch.persist()
-        kept_docs, kept_buckets = dedup_batch(batch, index_dir, cfg)
-        kept_buckets.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy(
-            "band", "batch_id"
-        ).parquet(index_dir)
-        kept_docs.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id").parquet(
-            out_dir
-        )
+        kept_docs, kept_buckets = dedup_batch(batch, earlier(batch.sparkSession, index_dir, batch_id), cfg)
+        write_batch(kept_buckets, index_dir, batch_id, "band")
+        write_batch(kept_docs, out_dir, batch_id)
         batch.unpersist()
 
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt).start()

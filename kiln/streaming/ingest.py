@@ -2,8 +2,8 @@
 
 F1-F7 are stateless per document, so the batch plan runs unchanged on a
 ``readStream`` source; the checkpoint folder gives the resume the
-reference lacks.  Outputs go to file sinks (never the driver), except the
-one-row running totals.
+reference lacks.  Streams are given in the document schema; outputs go to
+file sinks, never to the driver.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from kiln.config import FilterConfig
 from kiln.operators.filters import quality_metrics
 from kiln.session import checkpoint_dir
-from kiln.sources.corpus import conform
+from kiln.sources.corpus import DOC_COLUMNS
 
 
 def document_stream(
@@ -48,28 +48,50 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def start_filter(stream: DataFrame, out_dir: str, ckpt: str, cfg: FilterConfig = FilterConfig()) -> StreamingQuery:
-    """Kept documents of each micro-batch appended to ``out_dir``."""
-    kept = quality_metrics(conform(stream), cfg).where("passed")
-    cols = ["seq", "doc_id", "text", "language", "dump", "token_count"]
-    return kept.select(*cols).writeStream.format("parquet").option("checkpointLocation", ckpt).start(out_dir)
-
-
-def start_totals(stream: DataFrame, name: str, ckpt: str, cfg: FilterConfig = FilterConfig()) -> StreamingQuery:
-    """R2: running seen / kept / kept tokens (one-row state, complete mode)."""
-    m = quality_metrics(conform(stream), cfg)
-    totals = m.agg(
-        F.count("*").alias("seen"),
-        F.count_if("passed").alias("kept"),
-        F.coalesce(F.sum(F.when(F.col("passed"), F.col("token_count"))), F.lit(0)).cast("long").alias("kept_tokens"),
-    )
-    return (
-        totals.writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(name)
-        .option("checkpointLocation", ckpt)
-        .start()
-    )
+def write_batch(df: DataFrame, path: str, batch_id: int, *further: str) -> None:
+    """Write a micro-batch under ``batch_id=<n>``; a replay replaces its own partition only."""
+    out = df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out.partitionBy("batch_id", *further).parquet(path)
+
+
+def start_filter(docs: DataFrame, out_dir: str, ckpt: str, cfg: FilterConfig = FilterConfig()) -> StreamingQuery:
+    """Kept documents of each micro-batch, all ten columns and ``seq``, appended to ``out_dir``."""
+    kept = quality_metrics(docs, cfg).where("passed").select("seq", *DOC_COLUMNS)
+    return kept.writeStream.format("parquet").option("checkpointLocation", ckpt).start(out_dir)
+
+
+TOTALS = "seen bigint, kept bigint, kept_tokens bigint, batch_id bigint"
+
+
+def totals(spark: SparkSession, out_dir: str, before: int | None = None) -> DataFrame:
+    """R2 result: one row with the sums over the batches (those before ``before``, if given)."""
+    rows = spark.read.schema(TOTALS).parquet(out_dir)
+    rows = rows if before is None else rows.where(F.col("batch_id") < before)
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("seen", "kept", "kept_tokens")])
+
+
+def start_totals(
+    docs: DataFrame, out_dir: str, ckpt: str, cfg: FilterConfig = FilterConfig(), target_tokens: int | None = None
+) -> StreamingQuery:
+    """R2: seen / kept / kept tokens per micro-batch, written to ``out_dir``.
+
+    With ``target_tokens`` the totals stop: once earlier batches have kept
+    that many tokens, later ones add nothing.
+    """
+    docs.sparkSession.createDataFrame([], TOTALS).write.mode("ignore").partitionBy("batch_id").parquet(out_dir)
+    m = quality_metrics(docs, cfg).select("passed", "token_count")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if target_tokens is not None and totals(batch.sparkSession, out_dir, batch_id).first()["kept_tokens"] >= target_tokens:
+            return
+        sums = batch.agg(
+            F.count("*").alias("seen"),
+            F.count_if("passed").alias("kept"),
+            F.coalesce(F.sum(F.when(F.col("passed"), F.col("token_count"))), F.lit(0)).cast("long").alias("kept_tokens"),
+        )
+        write_batch(sums, out_dir, batch_id)
+
+    return m.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt).start()
 
 
 def run_to_end(query: StreamingQuery) -> None:

@@ -38,4 +38,41 @@ def test_round_trip_and_unseen_bytes(spark):
     assert dec == {0: " héllo ☃ 😀 unseen\x00bytes", 1: "", 2: " lead"}
     counts = {r.seq: r.n_tokens for r in bpe.token_counts(probe, model).collect()}
     assert counts == {r.seq: len(r.ids) for r in enc.collect()}
-    assert all(bpe.vocab_checks(model).values())
+    told = bpe.contract(model.vocab_frame(spark), model.merges_frame(spark), enc, TokenizerConfig(vocab_size=280)).first()
+    assert told.contract_ok and told.vocab_size == model.vocab_size
+    broken = model.vocab_frame(spark).where("token <> '<eos>'")
+    assert not bpe.contract(broken, model.merges_frame(spark), enc, TokenizerConfig(vocab_size=280)).first().contract_ok
+
+
+def test_overlong_pairs_do_not_end_training(spark):
+    """More overlong pairs than the ranking's window hold the top for ever; the rest is still merged."""
+    text = " ".join(["abababab cdcdcdcd efefefef"] * 50 + ["xy"] * 5)
+    train = spark.createDataFrame([(0, text)], "seq long, text string")
+    cfg = TokenizerConfig(vocab_size=400, max_token_length=2)
+    merges = {k: len(bpe.train_bpe(train, cfg, top_k=k).merges) for k in (1, 2, 512)}
+    assert merges[1] == merges[2] == merges[512] == 4  # ab, cd, ef, xy
+
+
+def test_cut_and_special_ids_decode(spark):
+    train = spark.createDataFrame([(0, "hello hello")], "seq long, text string")
+    model = bpe.train_bpe(train, TokenizerConfig(vocab_size=262))
+    lead = model.byte_ids[0xC3]
+    ids = spark.createDataFrame([(0, [2]), (1, [lead]), (2, None), (3, [2, model.byte_ids[ord("a")], 0])], "seq long, ids array<int>")
+    assert {r.seq: r.text for r in bpe.decode_documents(ids, model).collect()} == {0: "", 1: "\ufffd", 2: "", 3: "a"}
+
+
+def test_long_pretokens_merge_like_rescanning(spark):
+    train = spark.createDataFrame([(0, "abcabcabd aabbaabb " * 20)], "seq long, text string")
+    model = bpe.train_bpe(train, TokenizerConfig(vocab_size=290))
+    encoder = bpe.Encoder(model)
+
+    def rescan(ids):
+        while True:
+            ranked = [(encoder.ranks[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in encoder.ranks]
+            if not ranked:
+                return ids
+            i = min(ranked)[1]
+            ids = ids[:i] + [encoder.ranks[ids[i], ids[i + 1]][1]] + ids[i + 2 :]
+
+    for word in (" aabbaabbaabb", "abcabdabcabc" * 9, "aaaa", "b"):
+        assert encoder(word) == rescan([model.byte_ids[b] for b in word.encode()])

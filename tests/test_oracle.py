@@ -10,9 +10,6 @@ from tools.oracle_check import TABLES, digest
 
 from conftest import SF001
 
-SKIP_SLOW = {"bpe_vocab", "bpe_merges", "bpe_encode", "bpe_decode", "bpe_contract", "fertility", "worst_fertility"}
-
-
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -23,7 +20,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - set(E.LLM_SQL)))
 def test_query_matches_sql(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     s_rows = [tuple(r) for r in df.collect()]
@@ -37,4 +34,4 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0 and df.columns == ["reason", "documents"]
+    assert df.count() == 4 and df.columns == ["reason", "documents"]

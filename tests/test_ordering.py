@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from kiln.operators.ordering import exact_quantiles, prefix_sums
+from kiln.operators.ordering import exact_quantiles, prefix_sums, prefix_totals
 
 
 def test_prefix_sums_partition_independent(spark):
@@ -25,14 +25,23 @@ def test_exact_quantiles_with_ties(spark):
         vals = rng.integers(0, 7, size=n).astype(float) if g == "c" else rng.random(n)
         rows += [(g, float(x)) for x in vals]
     df = spark.createDataFrame(rows, "g string, x double")
-    q = {r.g: r for r in exact_quantiles(df, "g", "x", [("median", 0.5), ("p95", 0.95)], accuracy=100).collect()}
-    # accuracy 10: the 1000-value group takes the bracketed path.
-    q2 = {r.g: r for r in exact_quantiles(df, "g", "x", [("median", 0.5), ("p95", 0.95)], accuracy=10).collect()}
-    for g in ("a", "b", "c"):
-        assert q2[g].median == q[g].median and q2[g].p95 == q[g].p95
-    _ = {}
+    q = {r.g: r for r in exact_quantiles(df, "g", "x", [("median", 0.5), ("p95", 0.95)]).collect()}
     for g in ("a", "b", "c"):
         vals = np.array([x for gg, x in rows if gg == g])
         assert abs(q[g].median - np.median(vals)) < 1e-12
         assert abs(q[g].p95 - np.percentile(vals, 95)) < 1e-12
         assert q[g].n == len(vals)
+
+
+def test_quantiles_over_many_values(spark):
+    """More values than any sketch or bracket would hold, in few and in many range partitions."""
+    df = spark.range(50_000).select(F.lit("g").alias("g"), ((F.col("id") * 7919) % 50_021).alias("x"))
+    vals = np.array([(i * 7919) % 50_021 for i in range(50_000)], dtype=float)
+    row = exact_quantiles(df, "g", "x", [("p01", 0.01), ("median", 0.5), ("p95", 0.95)]).first()
+    assert (row.p01, row.median, row.p95) == tuple(np.percentile(vals, [1, 50, 95]))
+
+
+def test_one_pass_carries_several_totals(spark):
+    df = spark.createDataFrame([(3, 5), (1, 2), (2, 7)], "k long, v long")
+    out, total = prefix_totals(df, ["k"], {"v0": F.col("v"), "n0": F.lit(1)})
+    assert sorted(map(tuple, out.collect())) == [(1, 0, 0), (2, 2, 1), (3, 9, 2)] and total == {"v0": 14, "n0": 3}

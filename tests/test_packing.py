@@ -6,18 +6,6 @@ from kiln.config import PackConfig
 from kiln.operators import packing
 
 
-def py_pack(tokens, s, pad):
-    ids, labels, masks = [], [], []
-    for i in range(0, len(tokens), s):
-        block = tokens[i : i + s]
-        p = s - len(block)
-        block = block + [pad] * p
-        ids.append(block)
-        labels.append(block[1:] + [pad])
-        masks.append([1] * (s - p) + [0] * p)
-    return ids, labels, masks
-
-
 def spark_pack(spark, docs, cfg):
     df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "seq long, ids array<int>")
     blocks, total, cut = packing.pack_blocks(df, cfg)
@@ -35,18 +23,26 @@ def test_golden_case(spark):
     assert out["val"] == []
 
 
-def test_random_documents_match_python(spark):
+def test_random_documents_keep_the_invariants(spark):
     random.seed(11)
     for s, split in ((16, 0.99), (7, 0.5), (5, 0.8)):
         docs = [[random.randint(4, 99) for _ in range(random.randint(0, 40))] for _ in range(60)]
         cfg = PackConfig(block_size=s, train_split=split)
         stream = [t for d in docs for t in d + [cfg.eos_id]]
-        cut = int(len(stream) * split)
-        out, total, c = spark_pack(spark, docs, cfg)
-        assert total == len(stream) and c == cut
-        for name, part in (("train", stream[:cut]), ("val", stream[cut:])):
-            ids, labels, masks = py_pack(part, s, cfg.pad_id)
-            assert out[name] == list(zip(ids, labels, masks))
+        out, total, cut = spark_pack(spark, docs, cfg)
+        assert (total, cut) == (len(stream), int(len(stream) * split))
+        real = {}
+        for name, blocks in out.items():
+            assert all(len(x) == s for block in blocks for x in block)
+            # the unpadded ids are the stream, only the last block is padded, and with pad alone
+            real[name] = [t for ids, _, mask in blocks for t, m in zip(ids, mask) if m]
+            assert all(all(mask) for _, _, mask in blocks[:-1])
+            assert all(t == cfg.pad_id for ids, _, mask in blocks for t, m in zip(ids, mask) if not m)
+            assert all(mask == sorted(mask, reverse=True) for _, _, mask in blocks)
+            # a label is the next id of its block
+            assert all(labels[i] == ids[i + 1] for ids, labels, _ in blocks for i in range(s - 1))
+            assert all(labels[-1] == cfg.pad_id for _, labels, _ in blocks)
+        assert real["train"] + real["val"] == stream and len(real["train"]) == cut
 
 
 def test_exact_multiple_and_short_split(spark):

@@ -1,15 +1,16 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from kiln.config import DedupConfig
 from kiln.operators import dedup, runlog
 from kiln.operators.filters import quality_filter
-from kiln.plans.tables import documents
-from kiln.sources.corpus import conform
+from kiln.plans.tables import conformed, documents
+from kiln.streaming import dedup as stream_dedup
 from kiln.streaming.dedup import start_near_dedup
-from kiln.streaming.ingest import document_stream, run_to_end
+from kiln.streaming.ingest import document_stream, run_to_end, start_totals, totals
 
 from conftest import SF001
 
@@ -33,7 +34,7 @@ def test_stream_dedup_over_several_batches_equals_batch(spark, tmpdir_fresh):
         os.utime(dst, (2000 + i, 2000 + i))
         files.append(dst)
     stream = document_stream(spark, src, raw.schema, glob="batch*.parquet", max_files_per_trigger=1)
-    kept_stream = quality_filter(conform(stream))
+    kept_stream = quality_filter(conformed(stream))
     out, index = os.path.join(tmpdir_fresh, "out"), os.path.join(tmpdir_fresh, "index")
     run_to_end(start_near_dedup(kept_stream, out, index, os.path.join(tmpdir_fresh, "ck"), DedupConfig()))
     got = {r.seq for r in spark.read.parquet(out).select("seq").collect()}
@@ -42,6 +43,51 @@ def test_stream_dedup_over_several_batches_equals_batch(spark, tmpdir_fresh):
     assert got == {r.seq for r in batch_res.where("kept").collect()}
 
 
+def _parts(raw, src, n):
+    edges = sorted(r.doc_id for r in raw.select("doc_id").collect())
+    step = -(-len(edges) // n)
+    for i in range(0, len(edges), step):
+        part = raw.where(F.col("doc_id").isin(edges[i : i + step]))
+        part.coalesce(1).write.mode("append").parquet(src)
+
+
+def test_a_replayed_batch_decides_the_same(spark, tmpdir_fresh, monkeypatch):
+    """A crash between the two writes of a batch, then the batch again."""
+    raw = spark.read.parquet(f"{SF001}/documents.parquet")
+    src, out, index, ck = (os.path.join(tmpdir_fresh, x) for x in ("src", "out", "index", "ck"))
+    _parts(raw, src, 2)
+    stream = quality_filter(conformed(document_stream(spark, src, raw.schema, max_files_per_trigger=1)))
+    write, calls = stream_dedup.write_batch, []
+
+    def crash_once(df, path, batch_id, *further):
+        calls.append((path, batch_id))
+        if path == out and batch_id == 1 and calls.count((out, 1)) == 1:
+            raise RuntimeError("crash between the writes")
+        write(df, path, batch_id, *further)
+
+    monkeypatch.setattr(stream_dedup, "write_batch", crash_once)
+    with pytest.raises(Exception):
+        run_to_end(start_near_dedup(stream, out, index, ck, DedupConfig()))
+    run_to_end(start_near_dedup(stream, out, index, ck, DedupConfig()))
+    got = {r.seq for r in spark.read.parquet(out).select("seq").collect()}
+    batch_res, _ = dedup.near_dedup(quality_filter(documents(spark, SF001)), DedupConfig())
+    assert got == {r.seq for r in batch_res.where("kept").collect()}
+
+
+def test_totals_stop_at_the_budget(spark, tmpdir_fresh):
+    raw = spark.read.parquet(f"{SF001}/documents.parquet")
+    src = os.path.join(tmpdir_fresh, "src")
+    _parts(raw, src, 4)
+    stream = conformed(document_stream(spark, src, raw.schema, max_files_per_trigger=1))
+    found = {}
+    for name, target in (("all", None), ("some", 1)):
+        out = os.path.join(tmpdir_fresh, name)
+        run_to_end(start_totals(stream, out, os.path.join(tmpdir_fresh, name + "-ck"), target_tokens=target))
+        found[name] = totals(spark, out).first()
+    assert found["all"].seen == raw.count()
+    assert 0 < found["some"].seen < found["all"].seen and found["some"].kept_tokens >= 1
+
+
 def test_run_log(spark, tmpdir_fresh):
     path = os.path.join(tmpdir_fresh, "runA")
     os.makedirs(path)
