@@ -31,6 +31,7 @@ HEADLINE = [
     "bpe_vocab",
     "bpe_encode",
     "fertility",
+    "packed_blocks_bpe",
     "stream_filter",
     "stream_near_dedup",
 ]

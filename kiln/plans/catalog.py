@@ -277,6 +277,18 @@ def _split_docs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return split.where("not heldout").select("seq", "text"), split.where("heldout").select("seq", "text")
 
 
+_MODELS: dict[tuple, bpe.BPEModel] = {}
+
+
+def _model(train: DataFrame) -> bpe.BPEModel:
+    """The tokenizer of these very documents: kept by their content, so a changed input is trained anew."""
+    told = train.agg(F.count("*").alias("n"), F.sum(F.xxhash64("seq", "text").cast("decimal(38,0)")).alias("s")).first()
+    key = (TCFG, told.n, told.s)
+    if key not in _MODELS:
+        _MODELS[key] = bpe.train_bpe(train, TCFG)
+    return _MODELS[key]
+
+
 def q_heldout_split(spark: SparkSession, sf: str) -> DataFrame:
     out = bpe.heldout_split(documents(spark, sf).select("seq"), shard_size=SHARD, heldout=TCFG.heldout_split)
     return out.select("seq", "shard", "heldout")
@@ -287,42 +299,42 @@ def q_pretoken_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_bpe_vocab(spark: SparkSession, sf: str) -> DataFrame:
-    return bpe.train_bpe(_split_docs(spark, sf)[0], TCFG).vocab_frame(spark).select("id", "token")
+    return _model(_split_docs(spark, sf)[0]).vocab_frame(spark).select("id", "token")
 
 
 def q_bpe_merges(spark: SparkSession, sf: str) -> DataFrame:
-    return bpe.train_bpe(_split_docs(spark, sf)[0], TCFG).merges_frame(spark)
+    return _model(_split_docs(spark, sf)[0]).merges_frame(spark)
 
 
 def q_bpe_encode(spark: SparkSession, sf: str) -> DataFrame:
     train, held = _split_docs(spark, sf)
-    enc = bpe.encode_documents(train.unionByName(held), bpe.train_bpe(train, TCFG))
+    enc = bpe.encode_documents(train.unionByName(held), _model(train))
     return enc.select("seq", F.size("ids").alias("n_tokens"), _ints("ids"))
 
 
 def q_bpe_decode(spark: SparkSession, sf: str) -> DataFrame:
     train, held = _split_docs(spark, sf)
-    model = bpe.train_bpe(train, TCFG)
+    model = _model(train)
     return bpe.decode_documents(bpe.encode_documents(train.unionByName(held), model), model)
 
 
 def q_bpe_contract(spark: SparkSession, sf: str) -> DataFrame:
     train, held = _split_docs(spark, sf)
-    model = bpe.train_bpe(train, TCFG)
+    model = _model(train)
     encoded = bpe.encode_documents(train.unionByName(held), model)
     return bpe.contract(model.vocab_frame(spark), model.merges_frame(spark), encoded, TCFG)
 
 
 def q_fertility(spark: SparkSession, sf: str) -> DataFrame:
     train, held = _split_docs(spark, sf)
-    f = bpe.fertility(bpe.fertility_rows(held, bpe.token_counts(held, bpe.train_bpe(train, TCFG))))
+    f = bpe.fertility(bpe.fertility_rows(held, bpe.token_counts(held, _model(train))))
     return f.select("ratio", _r("mean"), _r("median"), _r("p90"), "documents", "total_tokens", "total_words",
                     "total_characters")
 
 
 def q_worst_fertility(spark: SparkSession, sf: str) -> DataFrame:
     train, held = _split_docs(spark, sf)
-    model = bpe.train_bpe(train, TCFG)
+    model = _model(train)
     w = bpe.worst_fertility(bpe.fertility_rows(held, bpe.token_counts(held, model)), held, model)
     return w.select("seq", "tokens", "words", "chars", _r("tokens_per_word"), _r("tokens_per_char"), "text", "decoded",
                     F.array_join("token_strings", " ").alias("token_strings"), _ints("ids"))
@@ -331,7 +343,7 @@ def q_worst_fertility(spark: SparkSession, sf: str) -> DataFrame:
 def q_packed_blocks_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Documents encoded by the trained tokenizer, packed."""
     train, held = _split_docs(spark, sf)
-    encoded = stage_table(bpe.encode_documents(train.unionByName(held), bpe.train_bpe(train, TCFG)), "bpe-ids")
+    encoded = stage_table(bpe.encode_documents(train.unionByName(held), _model(train)), "bpe-ids")
     blocks, _, _ = packing.pack_blocks(encoded, PCFG)
     return blocks.select("split", "block", "n_real", F.array_max("input_ids").alias("max_id"), _ints("input_ids"))
 
