@@ -251,6 +251,7 @@ def nearest(vectors: DataFrame, queries: Column, key: str = "vec_id", vector: st
         .where(F.coalesce("have", F.lit(0)) < F.least("ids", F.lit(s.k + 1)))
         .select("g", "v")
     )
+    short = written(short, "ann-short")
     if short.limit(1).count():
         one = every.select(F.lit(0).cast("bigint").alias("bucket"), "g", "v", "ids")
         again = _top(_met(*_parted(one, short.select(F.lit(0).cast("bigint").alias("bucket"), "g", "v"), s), s), s)
