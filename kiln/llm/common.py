@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.session import checkpoint_dir
+from kiln.session import stage_table
 
 #: Byte classes of the word definition ``[^\x20\x09-\x0D]+`` on UTF-8 bytes.
 IS_SPACE = np.zeros(256, bool)
@@ -54,11 +53,8 @@ def drawn(keys: DataFrame, group: str, most: Column) -> DataFrame:
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared checkpoint folder and read it again (cuts the lineage)."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` written as Parquet in the shared checkpoint folder and read again (cuts the lineage)."""
+    return stage_table(df, what)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -142,12 +138,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _ODD, np.uint64)
+def powers(p: np.uint64, n: int) -> np.ndarray:
+    """p**0 ... p**(n-1); those of one step are kept."""
+    kept = _KEPT.get(int(p))
+    if kept is not None and n <= len(kept):
+        return kept[:n]
+    out = np.full(max(n, STEP_BYTES + 2), p, np.uint64)
     out[0] = 1
-    return np.multiply.accumulate(out)
+    out = np.multiply.accumulate(out)
+    if n <= STEP_BYTES + 2:
+        _KEPT[int(p)] = out
+    return out[:n]
 
 
+_KEPT: dict[int, np.ndarray] = {}
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 
 
@@ -159,14 +163,49 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    power = _powers(len(data) + 1)
     prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=prefix[1:])
-    back = np.full(len(data) + 1, _INVERSE, np.uint64)
-    back[0] = 1
-    back = np.multiply.accumulate(back)
-    return mix((prefix[ends] - prefix[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_ODD, len(data)), out=prefix[1:])
+    return mix((prefix[ends] - prefix[starts]) * powers(_INVERSE, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
-def sql_number(x: float) -> str:
-    return repr(float(x))
+def long_word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Word hashes of a long buffer, a step at a time."""
+    out, i = [np.zeros(0, np.uint64)], 0
+    while i < len(starts):
+        lo = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, lo + STEP_BYTES, "right")))
+        out.append(word_hashes(data[lo : int(ends[j - 1])], starts[i:j] - lo, ends[i:j] - lo))
+        i = j
+    return np.concatenate(out)
+
+
+def row_words(offsets: np.ndarray, data: np.ndarray, fold: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, row of every word) of a column of texts; ``fold`` maps bytes first."""
+    hashes, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for i, j, lo, hi in pieces(offsets, data):
+        raw = data[lo:hi] if fold is None else fold[data[lo:hi]]
+        starts, ends = word_spans(raw)
+        if j - i > 1 and len(starts):  # a row's end ends a word, too
+            edge = offsets[i + 1 : j] - lo
+            inner = np.searchsorted(starts, edge, "left")
+            split = edge[(inner > 0) & (ends[np.maximum(inner - 1, 0)] > edge)]
+            if len(split):
+                split = np.unique(split)
+                starts, ends = np.sort(np.concatenate([starts, split])), np.sort(np.concatenate([ends, split]))
+        hashes.append(word_hashes(raw, starts, ends))
+        rows.append(i + np.searchsorted(offsets[i + 1 : j], starts + lo, "right"))
+    return np.concatenate(hashes), np.concatenate(rows)
+
+
+def runs(frames: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[int, list]]:
+    """(value of the key column, rows as tuples) of each run of equal keys."""
+    now, held = None, []
+    for frame in frames:
+        for row in zip(*(c.to_pylist() for c in frame.columns), strict=True):
+            if held and row[key] != now:
+                yield now, held
+                held = []
+            now = row[key]
+            held.append(row)
+    if held:
+        yield now, held

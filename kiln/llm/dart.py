@@ -15,12 +15,15 @@ Classes are the connected components of verified links (similarity of the
 word shingles of at least ``threshold``) among documents that share a band:
 
 1. documents with the same word sequence are one node from the start;
-2. leader rounds: every member of a bucket is compared with the bucket's
-   leader only, so a group of copies costs as many comparisons as members;
-3. the rest, exactly: in buckets that still hold several components, all
-   pairs across components are compared in blocks of bounded size, first by
-   signature, then on the whole shingle sets.  Pairs within a component are
-   never compared or listed.
+2. every member of a bucket is compared with the bucket's leader only: its
+   most central node, whose bands are the most shared.  A group of copies
+   costs about as many comparisons as it has members;
+3. the rest, exactly: in buckets that still hold several components, members
+   outside the largest are compared with all others across components, in
+   blocks of bounded size: a pair in its first common band only, the
+   likeliest by signature first, on the whole shingle sets, until a member
+   is linked to a component.  Only links leave a block; pairs within a
+   component are never compared.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import batches, mix, pieces, utf8, word_hashes, word_spans, written
+from kiln.llm.common import batches, mix, row_words, utf8, written
 from kiln.llm.graph import components
 
 
@@ -53,9 +56,8 @@ class Settings:
     rows: int = 4
     weights: str = "binary"
     slack: float = 0.2
-    rounds: int = 2
-    block: int = 2_000
-    small: int = 64
+    block: int = 2_000  # members on each side of a block, and
+    block_bytes: int = 32 << 20  # their shingle sets
     seed: int = 11
 
     @property
@@ -63,25 +65,6 @@ class Settings:
         return self.bands * self.rows
 
 
-def document_words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, row of every word) of a column of texts."""
-    hashes, rows = [], []
-    for i, j, lo, hi in pieces(offsets, data):
-        raw = data[lo:hi]
-        starts, ends = word_spans(raw)
-        if j - i > 1:  # a row's end ends a word, too
-            edge = offsets[i + 1 : j] - lo
-            inner = np.searchsorted(starts, edge, "left")
-            split = edge[(inner > 0) & (ends[np.maximum(inner - 1, 0)] > edge)] if len(starts) else edge[:0]
-            if len(split):
-                starts, ends = np.sort(np.concatenate([starts, split])), np.sort(np.concatenate([ends, split]))
-        hashes.append(word_hashes(raw, starts, ends))
-        rows.append(i + np.searchsorted(offsets[i + 1 : j], starts + lo, "right"))
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(rows)
-
-
 def shingles(words: np.ndarray, rows: np.ndarray, n_rows: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of every run of ``size`` words of a row; a row with fewer words has one shingle of all."""
     count = np.bincount(rows, minlength=n_rows)
@@ -171,13 +154,13 @@ def weighted(elements: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _sketched(s: Settings):
-    schema = pa.schema([("k", pa.int64()), ("node", pa.binary()), ("sig", pa.binary())])
+    schema = pa.schema([("k", pa.int64()), ("node", pa.binary()), ("sig", pa.binary()), ("n", pa.int64())])
 
     def sketch(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in batches(frames, 1, 1 << 20):
             offsets, data = utf8(frame.column(1))
             n = frame.num_rows
-            made, rows = shingles(*document_words(offsets, data), n, s.words)
+            made, rows = shingles(*row_words(offsets, data), n, s.words)
             edge = np.searchsorted(rows, np.arange(n + 1))
             if s.weights == "count":
                 sig = signatures(*weighted(made, rows), n, s.k, s.seed)
@@ -188,7 +171,7 @@ def _sketched(s: Settings):
                 own = made[edge[i] : edge[i + 1]]
                 nodes.append(hashlib.md5(own.tobytes()).digest() if len(own) else None)
                 sigs.append(sig[i].tobytes() if len(own) else None)
-            yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary()), pa.array(np.diff(edge), pa.int64())], schema=schema)
 
     return sketch
 
@@ -201,7 +184,7 @@ def _sets(s: Settings):
         for frame in batches(frames, 1, 1 << 20):
             offsets, data = utf8(frame.column(1))
             n = frame.num_rows
-            made, rows = shingles(*document_words(offsets, data), n, s.words)
+            made, rows = shingles(*row_words(offsets, data), n, s.words)
             made, counts, rows = weighted(made, rows)
             edge = np.searchsorted(rows, np.arange(n + 1))
             bags = []
@@ -240,88 +223,68 @@ def _agreement(k: int):
     return agree
 
 
-def verified(pairs: DataFrame, sigs: DataFrame, bags: DataFrame, s: Settings) -> DataFrame:
+def _beside(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """The pairs with ``column`` of both nodes, as ``column``_a and ``column``_b."""
+    one = lambda c: values.select(F.col("node").alias(c), F.col(column).alias(f"{column}_{c}"))
+    return pairs.join(one("a"), "a").join(one("b"), "b")
+
+
+def likely(pairs: DataFrame, sigs: DataFrame, s: Settings) -> DataFrame:
+    """The pairs (a, b) whose signatures agree often enough."""
+    return _beside(pairs, sigs, "sig").where(_agreement(s.k)(F.col("sig_a"), F.col("sig_b")) >= s.threshold - s.slack).select("a", "b")
+
+
+def verified(pairs: DataFrame, bags: DataFrame, s: Settings) -> DataFrame:
     """The pairs (a, b) whose similarity reaches the threshold."""
-    one = lambda t, c: t.select(F.col("node").alias(c), F.col(t.columns[1]).alias(f"{t.columns[1]}_{c}"))
-    likely = (
-        pairs.join(one(sigs, "a"), "a")
-        .join(one(sigs, "b"), "b")
-        .where(_agreement(s.k)(F.col("sig_a"), F.col("sig_b")) >= s.threshold - s.slack)
-        .select("a", "b")
-    )
     counted = s.weights == "count"
 
     @F.arrow_udf("double")
     def jaccard(x: pa.Array, y: pa.Array) -> pa.Array:
         return pa.array([similarity(p, q, counted) for p, q in zip(x.to_pylist(), y.to_pylist(), strict=True)], pa.float64())
 
-    found = likely.join(one(bags, "a"), "a").join(one(bags, "b"), "b").where(jaccard(F.col("bag_a"), F.col("bag_b")) >= s.threshold)
-    return written(found.select("a", "b"), "near-links")
-
-
-def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels (node, c) after the components that ``links`` join have become one."""
-    c = labels.select(F.col("node"), F.col("c"))
-    edges = (
-        links.join(c.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a")
-        .join(c.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b")
-        .select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    )
-    joined = components(edges, "near-components").select(F.col("node").alias("c"), "component")
-    return written(labels.join(joined, "c", "left").select("node", F.coalesce("component", "c").alias("c")), "near-labels")
+    return _beside(pairs, bags, "bag").where(jaccard(F.col("bag_a"), F.col("bag_b")) >= s.threshold).select("a", "b")
 
 
 def _mixed_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, node, c, n) of the buckets that hold more than one component."""
-    labelled = members.join(labels, "node")
-    several = (
-        labelled.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("bucket", "n")
-    )
-    return labelled.join(several, "bucket")
+    """(bucket, band, node, c, n) of the buckets that hold more than one component."""
+    labelled = members.select("bucket", "band", "node").join(labels, "node")
+    several = labelled.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("bucket")
+    return written(labelled.join(several, "bucket"), "near-mixed")
 
 
-def _leader_pairs(mixed: DataFrame, s: Settings, turn: int) -> DataFrame:
-    """Each member with its bucket's leader, where their components differ.
+def _leader_pairs(members: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's most central node.
 
-    Small buckets draw leaders from one order of all nodes, so the buckets of
-    a pair mostly name the same leader; large buckets draw each their own.
+    A node is the more central the more members its buckets have: what all
+    copies derive from keeps its bands, and each copy loses some of its own.
     """
-    order = F.xxhash64("node", F.when(F.col("n") > s.small, F.col("bucket")).otherwise(F.lit(0).cast("bigint")), F.lit(turn))
-    ranked = mixed.withColumn("o", order)
-    leaders = ranked.groupBy("bucket").agg(F.min(F.struct("o", "node", "c")).alias("l")).select("bucket", F.col("l.node").alias("leader"), F.col("l.c").alias("lc"))
-    pairs = mixed.join(leaders, "bucket").where("c <> lc")
+    weight = members.groupBy("node").agg(F.sum("held").alias("w"))
+    ranked = members.join(weight, "node")
+    leaders = ranked.groupBy("bucket").agg(F.max(F.struct("w", "node")).alias("l")).select("bucket", F.col("l.node").alias("leader"))
+    pairs = members.join(leaders, "bucket").where("node <> leader")
     return pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
 def _cells(mixed: DataFrame, s: Settings) -> DataFrame:
     """Blocks (bucket, i, j): part i of the members outside the bucket's largest component against part j of all."""
-    size = mixed.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("m"))
-    main = size.groupBy("bucket").agg(F.max(F.struct("m", "c")).alias("top"), F.sum("m").alias("all")).select(
-        "bucket",
-        F.col("top.c").alias("main"),
-        F.ceil((F.col("all") - F.col("top.m")) / s.block).cast("int").alias("parts_i"),
-        F.ceil(F.col("all") / s.block).cast("int").alias("parts_j"),
+    size = mixed.groupBy("bucket", "c").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
+    parts = lambda m, n: F.ceil(F.greatest(m / s.block, 8 * n / s.block_bytes)).cast("int")
+    main = (
+        size.groupBy("bucket")
+        .agg(F.max(F.struct("m", "c", "n")).alias("top"), F.sum("m").alias("all_m"), F.sum("n").alias("all_n"))
+        .select(
+            "bucket",
+            F.col("top.c").alias("main"),
+            parts(F.col("all_m") - F.col("top.m"), F.col("all_n") - F.col("top.n")).alias("parts_i"),
+            parts(F.col("all_m"), F.col("all_n")).alias("parts_j"),
+        )
     )
     rows = mixed.join(main, "bucket").withColumn("h", F.xxhash64("node", F.lit(1)))
-    asks = rows.where("c <> main").select(
-        "bucket",
-        F.pmod("h", "parts_i").cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("parts_j") - 1)).alias("j"),
-        "node",
-        "c",
-        F.lit(True).alias("asks"),
-        F.lit(True).alias("outside"),
-    )
-    against = rows.select(
-        "bucket",
-        F.explode(F.sequence(F.lit(0), F.col("parts_i") - 1)).alias("i"),
-        F.pmod("h", "parts_j").cast("int").alias("j"),
-        "node",
-        "c",
-        F.lit(False).alias("asks"),
-        (F.col("c") != F.col("main")).alias("outside"),
-    )
-    return asks.unionByName(against)
+    side = lambda asks, i, j: ["bucket", "band", i, j, "node", "c", F.lit(asks).alias("asks"), (F.col("c") != F.col("main")).alias("outside")]
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda n: F.pmod("h", n).cast("int")
+    asks = rows.where("c <> main").select(*side(True, place("parts_i").alias("i"), every("parts_j").alias("j")))
+    return asks.unionByName(rows.select(*side(False, every("parts_i").alias("i"), place("parts_j").alias("j"))))
 
 
 def contiguous(frames: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -348,36 +311,43 @@ def contiguous(frames: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa
         yield pa.Table.from_batches(held)
 
 
-def _block_pairs(mixed: DataFrame, sigs: DataFrame, s: Settings) -> DataFrame:
-    """Pairs across components, in blocks, whose signatures agree often enough."""
-    cells = _cells(mixed, s).join(sigs, "node").select("bucket", "i", "j", "node", "c", "asks", "outside", "sig")
+def _block_links(mixed: DataFrame, own: DataFrame, s: Settings) -> DataFrame:
+    """Verified links (a, b) across components, found block by block."""
+    cells = _cells(mixed, s).join(own.select("node", "sig", "bag"), "node")
+    cells = cells.select("bucket", "i", "j", "band", "node", "c", "asks", "outside", "sig", "bag")
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-    least = (s.threshold - s.slack) * s.k
+    least, counted = (s.threshold - s.slack) * s.k, s.weights == "count"
 
     def compare(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[bytes, bytes]] = []
         for cell in contiguous(frames, ["bucket", "i", "j"]):
             asks = cell.column("asks").to_numpy(zero_copy_only=False).astype(bool)
             if not asks.any() or asks.all():
                 continue
-            node, c = cell.column("node").to_pylist(), cell.column("c").to_pylist()
-            outside = cell.column("outside").to_pylist()
+            node, c, outside, bag = (cell.column(x).to_pylist() for x in ("node", "c", "outside", "bag"))
+            band = cell.column("band")[0].as_py()
             sig = np.frombuffer(b"".join(cell.column("sig").to_pylist()), np.uint32).reshape(-1, s.k)
             rest = np.flatnonzero(~asks)
             against = sig[rest]
-            for q in np.flatnonzero(asks):
-                for x in rest[(against == sig[q]).sum(axis=1) >= least]:
+            out: list[tuple[bytes, bytes]] = []
+            for q in np.flatnonzero(asks).tolist():
+                same = against == sig[q]
+                agree = same.sum(axis=1)
+                # a pair is looked at in its first common band only
+                earlier = same[:, : band * s.rows].reshape(len(rest), band, s.rows).all(axis=2).any(axis=1)
+                likely = np.flatnonzero((agree >= least) & ~earlier)
+                linked = {c[q]}
+                for x in rest[likely[np.argsort(-agree[likely], kind="stable")]].tolist():
                     # two members outside the main component meet twice
-                    if c[x] != c[q] and (not outside[x] or node[q] < node[x]):
+                    if c[x] in linked or (outside[x] and node[q] > node[x]):
+                        continue
+                    if similarity(bag[q], bag[x], counted) >= s.threshold:
+                        linked.add(c[x])
                         out.append((min(node[q], node[x]), max(node[q], node[x])))
-            if len(out) >= 50_000:
+            if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], schema=schema)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], schema=schema)
 
     keys = ["bucket", "i", "j"]
-    return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a binary, b binary").distinct()
+    return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a binary, b binary")
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None) -> DataFrame:
@@ -393,30 +363,22 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", setti
     """
     s = settings or Settings()
     rows = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"))
-    sketch = written(rows.mapInArrow(_sketched(s), "k bigint, node binary, sig binary"), "near-sketch")
-    sigs = written(sketch.where("node is not null").groupBy("node").agg(F.first("sig").alias("sig")), "near-signatures")
-    banded = sigs.select(
-        "node",
-        F.explode(
-            F.array(*(F.xxhash64(F.lit(b), F.substring(F.col("sig"), 4 * s.rows * b + 1, 4 * s.rows)) for b in range(s.bands)))
-        ).alias("bucket"),
-    )
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    sketch = written(rows.mapInArrow(_sketched(s), "k bigint, node binary, sig binary, n bigint"), "near-sketch")
+    nodes = written(sketch.where("node is not null").groupBy("node").agg(F.first("sig").alias("sig"), F.max("n").alias("n"), F.min("k").alias("k")), "near-nodes")
+    bands = (F.xxhash64(F.lit(b), F.substring(F.col("sig"), 4 * s.rows * b + 1, 4 * s.rows)) for b in range(s.bands))
+    banded = nodes.select("node", F.posexplode(F.array(*bands)).alias("band", "bucket"))
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     members = written(banded.join(shared, "bucket"), "near-members")
-    nodes = members.select("node").distinct()
-    # the text of one holder of each node that shares a bucket
-    holders = sketch.where("node is not null").groupBy("node").agg(F.min("k").alias("k")).join(nodes, "node", "left_semi")
-    bags = written(_texts_of(rows, holders, s), "near-bags")
-    own = sigs.join(nodes, "node", "left_semi")
-    labels = written(nodes.withColumn("c", F.col("node")), "near-labels")
-    for turn in range(s.rounds):
-        links = verified(_leader_pairs(_mixed_buckets(members, labels), s, turn), own, bags, s)
-        labels = _relabel(labels, links)
-    links = verified(_block_pairs(_mixed_buckets(members, labels), own, s), own, bags, s)
-    labels = _relabel(labels, links)
-
-    texts = sketch.where("node is not null").groupBy("node").agg(F.min("k").alias("k"))
-    classed = texts.join(labels, "node", "left").withColumn("c", F.coalesce("c", "node"))
+    sharing = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    own = written(sharing.join(_texts_of(rows, sharing, s), "node"), "near-own")
+
+    links = verified(likely(_leader_pairs(members), own, s), own, s)
+    stars = components(links, "near-components")
+    labels = own.select("node", "n").join(stars, "node", "left").select("node", "n", F.coalesce("component", "node").alias("c"))
+    rest = _block_links(_mixed_buckets(members, labels), own, s)
+    joined = components(stars.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest), "near-components")
+
+    classed = nodes.select("node", "k").join(joined, "node", "left").withColumn("c", F.coalesce("component", "node"))
     least = classed.groupBy("c").agg(F.min("k").alias("class_id"), F.count(F.lit(1)).alias("distinct_texts"))
     by_node = classed.select("node", "c").join(least, "c").select("node", "class_id", "distinct_texts")
     return sketch.select("k", "node").join(by_node, "node", "left").select(
@@ -440,13 +402,13 @@ def _texts_of(rows: DataFrame, holders: DataFrame, s: Settings) -> DataFrame:
         for frame in batches(frames, 0, 1 << 20):
             offsets, data = utf8(frame.column(0))
             n = frame.num_rows
-            made, row = shingles(*document_words(offsets, data), n, s.words)
+            made, row = shingles(*row_words(offsets, data), n, s.words)
             edge = np.searchsorted(row, np.arange(n + 1))
             nodes = [hashlib.md5(made[edge[i] : edge[i + 1]].tobytes()).digest() if edge[i + 1] > edge[i] else None for i in range(n)]
             yield from _sets(s)(iter([pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), frame.column(0).cast(pa.string())], schema=schema)]))
 
     made = texts.mapInArrow(named, "node binary, bag binary").where("node is not null")
-    return made.groupBy("node").agg(F.first("bag").alias("bag")).join(holders.select("node"), "node", "left_semi")
+    return made.groupBy("node").agg(F.first("bag").alias("bag"))
 
 
 def kept(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kiln.llm.common import written
@@ -31,17 +31,25 @@ def components(edges: DataFrame, what: str = "components") -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); the component is its least node.
 
     Each step is a pre-aggregated minimum and a join, so a node with very many
-    neighbours is never gathered; each round is written and the loop ends when
-    a round changes no edge.  Edges from a node to itself are ignored; nodes
-    without an edge are not returned.
+    neighbours is never gathered; each round is written, observed as it is
+    written, and the loop ends when a round changes no edge.  Edges from a
+    node to itself are ignored; nodes without an edge are not returned.
     """
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), what)
-    mark = None
+    now, mark = _seen(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), what)
     while True:
-        state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if (state.n, state.s) == mark:
+        after, state = _seen(_small(_large(now)).where("a <> b"), what)
+        if state == mark:
+            # every node now has one edge, to the least of its component
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                now.select(F.col("b").alias("node"), F.col("b").alias("component"))
-            ).distinct()
-        mark = (state.n, state.s)
-        now = written(_small(_large(now).distinct()).where("a <> b").distinct(), what)
+                now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            )
+        now, mark = after, state
+
+
+def _seen(edges: DataFrame, what: str) -> tuple[DataFrame, tuple]:
+    """The distinct edges, written, with their number and a sum over their hashes."""
+    seen = Observation()
+    out = written(
+        edges.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")), what
+    )
+    return out, (seen.get["n"], seen.get["s"])

@@ -32,15 +32,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kiln.llm.common import mix, word_hashes, word_spans
+from kiln.llm.common import long_word_hashes, mix, powers, runs, word_spans
 
 NO_KEY = np.iinfo(np.int64).max
 
 
 @dataclass(frozen=True)
 class Settings:
-    """There are ``spread`` blocks and one bucket per shuffle partition of the session.
+    """There are ``spread`` blocks and as many buckets per shuffle partition of the session.
 
     So what passes between blocks and buckets is a few rows per pair of tasks,
     as in any shuffle.  A task holds one block or the strings of one bucket at
@@ -67,18 +68,6 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 _P = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
-_STEP = 1 << 20
-
-
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Word hashes of a long buffer, a step at a time."""
-    out, i = [np.zeros(0, np.uint64)], 0
-    while i < len(starts):
-        lo = int(starts[i])
-        j = max(i + 1, int(np.searchsorted(ends, lo + _STEP, "right")))
-        out.append(word_hashes(data[lo : int(ends[j - 1])], starts[i:j] - lo, ends[i:j] - lo))
-        i = j
-    return np.concatenate(out)
 
 
 def rolled(hashes: np.ndarray, width: int, salt: int) -> np.ndarray:
@@ -97,14 +86,9 @@ def digests(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarr
     """Two 64-bit hashes of each run of words [first, last), as an (n, 2) array."""
     out = np.empty((len(first), 2), np.uint64)
     for column, p in enumerate(_P):
-        power = np.full(len(hashes) + 1, p, np.uint64)
-        power[0] = 1
-        power = np.multiply.accumulate(power)
         prefix = np.zeros(len(hashes) + 1, np.uint64)
-        np.cumsum(mix(hashes + np.uint64(column + 1)) * power[:-1], out=prefix[1:])
-        back = np.full(len(hashes) + 1, np.uint64(pow(int(p), -1, 1 << 64)), np.uint64)
-        back[0] = 1
-        back = np.multiply.accumulate(back)
+        np.cumsum(mix(hashes + np.uint64(column + 1)) * powers(p, len(hashes)), out=prefix[1:])
+        back = powers(np.uint64(pow(int(p), -1, 1 << 64)), len(hashes) + 1)
         out[:, column] = mix((prefix[last] - prefix[first]) * back[first] + (last - first).astype(np.uint64))
     return out
 
@@ -119,7 +103,7 @@ class Block:
         edge = np.cumsum([len(p) + 1 for p in parts])
         self.starts, self.ends = word_spans(data)
         self.row = np.searchsorted(edge, self.starts, "right")
-        self.hashes = _hashes(data, self.starts, self.ends)
+        self.hashes = long_word_hashes(data, self.starts, self.ends)
         self.words = np.bincount(self.row, minlength=len(texts))
         self._cut(s)
 
@@ -203,7 +187,7 @@ def least_holders(strings: list[bytes], keys: np.ndarray, s: Settings) -> tuple[
     edge = np.cumsum([len(x) + 1 for x in strings])
     words.starts, words.ends = word_spans(data)
     words.row = np.searchsorted(edge, words.starts, "right")
-    words.hashes = _hashes(data, words.starts, words.ends)
+    words.hashes = long_word_hashes(data, words.starts, words.ends)
     words.words = np.bincount(words.row, minlength=len(strings))
     begin = np.cumsum(words.words) - words.words
     windows = words.words - s.k + 1
@@ -315,20 +299,6 @@ def removed(block: Block, keys: np.ndarray, answers: list[bytes], s: Settings) -
     return np.cumsum(cover)[:-1] > 0
 
 
-def _runs(frames: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[int, list]]:
-    """(value of the key column, rows as tuples) of each run of equal keys."""
-    now, held = None, []
-    for frame in frames:
-        for row in zip(*(c.to_pylist() for c in frame.columns), strict=True):
-            if held and row[key] != now:
-                yield now, held
-                held = []
-            now = row[key]
-            held.append(row)
-    if held:
-        yield now, held
-
-
 def _keys(values: list) -> np.ndarray:
     return np.array([NO_KEY if v is None else v for v in values], np.int64)
 
@@ -355,7 +325,7 @@ def deduplicate(
     s = settings or Settings()
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks, buckets = s.spread * partitions, partitions
+    blocks = buckets = s.spread * partitions
     k = F.col(key).cast("bigint")
     rows = docs.select(
         F.pmod(F.xxhash64(k, F.col(text)), F.lit(blocks)).cast("int").alias("block"),
@@ -367,7 +337,7 @@ def deduplicate(
     asks = pa.schema([("bucket", pa.int32()), ("block", pa.int32()), ("frame", pa.binary())])
 
     def ask(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, held in _runs((f.select(["block", "k", "t"]) for f in frames), 0):
+        for block, held in runs((f.select(["block", "k", "t"]) for f in frames), 0):
             found = list(_asks(Block([r[2] or b"" for r in held], s), _keys([r[1] for r in held]), buckets, s))
             if found:
                 yield pa.RecordBatch.from_arrays(
@@ -378,7 +348,7 @@ def deduplicate(
     answers = pa.schema([("block", pa.int32()), ("answer", pa.binary())])
 
     def answer(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in _runs(frames, 0):
+        for _, held in runs(frames, 0):
             for block, told in _solve([(r[1], r[2]) for r in held], s):
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([told], pa.binary())], schema=answers)
 
@@ -386,7 +356,10 @@ def deduplicate(
     asked = rows.sortWithinPartitions("block").mapInArrow(ask, "bucket int, block int, frame binary")
     told = asked.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(answer, "block int, answer binary")
 
-    out_type = f"k bigint, n_words bigint, n_removed bigint, kept string{', carry ' + rows.schema['carry'].dataType.simpleString() if carry else ''}"
+    out_type = T.StructType(
+        [T.StructField("k", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
+        + ([rows.schema["carry"]] if carry else [])
+    )
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
         raws = left.column("t").to_pylist()
