@@ -44,7 +44,8 @@ class Settings:
     dim: int = 16
     per_language: int = 1_200
     rows: int = 12_000
-    epochs: int = 4
+    epochs: int = 4  # or as many as make
+    steps: int = 16_000
     rate: float = 0.5
     left_out: int = 5  # every fifth sampled row calibrates
     reject_below: float = 0.5
@@ -173,8 +174,9 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     embed = rng.normal(0, 1 / s.dim, (size, s.dim)).astype(np.float32)
     out = np.zeros((s.dim, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
-    steps, step = s.epochs * len(fit), 0
-    for _ in range(s.epochs):
+    epochs = max(s.epochs, -(-s.steps // len(fit)))
+    steps, step = epochs * len(fit), 0
+    for _ in range(epochs):
         for i in rng.permutation(fit):
             at, share_of, y = bags[i]
             rate = s.rate * (1 - step / steps)
