@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -197,6 +198,15 @@ def row_words(offsets: np.ndarray, data: np.ndarray, fold: np.ndarray | None = N
     return np.concatenate(hashes), np.concatenate(rows)
 
 
+def trim() -> None:
+    """Hand freed memory back at the end of a task: Python workers live on and would keep it."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def runs(frames: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[int, list]]:
     """(value of the key column, rows as tuples) of each run of equal keys."""
     now, held = None, []

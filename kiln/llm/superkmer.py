@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.llm.common import long_word_hashes, mix, powers, runs, word_spans
+from kiln.llm.common import long_word_hashes, mix, powers, runs, trim, word_spans
 
 NO_KEY = np.iinfo(np.int64).max
 
@@ -344,6 +344,7 @@ def deduplicate(
                     [pa.array([b for b, _ in found], pa.int32()), pa.array([block] * len(found), pa.int32()), pa.array([f for _, f in found], pa.binary())],
                     schema=asks,
                 )
+            trim()
 
     answers = pa.schema([("block", pa.int32()), ("answer", pa.binary())])
 
@@ -351,6 +352,7 @@ def deduplicate(
         for _, held in runs(frames, 0):
             for block, told in _solve([(r[1], r[2]) for r in held], s):
                 yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([told], pa.binary())], schema=answers)
+            trim()
 
     # the same columns as below, so that both reads share one exchange
     asked = rows.sortWithinPartitions("block").mapInArrow(ask, "bucket int, block int, frame binary")
@@ -387,6 +389,7 @@ def deduplicate(
         }
         if carry:
             columns["carry"] = left.column("carry")
+        trim()
         return pa.table(columns)
 
     done = rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(apply, out_type)
