@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import batches, mix, row_words, utf8, written
+from kiln.llm.common import batches, mix, row_words, trim, utf8, written
 from kiln.llm.graph import components
 
 
@@ -172,6 +172,7 @@ def _sketched(s: Settings):
                 nodes.append(hashlib.md5(own.tobytes()).digest() if len(own) else None)
                 sigs.append(sig[i].tobytes() if len(own) else None)
             yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary()), pa.array(np.diff(edge), pa.int64())], schema=schema)
+        trim()
 
     return sketch
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import drawn, pieces, utf8
+from kiln.llm.common import drawn, pieces, trim, utf8
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -42,8 +42,8 @@ class Settings:
 
     bits: int = 15
     dim: int = 16
-    per_language: int = 1_200
-    rows: int = 12_000
+    per_language: int = 500
+    rows: int = 5_000
     epochs: int = 4  # or as many as make
     steps: int = 16_000
     rate: float = 0.5
@@ -135,6 +135,7 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     """
     s = settings or Settings()
     size = 1 << s.bits
+    narrow = np.uint16 if s.bits <= 16 else np.uint32
 
     def counted(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -152,18 +153,22 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
                         {
                             "k": pa.array([keys[row]], pa.string()),
                             "l": pa.array([langs[row]], pa.string()),
-                            "at": pa.array([at.astype(np.uint32).tobytes()], pa.binary()),
+                            "at": pa.array([at.astype(narrow).tobytes()], pa.binary()),
                             "n": pa.array([bag[at].astype(np.float32).tobytes()], pa.binary()),
                         }
                     )
 
     rows = _rows(labelled, key, text, lang, s).mapInArrow(counted, "k string, l string, at binary, n binary").collect()
-    rows = sorted(rows, key=lambda r: (r.k or "", r.l, bytes(r.at)))
+    rows.sort(key=lambda r: (r.k or "", r.l))
     languages = tuple(sorted({r.l for r in rows}))
     if not languages:
         return Model((), np.zeros((size + 1, 0), np.float32), np.zeros(0), 1.0, s.bits, s.reject_below)
-    bags = [(np.frombuffer(r.at, np.uint32), np.frombuffer(r.n, np.float32), languages.index(r.l)) for r in rows]
-    bags = [(at, n / n.sum(), y) for at, n, y in bags]
+    bags = []
+    while rows:  # the driver holds a sampled text once
+        r = rows.pop()
+        n = np.frombuffer(r.n, np.float32)
+        bags.append((np.frombuffer(r.at, narrow), n / n.sum(), languages.index(r.l)))
+    bags.reverse()
     rng = np.random.default_rng(s.seed)
     order = rng.permutation(len(bags))
     test = order[:: s.left_out] if len(bags) >= 10 * s.left_out else order[:0]
@@ -226,6 +231,7 @@ def identify(spark, model: Model):
                 [pa.array(names[best], pa.string()), pa.array(score, pa.float64()), pa.array(~known | (score < m.reject_below))],
                 ["lang", "score", "rejected"],
             )
+        trim()
 
     return predict
 
