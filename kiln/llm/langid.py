@@ -48,7 +48,7 @@ class Settings:
     steps: int = 16_000
     rate: float = 0.5
     left_out: int = 5  # every fifth sampled row calibrates
-    reject_below: float = 0.5
+    reject_below: float = 0.35
     seed: int = 7
 
 
