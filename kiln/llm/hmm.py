@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import written
-from kiln.llm.superkmer import _runs
+from kiln.llm.common import long_word_hashes, runs, trim, word_hashes, word_spans, written
 
 #: A word holds no separator, so this cannot be one.
 END = b"\n"
@@ -60,17 +59,11 @@ class Settings:
         return self.common + self.classes
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    """Lower-cased (A-Z) words and one end; a null text is empty."""
-    return [*(text or b"").lower().split(), END]
-
-
 def word_class(word: bytes, classes: int) -> int:
     return zlib.crc32(word[:3] + b"|" + word[-2:]) % classes
 
 
-def _bucket(word: bytes, buckets: int) -> int:
-    return zlib.crc32(word) % buckets
+_END_HASH = word_hashes(np.frombuffer(END, np.uint8), np.array([0]), np.array([1]))[0]
 
 
 def _pack(*parts: bytes) -> bytes:
@@ -101,21 +94,42 @@ def _join(words: list[bytes]) -> bytes:
 
 
 class Block:
-    """Distinct words of some texts in a fixed order (bucket, word), and the texts as indexes into it."""
+    """Distinct words of some texts in the order of their hashes, and the texts as indexes into them.
+
+    Buckets are ranges of the hash, so a bucket's words stand together, in an
+    order that does not depend on the order of the texts.
+    """
 
     def __init__(self, texts: list[bytes | None], buckets: int):
-        index: dict[bytes, int] = {}
-        spell = index.setdefault
-        found = [[spell(w, len(index)) for w in tokens(t)] for t in texts]
-        self.lengths = np.array([len(f) for f in found], np.int64)
-        words = list(index)
-        bucket = np.array([_bucket(w, buckets) for w in words])
-        order = sorted(range(len(words)), key=lambda i: (bucket[i], words[i]))
-        place = np.empty(len(words), np.int64)
-        place[order] = np.arange(len(words))
-        self.words = [words[i] for i in order]
-        self.bucket = bucket[order]
-        self.ids = place[np.fromiter((i for f in found for i in f), np.int64, int(self.lengths.sum()))]
+        raw = b"\n".join((t or b"").lower() for t in texts)
+        data = np.frombuffer(raw, np.uint8)
+        starts, ends = word_spans(data)
+        row = np.searchsorted(np.cumsum([len(t or b"") + 1 for t in texts]), starts, "right")
+        count = np.bincount(row, minlength=len(texts))
+        self.lengths = count + 1  # with the end
+        hashes = np.full(int(self.lengths.sum()), _END_HASH)
+        place = np.arange(len(starts)) + row
+        hashes[place] = long_word_hashes(data, starts, ends)
+        word_at = np.full(len(hashes), -1, np.int64)
+        word_at[place] = np.arange(len(starts))
+        kinds, first, self.ids = np.unique(hashes, return_index=True, return_inverse=True)
+        # length and sum of the bytes tell words apart that share a hash
+        total = np.concatenate([[0], np.cumsum(data, dtype=np.int64)])
+        check = np.zeros(len(hashes), np.int64)
+        check[place] = (total[ends] - total[starts]) << np.int64(20) | (ends - starts) & np.int64((1 << 20) - 1)
+        if (check != check[first][self.ids]).any():
+            spelled = [raw[starts[w] : ends[w]] if w >= 0 else END for w in word_at.tolist()]
+            exact = sorted(set(zip(hashes.tolist(), spelled, strict=True)))
+            place_of = {w: i for i, (_, w) in enumerate(exact)}
+            self.ids = np.array([place_of[w] for w in spelled])
+            self.words, kinds = [w for _, w in exact], np.array([h for h, _ in exact], np.uint64)
+        else:
+            at = word_at[first]
+            inside = np.flatnonzero(at >= 0)
+            self.words = [END] * len(kinds)
+            for i, a, b in zip(inside.tolist(), starts[at[inside]].tolist(), ends[at[inside]].tolist(), strict=True):
+                self.words[i] = raw[a:b]
+        self.bucket = ((kinds >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
     def ranges(self) -> Iterator[tuple[int, int, int]]:
         cut = np.flatnonzero(np.concatenate([[True], self.bucket[1:] != self.bucket[:-1], [True]]))
@@ -140,7 +154,7 @@ def _counted(rows: DataFrame, partitions: int, buckets: int, s: Settings) -> Dat
     """(block, bucket, payload): a bucket's answer to each block, and under block -1 its summary."""
 
     def ask(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, held in _runs((f.select(["block", "learn", "t"]) for f in frames), 0):
+        for block, held in runs((f.select(["block", "learn", "t"]) for f in frames), 0):
             b = Block([r[2] for r in held], buckets)
             learned = np.repeat(np.array([r[1] for r in held], bool), b.lengths)
             counts = np.bincount(b.ids[learned], minlength=len(b.words)).astype(np.int64)
@@ -149,9 +163,10 @@ def _counted(rows: DataFrame, partitions: int, buckets: int, s: Settings) -> Dat
                 [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.int32()), pa.array([o[2] for o in out], pa.binary())],
                 ["bucket", "block", "payload"],
             )
+        trim()
 
     def answer(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, held in _runs(frames, 0):
+        for bucket, held in runs(frames, 0):
             index: dict[bytes, int] = {}
             asked = []
             for _, block, payload in held:
