@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kiln.llm import ann, chat, dart, decontam, hmm, langid, mixing, superkmer, tokens, toxicity
 from kiln.llm.common import held_out, learnable, table
@@ -60,6 +61,9 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id bigint, turn bigint, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    # a row is a turn of its own, also if its number is null or repeats
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_last("turn"), "role", "text")
+    rows = rows.withColumn("turn", F.row_number().over(order))
     log = rows.select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("event"), "turn", "role", "text")
     return chat.digests(chat.render(log))
 

@@ -3,7 +3,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from kiln.llm import chat
+from kiln.llm import catalog, chat
 
 PIECES = st.lists(st.sampled_from([*chat.CONTROL, "\\", "\n", "n", "<", "|", "a", chat.OPEN, chat.CLOSE, "é"]), max_size=12).map("".join)
 
@@ -70,3 +70,21 @@ def test_odd_logs(spark):
     events = [(None, 1, "message", None, None, None), (None, 2, "message", 0, "assistant", "x"), (7, 1, "message", 0, "user", "gone"), (7, 2, "retract", 0, None, None)]
     rows = chat.digests(chat.render(log(spark, events))).collect()
     assert [(r.conv_id, r.n_turns, r.loss_chars) for r in rows] == [(None, 2, 1)]
+
+
+def test_repeated_and_null_turns_are_kept_as_in_the_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "bb"), (1, 1, "assistant", "ccc"), (1, None, "assistant", "dddd")]
+    rows += [(2, 0, "user", "x"), (2, 0, "user", "x"), (2, 1, "assistant", "y"), (2, None, "assistant", "z"), (2, None, "assistant", "z")]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r.asDict() for r in catalog.op7_chat(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    result = con.execute(catalog.SQL["op7_chat"])
+    names = [c[0] for c in result.description]
+    want = {r[0]: dict(zip(names, r, strict=True)) for r in result.fetchall()}
+    assert got.keys() == want.keys() and got[2] == want[2] and got[-1] == want[-1]
+    # the SQL leaves the order of different texts of one turn open
+    for name in ("n_turns", "loss_chars", "formatted_chars"):
+        assert got[1][name] == want[1][name]
