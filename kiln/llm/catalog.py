@@ -74,7 +74,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dart.near_classes(table(spark, sf_dir, "documents"))
+    return dart.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "distinct_texts")
 
 
 def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -154,7 +154,7 @@ def weighted(elements: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _sketched(s: Settings):
-    schema = pa.schema([("k", pa.int64()), ("node", pa.binary()), ("sig", pa.binary()), ("n", pa.int64())])
+    schema = pa.schema([("k", pa.int64()), ("node", pa.binary()), ("sig", pa.binary()), ("n", pa.int64()), ("h", pa.int64())])
 
     def sketch(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in batches(frames, 1, 1 << 20):
@@ -171,7 +171,7 @@ def _sketched(s: Settings):
                 own = made[edge[i] : edge[i + 1]]
                 nodes.append(hashlib.md5(own.tobytes()).digest() if len(own) else None)
                 sigs.append(sig[i].tobytes() if len(own) else None)
-            yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary()), pa.array(np.diff(edge), pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([frame.column(0), pa.array(nodes, pa.binary()), pa.array(sigs, pa.binary()), pa.array(np.diff(edge), pa.int64()), frame.column(2)], schema=schema)
         trim()
 
     return sketch
@@ -352,19 +352,22 @@ def _block_links(mixed: DataFrame, own: DataFrame, s: Settings) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings | None = None) -> DataFrame:
-    """(key, class_id, distinct_texts): one row per input row.
+    """(key, class_id, distinct_texts, text_hash, class_node): one row per input row.
 
     ``class_id`` is the least key of the document's class, ``distinct_texts``
     the number of different word sequences in it.  A text without a word
     (null, empty, separators only) is like no other: its class is its own key
     and has no distinct text.  A text of fewer than ``words`` words is one
     shingle.  Repeated rows and exact copies share a class; a null key is
-    never the least one unless its class has no other.  Further columns are
-    ignored; an empty table gives no rows.
+    never the least one unless its class has no other.  ``text_hash`` (of the
+    whole text) and ``class_node`` (one per class, null without a word) tell
+    rows and classes apart where keys repeat or are null.  Further columns
+    are ignored; an empty table gives no rows.
     """
     s = settings or Settings()
     rows = docs.select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t"))
-    sketch = written(rows.mapInArrow(_sketched(s), "k bigint, node binary, sig binary, n bigint"), "near-sketch")
+    hashed = rows.withColumn("h", F.xxhash64("t"))
+    sketch = written(hashed.mapInArrow(_sketched(s), "k bigint, node binary, sig binary, n bigint, h bigint"), "near-sketch")
     nodes = written(sketch.where("node is not null").groupBy("node").agg(F.first("sig").alias("sig"), F.max("n").alias("n"), F.min("k").alias("k")), "near-nodes")
     bands = (F.xxhash64(F.lit(b), F.substring(F.col("sig"), 4 * s.rows * b + 1, 4 * s.rows)) for b in range(s.bands))
     banded = nodes.select("node", F.posexplode(F.array(*bands)).alias("band", "bucket"))
@@ -381,11 +384,13 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", setti
 
     classed = nodes.select("node", "k").join(joined, "node", "left").withColumn("c", F.coalesce("component", "node"))
     least = classed.groupBy("c").agg(F.min("k").alias("class_id"), F.count(F.lit(1)).alias("distinct_texts"))
-    by_node = classed.select("node", "c").join(least, "c").select("node", "class_id", "distinct_texts")
-    return sketch.select("k", "node").join(by_node, "node", "left").select(
+    by_node = classed.select("node", "c").join(least, "c").select("node", "c", "class_id", "distinct_texts")
+    return sketch.select("k", "node", "h").join(by_node, "node", "left").select(
         F.col("k").alias(key),
         F.when(F.col("node").isNull(), F.col("k")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("distinct_texts", F.lit(0).cast("bigint")).alias("distinct_texts"),
+        F.col("h").alias("text_hash"),
+        F.col("c").alias("class_node"),
     )
 
 
@@ -413,11 +418,18 @@ def _texts_of(rows: DataFrame, holders: DataFrame, s: Settings) -> DataFrame:
 
 
 def kept(docs: DataFrame, classes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay: of each class the one with the least key (one row of it, if rows repeat)."""
+    """The documents that stay: of each class one row, the least by key (null last) and text hash.
+
+    Texts without a word are in no class and stay, once per key and text; those without a key all stay.
+    """
     from pyspark.sql.window import Window
 
-    stay = classes.where(F.col(key).eqNullSafe(F.col("class_id"))).select(F.col(key).alias("__k")).distinct()
-    one = Window.partitionBy(key).orderBy(F.xxhash64(F.col(text)))
-    same: Column = docs[key].eqNullSafe(stay["__k"])
-    numbered = docs.join(stay, same, "left_semi").withColumn("__row", F.row_number().over(one))
-    return numbered.where((F.col("__row") == 1) | F.col(key).isNull()).drop("__row")
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("__k"), F.col("text_hash").alias("__h"))
+    least = classes.where("class_node is not null").groupBy("class_node").agg(F.min(order).alias("r")).select("r.__k", "r.__h", F.lit(True).alias("__one"))
+    alone = classes.where("class_node is null").select(F.col(key).alias("__k"), F.col("text_hash").alias("__h"), F.col(key).isNotNull().alias("__one"))
+    stay = least.unionByName(alone).distinct()
+    marked = docs.withColumn("__h", F.xxhash64(F.col(text)))
+    same: Column = marked[key].eqNullSafe(stay["__k"]) & (marked["__h"] == stay["__h"])
+    found = marked.join(stay, same).select(*(marked[c] for c in marked.columns), stay["__one"])
+    numbered = found.withColumn("__row", F.row_number().over(Window.partitionBy(key, "__h").orderBy(F.lit(0))))
+    return numbered.where("__row = 1 or not __one").drop("__h", "__one", "__row")

@@ -72,6 +72,14 @@ def test_odd_rows(spark, documents):
     assert [i for i, _ in left] == [1, 2, 3, 4, 6]
 
 
+def test_one_row_of_each_class_stays_where_keys_are_null_or_repeat(spark, documents):
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "only null keys"), (None, "only null keys"), (None, near), (3, near), (5, "a clean text"), (5, near + " more"), (5, ""), (5, None), (None, ""), (None, "")]
+    docs = documents(rows)
+    left = sorted(((r.doc_id, r.text) for r in dart.kept(docs, dart.near_classes(docs)).collect()), key=str)
+    assert left == sorted([(None, "only null keys"), (3, near), (5, "a clean text"), (5, ""), (5, None), (None, ""), (None, "")], key=str)
+
+
 @pytest.mark.parametrize("counted", [False, True])
 def test_signatures_agree_like_the_weighted_similarity(counted):
     rng = np.random.default_rng(1)
