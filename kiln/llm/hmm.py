@@ -327,8 +327,9 @@ def forward(model: Model, sequences: list[np.ndarray], limit: int) -> np.ndarray
 def expected(model: Model, sequences: list[np.ndarray], s: Settings) -> list[np.ndarray]:
     """Expected counts [start, move, emit] over the sequences (forward-backward).
 
-    A sequence above ``group`` tokens is run in pieces of that length, each
-    starting from the state shares before it.
+    A sequence above ``group`` tokens is run in pieces of that length: each
+    starts from ``model.start`` and counts as a start, and the transitions
+    across the cuts are not counted.
     """
     pieces = [x[i : i + s.group] for x in sequences for i in range(0, len(x), s.group)]
     small = Model(*(m.astype(np.float32) for m in (model.start, model.move, model.emit)))
