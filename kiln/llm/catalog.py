@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kiln.llm import ann, chat, dart, decontam, hmm, langid, mixing, superkmer, tokens, toxicity
+from kiln.llm import ann, chat, dart, decontam, hmm, langid, mixing, superkmer, tokens, toxicity, whiten
 from kiln.llm.common import held_out, learnable, table
 from kiln.llm.oracle import SQL  # noqa: F401
 
@@ -82,6 +82,10 @@ def op10_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(docs, learnable("doc_id", 7, 2), held_out("doc_id", 7, 2))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -93,5 +97,6 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_hidden_markov": op10_hidden_markov,
+    "op11_whitening": op11_whitening,
 }
 
