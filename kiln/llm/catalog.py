@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kiln.llm import ann, chat, dart, decontam, hmm, langid, mixing, superkmer, tokens, toxicity, whiten
+from kiln.llm import align, ann, chat, dart, decontam, hmm, langid, mixing, superkmer, tokens, toxicity, whiten
 from kiln.llm.common import held_out, learnable, table
 from kiln.llm.oracle import SQL  # noqa: F401
 
@@ -17,6 +17,12 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
@@ -86,6 +92,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"), byte_bpe(), piece_bpe())
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -98,5 +108,6 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_hidden_markov": op10_hidden_markov,
     "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
 }
 
