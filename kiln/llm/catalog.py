@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kiln.llm import align, ann, chat, dart, decontam, hmm, langid, mixing, superkmer, tokens, toxicity, whiten
+from kiln.llm import align, ann, chat, dart, decontam, hmm, langid, mixing, quality, superkmer, tokens, toxicity, whiten
 from kiln.llm.common import held_out, learnable, table
 from kiln.llm.oracle import SQL  # noqa: F401
 
@@ -96,6 +96,13 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.alignment(table(spark, sf_dir, "documents"), byte_bpe(), piece_bpe())
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    scored = quality.with_quality(docs, quality.train(docs, labels.where(learnable("doc_id", 4, 2))), column="score")
+    return scored.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
@@ -109,5 +116,6 @@ QUERIES = {
     "op10_hidden_markov": op10_hidden_markov,
     "op11_whitening": op11_whitening,
     "op12_alignment": op12_alignment,
+    "op13_quality": op13_quality,
 }
 
