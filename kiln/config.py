@@ -22,11 +22,21 @@ class DedupConfig:
     shingle_size: int = 5
     num_perm: int = 128
     similarity_threshold: float = 0.85
-    # 8 bands x 16 rows covers the 128 permutations.
-    bands: int = 8
-    rows: int = 16
+    # Bands and rows per band; where not given, the best ones for threshold and permutations (8 x 16 here).
+    bands: int | None = None
+    rows: int | None = None
     seed: int = 1
 
+    def __post_init__(self) -> None:
+        from kiln.operators.bands import band_parameters
+
+        if (self.bands is None) != (self.rows is None):
+            raise ValueError("give bands and rows together, or neither")
+        if self.bands is None:
+            bands, rows = band_parameters(self.similarity_threshold, self.num_perm)
+            object.__setattr__(self, "bands", bands)
+            object.__setattr__(self, "rows", rows)
+
 
 @dataclass(frozen=True)
 class TokenizerConfig:

@@ -28,7 +28,6 @@ LINE_BREAK = r"\r\n|[\n\r\x{0B}\f\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 # The 32 ASCII symbols of string.punctuation.
 PUNCTUATION = string.punctuation  # !"#$%&'()*+,-./:;<=>?@[\]^_`{|}~
 
-STRIP_PATTERN = rf"^{WS_CLASS}+|{WS_CLASS}+$"
 
 
 def _col(c: Column | str) -> Column:
@@ -109,7 +108,3 @@ def repeated_line_stats(sorted_lines: Column | str) -> tuple[Column, Column]:
 def excerpt(text: Column | str, n: int) -> Column:
     """``text[:n]`` in code points."""
     return F.substring(_col(text), 1, n)
-
-
-def lower_words(text: Column | str) -> Column:
-    return py_split(F.lower(_col(text)))

@@ -1,19 +1,12 @@
 """Byte-level BPE T1-T10 and the fertility reports A8, A9.
 
 * Pretokens (T2) come from a JVM regex (GPT-2 pattern, space put in front).
-* Training (T4) runs on the distinct-pretoken table ``(word, cnt, sym)``:
-  each round counts weighted adjacent pairs with a distributed group-by,
-  brings the top ``K`` pairs (a bounded list) to the driver, picks the
-  longest safe batch of merges and applies it with a JVM fold over each
-  word's symbols.  Pairs whose token would be too long are left out before
-  the ranking (the token lengths, bounded by the vocabulary, are broadcast).  A batch is the ranking's prefix of pairs with pairwise
-  disjoint symbols, cut at the first pair touching a used symbol; a merge
-  can only create or lower pairs ranked after that cut, so the batch equals
-  the same merges done one at a time (greedy, ties to smaller ids).
+* Training (T4) runs on the distinct-pretoken table, see ``bpe_train``.
 * Encoding (T6) is one Arrow pass where the documents are: the merge ranks,
-  bounded by the vocabulary, are broadcast, and a bounded cache per task
-  keeps the ids of pretokens; nothing is exploded or shuffled.  Merging one
-  pretoken takes a heap over a linked list, n log n in its length.
+  bounded by the vocabulary, travel with it; nothing is exploded or shuffled.
+  The distinct pretokens of some megabytes of text are merged together by
+  array operations; very long ones by a heap over a linked list, n log n in
+  their length.
 """
 
 from __future__ import annotations
@@ -22,8 +15,10 @@ import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +26,8 @@ from pyspark.sql import types as T
 from kiln.config import TokenizerConfig
 from kiln.functions.text import excerpt, py_split
 from kiln.operators.ordering import exact_quantiles, with_prefix_sum
-from kiln.session import adaptive_off, cut_lineage
+from kiln.operators.bpe_train import Learned, Phases, learn, word_symbols
+from kiln.session import cut_lineage, stage_table
 
 # Whitespace as the byte-level pretokenizer sees it (Unicode
 # White_Space; unlike str.isspace() it excludes \x1C-\x1F).
@@ -41,7 +37,6 @@ PRETOKEN_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + BPE_WS + r"\p{L}\p{N}]+"
     r"|[" + BPE_WS + r"]+(?![^" + BPE_WS + r"])|[" + BPE_WS + r"]+"
 )
-KEY = 1 << 32  # pair key = left * KEY + right; ids are 32-bit
 
 
 def byte_chars() -> list[str]:
@@ -77,15 +72,6 @@ def pretoken_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(F.explode(pretokens(text_col)).alias("word")).groupBy("word").agg(F.count("*").alias("cnt"))
 
 
-def word_bytes(word: Column | str) -> Column:
-    """UTF-8 bytes of a string as ``array<int>``."""
-    w = F.col(word) if isinstance(word, str) else word
-    hx = F.hex(F.encode(w, "UTF-8"))
-    return F.transform(
-        F.sequence(F.lit(0), F.octet_length(w) - 1), lambda i: F.conv(F.substring(hx, 2 * i + 1, 2), 16, 10).cast("int")
-    )
-
-
 # ------------------------------------------------------------------ T4, T5
 @dataclass
 class BPEModel:
@@ -93,7 +79,7 @@ class BPEModel:
     specials: tuple[str, ...]
     byte_ids: list[int]  # byte value -> id (-1 when the byte is unknown)
     merges: list[tuple[int, int, int]]  # rank order: (left, right, new id)
-    rounds: int = 0  # Spark rounds the training took
+    rounds: int = 0  # phases the training took
 
     @property
     def vocab_size(self) -> int:
@@ -113,126 +99,37 @@ class BPEModel:
         return spark.createDataFrame(rows, "rank int, left_id int, right_id int, new_id int")
 
 
-def _pairs(words: DataFrame) -> DataFrame:
-    n = F.size("sym")
-    z = F.arrays_zip(F.slice("sym", 1, n - 1).alias("a"), F.slice("sym", 2, n - 1).alias("b"))
-    return (
-        words.select("cnt", F.inline(z))
-        .groupBy("a", "b")
-        .agg(F.sum("cnt").alias("c"))
-    )
-
+def train_bpe(docs: DataFrame, cfg: TokenizerConfig = TokenizerConfig(), text_col: str = "text", phases: Phases = Phases()) -> BPEModel:
+    """T4/T5: greedy byte-level BPE (see ``bpe_train``); specials come first, then the bytes by their character.
 
-def _apply_merges(words: DataFrame, batch: dict[tuple[int, int], int]) -> DataFrame:
-    """Left-to-right, non-overlapping application of disjoint merges (JVM fold)."""
-    m = F.create_map(*[x for (a, b), n in batch.items() for x in (F.lit(a * KEY + b), F.lit(n))])
-    init = F.struct(F.array().cast("array<int>").alias("out"), F.lit(None).cast("int").alias("prev"))
-
-    def step(acc, x):
-        key = acc["prev"].cast("long") * KEY + x
-        hit = acc["prev"].isNotNull() & F.map_contains_key(m, key)
-        return (
-            F.when(hit, F.struct(F.array_append(acc["out"], F.element_at(m, key).cast("int")).alias("out"),
-                                 F.lit(None).cast("int").alias("prev")))
-            .when(acc["prev"].isNull(), F.struct(acc["out"].alias("out"), x.alias("prev")))
-            .otherwise(F.struct(F.array_append(acc["out"], acc["prev"]).alias("out"), x.alias("prev")))
-        )
-
-    def finish(acc):
-        return F.when(acc["prev"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], acc["prev"]))
-
-    n = F.size("sym")
-    touched = F.exists(
-        F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-        lambda i: F.map_contains_key(m, F.element_at("sym", i).cast("long") * KEY + F.element_at("sym", i + 1)),
-    )
-    new_sym = F.when((n >= 2) & touched, F.aggregate("sym", init, step, finish)).otherwise(F.col("sym"))
-    return words.select("word", "cnt", new_sym.alias("sym")).where(F.size("sym") >= 2)
-
-
-def train_bpe(
-    docs: DataFrame,
-    cfg: TokenizerConfig = TokenizerConfig(),
-    text_col: str = "text",
-    top_k: int = 512,
-    checkpoint_every: int = 4,
-) -> BPEModel:
-    """T4/T5: greedy byte-level BPE with batched rounds (see module notes)."""
+    The loop runs in a session of its own without AQE: its shuffles are
+    small pre-aggregated sums, which AQE would only plan again and again.
+    """
     spark = docs.sparkSession
-    counts = pretoken_counts(docs, text_col).withColumn("sym", word_bytes("word"))
-    counts = cut_lineage(counts)
-    if cfg.seed_all_bytes:
-        present = list(range(256))
-    else:
-        present = sorted(r[0] for r in counts.select(F.explode("sym").alias("b")).distinct().collect())
+    quiet = spark.newSession()
+    quiet.conf.set("spark.sql.adaptive.enabled", "false")
+    counts = stage_table(pretoken_counts(docs, text_col), "bpe-counts", quiet)
+    present = list(range(256)) if cfg.seed_all_bytes else _present(counts)
     specials = tuple(cfg.special_tokens)
-    # Initial ids: specials, then bytes ordered by their mapped character.
     order = sorted(present, key=lambda b: ord(BYTE_CHARS[b]))
     tokens: list[bytes] = [s.encode() for s in specials] + [bytes([b]) for b in order]
     byte_ids = [-1] * 256
     for i, b in enumerate(order):
         byte_ids[b] = len(specials) + i
-    index = {t: i for i, t in enumerate(tokens) if i >= len(specials)}
-    id_map = F.array(*[F.lit(x) for x in byte_ids])
-    words = counts.select(
-        "word", "cnt", F.transform("sym", lambda b: F.element_at(id_map, b + 1)).alias("sym")
-    ).where(F.size("sym") >= 2)
-    words = cut_lineage(words)
-    merges: list[tuple[int, int, int]] = []
-    with adaptive_off(spark):
-        rounds = _merge_rounds(words, tokens, index, merges, cfg, top_k, checkpoint_every)
-    return BPEModel(tokens, specials, byte_ids, merges, rounds)
-
-
-def _merge_rounds(words, tokens, index, merges, cfg, top_k, checkpoint_every) -> int:
-    """The training loop: one pair-count job per round (state persisted)."""
-    rounds = 0
-    stale: list[DataFrame] = []
-    while len(tokens) < cfg.vocab_size:
-        sizes = words.sparkSession.createDataFrame([(i, len(t)) for i, t in enumerate(tokens)], "id int, bytes int")
-        left = F.broadcast(sizes.select(F.col("id").alias("a"), F.col("bytes").alias("an")))
-        right = F.broadcast(sizes.select(F.col("id").alias("b"), F.col("bytes").alias("bn")))
-        top = (
-            _pairs(words)
-            .where(F.col("c") >= cfg.min_frequency)
-            .join(left, "a")
-            .join(right, "b")
-            .where(F.col("an") + F.col("bn") <= cfg.max_token_length)
-            .select("a", "b", "c")
-            .orderBy(F.desc("c"), "a", "b")
-            .limit(top_k)
-            .collect()
-        )
-        if not top:  # no pair left that may be merged
-            break
-        used: set[int] = set()
-        batch: dict[tuple[int, int], int] = {}
-        for a, b, _ in top:
-            if len(tokens) >= cfg.vocab_size:
-                break
-            if a in used or b in used:
-                break
-            merged = tokens[a] + tokens[b]
-            new_id = index.get(merged)
-            if new_id is None:
-                new_id = len(tokens)
-                tokens.append(merged)
-                index[merged] = new_id
-            batch[(a, b)] = new_id
-            merges.append((a, b, new_id))
-            used |= {a, b, new_id}
-        rounds += 1
-        previous = words
-        if rounds % checkpoint_every == 0:
-            words = cut_lineage(_apply_merges(words, batch))
-        else:
-            words = _apply_merges(words, batch).persist()
-        stale.append(previous)
-        if len(stale) > 2:
-            stale.pop(0).unpersist()
-    for df in stale:
-        df.unpersist()
-    return rounds
+    learned = Learned(tokens, {t: i for i, t in enumerate(tokens) if i >= len(specials)})
+    words = stage_table(word_symbols(counts, byte_ids), "bpe-words")
+    learn(words, learned, cfg.vocab_size, cfg.min_frequency, cfg.max_token_length, phases)
+    return BPEModel(learned.tokens, specials, byte_ids, learned.merges, learned.phases)
+
+
+def _present(counts: DataFrame) -> list[int]:
+    """The byte values that occur in the words."""
+
+    def seen(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = set().union(*(w.encode() for f in frames for w in f.column("word").to_pylist()))
+        yield pa.RecordBatch.from_pydict({"b": pa.array(sorted(found), pa.int32())})
+
+    return sorted(r.b for r in counts.select("word").mapInArrow(seen, "b int").distinct().collect())
 
 
 NEED = ("<pad>", "<bos>", "<eos>", "<unk>")
@@ -269,23 +166,11 @@ def contract(vocab: DataFrame, merges: DataFrame, encoded: DataFrame, cfg: Token
 
 # ------------------------------------------------------------------ T6, T7, T8
 class Encoder:
-    """Ids of one pretoken at a time, with a bounded cache."""
+    """Ids of one pretoken at a time."""
 
-    def __init__(self, model: BPEModel, cache: int = 200_000):
+    def __init__(self, model: BPEModel):
         self.ranks = {(a, b): (r, n) for r, (a, b, n) in enumerate(model.merges)}
-        self.byte_ids = model.byte_ids
         self.unk = model.specials.index("<unk>") if "<unk>" in model.specials else 3
-        self.held: dict[str, list[int]] = {}
-        self.cache = cache
-
-    def __call__(self, word: str) -> list[int]:
-        ids = self.held.get(word)
-        if ids is None:
-            ids = self.merge([b if b >= 0 else self.unk for b in (self.byte_ids[x] for x in word.encode("utf-8"))])
-            if len(self.held) >= self.cache:
-                self.held.clear()
-            self.held[word] = ids
-        return ids
 
     def merge(self, ids: list[int]) -> list[int]:
         """Apply merges in rank order, leftmost first: a heap of pairs over a linked list."""
@@ -316,19 +201,114 @@ class Encoder:
         return [x for x in ids if x >= 0]
 
 
+#: Pretokens above this many bytes are merged by a heap, whose work does not grow with the number of rounds.
+LONG = 256
+#: Characters of texts whose pretokens are encoded at once.
+PIECE = 4 << 20
+
+
+class BatchEncoder:
+    """Ids of all distinct pretokens of a batch by array operations.
+
+    All words are one array of symbols.  A round finds each word's lowest
+    rank, merges that pair wherever the word has it, from left to right, and
+    sets aside the words without a pair that merges.
+    """
+
+    def __init__(self, model: BPEModel):
+        self.single = Encoder(model)
+        keys = np.array([a << 32 | b for a, b, _ in model.merges], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.rank = keys[order], order.astype(np.int64)
+        self.new = np.array([n for *_, n in model.merges], np.int64)
+        self.bytes = np.array([self.single.unk if i < 0 else i for i in model.byte_ids], np.int64)
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one word after the other, ids of each word)."""
+        raw = words.cast(pa.large_binary())
+        offsets = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, raw.offset * 8)
+        data = np.frombuffer(raw.buffers()[2], np.uint8, offsets[-1] - offsets[0], offsets[0]) if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+        size = np.diff(offsets)
+        word = np.repeat(np.arange(len(size)), size)
+        short = size <= LONG
+        inside = short[word]
+        told, of = self.rounds(self.bytes[data[inside]], word[inside])
+        for i in np.flatnonzero(~short).tolist():
+            ids = self.single.merge(self.bytes[data[offsets[i] - offsets[0] : offsets[i + 1] - offsets[0]]].tolist())
+            told.append(np.array(ids, np.int64))
+            of.append(np.full(len(ids), i))
+        flat, which = np.concatenate([np.zeros(0, np.int64), *told]), np.concatenate([np.zeros(0, np.int64), *of])
+        return flat[np.argsort(which, kind="stable")], np.bincount(which, minlength=len(size))
+
+    def rounds(self, sym: np.ndarray, word: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(ids, word of each id) in pieces; a word's ids stand together, in order."""
+        told, of, none = [], [], np.int64(len(self.keys))
+        while len(sym) and len(self.keys):
+            key = sym[:-1] << np.int64(32) | sym[1:]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            rank = np.full(len(sym), none)
+            rank[:-1] = np.where((self.keys[at] == key) & (word[:-1] == word[1:]), self.rank[at], none)
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            least = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(sym))))
+            done = least == none
+            told.append(sym[done])
+            of.append(word[done])
+            hit = (rank == least) & ~done
+            # neighbouring hits overlap (a pair of equal symbols): every other one of a run is merged
+            place = np.arange(len(hit))
+            start = np.maximum.accumulate(np.where(hit & ~np.concatenate([[False], hit[:-1]]), place, -1))
+            hit &= (place - start) % 2 == 0
+            sym = np.where(hit, self.new[np.minimum(rank, none - 1)], sym)
+            keep = ~done
+            keep[1:] &= ~hit[:-1]
+            sym, word = sym[keep], word[keep]
+        told.append(sym)
+        of.append(word)
+        return told, of
+
+
 def _encoded(model: BPEModel, counts: bool):
     """Arrow UDF over arrays of pretokens: their ids, or the number of them."""
 
     @F.arrow_udf("bigint" if counts else "array<int>")
     def encode(frames: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(model)
+        encoder = BatchEncoder(model)
         for words in frames:
-            rows = ([i for w in row or () for i in encoder(w)] for row in (x.as_py() for x in words))
-            yield pa.array(map(len, rows), pa.int64()) if counts else pa.array(rows, pa.list_(pa.int32()))
+            parts = [_ids(encoder, part, counts) for part in _pieces(words)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.int64() if counts else pa.list_(pa.int32()))
 
     return encode
 
 
+def _pieces(words: pa.Array) -> Iterator[pa.Array]:
+    """Slices of about ``PIECE`` characters (one row at least)."""
+    strings = words.flatten()
+    size = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    length = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(strings), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+    ends = length[np.cumsum(size)]
+    i = 0
+    while i < len(words):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PIECE, "right")))
+        yield words.slice(i, j - i)
+        i = j
+
+
+def _ids(encoder: BatchEncoder, words: pa.Array, counts: bool) -> pa.Array:
+    """The ids of each row's pretokens; equal pretokens are encoded once."""
+    coded = words.flatten().dictionary_encode()
+    flat, each = encoder(coded.dictionary)
+    which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto = np.concatenate([[0], np.cumsum(each[which])])
+    ends = upto[np.concatenate([[0], np.cumsum(rows)])]
+    if counts:
+        return pa.array(np.diff(ends))
+    begin = (np.cumsum(each) - each)[which]
+    n = each[which]
+    at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat[at], pa.int32()))
+
+
 def encode_documents(docs: DataFrame, model: BPEModel, text_col: str = "text", order_col: str = "seq") -> DataFrame:
     """``(seq, ids)`` per document; a null or empty text has no id.
 

@@ -9,19 +9,25 @@ here with bounded per-task state:
   partition), turn the totals into offsets, and add them to a running sum in
   a JVM window per range partition.  The offsets table is bounded by the
   partition count.
-* ``exact_quantiles``: values are counted per distinct value first; the
-  running totals of those counts place every rank, so nothing is sketched
-  and no group's values meet in one task.
+* ``exact_quantiles``: selection by digits.  A double's bits, put into an
+  order-preserving form, are four digits of 16 bits; a pass counts one digit
+  of the values that share the digits found so far.  Tasks hand over
+  histograms of fixed size, so nothing is sorted, sketched or shuffled by
+  value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.session import cut_lineage, stage_table
+from kiln.session import cut_lineage
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -80,35 +86,77 @@ def with_position(df: DataFrame, order_col: str, out_col: str = "position") -> D
     return out
 
 
+_SIGN = np.uint64(1 << 63)
+
+
+def ordered_bits(x: np.ndarray) -> np.ndarray:
+    """Doubles as unsigned integers in the same order (-0.0 equals 0.0; NaN is last)."""
+    bits = (np.where(np.isnan(x), np.nan, x) + 0.0).view(np.uint64)
+    return np.where(bits & _SIGN, ~bits, bits | _SIGN)
+
+
+def from_ordered_bits(bits: int) -> float:
+    """The double of ``ordered_bits``."""
+    raw = bits ^ (1 << 63) if bits >> 63 else ~bits & (1 << 64) - 1
+    return float(np.array([raw], np.uint64).view(np.float64)[0])
+
+
+def digit_counts(vals: DataFrame, wanted: Mapping, shift: int) -> DataFrame:
+    """``(g, prefix, digit, n)``: the 16 bits above ``shift`` of the values whose higher bits are a wanted prefix of their group."""
+
+    def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {(g, p): np.zeros(1 << 16, np.int64) for g, prefixes in wanted.items() for p in prefixes}
+        for frame in frames:
+            groups = frame.column("g").dictionary_encode()
+            names, of = groups.dictionary.to_pylist(), groups.indices.fill_null(len(groups.dictionary)).to_numpy(zero_copy_only=False)
+            bits = ordered_bits(frame.column("x").to_numpy(zero_copy_only=False))
+            for i, g in enumerate([*names, None]):
+                own = bits[of == i] if len(wanted.get(g, ())) else bits[:0]
+                higher = own >> np.uint64(shift + 16) if shift < 48 else np.zeros(len(own), np.uint64)
+                digit = (own >> np.uint64(shift) & np.uint64(0xFFFF)).astype(np.int64)
+                for p in wanted.get(g, ()):
+                    total[g, p] += np.bincount(digit[higher == np.uint64(p)], minlength=1 << 16)
+        for (g, p), n in total.items():
+            at = np.flatnonzero(n)
+            columns = {"g": pa.array([g] * len(at), pa.string()), "prefix": pa.array([str(p)] * len(at)), "digit": pa.array(at, pa.int32()), "n": pa.array(n[at])}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return vals.mapInArrow(count, "g string, prefix string, digit int, n bigint").groupBy("g", "prefix", "digit").agg(F.sum("n").alias("n"))
+
+
 def exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: Sequence[tuple[str, float]]) -> DataFrame:
     """Per group: ``n, min, max, mean`` and each named linear-interpolated quantile.
 
     Matches ``numpy.percentile`` / ``statistics.median`` (rank ``p (n - 1)``).
-    Nulls are ignored.  The broadcast side has one row per group; groups are
-    few (metrics, ratios).
+    Nulls are ignored.  Groups are few (metrics, ratios): the driver holds a
+    row and, in each of the four passes, histograms of at most 2**16 counts
+    for each of a group's quantiles.  The passes read the persisted narrow
+    values.
     """
-    vals = df.select(F.col(group_col).alias("_g"), F.col(value_col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    counts = stage_table(vals.groupBy("_g", "_x").agg(F.count("*").alias("_c")), "value-counts")
-    ranked, _ = prefix_totals(counts, ["_g", "_x"], {"_start": F.col("_c")}, carry=["_c"])
-    ranked = stage_table(ranked, "value-ranks")
-    stats = ranked.groupBy("_g").agg(
-        F.sum("_c").alias("n"),
-        F.min("_x").alias("min"),
-        F.max("_x").alias("max"),
-        (F.sum(F.col("_x") * F.col("_c")) / F.sum("_c")).alias("mean"),
-        F.min("_start").alias("_base"),
-    )
-    placed = ranked.join(F.broadcast(stats), "_g").withColumn("_rank", F.col("_start") - F.col("_base"))
-
-    def value_at(rank: Column) -> Column:
-        hit = (rank >= F.col("_rank")) & (rank < F.col("_rank") + F.col("_c"))
-        return F.max(F.when(hit, F.col("_x")))
-
-    at = [(name, F.lit(p) * (F.col("n") - 1)) for name, p in probs]
-    picked = placed.groupBy("_g").agg(
-        *[value_at(F.floor(pos)).alias(f"_lo_{name}") for name, pos in at], *[value_at(F.ceil(pos)).alias(f"_hi_{name}") for name, pos in at]
-    )
-    between = [
-        (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (pos - F.floor(pos))).alias(name) for name, pos in at
-    ]
-    return stats.join(picked, "_g").select(F.col("_g").alias(group_col), "n", "min", "max", "mean", *between)
+    vals = df.select(F.col(group_col).cast("string").alias("g"), F.col(value_col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    vals = vals.persist(StorageLevel.MEMORY_AND_DISK)
+    stats = vals.groupBy("g").agg(F.count("*").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean")).collect()
+    ranks = {(r.g, k): (0, k) for r in stats for _, p in probs for k in (math.floor(p * (r.n - 1)), math.ceil(p * (r.n - 1)))}
+    for shift in (48, 32, 16, 0):
+        wanted: dict = {}
+        for (g, _), (prefix, _) in ranks.items():
+            wanted.setdefault(g, set()).add(prefix)
+        found: dict = {}
+        for r in digit_counts(vals, wanted, shift).collect():
+            found.setdefault((r.g, int(r.prefix)), []).append((r.digit, r.n))
+        for (g, k), (prefix, rest) in ranks.items():
+            for digit, n in sorted(found[g, prefix]):
+                if rest < n:
+                    break
+                rest -= n
+            ranks[g, k] = (prefix << 16 | digit, rest)
+    vals.unpersist()
+
+    def at(g, n: int, p: float) -> float:
+        rank = p * (n - 1)
+        lo, hi = (from_ordered_bits(ranks[g, k][0]) for k in (math.floor(rank), math.ceil(rank)))
+        return lo + (hi - lo) * (rank - math.floor(rank))
+
+    rows = [(r.g, r.n, r.min, r.max, r.mean, *(at(r.g, r.n, p) for _, p in probs)) for r in stats]
+    names = "".join(f", {name} double" for name, _ in probs)
+    return df.sparkSession.createDataFrame(rows, f"{group_col} string, n bigint, min double, max double, mean double{names}")

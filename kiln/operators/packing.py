@@ -9,7 +9,7 @@ are documents + blocks, not tokens.  Blocks are assembled by a group-by on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.config import PackConfig
@@ -135,6 +135,21 @@ def packing_report(
     )
 
 
+def batch_draws(spark: SparkSession, steps: int, batch_size: int, n_blocks: int, seed: int = 0) -> DataFrame:
+    """Repeatable uniform draws with replacement: ``(step, slot, block)`` of ``batch_size`` blocks per step.
+
+    The block of a slot is 60 bits of ``md5(seed:step:slot) mod n_blocks``.
+    """
+    if n_blocks == 0:
+        raise ValueError("no blocks to draw from")
+    plan = spark.range(steps * batch_size).select(
+        (F.col("id") / batch_size).cast("long").alias("step"),
+        (F.col("id") % batch_size).cast("int").alias("slot"),
+    )
+    key = F.concat_ws(":", F.lit(str(seed)), F.col("step").cast("string"), F.col("slot").cast("string"))
+    return plan.withColumn("block", (F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long") % F.lit(n_blocks)))
+
+
 def batch_plan(
     blocks: DataFrame,
     steps: int,
@@ -143,25 +158,11 @@ def batch_plan(
     split: str = "train",
     n_blocks: int | None = None,
 ) -> DataFrame:
-    """Repeatable uniform draw with replacement of ``batch_size`` blocks per step.
-
-    The plan ``(step, slot)`` is generated by ``spark.range``; the block of
-    a slot is 60 bits of ``md5(seed:step:slot) mod n_blocks``, then an equi-join brings
-    the block's arrays.
-    """
-    spark = blocks.sparkSession
+    """P7 over blocks that are not written: the draws and, by an equi-join, their arrays (see ``packed.lookup`` for written ones)."""
     chosen = blocks.where(F.col("split") == split)
     # ``split_block_counts`` gives the count from the packing totals without a pass.
     n = chosen.count() if n_blocks is None else n_blocks
-    if n == 0:
-        raise ValueError(f"no blocks in split {split!r}")
-    plan = spark.range(steps * batch_size).select(
-        (F.col("id") / batch_size).cast("long").alias("step"),
-        (F.col("id") % batch_size).cast("int").alias("slot"),
-    )
-    key = F.concat_ws(":", F.lit(str(seed)), F.col("step").cast("string"), F.col("slot").cast("string"))
-    plan = plan.withColumn("block", (F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long") % F.lit(n)))
-    return plan.join(chosen.drop("split"), "block")
+    return batch_draws(blocks.sparkSession, steps, batch_size, n, seed).join(chosen.drop("split"), "block")
 
 
 def split_block_counts(total: int, cut: int, block_size: int) -> dict[str, int]:

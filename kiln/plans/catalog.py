@@ -7,6 +7,7 @@ the two engines hash the same values.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 from kiln.config import IngestConfig
 from kiln.config import DedupConfig, PackConfig, TokenizerConfig
 from kiln.operators import bpe, dedup, packing, reports, runlog, vocab
+from kiln.operators.bands import candidate_probability
 from kiln.operators.ordering import with_prefix_sum
 from kiln.plans.tables import conformed, documents, kept, metrics, scan_partitions, table
 from kiln.session import stage_table
-from kiln.sources import corpus, sinks
+from kiln.sources import corpus, packed, sinks
 from kiln.streaming.ingest import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,13 +63,27 @@ def q_shard_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _written_shards(spark: SparkSession, sf: str) -> str:
+    out = scratch(spark, "shards")
+    corpus.write_shards(documents(spark, sf), out, shard_size=64)
+    return out
+
+
 def q_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    docs = corpus.with_shards(documents(spark, sf), shard_size=64)
-    # Bytes here are the UTF-8 text bytes the query reads; ``manifest`` also
-    # takes the on-disk size from ``corpus.directory_size``.
-    text_bytes = docs.agg(F.sum(F.octet_length("text")).cast("long")).first()[0]
-    m = corpus.manifest(docs, IngestConfig(shard_size=64), size_bytes=text_bytes, output_dir="shards")
-    return m.drop("created_at")
+    """The manifest of written shards; their bytes on disk depend on the writer, so only that they are told is shown."""
+    out = _written_shards(spark, sf)
+    size = corpus.directory_size(spark, out).first()["bytes"]
+    m = corpus.manifest(corpus.scan_shards(spark, out), IngestConfig(shard_size=64), size_bytes=size, output_dir="shards")
+    told = (F.col("bytes") > 0) & (F.col("size") == corpus.format_bytes("bytes"))
+    return m.withColumn("size_known", told).drop("created_at", "bytes", "size")
+
+
+def q_shard_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus.shard_manifest(spark, _written_shards(spark, sf)).drop("file_group")
+
+
+def q_text_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus.text_scan(spark, _written_shards(spark, sf))
 
 
 def q_format_bytes(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,6 +191,16 @@ def q_lsh_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.first_partner(dedup.band_membership(signed, DCFG))
 
 
+def q_candidate_probability(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document's first partner with their similarity, and how probable the best bands make such a candidate."""
+    firsts = _firsts(spark, sf).select("seq", "text")
+    partners = dedup.first_partner(dedup.band_membership(dedup.with_signatures(firsts, DCFG), DCFG))
+    sets = dedup.shingle_sets(firsts, DCFG)
+    near = dedup.similar(partners.select(F.col("first_match").alias("lo"), F.col("seq").alias("hi")), sets, 0.0)
+    told = near.withColumn("probability", candidate_probability(F.col("jaccard"), DCFG.bands, DCFG.rows))
+    return told.select("lo", "hi", F.lit(DCFG.bands).alias("bands"), F.lit(DCFG.rows).alias("rows"), _r("jaccard"), _r("probability"))
+
+
 def q_verified_pairs(spark: SparkSession, sf: str) -> DataFrame:
     pairs = dedup.verified_pairs(_firsts(spark, sf).select("seq", "text"), DCFG)
     return pairs.select("lo", "hi", _r("jaccard"))
@@ -250,10 +276,23 @@ def q_packing_report(spark: SparkSession, sf: str) -> DataFrame:
     return rep.select(*[_r(c) if c in REPORT_DOUBLES else c for c in rep.columns])
 
 
+def _packed(spark: SparkSession, sf: str) -> str:
+    """The blocks written in the packed format."""
+    out = scratch(spark, "packed-blocks")
+    packed.write_blocks(_blocks(spark, sf), out, PCFG.block_size, files=4)
+    return out
+
+
+def q_packed_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks written in the packed format and read again by block range."""
+    b = packed.read_blocks(spark, _packed(spark, sf), per_partition=16)
+    return b.select("split", "block", "n_real", _ints("input_ids"), _ints("labels"), _ints("loss_mask"))
+
+
 def _plan(spark: SparkSession, sf: str) -> DataFrame:
-    blocks, total, cut = packing.pack_blocks(_word_docs(spark, sf), PCFG)
-    n = packing.split_block_counts(total, cut, PCFG.block_size)["train"]
-    return packing.batch_plan(blocks, STEPS, BATCH, seed=0, n_blocks=n)
+    """Draws over the written blocks, whose arrays are read by offset."""
+    path = _packed(spark, sf)
+    return packed.lookup(packing.batch_draws(spark, STEPS, BATCH, packed.block_count(path, "train"), seed=0), path)
 
 
 def q_batch_plan(spark: SparkSession, sf: str) -> DataFrame:
@@ -265,8 +304,9 @@ def q_batch_contract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- tokenizer
-#: The queries train this many tokens; ``TokenizerConfig`` defaults to 16,000 (README, "Known limits").
-TCFG = TokenizerConfig(vocab_size=512)
+TCFG = TokenizerConfig()
+#: A vocabulary of the first merges, which a recursive query learns as well.
+FEW = TokenizerConfig(vocab_size=300)
 SHARD = 64
 
 
@@ -280,12 +320,12 @@ def _split_docs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 _MODELS: dict[tuple, bpe.BPEModel] = {}
 
 
-def _model(train: DataFrame) -> bpe.BPEModel:
+def _model(train: DataFrame, cfg: TokenizerConfig) -> bpe.BPEModel:
     """The tokenizer of these very documents: kept by their content, so a changed input is trained anew."""
     told = train.agg(F.count("*").alias("n"), F.sum(F.xxhash64("seq", "text").cast("decimal(38,0)")).alias("s")).first()
-    key = (TCFG, told.n, told.s)
+    key = (cfg, told.n, told.s)
     if key not in _MODELS:
-        _MODELS[key] = bpe.train_bpe(train, TCFG)
+        _MODELS[key] = bpe.train_bpe(train, cfg)
     return _MODELS[key]
 
 
@@ -298,56 +338,73 @@ def q_pretoken_counts(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.pretoken_counts(_firsts(spark, sf).select("seq", "text"))
 
 
-def q_bpe_vocab(spark: SparkSession, sf: str) -> DataFrame:
-    return _model(_split_docs(spark, sf)[0]).vocab_frame(spark).select("id", "token")
+def q_bpe_vocab(spark: SparkSession, sf: str, cfg: TokenizerConfig = TCFG) -> DataFrame:
+    return _model(_split_docs(spark, sf)[0], cfg).vocab_frame(spark).select("id", "token")
 
 
-def q_bpe_merges(spark: SparkSession, sf: str) -> DataFrame:
-    return _model(_split_docs(spark, sf)[0]).merges_frame(spark)
+def q_bpe_merges(spark: SparkSession, sf: str, cfg: TokenizerConfig = TCFG) -> DataFrame:
+    return _model(_split_docs(spark, sf)[0], cfg).merges_frame(spark)
 
 
-def q_bpe_encode(spark: SparkSession, sf: str) -> DataFrame:
+def q_bpe_encode(spark: SparkSession, sf: str, cfg: TokenizerConfig = TCFG) -> DataFrame:
     train, held = _split_docs(spark, sf)
-    enc = bpe.encode_documents(train.unionByName(held), _model(train))
+    enc = bpe.encode_documents(train.unionByName(held), _model(train, cfg))
     return enc.select("seq", F.size("ids").alias("n_tokens"), _ints("ids"))
 
 
 def q_bpe_decode(spark: SparkSession, sf: str) -> DataFrame:
     train, held = _split_docs(spark, sf)
-    model = _model(train)
+    model = _model(train, TCFG)
     return bpe.decode_documents(bpe.encode_documents(train.unionByName(held), model), model)
 
 
-def q_bpe_contract(spark: SparkSession, sf: str) -> DataFrame:
+def q_bpe_contract(spark: SparkSession, sf: str, cfg: TokenizerConfig = TCFG) -> DataFrame:
     train, held = _split_docs(spark, sf)
-    model = _model(train)
+    model = _model(train, cfg)
     encoded = bpe.encode_documents(train.unionByName(held), model)
-    return bpe.contract(model.vocab_frame(spark), model.merges_frame(spark), encoded, TCFG)
+    return bpe.contract(model.vocab_frame(spark), model.merges_frame(spark), encoded, cfg)
+
+
+def q_token_counts(spark: SparkSession, sf: str, cfg: TokenizerConfig = TCFG) -> DataFrame:
+    train, held = _split_docs(spark, sf)
+    return bpe.token_counts(train.unionByName(held), _model(train, cfg))
 
 
-def q_fertility(spark: SparkSession, sf: str) -> DataFrame:
+def q_fertility(spark: SparkSession, sf: str, cfg: TokenizerConfig = TCFG) -> DataFrame:
     train, held = _split_docs(spark, sf)
-    f = bpe.fertility(bpe.fertility_rows(held, bpe.token_counts(held, _model(train))))
+    f = bpe.fertility(bpe.fertility_rows(held, bpe.token_counts(held, _model(train, cfg))))
     return f.select("ratio", _r("mean"), _r("median"), _r("p90"), "documents", "total_tokens", "total_words",
                     "total_characters")
 
 
-def q_worst_fertility(spark: SparkSession, sf: str) -> DataFrame:
+def q_worst_fertility(spark: SparkSession, sf: str, cfg: TokenizerConfig = TCFG) -> DataFrame:
     train, held = _split_docs(spark, sf)
-    model = _model(train)
+    model = _model(train, cfg)
     w = bpe.worst_fertility(bpe.fertility_rows(held, bpe.token_counts(held, model)), held, model)
     return w.select("seq", "tokens", "words", "chars", _r("tokens_per_word"), _r("tokens_per_char"), "text", "decoded",
                     F.array_join("token_strings", " ").alias("token_strings"), _ints("ids"))
 
 
-def q_packed_blocks_bpe(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents encoded by the trained tokenizer, packed."""
+def _bpe_blocks(spark: SparkSession, sf: str, cfg: TokenizerConfig) -> tuple[DataFrame, DataFrame, bpe.BPEModel]:
     train, held = _split_docs(spark, sf)
-    encoded = stage_table(bpe.encode_documents(train.unionByName(held), _model(train)), "bpe-ids")
-    blocks, _, _ = packing.pack_blocks(encoded, PCFG)
+    model = _model(train, cfg)
+    encoded = stage_table(bpe.encode_documents(train.unionByName(held), model), "bpe-ids")
+    return packing.pack_blocks(encoded, PCFG)[0], encoded, model
+
+
+def q_packed_blocks_bpe(spark: SparkSession, sf: str, cfg: TokenizerConfig = TCFG) -> DataFrame:
+    """Documents encoded by the trained tokenizer, packed."""
+    blocks = _bpe_blocks(spark, sf, cfg)[0]
     return blocks.select("split", "block", "n_real", F.array_max("input_ids").alias("max_id"), _ints("input_ids"))
 
 
+def q_packing_report_bpe(spark: SparkSession, sf: str, cfg: TokenizerConfig = TCFG) -> DataFrame:
+    """The packing report over the tokenizer's ids, each of which must be in its vocabulary."""
+    blocks, encoded, model = _bpe_blocks(spark, sf, cfg)
+    rep = packing.packing_report(encoded.count(), blocks, PCFG, vocab_size=model.vocab_size)
+    return rep.select(*[_r(c) if c in REPORT_DOUBLES else c for c in rep.columns])
+
+
 def q_nfc_normalize(spark: SparkSession, sf: str) -> DataFrame:
     d = documents(spark, sf).select("seq", "text", bpe.nfc("text").alias("nfc"))
     return d.select("seq", F.length("nfc").alias("n_chars"), (F.col("nfc") != F.col("text")).alias("changed"))
@@ -377,6 +434,29 @@ def q_stream_totals(spark: SparkSession, sf: str) -> DataFrame:
     return totals(spark, out)
 
 
+def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbered documents up to a token budget, from files that arrive one by one."""
+    from kiln.streaming.ingest import document_stream, run_to_end, start_ingest
+
+    src, raw = _arrivals(spark, sf)
+    stream = conformed(document_stream(spark, src, raw.schema, max_files_per_trigger=1, spread_to=scan_partitions(spark)))
+    out = scratch(spark, "ingest")
+    cfg = IngestConfig(target_tokens=60_000)
+    run_to_end(start_ingest(stream, out, scratch(spark, "ingest-ledger"), scratch(spark, "ingest-ckpt"), cfg))
+    return spark.read.parquet(out).select("seq", "position", "generated_id", "token_count")
+
+
+def q_stream_budget(spark: SparkSession, sf: str) -> DataFrame:
+    """The running totals up to the kept document that crosses a budget."""
+    from kiln.streaming.ingest import document_stream, run_to_end, start_totals, totals
+
+    src, raw = _arrivals(spark, sf)
+    stream = conformed(document_stream(spark, src, raw.schema, max_files_per_trigger=1, spread_to=scan_partitions(spark)))
+    out = scratch(spark, "stream-budget")
+    run_to_end(start_totals(stream, out, scratch(spark, "stream-budget-ckpt"), target_tokens=50_000))
+    return totals(spark, out)
+
+
 BATCHES = 3
 
 
@@ -458,6 +538,8 @@ QUERIES: dict[str, Query] = {
     "take_budget_docs": q_take_budget_docs,
     "shard_counts": q_shard_counts,
     "manifest": q_manifest,
+    "shard_manifest": q_shard_manifest,
+    "text_scan": q_text_scan,
     "format_bytes": q_format_bytes,
     "filtered_shards": q_filtered_shards,
     "length_filter": q_length_filter,
@@ -475,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "shingles": q_shingles,
     "minhash": q_minhash,
     "lsh_candidates": q_lsh_candidates,
+    "candidate_probability": q_candidate_probability,
     "verified_pairs": q_verified_pairs,
     "near_dedup": q_near_dedup,
     "verified_near_dedup": q_verified_near_dedup,
@@ -483,6 +566,7 @@ QUERIES: dict[str, Query] = {
     "prefix_sum": q_prefix_sum,
     "packed_blocks": q_packed_blocks,
     "packed_sink": q_packed_sink,
+    "packed_source": q_packed_source,
     "packed_blocks_bpe": q_packed_blocks_bpe,
     "packing_report": q_packing_report,
     "batch_plan": q_batch_plan,
@@ -496,10 +580,14 @@ QUERIES: dict[str, Query] = {
     "bpe_contract": q_bpe_contract,
     "fertility": q_fertility,
     "worst_fertility": q_worst_fertility,
+    "token_counts": q_token_counts,
+    "packing_report_bpe": q_packing_report_bpe,
     "nfc_normalize": q_nfc_normalize,
     "stream_filter": q_stream_filter,
     "stream_totals": q_stream_totals,
     "stream_near_dedup": q_stream_near_dedup,
+    "stream_ingest": q_stream_ingest,
+    "stream_budget": q_stream_budget,
     "run_log": q_run_log,
     "loss_curves": q_loss_curves,
     "run_best": q_run_best,
@@ -507,3 +595,10 @@ QUERIES: dict[str, Query] = {
     "eval_steps": q_eval_steps,
     "json_report": q_json_report,
 }
+
+# The same over the first merges, with SQL.
+_FIRST = (
+    "bpe_vocab", "bpe_merges", "bpe_encode", "bpe_contract", "fertility", "worst_fertility", "token_counts",
+    "packed_blocks_bpe", "packing_report_bpe",
+)
+QUERIES |= {f"{name}_first_merges": functools.partial(QUERIES[name], cfg=FEW) for name in _FIRST}

@@ -134,16 +134,19 @@ FROM sh GROUP BY shard""",
         """
 SELECT 'documents' AS dataset, 'train' AS split, true AS streaming, count(*) AS documents,
        CAST(coalesce(sum(token_count), 0) AS BIGINT) AS tokens, count(DISTINCT shard) AS shards,
-       NULL::BIGINT AS target_tokens, NULL::BIGINT AS target_docs, sum(strlen(text))::BIGINT AS bytes,
-       CASE WHEN sum(strlen(text)) < 1024 THEN printf('%.2f B', sum(strlen(text))::DOUBLE)
-            WHEN sum(strlen(text)) < 1048576 THEN printf('%.2f KB', sum(strlen(text)) / 1024.0)
-            WHEN sum(strlen(text)) < 1073741824 THEN printf('%.2f MB', sum(strlen(text)) / 1048576.0)
-            ELSE printf('%.2f GB', sum(strlen(text)) / 1073741824.0) END AS size,
+       NULL::BIGINT AS target_tokens, NULL::BIGINT AS target_docs, true AS size_known,
        64 AS shard_size, 1 AS schema_version, """
         + lit(json.dumps(dataclasses.asdict(IngestConfig(shard_size=64)), sort_keys=True))
         + """ AS config, 'shards' AS output_dir
 FROM sh""",
     ),
+    "shard_manifest": with_(
+        DOCS + "," + _shard_positions(64),
+        """
+SELECT shard, printf('shard-%05d', shard) AS name, count(*) AS documents, min(seq) AS first_seq, max(seq) AS last_seq
+FROM sh GROUP BY shard""",
+    ),
+    "text_scan": with_(DOCS + "," + _shard_positions(64), "SELECT shard, seq, text FROM sh"),
     "length_filter": with_(METRICS, "SELECT seq, char_length, p_len AS passed FROM m"),
     "symbol_ratio": with_(METRICS, "SELECT seq, round(symbol_ratio, 6) AS symbol_ratio, p_sym AS passed FROM m"),
     "repeated_chars": with_(METRICS, "SELECT seq, longest_repeat, p_run AS passed FROM m"),
@@ -296,6 +299,24 @@ bmin AS (SELECT bkey, min(seq) AS m FROM bands GROUP BY bkey)""",
             """
 SELECT b.seq, min(m.m) AS first_match FROM bands b JOIN bmin m ON m.bkey = b.bkey
 WHERE m.m < b.seq GROUP BY b.seq""",
+        ),
+        "candidate_probability": with_(
+            KEPT + firsts + "," + signatures("firsts") + f""",
+bmin AS (SELECT bkey, min(seq) AS m FROM bands GROUP BY bkey),
+partner AS (SELECT b.seq AS hi, min(m.m) AS lo FROM bands b JOIN bmin m ON m.bkey = b.bkey WHERE m.m < b.seq GROUP BY b.seq),
+shape AS (SELECT b, r FROM range(1, {d.num_perm + 1}) x(b), range(1, {d.num_perm + 1}) y(r) WHERE b * r <= {d.num_perm}),
+grid AS (SELECT (i + 0.5) / 2000.0::DOUBLE AS s FROM range(2000) g(i)),
+best AS (
+  SELECT b, r FROM shape, grid GROUP BY b, r
+  ORDER BY sum(CASE WHEN s < {d.similarity_threshold} THEN 1 - pow(1 - pow(s, r), b) ELSE pow(1 - pow(s, r), b) END), b, r LIMIT 1
+),
+near AS (
+  SELECT lo, hi, len(list_intersect(x.hs, y.hs)) / len(list_distinct(list_concat(x.hs, y.hs)))::DOUBLE AS jaccard
+  FROM partner JOIN hs x ON x.seq = lo JOIN hs y ON y.seq = hi
+)""",
+            """
+SELECT lo, hi, b::INTEGER AS bands, r::INTEGER AS rows, round(jaccard, 6) AS jaccard,
+       round(1 - pow(1 - pow(jaccard, r), b), 6) AS probability FROM near, best""",
         ),
         "verified_pairs": with_(verified, "SELECT lo, hi, round(jaccard, 6) AS jaccard FROM pairs"),
         "near_dedup": "WITH RECURSIVE " + near + "\nSELECT seq, doc_id, kept FROM result",
@@ -332,24 +353,13 @@ SQL.update(_dedup_sql())
 
 
 # ---------------------------------------------------------------- packing
-def _packing_sql() -> dict[str, str]:
+def _packed_tail() -> str:
+    """From global token positions to blocks."""
     from kiln.config import PackConfig
 
     c = PackConfig()
     s = c.block_size
-    firsts = """,
-reps AS (SELECT seq, min(seq) OVER (PARTITION BY text) AS rep FROM kept),
-firsts AS (SELECT k.* FROM kept k JOIN reps r ON r.seq = k.seq WHERE r.rep = k.seq)"""
-    blocks = KEPT + firsts + f""",
-wl AS (SELECT seq, {WORDS} AS w FROM firsts),
-words AS (SELECT seq, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM wl),
-vocab AS (SELECT word, CAST(3 + dense_rank() OVER (ORDER BY word) AS BIGINT) AS id
-          FROM (SELECT DISTINCT word FROM words)),
-toks AS (
-  SELECT w.seq, w.pos, v.id FROM words w JOIN vocab v ON v.word = w.word
-  UNION ALL SELECT seq, 2147483647 AS pos, {c.eos_id} AS id FROM firsts
-),
-g AS (SELECT id, row_number() OVER (ORDER BY seq, pos) - 1 AS gpos FROM toks),
+    return f"""
 tot AS (SELECT count(*) AS n, CAST(floor(count(*) * {c.train_split}::DOUBLE) AS BIGINT) AS cut FROM g),
 placed AS (
   SELECT id, CASE WHEN gpos < cut THEN 'train' ELSE 'val' END AS split,
@@ -366,6 +376,29 @@ blocks AS (
          list_transform(range({s}), lambda i: CASE WHEN i < n_real THEN 1 ELSE 0 END) AS loss_mask
   FROM blk
 )"""
+
+
+_PACKED_TAIL = _packed_tail()
+
+
+def _packing_sql() -> dict[str, str]:
+    from kiln.config import PackConfig
+
+    c = PackConfig()
+    s = c.block_size
+    firsts = """,
+reps AS (SELECT seq, min(seq) OVER (PARTITION BY text) AS rep FROM kept),
+firsts AS (SELECT k.* FROM kept k JOIN reps r ON r.seq = k.seq WHERE r.rep = k.seq)"""
+    blocks = KEPT + firsts + f""",
+wl AS (SELECT seq, {WORDS} AS w FROM firsts),
+words AS (SELECT seq, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM wl),
+vocab AS (SELECT word, CAST(3 + dense_rank() OVER (ORDER BY word) AS BIGINT) AS id
+          FROM (SELECT DISTINCT word FROM words)),
+toks AS (
+  SELECT w.seq, w.pos, v.id FROM words w JOIN vocab v ON v.word = w.word
+  UNION ALL SELECT seq, 2147483647 AS pos, {c.eos_id} AS id FROM firsts
+),
+g AS (SELECT id, row_number() OVER (ORDER BY seq, pos) - 1 AS gpos FROM toks),""" + _PACKED_TAIL
     plan = blocks + """,
 nb AS (SELECT count(*) AS n FROM blocks WHERE split = 'train'),
 plan AS (
@@ -449,6 +482,23 @@ SELECT count(*) AS seen, count(*) FILTER (WHERE passed) AS kept,
        CAST(coalesce(sum(token_count) FILTER (WHERE passed), 0) AS BIGINT) AS kept_tokens
 FROM m""",
 )
+SQL["stream_ingest"] = with_(
+    DOCS,
+    """
+SELECT seq, position, printf('doc-%012d', position) AS generated_id, token_count FROM (
+  SELECT seq, token_count, row_number() OVER (ORDER BY seq) - 1 AS position,
+         coalesce(sum(token_count) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM docs) WHERE before < 60000""",
+)
+SQL["stream_budget"] = with_(
+    METRICS,
+    """
+SELECT count(*) AS seen, count(*) FILTER (WHERE passed) AS kept,
+       CAST(coalesce(sum(token_count) FILTER (WHERE passed), 0) AS BIGINT) AS kept_tokens
+FROM (SELECT *, coalesce(sum(CASE WHEN passed THEN token_count ELSE 0 END)
+        OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM m)
+WHERE before < 50000""",
+)
 SQL["stream_near_dedup"] = SQL["near_dedup"].replace(
     "SELECT seq, doc_id, kept FROM result", "SELECT seq, doc_id FROM result WHERE kept"
 )
@@ -482,6 +532,127 @@ words AS (SELECT unnest(regexp_extract_all(p, {lit(pattern)})) AS word FROM piec
 SQL.update(_tokenizer_sql())
 
 
+def _first_merges_sql(merges: int = 40) -> dict[str, str]:
+    """The tokenizer family over the first merges, learned by a recursive query.
+
+    A word is its symbols' bytes in hex, each between bars; a merge is a
+    replacement of two neighbours, from left to right.  Words of held-out
+    documents only take part with count 0, so the last step encodes all.
+    """
+    from kiln.config import PackConfig, TokenizerConfig
+    from kiln.operators.bpe import BPE_WS
+
+    t, c = TokenizerConfig(), PackConfig()
+    s = c.block_size
+    ws, word, mark = BPE_WS, r"\p{L}\p{N}", "\ue000"
+    cut = f"regexp_replace(t, {lit(f'([{ws}])([^{ws}])')}, {lit(mark + chr(92) + '1' + chr(92) + '2')}, 'g')"
+    pattern = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{ws}{word}]+|[{ws}]+"
+    names = ", ".join(f"({i}, {lit(x)}, {lit(x.encode().hex().upper())})" for i, x in enumerate(t.special_tokens))
+    base = (
+        "RECURSIVE " + KEPT + f""",
+firsts AS (SELECT min(seq) AS seq, text FROM kept GROUP BY text),
+pos AS (SELECT seq, text, (row_number() OVER (ORDER BY seq) - 1) // 64 AS shard FROM firsts),
+sp AS (SELECT seq, text, CASE WHEN text = '' OR text LIKE ' %' THEN text ELSE ' ' || text END AS t,
+              shard >= CAST(floor((SELECT max(shard) + 1 FROM pos) * (1 - {t.heldout_split})) AS INTEGER) AS held FROM pos),
+dl AS (SELECT seq, list_filter(flatten(list_transform(string_split({cut}, {lit(mark)}),
+         lambda p: regexp_extract_all(p, {lit(pattern)}))), lambda w: w <> '') AS ws FROM sp),
+dw AS (SELECT seq, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM dl),
+wc AS (SELECT word, count(*) FILTER (WHERE NOT held) AS cnt FROM dw JOIN sp USING (seq) GROUP BY word),
+st AS (
+  SELECT 0 AS step, word, cnt, regexp_replace(hex(encode(word)), '(..)', '|\\1|', 'g') AS s, ''::VARCHAR AS l, ''::VARCHAR AS r
+  FROM wc
+  UNION ALL
+  SELECT st.step + 1, word, cnt, replace(s, '|' || b.l || '||' || b.r || '|', '|' || b.l || b.r || '|'), b.l, b.r
+  FROM st, (
+    SELECT l, r FROM (
+      SELECT cnt, unnest(p[:-2]) AS l, unnest(p[2:]) AS r
+      FROM (SELECT cnt, string_split(s[2:-2], '||') AS p FROM st WHERE cnt > 0 AND contains(s, '||')))
+    GROUP BY l, r ORDER BY sum(cnt) DESC, l, r LIMIT 1) b
+  WHERE st.step < {merges}
+),
+kb AS (SELECT b, printf('%02X', b) AS hex, b BETWEEN 33 AND 126 OR b BETWEEN 161 AND 172 OR b >= 174 AS shown FROM range(256) q(b)),
+ch AS (SELECT hex, CASE WHEN shown THEN b ELSE 255 + row_number() OVER (PARTITION BY shown ORDER BY b) END AS cp FROM kb),
+mg AS (SELECT DISTINCT step, l, r FROM st WHERE step > 0),
+mh AS (SELECT step, unnest(regexp_extract_all(l || r, '..')) AS hex, generate_subscripts(regexp_extract_all(l || r, '..'), 1) AS k FROM mg),
+tok AS (
+  SELECT 3 + row_number() OVER (ORDER BY cp) AS id, hex, chr(cp::INTEGER) AS token FROM ch
+  UNION ALL
+  SELECT 259 + step, string_agg(hex, '' ORDER BY k), string_agg(chr(cp::INTEGER), '' ORDER BY k) FROM mh JOIN ch USING (hex) GROUP BY step
+),
+vocab AS (SELECT id, token FROM tok UNION ALL SELECT id, token FROM (VALUES {names}) n(id, token, hex)),
+merges AS (SELECT step - 1 AS rank, a.id AS left_id, b.id AS right_id, 259 + step AS new_id
+           FROM mg JOIN tok a ON a.hex = mg.l JOIN tok b ON b.hex = mg.r),
+sy AS (SELECT word, string_split(s[2:-2], '||') AS p FROM st WHERE step = {merges}),
+et AS (SELECT seq, i, unnest(p) AS hex, generate_subscripts(p, 1) AS k FROM dw JOIN sy USING (word)),
+en AS (SELECT seq, i, k, id, token FROM et JOIN tok USING (hex)),
+enc AS (SELECT seq, list(id ORDER BY i, k) AS ids, list(token ORDER BY i, k) AS tokens FROM en GROUP BY seq)"""
+    )
+    rows = base + f""",
+fr AS (
+  SELECT seq, sp.text, t, ids, tokens, len(ids) AS n_tokens, len({WORDS}) AS words, length(text) AS chars FROM sp JOIN enc USING (seq)
+  WHERE held AND len({WORDS}) > 0 AND length(text) > 0
+)"""
+    packed = base + f""",
+toks AS (SELECT seq, i, k, id FROM en UNION ALL SELECT seq, 2147483647, 0, {c.eos_id} FROM sp),
+g AS (SELECT id, row_number() OVER (ORDER BY seq, i, k) - 1 AS gpos FROM toks),""" + _PACKED_TAIL
+    pad = f"sum({s} - n_real)"
+    total = "(train_tokens + val_tokens)"
+    out = {
+        "bpe_vocab": with_(base, "SELECT id::INTEGER AS id, token FROM vocab"),
+        "bpe_merges": with_(base, "SELECT rank, left_id, right_id, new_id FROM merges"),
+        "bpe_encode": with_(base, "SELECT seq, len(ids) AS n_tokens, array_to_string(ids, ',') AS ids FROM enc"),
+        "token_counts": with_(base, "SELECT seq, len(ids) AS n_tokens FROM enc"),
+        "bpe_contract": with_(
+            base
+            + """,
+v AS (SELECT count(*) AS vocab_size, count(DISTINCT id) AS distinct_ids, count(DISTINCT token) AS distinct_tokens, max(id) AS max_id,
+             max(id) FILTER (WHERE token = '<pad>') AS pad, max(id) FILTER (WHERE token = '<bos>') AS bos,
+             max(id) FILTER (WHERE token = '<eos>') AS eos, max(id) FILTER (WHERE token = '<unk>') AS unk FROM vocab),
+g AS (SELECT count(*) AS merges, max(greatest(left_id, right_id, new_id)) AS max_merge_id FROM merges),
+e AS (SELECT max(list_max(ids)) AS max_encoded_id FROM enc)""",
+            "SELECT v.*, g.*, e.*, distinct_ids = vocab_size AND distinct_tokens = vocab_size AND max_id = vocab_size - 1 "
+            "AND max_merge_id < vocab_size AND max_encoded_id < vocab_size AND len(list_distinct([pad, bos, eos, unk])) = 4 AS contract_ok FROM v, g, e",
+        ),
+        "fertility": with_(
+            rows
+            + """,
+lg AS (SELECT 'tokens_per_word' AS ratio, n_tokens / words::DOUBLE AS v FROM fr UNION ALL SELECT 'tokens_per_char', n_tokens / chars::DOUBLE FROM fr)""",
+            "SELECT ratio, round(avg(v), 6) AS mean, round(quantile_cont(v, 0.5), 6) AS median, round(quantile_cont(v, 0.9), 6) AS p90, "
+            "max(n) AS documents, max(a) AS total_tokens, max(b) AS total_words, max(c) AS total_characters "
+            "FROM lg, (SELECT count(*) AS n, sum(n_tokens) AS a, sum(words) AS b, sum(chars) AS c FROM fr) GROUP BY ratio",
+        ),
+        "worst_fertility": with_(
+            rows,
+            "SELECT seq, n_tokens AS tokens, words, chars, round(n_tokens / words::DOUBLE, 6) AS tokens_per_word, "
+            "round(n_tokens / chars::DOUBLE, 6) AS tokens_per_char, substring(text, 1, 500) AS text, t AS decoded, "
+            "array_to_string(tokens, ' ') AS token_strings, array_to_string(ids, ',') AS ids "
+            "FROM fr ORDER BY n_tokens / words::DOUBLE DESC, seq LIMIT 20",
+        ),
+        "packed_blocks_bpe": with_(
+            packed, "SELECT split, block, n_real, list_max(input_ids) AS max_id, array_to_string(input_ids, ',') AS input_ids FROM blocks"
+        ),
+        "packing_report_bpe": with_(
+            packed
+            + f""",
+b AS (SELECT count(*) FILTER (WHERE split = 'train') AS train_blocks, count(*) FILTER (WHERE split = 'val') AS val_blocks,
+             coalesce(sum(n_real) FILTER (WHERE split = 'train'), 0)::BIGINT AS train_tokens,
+             coalesce(sum(n_real) FILTER (WHERE split = 'val'), 0)::BIGINT AS val_tokens, coalesce({pad}, 0)::BIGINT AS pad_tokens FROM blocks),
+d AS (SELECT (SELECT count(*) FROM sp) AS documents, (SELECT count(*) FROM vocab) AS vocab_size)""",
+            f"""SELECT documents, {total} AS tokens, documents AS eos_count, {s} AS block_size, train_blocks, val_blocks, train_tokens, val_tokens,
+pad_tokens, round(100.0 * {total} / ((train_blocks + val_blocks) * {s}), 6) AS utilization_percent, vocab_size::INTEGER AS vocab_size,
+{c.eos_id} AS eos_token_id, {c.pad_id} AS pad_token_id, {c.bos_id} AS bos_token_id, {c.train_split}::DOUBLE AS train_split,
+round(100.0 * pad_tokens / ((train_blocks + val_blocks) * {s}), 6) AS pad_percentage,
+round({total} / documents::DOUBLE, 6) AS avg_tokens_per_doc,
+round({total} / (train_blocks + val_blocks)::DOUBLE, 6) AS avg_tokens_per_block FROM b, d""",
+        ),
+    }
+    return {f"{name}_first_merges": sql for name, sql in out.items()}
+
+
+SQL.update(_first_merges_sql())
+
+
+
 def _log_sql() -> dict[str, str]:
     log = """
 WITH log AS (
@@ -501,6 +672,7 @@ SELECT run, step, coalesce(val_loss < b, true) AS improved, round(least(val_loss
 
 SQL.update(_log_sql())
 SQL["json_report"] = SQL["drop_reasons"]
+SQL["packed_source"] = SQL["packed_blocks"]
 SQL["packed_sink"] = SQL["packed_blocks"].split("\nSELECT split, block, n_real, array_to_string")[0] + "\nSELECT split, block, n_real, len(input_ids) AS n_ids FROM blocks"
 SQL["filtered_shards"] = with_(
     METRICS + "," + _shard_positions(64), "SELECT sh.shard, sh.seq, sh.doc_id, sh.token_count FROM sh JOIN m ON m.seq = sh.seq WHERE m.passed"

@@ -5,13 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """Session for tests and the bench (local mode, UI off, AQE on)."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None) -> SparkSession:
+    """Session for tests and the bench (local mode, UI off, AQE on); ``checkpoint_dir`` takes all intermediate tables."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("kiln")
@@ -29,6 +28,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if checkpoint_dir:
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     return spark
 
 
@@ -61,30 +62,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stage_table(df: DataFrame, what: str) -> DataFrame:
+def stage_table(df: DataFrame, what: str, reader: SparkSession | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it again.
 
     For stage boundaries that hold texts: columnar, pruned by what reads it,
-    and the lineage ends there.
+    and the lineage ends there.  ``reader``: the session that reads it, if
+    another one (with settings of its own) is to go on.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@contextmanager
-def adaptive_off(spark: SparkSession):
-    """Plan without AQE inside a loop of many tiny jobs (restores the setting).
-
-    Only for loops whose shuffles are partially pre-aggregated group-bys
-    with no join, where AQE has no skew to handle and only adds
-    per-stage re-planning.
-    """
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key, "true")
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    return (reader or spark).read.schema(df.schema).parquet(path)

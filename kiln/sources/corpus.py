@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from kiln.config import IngestConfig
 from kiln.functions.text import word_count
 from kiln.operators.ordering import prefix_totals, with_position
+from kiln.session import stage_table
 
 # The ten-column document schema, in order.
 DOC_SCHEMA = T.StructType(
@@ -87,13 +88,14 @@ def assign_doc_id(df: DataFrame, prefix: str = "doc", order_col: str = "seq") ->
 
     The position is a distributed dense rank over ``order_col``.
     """
-    pos = with_position(df, order_col, "position")
+    return with_doc_ids(with_position(df, order_col, "position"), prefix)
+
+
+def with_doc_ids(numbered: DataFrame, prefix: str) -> DataFrame:
+    """``generated_id`` from ``position``, and ``doc_id`` where the source has none."""
     generated = F.format_string(f"{prefix}-%012d", F.col("position"))
-    if "doc_id" in df.columns:
-        effective = F.coalesce(F.col("doc_id").cast("string"), generated)
-    else:
-        effective = generated
-    return pos.withColumn("generated_id", generated).withColumn("doc_id", effective)
+    effective = F.coalesce(F.col("doc_id").cast("string"), generated) if "doc_id" in numbered.columns else generated
+    return numbered.withColumn("generated_id", generated).withColumn("doc_id", effective)
 
 
 def take_budget(
@@ -127,16 +129,35 @@ def with_shards(df: DataFrame, shard_size: int, order_col: str = "seq") -> DataF
     return with_position(df, order_col, "position").withColumn("shard", shard_of("position", shard_size))
 
 
-def write_shards(df: DataFrame, path: str, shard_size: int, order_col: str = "seq") -> None:
-    """One folder per shard (``shard=k``), rows sorted by ``seq`` inside."""
+SHARDS = "shard int, name string, file_group int, documents bigint, first_seq bigint, last_seq bigint"
+
+
+def shard_groups(sharded: DataFrame, order_col: str = "seq", groups: int | None = None) -> DataFrame:
+    """Per shard its name, the group of files it goes to, and what it holds; a group is a range of shards."""
+    n = groups or int(sharded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = sharded.groupBy("shard").agg(F.count("*").alias("documents"), F.min(order_col).alias("first_seq"), F.max(order_col).alias("last_seq"))
+    shards = (sharded.agg(F.max("shard").alias("last")).first()["last"] or 0) + 1
+    group = F.floor(F.col("shard").cast("long") * F.lit(min(n, shards)) / F.lit(shards)).cast("int")
+    named = rows.withColumn("file_group", group).withColumn("name", F.format_string("shard-%05d", "shard"))
+    return named.select("shard", "name", "file_group", "documents", F.col("first_seq").cast("long"), F.col("last_seq").cast("long"))
+
+
+def write_shards(df: DataFrame, path: str, shard_size: int, order_col: str = "seq", groups: int | None = None) -> None:
+    """Shards in corpus order, each whole in one file, with a manifest of their names and row counts.
+
+    A task takes the shards of one range (``repartitionById``) and writes
+    them to one file, sorted, so a file holds many shards and a reader of
+    some shards skips the row groups of others.  Rows that bring their
+    ``shard`` keep it, and its name, from input to output.
+    """
     sharded = with_shards(df, shard_size, order_col) if "shard" not in df.columns else df
-    (
-        sharded.repartition("shard")
-        .sortWithinPartitions(order_col)
-        .write.mode("overwrite")
-        .partitionBy("shard")
-        .parquet(path)
-    )
+    rows = shard_groups(sharded.select("shard", order_col), order_col, groups)
+    # the manifest comes last: a folder with one is whole
+    held = stage_table(rows, "shards")
+    n = max(1, (held.agg(F.max("file_group")).first()[0] or 0) + 1)
+    placed = sharded.join(held.select("shard", "file_group"), "shard")
+    placed.repartitionById(n, F.col("file_group")).drop("file_group").sortWithinPartitions("shard", order_col).write.mode("overwrite").parquet(path)
+    held.coalesce(1).sortWithinPartitions("shard").write.mode("overwrite").parquet(f"{path.rstrip('/')}/_shards")
 
 
 def directory_size(spark: SparkSession, path: str) -> DataFrame:
@@ -199,11 +220,17 @@ def manifest(
     )
 
 
-def scan_shards(spark: SparkSession, path: str) -> DataFrame:
-    """All shards; order is ``(shard, seq)`` from the columns, not the files."""
-    return spark.read.parquet(path)
+def scan_shards(spark: SparkSession, path: str, shards: list[int] | None = None) -> DataFrame:
+    """All shards, or some; order is ``(shard, seq)`` from the columns, not the files."""
+    rows = spark.read.parquet(path)
+    return rows if shards is None else rows.where(F.col("shard").isin(shards))  # pushed down: files and row groups are skipped
+
+
+def shard_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Names, places and row counts of the shards under ``path``."""
+    return spark.read.schema(SHARDS).parquet(f"{path.rstrip('/')}/_shards")
 
 
-def text_scan(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Only the text column reaches the Parquet reader (column pruning)."""
-    return df.select(text_col)
+def text_scan(spark: SparkSession, path: str, shards: list[int] | None = None, text_col: str = "text") -> DataFrame:
+    """The texts of shards in ``(shard, seq)`` order columns; no other column reaches the reader."""
+    return scan_shards(spark, path, shards).select("shard", "seq", text_col)

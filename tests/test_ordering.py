@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from kiln.operators.ordering import exact_quantiles, prefix_sums, prefix_totals
+from kiln.operators.ordering import exact_quantiles, from_ordered_bits, ordered_bits, prefix_sums, prefix_totals
 
 
 def test_prefix_sums_partition_independent(spark):
@@ -45,3 +45,28 @@ def test_one_pass_carries_several_totals(spark):
     df = spark.createDataFrame([(3, 5), (1, 2), (2, 7)], "k long, v long")
     out, total = prefix_totals(df, ["k"], {"v0": F.col("v"), "n0": F.lit(1)})
     assert sorted(map(tuple, out.collect())) == [(1, 0, 0), (2, 2, 1), (3, 9, 2)] and total == {"v0": 14, "n0": 3}
+
+
+def test_bits_keep_the_order_and_come_back():
+    x = np.array([-np.inf, -1e300, -2.5, -1e-320, -0.0, 0.0, 5e-324, 0.1, 1.0, 1e300, np.inf, np.nan])
+    bits = ordered_bits(x)
+    assert (np.sort(bits) == bits).all() and bits[4] == bits[5] and len(set(bits.tolist())) == len(x) - 1
+    back = [from_ordered_bits(int(b)) for b in bits]
+    assert np.array_equal(back, x, equal_nan=True)
+
+
+def test_quantiles_of_odd_values(spark):
+    rows = [("a", -1.5), ("a", 3.0), ("a", None), ("a", -1.5), (None, 2.0), (None, 4.0), ("e", 1e-300), ("z", None)]
+    q = {r.g: r for r in exact_quantiles(spark.createDataFrame(rows, "g string, x double"), "g", "x", [("m", 0.5), ("top", 1.0)]).collect()}
+    assert q.keys() == {"a", None, "e"}
+    assert (q["a"].n, q["a"].m, q["a"].top, q[None].m, q["e"].m) == (3, -1.5, 3.0, 3.0, 1e-300)
+    assert exact_quantiles(spark.createDataFrame([], "g string, x double"), "g", "x", [("m", 0.5)]).count() == 0
+
+
+def test_histograms_bound_what_is_shuffled(spark):
+    """50,000 distinct values: no pass hands over more than a histogram of one digit."""
+    from kiln.operators.ordering import digit_counts
+
+    vals = spark.range(50_000).select(F.lit("g").alias("g"), (F.col("id") * 0.37).alias("x"))
+    first = digit_counts(vals, {"g": {0}}, 48)
+    assert first.agg(F.sum("n")).first()[0] == 50_000 and first.count() < 2_000

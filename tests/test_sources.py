@@ -2,10 +2,13 @@ import os
 
 from pyspark.sql import functions as F
 
-from kiln.config import PackConfig
+from kiln.config import IngestConfig, PackConfig
 from kiln.operators import packing
+from kiln.plans.tables import documents
 from kiln.sources import corpus, sinks
 
+from conftest import SF001
+
 
 def test_take_budget_keeps_the_crossing_document(spark):
     df = spark.createDataFrame([(i, i * 10, 5) for i in range(1, 9)], "seq long, x long, token_count int")
@@ -70,3 +73,40 @@ def test_shards_and_packed_round_trip(spark, tmpdir_fresh):
     val = sinks.read_packed(spark, path, split="val")
     assert val.count() >= 1
     assert val.where(F.size("input_ids") != 8).count() == 0
+
+
+def test_shards_are_written_by_range_with_names_and_counts(spark, tmpdir_fresh):
+    docs = documents(spark, SF001).repartition(5)
+    path = os.path.join(tmpdir_fresh, "shards")
+    corpus.write_shards(docs, path, shard_size=16, groups=4)
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) == 4 and not any(f.startswith("shard=") for f in os.listdir(path))
+    told = corpus.shard_manifest(spark, path).orderBy("shard").collect()
+    n = docs.count()
+    assert [(r.shard, r.name, r.documents) for r in told] == [(i, f"shard-{i:05d}", min(16, n - 16 * i)) for i in range(-(-n // 16))]
+    assert [r.file_group for r in told] == sorted(r.file_group for r in told)  # a file is a range of shards
+    back = corpus.scan_shards(spark, path).withColumn("file", F.input_file_name())
+    assert back.groupBy("shard").agg(F.countDistinct("file").alias("n")).where("n <> 1").count() == 0
+    assert sorted(r.seq for r in corpus.scan_shards(spark, path, [2, 3]).collect()) == sorted(r.seq for r in back.where("shard in (2, 3)").collect())
+    # a filter keeps shards and names
+    kept = os.path.join(tmpdir_fresh, "kept")
+    corpus.write_shards(corpus.scan_shards(spark, path).where("seq % 3 = 0 and shard <> 2"), kept, shard_size=16)
+    names = {r.shard: r.name for r in corpus.shard_manifest(spark, kept).collect()}
+    assert names == {r.shard: r.name for r in told if r.shard != 2}
+    texts = corpus.text_scan(spark, path)
+    assert texts.columns == ["shard", "seq", "text"] and "doc_id" not in texts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_manifest_counts_the_bytes_on_disk(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "shards")
+    corpus.write_shards(documents(spark, SF001), path, shard_size=50)
+    size = corpus.directory_size(spark, path).first()["bytes"]
+    assert size == sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.endswith(".parquet"))
+    told = corpus.manifest(corpus.scan_shards(spark, path), IngestConfig(shard_size=50), size_bytes=size).first()
+    assert told.bytes == size and told.shards == 4
+
+
+def test_an_empty_corpus_has_no_shard(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "none")
+    corpus.write_shards(documents(spark, SF001).limit(0), path, shard_size=50)
+    assert corpus.scan_shards(spark, path).count() == 0 and corpus.shard_manifest(spark, path).count() == 0

@@ -4,11 +4,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from kiln.config import DedupConfig
+from kiln.config import DedupConfig, IngestConfig
 from kiln.operators import dedup, runlog
 from kiln.operators.filters import quality_filter
 from kiln.plans.tables import conformed, documents
+from kiln.sources import corpus
 from kiln.streaming import dedup as stream_dedup
+from kiln.streaming import ingest
 from kiln.streaming.dedup import start_near_dedup
 from kiln.streaming.ingest import document_stream, run_to_end, start_totals, totals
 
@@ -41,6 +43,11 @@ def test_stream_dedup_over_several_batches_equals_batch(spark, tmpdir_fresh):
     assert spark.read.parquet(out).select("batch_id").distinct().count() == 3
     batch_res, _ = dedup.near_dedup(quality_filter(documents(spark, SF001)), DedupConfig())
     assert got == {r.seq for r in batch_res.where("kept").collect()}
+    # the store answers for the buckets of a batch and for those kept just before, not for all there are
+    count = lambda name: {r.batch_id: r.n for r in spark.read.parquet(f"{index}/{name}").groupBy("batch_id").agg(F.countDistinct("bucket").alias("n")).collect()}
+    asked, kept, answers = count("asked"), count("kept"), count("answers")
+    assert all(asked[i] <= answers[i] <= asked[i] + kept.get(i - 1, 0) for i in range(3))
+    assert answers[2] < kept[0] + kept[1] + asked[2]
 
 
 def _parts(raw, src, n):
@@ -51,8 +58,9 @@ def _parts(raw, src, n):
         part.coalesce(1).write.mode("append").parquet(src)
 
 
-def test_a_replayed_batch_decides_the_same(spark, tmpdir_fresh, monkeypatch):
-    """A crash between the two writes of a batch, then the batch again."""
+@pytest.mark.parametrize("where", ["asked", "answers", "kept", "out"])
+def test_a_replayed_batch_decides_the_same(spark, tmpdir_fresh, monkeypatch, where):
+    """A crash before one of the writes of a batch, then the batch again."""
     raw = spark.read.parquet(f"{SF001}/documents.parquet")
     src, out, index, ck = (os.path.join(tmpdir_fresh, x) for x in ("src", "out", "index", "ck"))
     _parts(raw, src, 2)
@@ -60,8 +68,9 @@ def test_a_replayed_batch_decides_the_same(spark, tmpdir_fresh, monkeypatch):
     write, calls = stream_dedup.write_batch, []
 
     def crash_once(df, path, batch_id, *further):
-        calls.append((path, batch_id))
-        if path == out and batch_id == 1 and calls.count((out, 1)) == 1:
+        name = os.path.basename(path)
+        calls.append((name, batch_id))
+        if name == where and batch_id == 1 and calls.count((where, 1)) == 1:
             raise RuntimeError("crash between the writes")
         write(df, path, batch_id, *further)
 
@@ -85,7 +94,54 @@ def test_totals_stop_at_the_budget(spark, tmpdir_fresh):
         run_to_end(start_totals(stream, out, os.path.join(tmpdir_fresh, name + "-ck"), target_tokens=target))
         found[name] = totals(spark, out).first()
     assert found["all"].seen == raw.count()
-    assert 0 < found["some"].seen < found["all"].seen and found["some"].kept_tokens >= 1
+    assert 0 < found["some"].seen < found["all"].seen and found["some"].kept == 1  # up to the document that crosses
+
+
+def _ingest(spark, tmp, name, cfg, parts=6, src=None):
+    raw = spark.read.parquet(f"{SF001}/documents.parquet")
+    if src is None:
+        src = os.path.join(tmp, name + "-src")
+        _parts(raw, src, parts)
+    stream = conformed(document_stream(spark, src, raw.schema, max_files_per_trigger=1))
+    out, led, ck = (os.path.join(tmp, name + x) for x in ("-out", "-ledger", "-ck"))
+    return src, out, led, lambda: ingest.run_to_end(ingest.start_ingest(stream, out, led, ck, cfg))
+
+
+def test_stream_ingest_equals_the_batch_budget_and_stops(spark, tmpdir_fresh):
+    docs = documents(spark, SF001)
+    for name, cfg in (("tokens", IngestConfig(target_tokens=30_000)), ("docs", IngestConfig(target_docs=77)), ("both", IngestConfig(target_tokens=30_000, target_docs=20)), ("all", IngestConfig())):
+        _, out, led, run = _ingest(spark, tmpdir_fresh, name, cfg)
+        run()
+        taken = corpus.take_budget(docs, target_tokens=cfg.target_tokens, target_docs=cfg.target_docs)
+        want = sorted((r.seq, r.position, f"doc-{r.position:012d}") for r in corpus.assign_doc_id(taken, prefix="doc").collect())
+        assert sorted((r.seq, r.position, r.generated_id) for r in spark.read.parquet(out).collect()) == want
+        batches = {r.batch_id: r for r in spark.read.parquet(led).collect()}
+        assert sum(r.documents for r in batches.values()) == len(want)
+        if name != "all":  # nothing after the crossing batch was read
+            assert [i for i, r in batches.items() if r.reached] == [max(batches)] and len(batches) < 6
+
+
+@pytest.mark.parametrize("where", ["out", "ledger"])
+def test_a_crash_in_the_crossing_batch_changes_nothing(spark, tmpdir_fresh, monkeypatch, where):
+    cfg = IngestConfig(target_tokens=30_000)
+    _, whole, _, run = _ingest(spark, tmpdir_fresh, "whole", cfg)
+    run()
+    crossing = spark.read.parquet(whole).agg(F.max("batch_id")).first()[0]
+    _, out, led, run = _ingest(spark, tmpdir_fresh, "again", cfg)
+    write, calls = ingest.write_batch, []
+
+    def crash_once(df, path, batch_id, *further):
+        calls.append((path, batch_id))
+        if path == (out if where == "out" else led) and batch_id == crossing and calls.count((path, batch_id)) == 1:
+            raise RuntimeError("crash")
+        write(df, path, batch_id, *further)
+
+    monkeypatch.setattr(ingest, "write_batch", crash_once)
+    with pytest.raises(Exception):
+        run()
+    run()
+    rows = lambda p: sorted((r.seq, r.position, r.generated_id, r.batch_id) for r in spark.read.parquet(p).collect())
+    assert rows(out) == rows(whole)
 
 
 def test_run_log(spark, tmpdir_fresh):
