@@ -8,22 +8,23 @@ Five transducers are composed:
   NEGATION, REPORT or OTHER;
 * three clause transducers over those symbols that mark an insult or threat
   as negated (a negation shortly before), reported (a reporting verb
-  earlier in the clause) or targeted (an addressed person near it, before
-  or after).
-
-The product automaton rewrites a clause into marked hits.  A hit weighs its
-lexicon weight times the factors of its marks; a clause scores the sum over
-its hits, never a word on its own; a logistic layer turns a text's clause
-scores into a probability.  Lexicon weights and the logistic layer are
-learned from a bounded sample of labelled rows, and seeds of fixed values
-fill in what a small sample does not show.
+  anywhere earlier in the clause) or targeted (an addressed person near it,
+  before or after).
+
+The product automaton rewrites a whole clause, however long, into marked
+hits.  A hit weighs its lexicon weight times the factors that its kind has
+for its marks: an insult stands on its own, a threat needs somebody it is
+aimed at.  A clause scores the sum over its hits, never a word on its own; a
+logistic layer turns a text's clause scores, all together and the threats
+apart, into a probability.  Lexicon weights and the logistic layer are learned
+from a bounded sample of labelled rows, and seeds of fixed values fill in what
+a small sample does not show.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,14 +45,17 @@ REPORTS = "said says say told called claimed wrote quoted sagte sagt nannte dit
 OTHER, TARGET, NEGATION, REPORT, INSULT, THREAT = range(6)
 NEGATED, REPORTED, TARGETED = 8, 16, 32  # marks that clause transducers add to a hit
 
-#: A hit's weight is multiplied by these for each mark.
-FACTORS = {NEGATED: 0.4, REPORTED: 0.6, TARGETED: 1.5}
+#: A hit's weight is multiplied by its kind's factor for each mark, and by the first for having none of an aim.
+FACTORS = {
+    INSULT: {0: 1.0, NEGATED: 0.4, REPORTED: 0.6, TARGETED: 1.5},
+    THREAT: {0: 0.5, NEGATED: 0.2, REPORTED: 0.5, TARGETED: 2.0},
+}
 
 CLAUSE_END = re.compile(r"[.!?;:,\n\r()\"]")
 TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 
-#: Words beyond this distance from a hit in its clause are not looked at (a clause has no other bound).
-REACH = 40
+#: A trigger that holds up to the end of its clause.
+ENDLESS = 1 << 62
 
 
 class Transducer:
@@ -70,8 +74,8 @@ class Transducer:
 
         return Transducer((self.start, after.start), step)
 
-    def run(self, symbols) -> list[int]:
-        state, out = self.start, []
+    def run(self, symbols) -> bytearray:
+        state, out = self.start, bytearray()
         for symbol in symbols:
             state, symbol = self.step(state, symbol)
             out.append(symbol)
@@ -96,7 +100,7 @@ def marker(trigger: int, mark: int, reach: int) -> Transducer:
 
 
 #: Composed once: negation, then reported speech, then a target before the hit.
-FORWARD = marker(NEGATION, NEGATED, 3) @ marker(REPORT, REPORTED, REACH) @ marker(TARGET, TARGETED, 4)
+FORWARD = marker(NEGATION, NEGATED, 3) @ marker(REPORT, REPORTED, ENDLESS) @ marker(TARGET, TARGETED, 4)
 #: Read from right to left: a target after the hit.
 BACKWARD = marker(TARGET, TARGETED, 3)
 
@@ -127,7 +131,7 @@ class Grammar:
     """Lexicon arcs: pattern -> (symbol, weight); a pattern ending in ``*`` accepts a word beginning."""
 
     lexicon: dict[str, tuple[int, float]]
-    layer: np.ndarray = field(default_factory=lambda: np.array([-2.0, 1.0, 0.5, 0.2]))
+    layer: np.ndarray = field(default_factory=lambda: np.array([-2.0, 1.0, 0.5, 0.2, 0.3]))
     _automaton: object = None
 
     def automaton(self):
@@ -166,41 +170,45 @@ class Grammar:
                     found[start] = (symbol, weight)
         return found
 
-    def clauses(self, text: str | None) -> list[float]:
-        """Scores of the clauses of a text that hold a hit, in order."""
+    def clauses(self, text: str | None) -> list[tuple[float, float]]:
+        """(score of all hits, of the threats among them) of the clauses of a text that hold a hit, in order."""
         if not text:
             return []
         text = text.lower()
         found = self.hits(text)
-        scores, done = [], -1
+        scores, lo = [], 0
         for at in sorted(found):
-            if at < done:
+            if at < lo:
                 continue
-            # the clause around the hit; both ends move word by word at most REACH words out
-            before = text[max(0, at - 12 * REACH) : at]
-            cuts = [m.end() for m in CLAUSE_END.finditer(before)]
-            lo = max(done, at - len(before) + (cuts[-1] if cuts else 0))
-            ahead = CLAUSE_END.search(text, at, min(len(text), at + 12 * REACH))
-            hi = ahead.start() if ahead else min(len(text), at + 12 * REACH)
-            done = hi
-            words = [(m.start(), m.group()) for m in TOKEN.finditer(text, lo, hi)]
-            symbols = [found[s][0] if s in found else CONTEXT.get(w, OTHER) for s, w in words]
-            marked = FORWARD.run(symbols)
-            marked = BACKWARD.run(marked[::-1])[::-1]
-            score = 0.0
-            for (s, _), symbol in zip(words, marked, strict=True):
-                if hit(symbol):
-                    weight = found[s][1]
-                    for mark, factor in FACTORS.items():
-                        if symbol & mark:
-                            weight *= factor
-                    score += weight
-            scores.append(score)
+            for cut in CLAUSE_END.finditer(text, lo, at):
+                lo = cut.end()
+            ahead = CLAUSE_END.search(text, at)
+            hi = ahead.start() if ahead else len(text)
+            symbols, weights = bytearray(), {}
+            for word in TOKEN.finditer(text, lo, hi):
+                known = found.get(word.start())
+                if known:
+                    weights[len(symbols)] = known[1]
+                symbols.append(known[0] if known else CONTEXT.get(word.group(), OTHER))
+            lo = hi
+            marked = BACKWARD.run(reversed(FORWARD.run(symbols)))
+            total = threats = 0.0
+            for i, weight in weights.items():
+                symbol = marked[len(marked) - 1 - i]
+                factors = FACTORS[symbol & 7]
+                weight *= 1.0 if symbol & TARGETED else factors[0]
+                for mark in (NEGATED, REPORTED, TARGETED):
+                    if symbol & mark:
+                        weight *= factors[mark]
+                total += weight
+                threats += weight if symbol & 7 == THREAT else 0.0
+            scores.append((total, threats))
         return scores
 
     def features(self, text: str | None) -> list[float]:
         scores = self.clauses(text)
-        return [1.0, max(scores, default=0.0), math.log1p(max(0.0, sum(scores))), math.log1p(len(scores))]
+        total = [t for t, _ in scores]
+        return [1.0, max(total, default=0.0), math.log1p(max(0.0, sum(total))), math.log1p(len(scores)), max((t for _, t in scores), default=0.0)]
 
     def score(self, text: str | None) -> float:
         z = float(np.dot(self.layer, self.features(text)))
@@ -344,14 +352,9 @@ def with_toxicity(docs: DataFrame, grammar: Grammar, text: str | Column = "text"
     """Add the toxicity (0 to 1) of each whole text.
 
     Null and empty texts have no clause and get the score of a text without
-    a hit.  Equal texts get equal scores; an empty table stays empty; a
+    a hit; texts and clauses of any length are read whole.  Equal texts get equal scores; an empty table stays empty; a
     column called ``column`` is replaced, all others pass through.  Without
     labels of both kinds the seeds and a fixed layer score alone.
     """
     return docs.withColumn(column, scorer(docs.sparkSession, grammar)(F.col(text) if isinstance(text, str) else text))
 
-
-def explain(grammar: Grammar, text: str) -> Counter:
-    """Accepted words of a text with their counts, for reports."""
-    low = text.lower()
-    return Counter(TOKEN.match(low, at).group() for at in grammar.hits(low))

@@ -1,4 +1,5 @@
 import random
+import re
 
 from llm_fixtures import documents  # noqa: F401
 
@@ -11,7 +12,8 @@ def grammar(**weights):
 
 def test_composition_marks_negation_report_and_target():
     S = T
-    out = T.FORWARD.run([S.TARGET, S.OTHER, S.INSULT])
+    run = S.FORWARD.run
+    out = run([S.TARGET, S.OTHER, S.INSULT])
     assert out[2] == S.INSULT | S.TARGETED
     assert T.FORWARD.run([S.NEGATION, S.OTHER, S.INSULT])[2] == S.INSULT | S.NEGATED
     assert T.FORWARD.run([S.NEGATION, *[S.OTHER] * 5, S.INSULT])[-1] == S.INSULT
@@ -43,6 +45,59 @@ def test_a_very_long_text_without_clause_ends_is_bounded():
     assert len(g.clauses("word " * 50_000 + "scum " + "word " * 50_000)) == 1
 
 
+def test_long_clauses_are_read_whole():
+    g, far = grammar(idiot=2.0), "word " * 3000
+    (one,) = g.clauses("idiot " + far + "idiot")
+    assert one == (4.0, 0.0)
+    assert g.clauses("mary said " + far + "idiot") == g.clauses("mary said idiot") != g.clauses("idiot")
+    assert g.clauses("mary said. " + far + "idiot") == g.clauses("idiot")
+
+
+def test_a_threat_is_not_an_insult():
+    insult, threat = T.Grammar({"kill": (T.INSULT, 2.0)}), T.Grammar({"kill": (T.THREAT, 2.0)})
+    for text in ("kill the light", "i will kill you", "i will not kill it", "mary said kill"):
+        assert insult.clauses(text)[0][0] != threat.clauses(text)[0][0] == threat.clauses(text)[0][1]
+        assert insult.clauses(text)[0][1] == 0 and insult.score(text) != threat.score(text)
+    assert threat.score("kill the light") < threat.score("kill you") and insult.score("kill you") < threat.score("kill you")
+
+
+def brute(lexicon, text):
+    """Clause by clause, word by word, by looking around each hit."""
+    out = []
+    for clause in re.split(r'[.!?;:,\n\r()"]', text.lower()):
+        words = re.findall(r"[^\W_]+(?:['’][^\W_]+)*", clause)
+        total = threats = 0.0
+        hits = 0
+        for i, word in enumerate(words):
+            fits = [v for p, v in lexicon.items() if (word.startswith(p[:-1]) if p.endswith("*") else re.match(re.escape(p) + r"(?![^\W_])", word))]
+            if not fits:
+                continue
+            hits += 1
+            kind, weight = max(fits, key=lambda v: v[1])
+            own = {k: set(v.split()) for k, v in (("no", T.NEGATIONS), ("said", T.REPORTS), ("you", T.TARGETS))}
+            known = lambda part, k: any(w in own[k] and not any(w.startswith(p.rstrip("*")) for p in lexicon) for w in part)
+            aimed = known(words[max(0, i - 4) : i], "you") or known(words[i + 1 : i + 4], "you")
+            f = T.FACTORS[kind]
+            weight *= f[T.TARGETED] if aimed else f[0]
+            weight *= f[T.NEGATED] if known(words[max(0, i - 3) : i], "no") else 1
+            weight *= f[T.REPORTED] if known(words[:i], "said") else 1
+            total += weight
+            threats += weight * (kind == T.THREAT)
+        if hits:
+            out.append((total, threats))
+    return out
+
+
+def test_the_grammar_equals_brute_force():
+    rng = random.Random(8)
+    lexicon = {"idiot": (T.INSULT, 2.0), "zorg*": (T.INSULT, 1.5), "kill": (T.THREAT, 2.5), "vex*": (T.THREAT, 1.25)}
+    vocabulary = ["idiot", "zorgling", "kill", "vexed", "killer", "you", "he", "not", "never", "said", "wrote", "the", "light", "é", "x9", "isn't"]
+    for _ in range(300):
+        text = " ".join(rng.choice(vocabulary) + rng.choice(["", "", "", "", ".", ",", "\n"]) for _ in range(rng.randrange(60)))
+        got, want = T.Grammar(lexicon).clauses(text), brute(lexicon, text)
+        assert len(got) == len(want) and all(abs(a - b) < 1e-9 for x, y in zip(got, want, strict=True) for a, b in zip(x, y, strict=True)), text
+
+
 def test_learns_invented_words_and_leaves_clean_texts_alone(spark, documents):
     rng = random.Random(3)
     words = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(3000)]
