@@ -50,7 +50,7 @@ class Settings:
     rounds: int = 3
     stay: float = 0.9
     prior: float = 50.0  # pseudo-counts that draw a state's emissions to the corpus'
-    group: int = 400_000  # tokens of sequences that are run side by side
+    group: int = 400_000  # tokens of sequences that are run side by side, or held of a longer one
     spread: int = 2  # blocks per shuffle partition; there is one bucket per partition
     seed: int = 13
 
@@ -324,17 +324,56 @@ def forward(model: Model, sequences: list[np.ndarray], limit: int) -> np.ndarray
     return out
 
 
+def _expected_long(model: Model, x: np.ndarray, step: int, start: np.ndarray, pair: np.ndarray, emit: np.ndarray) -> None:
+    """Add the counts of one sequence, ``step`` tokens in memory at a time.
+
+    The forward pass keeps one vector per cut; the backward pass runs each
+    piece forward again from the vector before it, and carries its own vector
+    over the cut, so every transition counts and only the first token starts.
+    ``pair`` gets the counts without their factor ``move``.
+    """
+
+    def run(piece: np.ndarray, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        seen = model.emit[piece]
+        alphas, scale = np.empty_like(seen), np.empty(len(piece), seen.dtype)
+        for t in range(len(piece)):
+            alpha = (model.start if before is None else before @ model.move) * seen[t]
+            scale[t] = alpha.sum()
+            alphas[t] = before = alpha / scale[t]
+        return seen, alphas, scale
+
+    cuts = list(range(0, len(x), step))
+    before: list[np.ndarray | None] = [None]
+    for i in cuts[:-1]:
+        before.append(run(x[i : i + step], before[-1])[1][-1].copy())
+    ahead = None
+    for i, own in zip(reversed(cuts), reversed(before), strict=True):
+        piece = x[i : i + step].astype(np.int64)
+        seen, alphas, scale = run(piece, own)
+        for t in range(len(piece) - 1, -1, -1):
+            beta = np.ones_like(model.start)
+            if ahead is not None:
+                pair += np.outer(alphas[t], ahead)
+                beta = model.move @ ahead
+            ahead = beta * seen[t] / scale[t]
+            alphas[t] *= beta
+        for state in range(alphas.shape[1]):
+            emit[:, state] += np.bincount(piece, weights=alphas[:, state], minlength=len(emit))
+    start += alphas[0]
+
+
 def expected(model: Model, sequences: list[np.ndarray], s: Settings) -> list[np.ndarray]:
     """Expected counts [start, move, emit] over the sequences (forward-backward).
 
-    A sequence above ``group`` tokens is run in pieces of that length: each
-    starts from ``model.start`` and counts as a start, and the transitions
-    across the cuts are not counted.
+    Sequences of up to ``group`` tokens run side by side; longer ones alone, whole, in bounded memory.
     """
-    pieces = [x[i : i + s.group] for x in sequences for i in range(0, len(x), s.group)]
     small = Model(*(m.astype(np.float32) for m in (model.start, model.move, model.emit)))
     start, move, emit = np.zeros(s.states), np.zeros((s.states, s.states)), np.zeros((s.width, s.states))
-    for which, size, flat in _groups(pieces, s.group):
+    for x in sequences:
+        if len(x) > s.group:
+            _expected_long(small, x, s.group, start, move, emit)
+    pair_of_long, move = move * model.move, np.zeros_like(move)
+    for which, size, flat in _groups([x for x in sequences if len(x) <= s.group], s.group):
         edge = _running(size)
         alphas = np.empty((len(flat), s.states), np.float32)
         seen = small.emit[flat]
@@ -362,7 +401,7 @@ def expected(model: Model, sequences: list[np.ndarray], s: Settings) -> list[np.
         move += pair * model.move
         for state in range(s.states):
             emit[:, state] += np.bincount(flat, weights=alphas[:, state], minlength=s.width)
-    return [start, move, emit]
+    return [start, move + pair_of_long, emit]
 
 
 def _sequences(column: pa.Array) -> list[np.ndarray]:
@@ -422,7 +461,8 @@ def score(docs: DataFrame, learn: Column, held: Column, key: str = "doc_id", tex
     the hidden Markov model.  A null or empty text is one end.  Words never
     learned have count 0 and the share of an unseen word of their class.
     Repeated rows count and are returned each; a null key is like any other;
-    further columns are ignored.  Without a row to learn from the base score
+    further columns are ignored; very long texts are learned from and scored
+    whole.  Without a row to learn from the base score
     is 0 and the states emit all classes alike; an empty table gives no rows.
     """
     s = settings or Settings()

@@ -53,6 +53,18 @@ def test_expected_counts_equal_the_sum_over_all_paths():
     assert all(np.allclose(a, b, atol=1e-4) for a, b in zip(found, (start, move, emit)))
 
 
+def test_long_sequences_count_whole_in_bounded_pieces():
+    """A text beyond ``group`` tokens gives the counts it gives in one piece, whatever the bound."""
+    rng = np.random.default_rng(4)
+    model = random_model(rng)
+    sequences = [rng.integers(0, 5, n).astype(np.uint16) for n in (40, 3, 57, 12)]
+    whole = hmm.expected(model, sequences, hmm.Settings(states=3, common=3, classes=2, group=1000))
+    for group in (1, 5, 12, 56):
+        cut = hmm.expected(model, sequences, hmm.Settings(states=3, common=3, classes=2, group=group))
+        assert all(np.allclose(a, b, rtol=1e-3, atol=1e-3) for a, b in zip(whole, cut, strict=True))
+        assert abs(cut[1].sum() - sum(len(x) - 1 for x in sequences)) < 1e-2 and abs(cut[0].sum() - 4) < 1e-3
+
+
 def test_rounds_raise_the_likelihood(spark):
     rng = np.random.default_rng(3)
     s = hmm.Settings(states=2, common=6, classes=2, prior=0.01)
