@@ -118,7 +118,7 @@ def digit_counts(vals: DataFrame, wanted: Mapping, shift: int) -> DataFrame:
                     total[g, p] += np.bincount(digit[higher == np.uint64(p)], minlength=1 << 16)
         for (g, p), n in total.items():
             at = np.flatnonzero(n)
-            columns = {"g": pa.array([g] * len(at), pa.string()), "prefix": pa.array([str(p)] * len(at)), "digit": pa.array(at, pa.int32()), "n": pa.array(n[at])}
+            columns = {"g": pa.array([g] * len(at), pa.string()), "prefix": pa.array([str(p)] * len(at), pa.string()), "digit": pa.array(at, pa.int32()), "n": pa.array(n[at], pa.int64())}
             yield pa.RecordBatch.from_pydict(columns)
 
     return vals.mapInArrow(count, "g string, prefix string, digit int, n bigint").groupBy("g", "prefix", "digit").agg(F.sum("n").alias("n"))

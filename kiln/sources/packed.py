@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
 MAGIC = b"KPB1"
 MANIFEST = "_manifest.json"
@@ -155,7 +155,9 @@ class PackedReader(DataSourceReader):
         runs = [r for r in _manifest(self.path)["runs"] if self.split in (None, r["split"])]
         return [Range(r["file"], r["split"], r["first"] + i, min(self.most, r["n"] - i), r["at"] + i) for r in runs for i in range(0, r["n"], self.most)]
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Range | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # nothing to read
+            return
         system, root = _open(self.path)
         size = _manifest(self.path)["block_size"]
         with system.open_input_file(f"{root}/{partition.file}") as f:
@@ -229,11 +231,11 @@ def lookup(plan: DataFrame, path: str, split: str = "train") -> DataFrame:
 
     names = plan.columns
     arrays = ["n_real", "input_ids", "labels", "loss_mask"]
-    placed = plan.mapInArrow(place, StructType([*plan.schema.fields]).add("file", "string").add("at", "bigint"))
+    placed = plan.mapInArrow(place, StructType([*plan.schema.fields]).add("file", StringType()).add("at", LongType()))
     placed = placed.repartition("file", F.floor(F.col("at") / 4096)).sortWithinPartitions("file", "at")
     schema = StructType([*plan.schema.fields])
     for c in arrays:
-        schema = schema.add(c, "int" if c == "n_real" else "array<int>")
+        schema = schema.add(c, IntegerType() if c == "n_real" else ArrayType(IntegerType()))
 
     def read(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _open(root_path)
