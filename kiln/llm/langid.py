@@ -5,8 +5,9 @@ around it); each is hashed to a row of an embedding table, the rows of a
 text are averaged, and a linear softmax over the languages follows.  The
 model is trained in numpy by stochastic gradient descent on a bounded
 sample of labelled rows; a temperature fitted on rows left out of the
-descent calibrates the probabilities, and a text whose best calibrated
-probability is below ``reject_below`` is rejected.
+descent calibrates the probabilities.  A text is rejected if its best
+calibrated probability is nearer to chance than to the least certain of the
+rows left out that were told right (their ``certain`` quantile).
 
 Average and softmax input are both linear, so scoring folds the embedding
 and the softmax weights into one small table of logits per subword and sums
@@ -15,19 +16,19 @@ its rows over the whole text: one vectorised pass over the bytes.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.common import drawn, pieces, trim, utf8
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 #: ASCII case is folded, digits share one class, separators and controls become a space.
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -48,7 +49,7 @@ class Settings:
     steps: int = 16_000
     rate: float = 0.5
     left_out: int = 5  # every fifth sampled row calibrates
-    reject_below: float = 0.35
+    certain: float = 0.001
     seed: int = 7
 
 
@@ -162,7 +163,7 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     rows.sort(key=lambda r: (r.k or "", r.l))
     languages = tuple(sorted({r.l for r in rows}))
     if not languages:
-        return Model((), np.zeros((size + 1, 0), np.float32), np.zeros(0), 1.0, s.bits, s.reject_below)
+        return Model((), np.zeros((size + 1, 0), np.float32), np.zeros(0), 1.0, s.bits, 0.0)
     bags = []
     while rows:  # the driver holds a sampled text once
         r = rows.pop()
@@ -208,7 +209,15 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     soft = np.full((len(y), len(languages)), 1 / (len(y) + len(languages)))
     soft[np.arange(len(y)), y] += 1 - soft.sum(axis=1)
     losses = [-(soft * np.log(softmax(z / t) + 1e-300)).sum(axis=1).mean() for t in grid]
-    return Model(languages, fused, bias.astype(float), float(grid[int(np.argmin(losses))]), s.bits, s.reject_below)
+    temperature = float(grid[int(np.argmin(losses))])
+    return Model(languages, fused, bias.astype(float), temperature, s.bits, rejection_level(softmax(z / temperature), y, s.certain))
+
+
+def rejection_level(p: np.ndarray, y: np.ndarray, certain: float) -> float:
+    """Halfway between chance and the ``certain`` quantile of the winning probabilities of rows told right; chance if none is."""
+    chance = 1 / p.shape[1]
+    right = p.max(axis=1)[p.argmax(axis=1) == y]
+    return (chance + float(np.quantile(right, certain))) / 2 if len(right) else chance
 
 
 def identify(spark, model: Model):
