@@ -9,7 +9,7 @@ and ranked by their exact cosine in double precision.
 
 Equal vectors are one entry with the few smallest ids that can matter, so a
 vector that a third of all rows share is hashed and compared once.  Buckets
-are cut into parts of bounded size, and a query meets each part of a bucket;
+and the probes that reach it are cut into parts of bounded size that meet each other;
 only the best of a part leave it, never all pairs.  A query that finds fewer
 than it could is compared with every row, in the same bounded parts.
 """
@@ -177,7 +177,7 @@ def cosine(one: np.ndarray, many: np.ndarray) -> np.ndarray:
 
 
 def _met(left: DataFrame, right: DataFrame, s: Settings) -> DataFrame:
-    """Best candidates of each query in each (bucket, part): (q, ids, score)."""
+    """Best candidates of each query in each (bucket, part, turn): (q, ids, score)."""
     schema = pa.schema([("q", pa.int64()), ("g", pa.int64()), ("ids", pa.list_(pa.int64())), ("score", pa.float64())])
 
     def compare(rows: pa.Table, asks: pa.Table) -> pa.Table:
@@ -201,16 +201,19 @@ def _met(left: DataFrame, right: DataFrame, s: Settings) -> DataFrame:
             schema=schema,
         )
 
-    grouped = left.groupBy("bucket", "part").cogroup(right.groupBy("bucket", "part"))
+    grouped = left.groupBy("bucket", "part", "turn").cogroup(right.groupBy("bucket", "part", "turn"))
     return grouped.applyInArrow(compare, "q bigint, g bigint, ids array<bigint>, score double")
 
 
-def _parted(table: DataFrame, probes: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """Rows of a bucket dealt to parts of about ``part`` rows, and probes to every part of their bucket."""
-    parts = table.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / s.part).cast("int").alias("parts"))
-    rows = table.join(parts, "bucket").withColumn("part", F.pmod(F.xxhash64("g"), F.col("parts")).cast("int")).drop("parts")
-    asks = probes.join(parts, "bucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    return rows, asks
+def _parted(table: DataFrame, probes: DataFrame, vectors: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """Rows and probes (bucket, g) of a bucket dealt to parts of about ``part`` each; every part of the rows meets every one of the probes."""
+    count = lambda of, name: of.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / s.part).cast("int").alias(name))
+    parts = count(table, "rows").join(count(probes, "asks"), "bucket")  # buckets that no probe reaches are left out
+    dealt = lambda salt, of: F.pmod(F.xxhash64("g", F.lit(salt)), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    rows = table.join(parts, "bucket").withColumn("part", dealt(1, "rows")).withColumn("turn", every("asks")).drop("rows", "asks")
+    asks = probes.join(parts, "bucket").withColumn("turn", dealt(2, "asks")).withColumn("part", every("rows")).drop("rows", "asks")
+    return rows, asks.join(vectors, "g")
 
 
 def _top(found: DataFrame, s: Settings) -> DataFrame:
@@ -239,8 +242,8 @@ def nearest(vectors: DataFrame, queries: Column, key: str = "vec_id", vector: st
     probing = every.join(asks.select(F.col("q").alias("g")).distinct(), "g", "left_semi")
     ddl = "bucket bigint, g bigint, v array<double>, ids array<bigint>"
     table = every.select("g", "v", "ids").mapInArrow(_hashed(s, False), ddl)
-    probes = probing.select("g", "v", F.slice("ids", 1, 0).alias("ids")).mapInArrow(_hashed(s, True), ddl).select("bucket", "g", "v")
-    found = _met(*_parted(table, probes, s), s)
+    probes = probing.select("g", "v", F.slice("ids", 1, 0).alias("ids")).mapInArrow(_hashed(s, True), ddl).select("bucket", "g")
+    found = _met(*_parted(table, written(probes, "ann-probes"), probing.select("g", "v"), s), s)
     top = written(_top(found, s), "ann-top")
 
     most = every.groupBy(F.size("v").alias("dim")).agg(F.sum(F.size("ids")).alias("ids"))
@@ -254,7 +257,7 @@ def nearest(vectors: DataFrame, queries: Column, key: str = "vec_id", vector: st
     short = written(short, "ann-short")
     if short.limit(1).count():
         one = every.select(F.lit(0).cast("bigint").alias("bucket"), "g", "v", "ids")
-        again = _top(_met(*_parted(one, short.select(F.lit(0).cast("bigint").alias("bucket"), "g", "v"), s), s), s)
+        again = _top(_met(*_parted(one, short.select(F.lit(0).cast("bigint").alias("bucket"), "g"), short, s), s), s)
         top = top.join(again.select("q"), "q", "left_anti").unionByName(again)
     others = F.filter("top", lambda x: x["id"] != F.col("query_id"))
     return (
