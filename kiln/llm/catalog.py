@@ -43,6 +43,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix(table(spark, sf_dir, "documents"))
     rows = plan.withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("m"))))
+    rows = rows.withColumn("copies", F.col("copies") + (F.col("row") <= F.col("extra")).cast("bigint"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 

@@ -170,10 +170,10 @@ def _walk(cap: int):
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", settings: Settings | None = None) -> DataFrame:
-    """(key, source, size, source_size, target, copies, m): one row per distinct (key, source, size).
+    """(key, source, size, source_size, target, copies, m, extra): one row per distinct (key, source, size).
 
     ``m`` is the number of input rows it stands for; each of them is taken
-    ``copies`` times.  A null text has size 0, a null source is a source of
+    ``copies`` times, and ``extra`` of them, fewer than ``m``, once more.  A null text has size 0, a null source is a source of
     its own, a null key is a key like any other.  Documents of size 0 are
     taken once and count nothing.  An empty table gives no rows; a mix whose
     words are all zero has targets 0.
@@ -215,21 +215,55 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     order = Window.partitionBy("sid", "size", "part").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, -1)
     dealt = placed.join(parts, ["sid", "size", "part"]).withColumn("ahead", F.coalesce(F.sum("m").over(order), F.lit(0)))
     base = F.floor(F.col("pc") / F.col("pn")).cast("bigint")
-    extra = (F.col("ahead") < F.col("pc") % F.col("pn")).cast("bigint")
-    return dealt.select(
-        F.col("k").alias(key), F.col("source").alias(source), "size", "source_size", "target", F.least(base + extra, F.lit(s.cap).cast("bigint")).alias("copies"), "m"
-    )
+    # the part's copies beyond those that all its rows get go to its first rows, also within equal ones
+    extra = F.greatest(F.lit(0), F.least(F.col("m"), F.col("pc") % F.col("pn") - F.col("ahead"))).cast("bigint")
+    all_ = extra == F.col("m")
+    return dealt.select(F.col("k").alias(key), F.col("source").alias(source), "size", "source_size", "target", (base + all_.cast("bigint")).alias("copies"), "m", F.when(all_, 0).otherwise(extra).alias("extra"))
+
+
+def _numbered(rows: DataFrame, unit: list[str]) -> DataFrame:
+    """``rows`` with ``__row``, from 1 within each unit; equal rows of any number are dealt over the tasks that hold them.
+
+    Rows are written with their task, numbered within it, and moved on by
+    the rows that their unit has in the tasks before.
+    """
+    held = written(rows.withColumn("__task", F.spark_partition_id()), "mix-repeated")
+    sizes = held.groupBy(*unit, "__task").agg(F.count(F.lit(1)).alias("__n"))
+    ahead = F.sum("__n").over(Window.partitionBy(*unit).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(*(F.col(c).alias(f"{c}_") for c in [*unit, "__task"]), F.coalesce(ahead, F.lit(0)).alias("__ahead"))
+    same = F.lit(True)
+    for c in [*unit, "__task"]:
+        same = same & held[c].eqNullSafe(sizes[f"{c}_"])
+    within = F.row_number().over(Window.partitionBy(*unit, "__task").orderBy("__order"))
+    joined = held.join(sizes, same).withColumn("__row", F.col("__ahead") + within)
+    return joined.drop("__task", "__ahead", "__order", *(f"{c}_" for c in [*unit, "__task"]))
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", settings: Settings | None = None) -> DataFrame:
     """The mix itself: each input row repeated as often as it is taken, numbered by ``copy`` from 1.
 
-    Cases as for ``mix``; all columns pass through, and one called ``copy`` is replaced.
+    Cases as for ``mix``: null keys, sources and texts are values like any
+    other, an empty text is taken once, repeated rows are taken as often as
+    their number asks, and very long texts count whole.  All columns pass
+    through, and one called ``copy`` is replaced.
     """
+    names = ["__k", "__s", "__size"]
     plan = mix(docs, key, text, source, settings).select(
-        F.col(key).alias("__k"), F.col(source).alias("__s"), F.col("size").alias("__n"), F.col("copies").alias("__c")
+        F.col(key).alias("__k"), F.col(source).alias("__s"), F.col("size").alias("__size"), F.col("copies").alias("__c"), F.col("extra").alias("__e")
     )
-    sized = docs.withColumn("__size", word_count(text))
-    same = sized[key].eqNullSafe(plan["__k"]) & sized[source].eqNullSafe(plan["__s"]) & (sized["__size"] == plan["__n"])
-    taken = sized.join(plan, same).where("__c > 0").drop("__size", "__k", "__s", "__n")
+    plan = written(plan, "mix-plan")
+    split = F.col("__e") > 0
+    sized = docs.select("*", F.col(key).alias("__k"), F.col(source).alias("__s"), word_count(text).alias("__size"))
+
+    def planned(plan: DataFrame) -> DataFrame:
+        told = plan.withColumnsRenamed({c: f"{c}_" for c in names})
+        same = sized["__k"].eqNullSafe(told["__k_"]) & sized["__s"].eqNullSafe(told["__s_"]) & (sized["__size"] == told["__size_"])
+        return sized.join(told, same).drop("__k_", "__s_", "__size_")
+
+    taken = planned(plan.where(~split))
+    if plan.where(split).limit(1).count():  # rows that share key, source and size, of which some are taken once more
+        repeated = planned(plan.where(split)).withColumn("__order", F.xxhash64(text))
+        repeated = _numbered(repeated, names).withColumn("__c", F.col("__c") + (F.col("__row") <= F.col("__e")).cast("bigint")).drop("__row")
+        taken = taken.unionByName(repeated)
+    taken = taken.where("__c > 0").drop(*names, "__e")
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__c")))).drop("__c")

@@ -55,6 +55,26 @@ def test_equal_documents_in_a_split_cell(spark, documents):
         assert abs(sum(r.copies * r["size"] for r in plan if r.source == s) - want[s]) <= 3
 
 
+def test_repeated_rows_meet_the_target(spark, documents):
+    """1,000 equal rows and 500 with a null key are dealt their copies one by one."""
+    rows = [(1, "one two three", None, "a")] * 1000 + [(None, "four five", None, "c")] * 500 + [(i, "w " * (1 + i % 9), None, "b") for i in range(600)]
+    docs = documents(rows).repartition(7)
+    sizes = {"a": 3000, "c": 1000, "b": sum(1 + i % 9 for i in range(600))}
+    want = brute_targets(sizes)
+    plan = mixing.mix(docs).collect()
+    for s in sizes:
+        taken = sum((r.copies * r.m + r.extra) * r["size"] for r in plan if r.source == s)
+        assert abs(taken - want[s]) <= 9 and all(r.copies + (r.extra > 0) <= 2 and 0 <= r.extra < r.m for r in plan)
+    out = mixing.mixed(docs.withColumn("node", mixing.F.monotonically_increasing_id())).collect()
+    for s, n in (("a", 3), ("c", 2)):
+        own = [r for r in out if r.source == s]
+        assert abs(n * len(own) - want[s]) <= 9
+        per_row = {}
+        for r in own:
+            per_row.setdefault(r.node, []).append(r.copy)
+        assert all(sorted(c) == list(range(1, len(c) + 1)) and len(c) <= 2 for c in per_row.values())
+
+
 def test_mixed_repeats_rows_and_odd_tables(spark, documents):
     docs = documents([(1, "a b c", "x", "s"), (1, "a b c", "x", "s"), (2, "d", "y", None), (None, "e f", None, "s")]).withColumn("copy", mixing.F.lit("old"))
     out = mixing.mixed(docs)
