@@ -1,7 +1,7 @@
 """Time the headline queries; print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 4),
-BENCH_QUERIES (optional comma list).  Each query is run to completion with
+BENCH_QUERIES (optional comma list), BENCH_CHECKPOINT_DIR (for intermediate tables).  Each query is run to completion with
 the ``noop`` sink, so nothing is collected on the driver.
 """
 
@@ -32,7 +32,9 @@ HEADLINE = [
     "bpe_encode",
     "fertility",
     "packed_blocks_bpe",
+    "batch_plan",
     "stream_filter",
+    "stream_ingest",
     "stream_near_dedup",
 ]
 
@@ -46,7 +48,8 @@ def main() -> None:
     from kiln.plans.catalog import QUERIES
     from kiln.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=2 * int(cpus) if cpus.isdigit() else 8)
+    partitions = 2 * int(cpus) if cpus.isdigit() else 8
+    spark = local_session(cpus, shuffle_partitions=partitions, checkpoint_dir=os.environ.get("BENCH_CHECKPOINT_DIR"))
     # Warm the JVM once (class loading, codegen caches) on a tiny read.
     spark.read.parquet(f"{sf_dir}/region.parquet").write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
