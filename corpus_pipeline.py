@@ -12,14 +12,21 @@ from kiln.llm.common import learnable, table, written
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language is rejected: no text, no letter, or too uncertain.
 
-    The model learns from the labelled rows of this stage's input.
+    The model learns from the labelled rows of this stage's input; rows with a
+    null key or label are judged, not learned from.  Null and empty texts go,
+    repeated rows fare alike, long texts are judged whole, an empty table (or
+    one without labels, which rejects all) gives no rows.
     """
     model = langid.train(docs.where(learnable("doc_id", 4, 2)))
     return langid.with_language(docs, model, column="__language").where("not __language.rejected").drop("__language")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate class: the one with the least doc_id."""
+    """Keep one document of each near-duplicate class: the one with the least doc_id.
+
+    Texts of fewer words than a shingle are near only to equal ones; repeated
+    rows and null keys are told apart by their text (see ``dart.kept``).
+    """
     return dart.kept(docs, dart.near_classes(docs))
 
 
@@ -27,7 +34,8 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages of 13 words and more that a document with a smaller doc_id holds.
 
     Texts that lose nothing stay as they are; a document that loses every
-    word goes, and ``n_chars`` follows the text.
+    word goes, and ``n_chars`` follows the text.  A null text has no word and
+    stays; repeated keys count as one document; long texts are cut whole.
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     done = superkmer.deduplicate(docs, carry=tuple(rest), untouched=True)
@@ -39,13 +47,22 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark item."""
-    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    """Drop documents that hold a benchmark item.
+
+    Rows are told apart by key and text: a leaked row goes also if its key is
+    null, and a clean row stays that shares its key with a leak.  Null and
+    empty texts leak nothing; long texts are searched whole.
+    """
+    found = decontam.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__k"), F.col("text_hash").alias("__h")).distinct()
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__k")) & (decontam.text_hash("text") == F.col("__h"))
+    return docs.join(found, same, "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as often as its source's target asks, numbered by ``copy``."""
+    """The mix: each document as often as its source's target asks, numbered by ``copy``.
+
+    Empty texts are taken once; null keys and sources and repeated rows as ``mixing.mixed`` says.
+    """
     return mixing.mixed(docs)
 
 
