@@ -20,6 +20,7 @@ several, whose parts are summed at the end.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -27,6 +28,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm.common import batches, trim, written
-from kiln.llm.tokens import _alphabet
+from kiln.llm.tokens import PATTERN, UNSURE, _alphabet
 
 #: Segments of " " + text: a cut stands before each space that follows a character that is no white space.
 SEGMENT = re.compile(r"\s+\S+(?:[^\S ]\s*\S+)*(?:[^\S ]\s*\Z)?|\s+\Z")
@@ -45,9 +47,9 @@ _SHIFT = 20  # a pair is a << _SHIFT | b
 
 @dataclass(frozen=True)
 class Settings:
-    piece: int = 1 << 20  # characters aligned at once
+    piece: int = 1 << 19  # characters aligned at once
     store: int = 2_000_000  # tokens of segments that a worker keeps
-    block: int = 1 << 21  # links of a block, about
+    block: int = 1 << 17  # links of a block, about
 
 
 def terminals(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,6 +72,11 @@ def terminals(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndar
         to = on
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    size = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(size.sum())), size
+
+
 class Tokenizers:
     """Both tokenizers of a worker, their token bytes, and the store of segments."""
 
@@ -79,7 +86,7 @@ class Tokenizers:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work out
         self.a, self.b, self.s = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b), s
-        self.a.encode_special_tokens = True
+        self.a.encode_special_tokens, self.model = True, self.a.model
         spec = json.loads(self.a.to_str())
         back = {c: b for b, c in _alphabet().items()}
         told = {i: t for t, i in self.a.get_vocab(with_added_tokens=True).items()}
@@ -102,45 +109,111 @@ class Tokenizers:
         # each id as it stands in the list of groups: before another of its side, and as the last
         na, nb = len(self.bytes_a), len(self.bytes_b)
         self.shown = [b"%d," % i for i in range(na)] + [b"%d|" % i for i in range(na)] + [b"%d," % i for i in range(nb)] + [b"%d;" % i for i in range(nb)]
-        self.clear()
+        self.fast = self._same_merges(spec) if self.cuts else None
+        self.segments: list[str] = []
+        self.clear(np.zeros(0, np.int64))
+
+    def _same_merges(self, spec: dict):
+        """A quicker encoder of the first side, if it can be shown to give the same ids; else None.
+
+        It joins neighbours whenever they spell a token, whatever merge made
+        that token.  While both have merged alike, a token's bytes stand in
+        two parts only just before the merge that completes it; so if the
+        merges of each token's own bytes lead to that token, the two never
+        part.
+        """
+        import tiktoken
+
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in spec["model"]["merges"]]
+        vocab, back = spec["model"]["vocab"], {c: b for b, c in _alphabet().items()}
+        added = {t["content"] for t in spec["added_tokens"]}
+        single = {c for c in vocab if len(c) == 1 and c in back}
+        if len(single) != 256 or len(set(merged)) != len(merged) or set(vocab) - added != single | set(merged):
+            return None
+        if any([t.id for t in self.model.tokenize(m)] != [vocab[m]] for m in merged):
+            return None
+        ranks = {bytes([b]): b for b in range(256)} | {bytes(back[c] for c in m): 256 + i for i, m in enumerate(merged)}
+        self.id_of_rank = np.array([vocab[c] for c, _ in sorted(back.items(), key=lambda x: x[1])] + [vocab[m] for m in merged], np.int64)
+        return tiktoken.Encoding("first side", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def clear(self, keep: np.ndarray) -> None:
+        """Empty the store but for some slots; slots given out before are void."""
+        ids = [self.tokens(keep, side) for side in (0, 1)] if len(keep) else [(np.zeros(0, np.int64),) * 2] * 2
+        self.good = array("b", [self.good[i] for i in keep.tolist()])
+        self.segments = [self.segments[i] for i in keep.tolist()]
+        self.known = {t: i for i, t in enumerate(self.segments)}
+        self.first = tuple(array("q", (np.cumsum(n) - n).tobytes()) for _, n in ids)
+        self.size = tuple(array("i", n.astype(np.int32).tobytes()) for _, n in ids)
+        self.ids = tuple(array("i", flat.astype(np.int32).tobytes()) for flat, _ in ids)
+        self.used = np.zeros(len(self.segments), np.int64)
 
     def bound(self) -> None:
-        """Empty a full store; slots given out before are void."""
+        """Leave in a full store those segments that came most often since it was last full, up to a half."""
         if len(self.ids[0]) + len(self.ids[1]) > self.s.store:
-            self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.first = array("q"), array("q")
-        self.size = array("i"), array("i")
-        self.ids = array("i"), array("i")
-        self.good = array("b")
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both sides of texts that start with the added space."""
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        return a, [[self.space] if t == " " else b for t, b in zip(texts, self.b.encode([t[1:] for t in texts], num_threads=1), strict=True)]
+            used = np.pad(self.used, (0, len(self.segments) - len(self.used)))
+            order = np.argsort(-used, kind="stable")
+            order = order[used[order] > 1]
+            size = sum(np.frombuffer(n, np.int32).astype(np.int64) for n in self.size)[order]
+            self.clear(np.sort(order[np.cumsum(size) <= self.s.store // 2]))
+
+    def encode(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
+        """(ids, ids of each text) of both sides of texts that start with the added space."""
+        b = [[self.space] if t == " " else own for t, own in zip(texts, self.b.encode([t[1:] for t in texts], num_threads=1), strict=True)]
+        return self.encode_a(texts), _flat(b)
+
+    def encode_a(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.fast is not None:
+            # one text of all, cut again where its segments were joined
+            joined = "".join(texts)
+            if not UNSURE.search(joined) and not any(t[-1].isspace() for t in texts):
+                ids = self.id_of_rank[np.array(self.fast.encode_ordinary(joined), np.int64)]
+                upto = np.concatenate([[0], np.cumsum(self.len_a[ids])])
+                ends = np.cumsum(np.fromiter((len(t.encode()) for t in texts), np.int64, len(texts)))
+                at = np.searchsorted(upto, ends)
+                if np.array_equal(upto[np.minimum(at, len(ids))], ends):
+                    return ids, np.diff(at, prepend=0)
+            elif len(texts) > 1:
+                half = len(texts) // 2
+                (x, n), (y, m) = self.encode_a(texts[:half]), self.encode_a(texts[half:])
+                return np.concatenate([x, y]), np.concatenate([n, m])
+        return _flat([e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)])
 
     def fits(self, text: str, a: list[int], b: list[int]) -> bool:
         raw = text.encode()
         return b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
 
+    def all_fit(self, texts: list[str], both: tuple[tuple[np.ndarray, np.ndarray], ...]) -> list[bool]:
+        """Which texts their tokens give back; all at once where all do."""
+        raw = [t.encode() for t in texts]
+        want, ends = b"".join(raw), np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))
+        for (ids, n), shown, length in zip(both, (self.bytes_a, self.bytes_b), (self.len_a, self.len_b), strict=True):
+            upto = np.concatenate([[0], np.cumsum(length[ids])])
+            if not np.array_equal(upto[np.cumsum(n)], ends) or b"".join(map(shown.__getitem__, ids.tolist())) != want:
+                lists = [np.split(ids, np.cumsum(n)[:-1]) for ids, n in both]
+                return [self.fits(t, a.tolist(), b.tolist()) for t, a, b in zip(texts, *lists, strict=True)]
+        return [True] * len(texts)
+
     def slots(self, segments: list[str]) -> np.ndarray:
         known = self.known
-        found = list(map(known.get, segments))
-        if None in found:
-            new = [t for t in dict.fromkeys(segments) if t not in known]
+        found = np.fromiter(map(known.get, segments, repeat(-1)), np.int64, len(segments))
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys(segments[i] for i in missing))
             for i in range(0, len(new), 4096):
                 part = new[i : i + 4096]
-                for text, *both in zip(part, *self.encode(part), strict=True):
-                    known[text] = len(known)
-                    self.good.append(self.fits(text, *both))
-                    for side, ids in enumerate(both):
-                        self.first[side].append(len(self.ids[side]))
-                        self.size[side].append(len(ids))
-                        self.ids[side].extend(ids)
-            found = list(map(known.get, segments))
-        return np.array(found, np.int64)
+                both = self.encode(part)
+                self.good.extend(self.all_fit(part, both))
+                known.update(zip(part, range(len(known), len(known) + len(part)), strict=True))
+                self.segments += part
+                for side, (ids, size) in enumerate(both):
+                    self.first[side].frombytes((len(self.ids[side]) + np.cumsum(size) - size).tobytes())
+                    self.size[side].frombytes(size.astype(np.int32).tobytes())
+                    self.ids[side].frombytes(ids.astype(np.int32).tobytes())
+            found[missing] = [known[segments[i]] for i in missing]
+        more = np.bincount(found, minlength=len(self.used))
+        more[: len(self.used)] += self.used
+        self.used = more
+        return found
 
     def sound(self, slots: np.ndarray) -> bool:
         return bool(np.frombuffer(self.good, np.int8)[slots].all())
@@ -211,10 +284,8 @@ def aligned(t: Tokenizers, texts: list[str | None]) -> Iterator[tuple[list[int],
         return align(t, a, b, np.add.reduceat(size_a, edge), np.add.reduceat(size_b, edge))
 
     def whole(text: str) -> Aligned:
-        (a,), (b,) = t.encode([" " + text])
-        if not t.fits(" " + text, a, b):
-            return none
-        return align(t, np.array(a, np.int64), np.array(b, np.int64), np.array([len(a)]), np.array([len(b)]))
+        (a, n_a), (b, n_b) = t.encode([" " + text])
+        return align(t, a, b, n_a, n_b) if t.fits(" " + text, a.tolist(), b.tolist()) else none
 
     zero = np.zeros(1, np.int64)
     none = Aligned(zero, zero, zero, [b""], zero[:0])
@@ -269,6 +340,7 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, s: Settings) -> DataFrame
         if key not in _WORKER:
             _WORKER.clear()
             _WORKER[key] = Tokenizers(path_a, path_b, s)
+            trim()
         t = _WORKER[key]
         base = TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
@@ -284,7 +356,7 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, s: Settings) -> DataFrame
                 {
                     "block": pa.array([base + blocks], pa.int64()),
                     **{c: pa.array([list(v)], pa.list_(pa.string() if c == "sha" else pa.int64())) for c, v in zip(("row", "k", "n_a", "n_b", "n_groups", "sha", "ends"), columns, strict=True)},
-                    "at": pa.array([at.astype(np.int32).tobytes()], pa.binary()),
+                    "at": pa.array([at.astype(np.uint16 if len(pairs) <= 1 << 16 else np.int32).tobytes()], pa.binary()),
                     "pairs": pa.array([pairs.tobytes()], pa.binary()),
                     "times": pa.array([times.astype(np.int64).tobytes()], pa.binary()),
                 }
@@ -321,7 +393,14 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, s: Settings) -> DataFrame
 
 
 def _spread(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(pair, block, times) of each block, some rows at a time."""
+    """(pair, block, times) of each block, some rows at a time.
+
+    All texts have been encoded, so a worker that still holds its tokenizers hands their memory back.
+    """
+    if _WORKER:
+        _WORKER.clear()
+        gc.collect()
+        trim()
     for frame in frames:
         for block, pairs, times in zip(*(c.to_pylist() for c in frame.columns), strict=True):
             p, n = np.frombuffer(pairs, np.int64), np.frombuffer(times, np.int64)
@@ -357,7 +436,7 @@ def alignment(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, key: str = "d
         order = np.argsort(told.column("pair").to_numpy())
         count, top = told.column("count").to_numpy()[order], told.column("best").to_numpy(zero_copy_only=False)[order].astype(np.int64)
         (row,) = own.drop_columns(["block"]).to_pylist()
-        at = np.frombuffer(row["at"], np.int32)
+        at = np.frombuffer(row["at"], np.uint16 if len(row["at"]) == 2 * row["ends"][-1] else np.int32)
         upto = lambda v: np.diff(np.concatenate([[0], np.cumsum(v[at])])[row["ends"]], prepend=0)
         columns = {c: pa.array(row[c], pa.string() if c == "sha" else pa.int64()) for c in ("row", "k", "n_a", "n_b", "n_groups", "sha")}
         return pa.table(columns | {"n_best": pa.array(upto(top), pa.int64()), "count_sum": pa.array(upto(count), pa.int64())})
