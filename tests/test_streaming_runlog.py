@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from kiln.config import DedupConfig, IngestConfig
 from kiln.operators import dedup, runlog
 from kiln.operators.filters import quality_filter
+from kiln.plans.catalog import QUERIES
 from kiln.plans.tables import conformed, documents
 from kiln.sources import corpus
 from kiln.streaming import dedup as stream_dedup
@@ -162,3 +163,14 @@ def test_run_log(spark, tmpdir_fresh):
     assert runlog.tokens_per_step(8, 1024, 4) == 32768
     tp = runlog.throughput(log.withColumn("step_time", F.lit(2.0)), 32768).first()
     assert tp.tokens_per_second == 16384.0
+
+
+@pytest.mark.parametrize("files", [0, 1, 3])
+def test_streams_read_a_table_that_is_a_folder(spark, tmpdir_fresh, files):
+    raw = spark.read.parquet(f"{SF001}/documents.parquet").limit(60)
+    raw = raw if files else raw.where("doc_id is null and doc_id is not null")
+    raw.repartition(max(1, files)).write.parquet(os.path.join(tmpdir_fresh, "documents.parquet"))
+    want = sorted(r.seq for r in quality_filter(documents(spark, tmpdir_fresh)).collect())
+    assert sorted(r.seq for r in QUERIES["stream_filter"](spark, tmpdir_fresh).collect()) == want
+    told = QUERIES["stream_totals"](spark, tmpdir_fresh).first()
+    assert (told.seen, told.kept) == (raw.count(), len(want)) and (len(want) > 0) == (files > 0)
