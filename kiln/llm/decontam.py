@@ -6,8 +6,8 @@ match an item), by document frequencies over the whole corpus.
 
 1. ``latent_space``: a distributed randomised SVD (range finder with power
    iterations; tasks multiply their own passages, partial products are summed
-   by term range) of the benchmark items and a bounded, documented sample of
-   the corpus' passages gives the latent basis.
+   by term range) of the benchmark items and all passages of the corpus (their
+   halves) gives the latent basis.
 2. Every passage of the corpus is projected and compared by cosine with every
    item; those from ``cosine`` on are candidates, ``found_by`` cosine.
 3. A second source finds what no cosine can, paraphrases whose telling words
@@ -45,14 +45,13 @@ for _lo, _hi in ((0x00, 0x30), (0x3A, 0x41), (0x5B, 0x61), (0x7B, 0x80)):
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` bounds the documents and ``block`` the items (about) behind one latent space; ``room`` what a pass broadcasts."""
+    """``block`` bounds the items (about) behind one latent space; ``room`` what a pass broadcasts."""
 
     bits: int = 22  # of the hash that names a term
     half: int = 32  # a passage is two halves; passages overlap by one
     rank: int = 128
     extra: int = 8
     power: int = 1
-    sample: int = 2_000
     block: int = 192
     room: int = 128 << 20
     cosine: float = 0.55
@@ -112,15 +111,11 @@ def halves(hashes: np.ndarray, rows: np.ndarray, n: int, s: Settings) -> tuple[n
     return half, half_row, first[half_row] + (np.arange(len(half_row)) - base[half_row]) * s.half
 
 
-def distinct_terms(half: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(half, slot, occurrences), each pair once, in order; words outside the benchmark's terms are left out."""
-    inside = np.flatnonzero(slot >= 0)
-    code, times = np.unique(half[inside] << np.int64(32) | slot[inside].astype(np.int64), return_counts=True)
-    return code >> np.int64(32), code & np.int64((1 << 32) - 1), times
-
-
 def half_terms(rows: np.ndarray, half_row: np.ndarray, first: np.ndarray, slot: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``distinct_terms`` of halves: they are short, so each is sorted as a line of a matrix."""
+    """(half, slot, occurrences), each pair once, in order; words outside the benchmark's terms are left out.
+
+    Halves are short, so each is sorted as a line of a matrix.
+    """
     size = np.minimum(first + s.half, np.searchsorted(rows, half_row, "right")) - first
     line = np.repeat(np.arange(len(first)), size)
     grid = np.full((len(first), s.half), -1, np.int32)
@@ -141,47 +136,168 @@ def _slots(buckets: np.ndarray, s: Settings) -> np.ndarray:
     return slot
 
 
-def document_frequencies(docs: DataFrame, text: str, buckets: np.ndarray, s: Settings) -> tuple[np.ndarray, int]:
-    """(documents that hold each of the buckets, documents) over the whole corpus."""
+def told_halves(docs: DataFrame, text: str, buckets: np.ndarray, s: Settings) -> DataFrame:
+    """``(ids, ends, seen)``, written: the distinct terms of every half of the corpus, some halves a row.
+
+    Terms are told by their place in ``buckets``.  A task ends with a row that
+    has ``seen``: how many of its documents hold each term, and how many there are (-1).
+    """
     shared = docs.sparkSession.sparkContext.broadcast(_slots(buckets, s))
 
-    def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(len(buckets), np.int64), 0
+    def tell(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, documents = np.zeros(len(buckets), np.int64), 0
         for frame in batches(frames, 0, 1 << 20):
             hashes, rows = folded(frame.column(0))
-            _, term, _ = distinct_terms(rows, shared.value[_bucket(hashes, s.bits)])
-            total += np.bincount(term, minlength=len(buckets))
-            seen += frame.num_rows
+            documents += frame.num_rows
+            _, half_row, first = halves(hashes, rows, frame.num_rows, s)
+            where, term, _ = half_terms(rows, half_row, first, shared.value[_bucket(hashes, s.bits)], s)
+            if not len(where):
+                continue
+            held = np.unique(half_row[where] << np.int64(32) | term) & np.int64((1 << 32) - 1)
+            total += np.bincount(held, minlength=len(buckets))
+            end = np.append(np.flatnonzero(where[1:] != where[:-1]) + 1, len(where))
+            start = np.append(0, end[:-1])
+            ids, ends = [], []
+            for i in range(0, len(end), 1024):
+                own = end[i : i + 1024]
+                ids.append(term[start[i] : own[-1]].astype(np.int32).tobytes())
+                ends.append((own - start[i]).astype(np.int32).tobytes())
+            yield _told_row(ids, ends, [None] * len(ids))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"b": pa.array(np.append(at, -1), pa.int32()), "n": pa.array(np.append(total[at], seen), pa.int64())})
+        yield _told_row([b""], [b""], [np.append(np.stack([at, total[at]]), [[-1], [documents]], axis=1).tobytes()])
+
+    return written(docs.select(text).mapInArrow(tell, "ids binary, ends binary, seen binary"), "leak-passages")
+
+
+def _told_row(ids: list, ends: list, seen: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"ids": pa.array(ids, pa.binary()), "ends": pa.array(ends, pa.binary()), "seen": pa.array(seen, pa.binary())})
+
+
+def document_frequencies(told: DataFrame, terms: int) -> tuple[np.ndarray, int]:
+    """(documents that hold each of the terms, documents) over the whole corpus."""
+
+    def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            for raw in frame.column(0).to_pylist():
+                at, n = np.frombuffer(raw, np.int64).reshape(2, -1)
+                yield pa.RecordBatch.from_pydict({"b": pa.array(at, pa.int32()), "n": pa.array(n, pa.int64())})
+
+    counted = told.where("seen is not null").select("seen").mapInArrow(count, "b int, n bigint").groupBy("b").agg(F.sum("n").alias("n"))
+    found = {r.b: r.n for r in counted.collect()}
+    return np.array([found.get(b, 0) for b in range(terms)], np.int64), found.get(-1, 0)
+
 
-    found = {r.b: r.n for r in docs.select(text).mapInArrow(count, "b int, n bigint").groupBy("b").agg(F.sum("n").alias("n")).collect()}
-    return np.array([found.get(b, 0) for b in range(len(buckets))], np.int64), found.get(-1, 0)
+def _passages(frames: Iterator[pa.RecordBatch], place: np.ndarray, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(terms, weights, sizes) of some halves, as unit rows on the terms that have a ``place``."""
+    for frame in frames:
+        for ids, ends in zip(frame.column("ids").to_pylist(), frame.column("ends").to_pylist(), strict=True):
+            term, end = place[np.frombuffer(ids, np.int32)], np.frombuffer(ends, np.int32)
+            half = np.repeat(np.arange(len(end)), np.diff(end, prepend=0))[term >= 0]
+            term = term[term >= 0]
+            size = np.bincount(half, minlength=1)
+            size = size[size > 0]
+            if len(size):
+                value = idf[term]
+                yield term, value / np.repeat(np.sqrt(np.add.reduceat(value**2, np.cumsum(size) - size)), size), size
 
 
-def _products(sample: DataFrame, q: np.ndarray, terms: int) -> np.ndarray:
-    """A'A Q over the sampled passages, summed by ranges of terms."""
-    shared = sample.sparkSession.sparkContext.broadcast(q)
-    chunk, width = 1024, q.shape[1]
+#: Terms of a block up to which its Gram matrix is summed, once for all products.
+GRAM = 4096
+
+
+def gram(told: DataFrame, place: np.ndarray, idf: np.ndarray) -> DataFrame:
+    """``(c, v)``, written: the Gram matrix A'A of all passages as U + U', some rows of U from row ``c`` on.
+
+    U is the upper triangle with half the diagonal.
+    """
+    shared = told.sparkSession.sparkContext.broadcast((place, idf))
+    terms = len(idf)
+    lines = max(1, (1 << 16) // terms)
 
     def multiply(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((terms, width), np.float64)
+        total = np.zeros(terms * terms)
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        n = 0
+        for term, value, size in _passages(frames, *shared.value):
+            held.append((term, value, size))
+            n += int((size * (size + 1) // 2).sum())
+            if n >= 1 << 21:
+                total += _pairs(held, terms)
+                held, n = [], 0
+        if held:
+            total += _pairs(held, terms)
+        for c in range(0, terms, lines):
+            part = total[c * terms : (c + lines) * terms]
+            at = np.flatnonzero(part)
+            if len(at):
+                yield _stripe(c, at.astype(np.int32).tobytes(), part[at].tobytes())
+
+    def _stripe(c: int, at: bytes | None, v: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"c": pa.array([c], pa.int32()), "at": pa.array([at], pa.binary()), "v": pa.array([v], pa.binary())})
+
+    def add(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(0)
+        for frame in frames:
+            for c, at, v in zip(*(frame.column(x).to_pylist() for x in ("c", "at", "v")), strict=True):
+                if c != now:
+                    if now is not None:
+                        yield _stripe(now, None, total.tobytes())
+                    now, total = c, np.zeros(min(lines, terms - c) * terms)
+                total[np.frombuffer(at, np.int32)] += np.frombuffer(v)
+        if now is not None:
+            yield _stripe(now, None, total.tobytes())
+
+    schema = "c int, at binary, v binary"
+    parts = told.select("ids", "ends").mapInArrow(multiply, schema).repartition("c").sortWithinPartitions("c")
+    return written(parts.mapInArrow(add, schema).select("c", "v"), "leak-gram")
+
+
+def _pairs(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], terms: int) -> np.ndarray:
+    """The products of the weights of all pairs of terms of each passage, halved for a term with itself."""
+    term, value, size = (np.concatenate(x) for x in zip(*held, strict=True))
+    n = np.repeat(np.cumsum(size), size) - np.arange(len(term))  # from each entry on to the end of its passage
+    left = np.repeat(np.arange(len(term)), n)
+    right = left + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
+    weight = value[left] * value[right]
+    weight[left == right] /= 2
+    return np.bincount(term[left] * np.int64(terms) + term[right], weight, minlength=terms * terms)
+
+
+def _products(rows: DataFrame, q: np.ndarray, place: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """A'A Q over all passages, summed by ranges of terms; ``rows``: the passages, or their ``gram``."""
+    shared = rows.sparkSession.sparkContext.broadcast((q, place, idf))
+    terms, width = q.shape
+    chunk = 1024
+
+    def from_gram(frames: Iterator[pa.RecordBatch], q: np.ndarray, total: np.ndarray) -> None:
         for frame in frames:
-            for ids, weights, ends in zip(*(c.to_pylist() for c in frame.columns), strict=True):
-                slot, weight, end = np.frombuffer(ids, np.int32), np.frombuffer(weights, np.float32), np.frombuffer(ends, np.int64)
-                if not len(end):
-                    continue
-                start = np.concatenate([[0], end[:-1]])
-                # some passages at a time: their products are dense
-                for a in range(0, len(end), 256):
-                    lo, hi = start[a], end[min(a + 256, len(end)) - 1]
-                    part = weight[lo:hi, None] * shared.value[slot[lo:hi]]
-                    y = np.add.reduceat(part, start[a : a + 256] - lo, axis=0)
-                    back = np.repeat(y, (end - start)[a : a + 256], axis=0) * weight[lo:hi, None]
-                    order = np.argsort(slot[lo:hi], kind="stable")
-                    own = slot[lo:hi][order]
-                    cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                    total[own[cut]] += np.add.reduceat(back[order], cut, axis=0)
+            for c, v in zip(frame.column("c").to_pylist(), frame.column("v").to_pylist(), strict=True):
+                part = np.frombuffer(v).reshape(-1, terms)
+                total[c : c + len(part)] += part @ q
+                total += part.T @ q[c : c + len(part)]
+
+    def from_passages(frames: Iterator[pa.RecordBatch], q: np.ndarray, total: np.ndarray, place: np.ndarray, idf: np.ndarray) -> None:
+        for slot, weight, size in _passages(frames, place, idf):
+            end = np.cumsum(size)
+            start = end - size
+            # some passages at a time: their products are dense
+            for a in range(0, len(end), 256):
+                lo, hi = start[a], end[min(a + 256, len(end)) - 1]
+                part = weight[lo:hi, None] * q[slot[lo:hi]]
+                y = np.add.reduceat(part, start[a : a + 256] - lo, axis=0)
+                back = np.repeat(y, size[a : a + 256], axis=0) * weight[lo:hi, None]
+                order = np.argsort(slot[lo:hi], kind="stable")
+                own = slot[lo:hi][order]
+                cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                total[own[cut]] += np.add.reduceat(back[order], cut, axis=0)
+
+    def multiply(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((terms, width))
+        q, place, idf = shared.value
+        if summed:
+            from_gram(frames, q, total)
+        else:
+            from_passages(frames, q, total, place, idf)
         for c in range(0, terms, chunk):
             yield pa.RecordBatch.from_pydict({"c": pa.array([c], pa.int32()), "v": pa.array([total[c : c + chunk].tobytes()], pa.binary())})
 
@@ -189,12 +305,24 @@ def _products(sample: DataFrame, q: np.ndarray, terms: int) -> np.ndarray:
         parts = [np.frombuffer(v, np.float64) for v in table.column("v").to_pylist()]
         return pa.table({"c": table.column("c").slice(0, 1), "v": pa.array([np.sum(parts, axis=0).tobytes()], pa.binary())})
 
+    summed = "c" in rows.columns
     out = np.zeros((terms, width))
-    for row in sample.mapInArrow(multiply, "c int, v binary").groupBy("c").applyInArrow(add, "c int, v binary").collect():
+    for row in rows.mapInArrow(multiply, "c int, v binary").groupBy("c").applyInArrow(add, "c int, v binary").collect():
         out[row.c : row.c + chunk] = np.frombuffer(row.v, np.float64).reshape(-1, width)
     return out
 
 
+def _passage_count(told: DataFrame, place: np.ndarray) -> int:
+    """Passages that hold a term of the block."""
+    shared = told.sparkSession.sparkContext.broadcast(place)
+
+    def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = sum(len(size) for *_, size in _passages(frames, shared.value, np.ones(len(shared.value))))
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    return told.select("ids", "ends").mapInArrow(count, "n bigint").agg(F.sum("n")).first()[0] or 0
+
+
 def _item_rows(words: list[np.ndarray], slot: np.ndarray, idf: np.ndarray, s: Settings) -> np.ndarray:
     """Dense unit TF-IDF rows of the items (items x terms)."""
     out = np.zeros((len(words), len(idf)))
@@ -205,45 +333,25 @@ def _item_rows(words: list[np.ndarray], slot: np.ndarray, idf: np.ndarray, s: Se
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
-def sampled(docs: DataFrame, n: int, s: Settings) -> DataFrame:
-    """A bounded sample of the texts, drawn by a hash over the whole table."""
-    share = int((1 << 20) * min(1.0, s.sample / max(n, 1))) + 1
-    return written(docs.select("t").where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < share).repartition(8), "leak-sample")
-
+def latent_space(told: DataFrame, terms: np.ndarray, words: list[np.ndarray], idf_of: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(buckets, idf times basis, unit columns of the items) by a randomised SVD over some items and all passages.
 
-def latent_space(sample: DataFrame, words: list[np.ndarray], idf_of: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(buckets, idf times basis, unit columns of the items) by a randomised SVD over some items and sampled passages."""
+    ``told`` are the halves of the corpus on the ``terms`` of all items.  The
+    products are taken from the passages' Gram matrix, which is summed once;
+    if long items have more than ``GRAM`` terms, from the passages.
+    """
     buckets = np.unique(np.concatenate([_bucket(w, s.bits) for w in words]))
     slot, idf = _slots(buckets, s), idf_of[buckets]
-    shared = sample.sparkSession.sparkContext.broadcast((slot, idf))
-
-    def passages(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, weights = shared.value
-        for frame in batches(frames, 0, 1 << 20):
-            hashes, rows = folded(frame.column(0))
-            half, _, _ = halves(hashes, rows, frame.num_rows, s)
-            where, term, _ = distinct_terms(half, slots[_bucket(hashes, s.bits)])
-            value = weights[term]
-            cut = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]])) if len(where) else where
-            norm = np.sqrt(np.add.reduceat(value**2, cut)) if len(cut) else value
-            size = np.diff(np.append(cut, len(where)))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "ids": pa.array([term.astype(np.int32).tobytes()], pa.binary()),
-                    "weights": pa.array([(value / np.repeat(norm, size)).astype(np.float32).tobytes()], pa.binary()),
-                    "ends": pa.array([np.cumsum(size).astype(np.int64).tobytes()], pa.binary()),
-                }
-            )
-
-    rows = written(sample.mapInArrow(passages, "ids binary, weights binary, ends binary"), "leak-passages")
+    place = slot[terms]
+    rows = gram(told, place, idf) if len(buckets) <= GRAM else told.select("ids", "ends")
     a = _item_rows(words, slot, idf, s)
     # both sides weigh alike: the items' directions must not drown in the corpus'
-    energy = max(1.0, rows.select(F.sum(F.octet_length("ends") / 8)).first()[0] or 1.0) / len(words)
+    energy = max(1, _passage_count(told, place)) / len(words)
     rank = min(s.rank, len(buckets))
     q = np.random.default_rng(s.seed).normal(size=(len(buckets), min(rank + s.extra, len(buckets))))
     for _ in range(s.power + 1):
-        q, _ = np.linalg.qr(_products(rows, q, len(buckets)) + energy * (a.T @ (a @ q)))
-    small = q.T @ (_products(rows, q, len(buckets)) + energy * (a.T @ (a @ q)))
+        q, _ = np.linalg.qr(_products(rows, q, place, idf) + energy * (a.T @ (a @ q)))
+    small = q.T @ (_products(rows, q, place, idf) + energy * (a.T @ (a @ q)))
     value, vector = np.linalg.eigh((small + small.T) / 2)
     basis = q @ vector[:, np.argsort(-value)[:rank]]
     return buckets, (idf[:, None] * basis).astype(np.float32), unit_items(a, basis)
@@ -431,10 +539,10 @@ def passes(benchmark: DataFrame, rows: DataFrame, s: Settings) -> Iterator[Space
     buckets = np.array([r.b for r in told.select("w").mapInArrow(used, "b int").distinct().orderBy("b").collect()], np.int64)
     if not len(buckets):
         return
-    df, n = document_frequencies(rows, "t", buckets, s)
+    corpus = told_halves(rows, "t", buckets, s)
+    df, n = document_frequencies(corpus, len(buckets))
     idf = np.zeros(1 << s.bits)
     idf[buckets] = np.log((n + 1) / (df + 0.5)).clip(0.05)
-    sample = sampled(rows, n, s)
     ids: list = []
     words: list[np.ndarray] = []
     answers: list[np.ndarray] = []
@@ -456,7 +564,7 @@ def passes(benchmark: DataFrame, rows: DataFrame, s: Settings) -> Iterator[Space
         if made and sum(x.nbytes for _, *m in made for x in m) >= s.room:
             yield space()
             ids, words, answers, made = [], [], [], []
-        made.append((len(ids), *latent_space(sample, new, idf, s)))
+        made.append((len(ids), *latent_space(corpus, buckets, new, idf, s)))
         ids += [r.i for r in own]
         words += new
         answers += [np.frombuffer(r.c, np.uint64) for r in own]

@@ -207,3 +207,35 @@ def test_paraphrases_without_their_rare_words_are_found_among_2000_items(spark,
         docs.append((i, " ".join(words)))
     bench = benchmark(spark, [(i, " ".join(w)) for i, w in enumerate(items)])
     assert want <= found(documents(docs), bench)
+
+
+def test_the_latent_space_is_that_of_all_passages(spark, documents, monkeypatch):
+    """More documents than any sample: the basis spans the leading eigenvectors of all passages and items."""
+    rng = random.Random(4)
+    names = [f"w{i}" for i in range(30)]
+    weights = [1 / (i + 1) for i in range(30)]
+    texts = [" ".join(rng.choices(names, weights, k=rng.randint(1, 50))) for _ in range(2_600)]
+    items = [(i, " ".join(rng.sample(names, 10))) for i in range(12)]
+    clean = [t.split() for t in texts]
+    df = {w: sum(w in t for t in clean) for w in names}
+    used = sorted({w for _, t in items for w in t.split()})
+    idf = np.array([max(0.05, np.log((len(texts) + 1) / (df[w] + 0.5))) for w in used])
+
+    def unit(words):
+        row = np.array([w in words for w in used]) * idf
+        return row / max(np.linalg.norm(row), 1e-12)
+
+    halves = [unit(set(t[i : i + 32])) for t in clean for i in range(0, len(t), 32)]
+    a, b = np.array([r for r in halves if r.any()]), np.array([unit(set(t.split())) for _, t in items])
+    s = decontam.Settings(rank=3, extra=8, power=12)
+    value, vector = np.linalg.eigh(a.T @ a + len(a) / len(items) * b.T @ b)
+    assert value[-3] > 1.02 * value[-4]
+    want = vector[:, -3:] @ vector[:, -3:].T
+    bench = benchmark(spark, items).selectExpr("item_id i", "text t", "cast(null as string) a", "0 block")
+    for most in (4096, 8):  # from the Gram matrix, and from the passages
+        monkeypatch.setattr(decontam, "GRAM", most, raising=False)
+        (space,) = decontam.passes(bench, documents(list(enumerate(texts))).selectExpr("text t"), s)
+        hashes, rows = decontam.folded(decontam.pa.array(used))
+        own = space.slot[decontam._bucket(hashes[np.argsort(rows)], s.bits)]
+        basis = space.blocks[0].basis[space.blocks[0].row_of[own]] / idf[:, None]
+        assert np.abs(basis @ basis.T - want).max() < 1e-4
