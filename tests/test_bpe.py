@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kiln.config import TokenizerConfig
 from kiln.operators import bpe
+from kiln.operators import bpe_train
 from kiln.operators.bpe_train import Learned, Phases, merge_runs
 from kiln.plans.tables import kept
 
@@ -181,3 +182,20 @@ def test_encoding_slices_by_size_and_takes_odd_rows(spark, monkeypatch):
     alone = {i: bpe.encode_documents(docs.where(F.col("seq") == i), model).first().ids for i in range(5)}
     assert got == alone and got[1] == [] == got[2] and len(got[3]) > 1
     assert {r.seq: r.n_tokens for r in bpe.token_counts(docs, model).collect()} == {k: len(v) for k, v in got.items()}
+
+
+def test_runs_of_one_pair_are_not_cut(spark):
+    """Equal symbols make a run of each length, more than a phase asks for; all of them are merged."""
+    texts = [" ".join("a" * n for n in range(1, 30)) + " b"]
+    docs = spark.createDataFrame(list(enumerate(texts * 3)), "seq long, text string")
+    cfg = TokenizerConfig(vocab_size=270)
+    assert same_merges(bpe.train_bpe(docs, cfg, phases=Phases(first=1, hot=1, runs=2)), public(texts * 3, cfg))
+
+
+def test_the_ranking_and_the_runs_reach_the_driver_in_order_and_whole(spark):
+    counts = spark.range(0, 40_000, 1, 16).selectExpr("id as pair", "id % 7 as c").repartition(16)
+    want = sorted(((i, i % 7) for i in range(40_000)), key=lambda x: (-x[1], x[0]))
+    assert [tuple(x) for x in bpe_train.ranking(counts, 500)] == want[:500]
+    assert [tuple(x) for x in bpe_train.ranking(counts, 50_000)] == want
+    assert bpe_train.ranking(counts.where("c > 7"), 5) == []
+    assert sorted(bpe_train.gathered(counts)["pair"].to_pylist()) == list(range(40_000))
