@@ -198,7 +198,8 @@ def _passages(frames: Iterator[pa.RecordBatch], place: np.ndarray, idf: np.ndarr
             size = size[size > 0]
             if len(size):
                 value = idf[term]
-                yield term, value / np.repeat(np.sqrt(np.add.reduceat(value**2, np.cumsum(size) - size)), size), size
+                value = value / np.repeat(np.sqrt(np.add.reduceat(value**2, np.cumsum(size) - size)), size)
+                yield term, value.astype(np.float32).astype(np.float64), size
 
 
 #: Terms of a block up to which its Gram matrix is summed, once for all products.
