@@ -1,6 +1,7 @@
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +82,20 @@ def test_draws_read_only_their_blocks(spark, tmpdir_fresh, monkeypatch):
 def test_runs_follow_the_order_written():
     runs = packed.runs_of(["a", "a", "a", "b", "b"], np.array([3, 4, 7, 0, 1]), "f")
     assert [(r["split"], r["first"], r["n"], r["at"]) for r in runs] == [("a", 3, 2, 0), ("a", 7, 1, 2), ("b", 0, 2, 3)]
+
+
+def test_a_task_encodes_some_blocks_at_a_time(tmp_path, monkeypatch):
+    most, real = [], packed.encode
+    monkeypatch.setattr(packed, "encode", lambda ids, *rest: most.append(len(ids)) or real(ids, *rest))
+    n, size = 1000, 4
+    ids = np.arange(n * size, dtype=np.int32)
+    lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), pa.array(x)) for x in (ids, ids + 1, ids % 2)]
+    frame = pa.RecordBatch.from_arrays([pa.array(["train"] * n), pa.array(np.arange(n)), pa.array(np.full(n, 3, np.int32)), *lists], [c.split()[0] for c in packed.COLUMNS.split(", ")])
+    writer = packed.PackedWriter(str(tmp_path), size, True)
+    told = writer.write(iter([frame, frame.slice(0, 0)]))
+    writer.commit([told])
+    assert sum(most) == n and max(most) < n and [(r["first"], r["n"]) for r in told.runs] == [(0, n)]
+    reader = packed.PackedReader(str(tmp_path), 4096, None)
+    back = pa.Table.from_batches([b for part in reader.partitions() for b in reader.read(part)])
+    assert back["input_ids"].combine_chunks().flatten().to_pylist() == ids.tolist()
+    assert back["labels"].combine_chunks().flatten().to_pylist() == (ids + 1).tolist()
