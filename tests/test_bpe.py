@@ -199,3 +199,15 @@ def test_the_ranking_and_the_runs_reach_the_driver_in_order_and_whole(spark):
     assert [tuple(x) for x in bpe_train.ranking(counts, 50_000)] == want
     assert bpe_train.ranking(counts.where("c > 7"), 5) == []
     assert sorted(bpe_train.gathered(counts)["pair"].to_pylist()) == list(range(40_000))
+
+
+def test_ids_leave_a_task_piece_by_piece(spark, monkeypatch):
+    model = bpe.BPEModel([bytes([i]) for i in range(256)], (), list(range(256)), [])
+    monkeypatch.setattr(bpe, "PIECE", 10)
+    words = bpe.pa.array([["abc", " de"], [], None, [" fghijklmnop"], ["q"]])
+    for counts in (False, True):
+        told = list(bpe._encoded(model, counts).func(iter([words, words.slice(0, 0)])))
+        assert len(told) > 1 and all(len(t) < len(words) for t in told)
+        whole = bpe.pa.concat_arrays(told).to_pylist()
+        want = [list(b"abc de"), [], [], list(b" fghijklmnop"), list(b"q")]
+        assert whole == ([len(x) for x in want] if counts else want)
