@@ -379,12 +379,13 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", setti
     links = verified(likely(_leader_pairs(members), own, s), own, s)
     stars = components(links, "near-components")
     labels = own.select("node", "n").join(stars, "node", "left").select("node", "n", F.coalesce("component", "node").alias("c"))
-    rest = _block_links(_mixed_buckets(members, labels), own, s)
+    rest = written(_block_links(_mixed_buckets(members, labels), own, s), "near-links")
     joined = components(stars.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest), "near-components")
 
-    classed = nodes.select("node", "k").join(joined, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    classed = written(nodes.select("node", "k").join(joined, "node", "left").withColumn("c", F.coalesce("component", "node")).select("node", "k", "c"), "near-classed")
     least = classed.groupBy("c").agg(F.min("k").alias("class_id"), F.count(F.lit(1)).alias("distinct_texts"))
-    by_node = classed.select("node", "c").join(least, "c").select("node", "c", "class_id", "distinct_texts")
+    # written: what reads the classes, often twice, would plan all of this each time
+    by_node = written(classed.select("node", "c").join(least, "c").select("node", "c", "class_id", "distinct_texts"), "near-classes")
     return sketch.select("k", "node", "h").join(by_node, "node", "left").select(
         F.col("k").alias(key),
         F.when(F.col("node").isNull(), F.col("k")).otherwise(F.col("class_id")).alias("class_id"),

@@ -15,14 +15,14 @@ def _both(edges: DataFrame) -> DataFrame:
 def _large(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the least of the node and its neighbours."""
     near = _both(edges)
-    least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")).hint("merge")
     return near.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = down.groupBy("a").agg(F.min("b").alias("m")).hint("merge")
     others = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return others.unionByName(least.select("a", F.col("m").alias("b")))
 
@@ -32,7 +32,9 @@ def components(edges: DataFrame, what: str = "components") -> DataFrame:
 
     Each step is a pre-aggregated minimum and a join, so a node with very many
     neighbours is never gathered; each round is written, observed as it is
-    written, and the loop ends when a round changes no edge.  Edges from a
+    written, and the loop ends when a round changes no edge.  Both sides of the
+    joins are dealt by node already; none is broadcast, as what is broadcast
+    stays with the driver until it collects its garbage.  Edges from a
     node to itself are ignored; nodes without an edge are not returned.
     """
     now, mark = _seen(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), what)

@@ -108,3 +108,16 @@ def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (5, 5)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {i: 200 for i in (200, 201, 202)}
+
+
+def test_classes_are_planned_once(spark, documents):
+    """What reads the classes plans a join with a written table, not the way to it; the loop broadcasts nothing."""
+    from kiln.llm import graph
+
+    rows = [(i, " ".join(f"w{(i // 2) * 20 + j}" for j in range(20))) for i in range(6)]
+    classes = dart.near_classes(documents(rows))
+    plan = classes._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Aggregate" not in plan and "Union" not in plan
+    edges = spark.createDataFrame([(b"b", b"a"), (b"c", b"b")], "a binary, b binary")
+    assert "Broadcast" not in graph._small(graph._large(edges))._jdf.queryExecution().executedPlan().toString()
+    assert {bytes(r.component) for r in graph.components(edges).collect()} == {b"a"}
