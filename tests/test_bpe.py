@@ -211,3 +211,27 @@ def test_ids_leave_a_task_piece_by_piece(spark, monkeypatch):
         whole = bpe.pa.concat_arrays(told).to_pylist()
         want = [list(b"abc de"), [], [], list(b" fghijklmnop"), list(b"q")]
         assert whole == ([len(x) for x in want] if counts else want)
+
+
+def test_counts_runs_and_texts_are_gathered_in_bulk():
+    """Sums by key, runs cut from the symbols and spelled ids equal a loop over them."""
+    import numpy as np
+    import pyarrow as pa
+
+    from kiln.operators.bpe import Spelled
+    from kiln.operators.bpe_train import Sums, _arrays, _cut, _frame
+
+    frame = _frame(np.array([5, 7, 1]), np.array([2, 0, 3]), np.array([1, 2, 3, 4, 5], np.int32))
+    cnt, size, flat = _arrays(frame.slice(1))
+    assert (cnt.tolist(), size.tolist(), flat.tolist()) == ([7, 1], [0, 3], [3, 4, 5])
+    runs = _cut(flat, np.array([0, 1]), np.array([2, 3])).to_pylist()
+    assert [np.frombuffer(r, np.int32).tolist() for r in runs] == [[3, 4], [4, 5]]
+    total = Sums("run", pa.binary())
+    for _ in range(3):
+        total.add(pa.array([b"x", b"y", b"x"]), np.array([1, 2, 3]))
+    assert dict(zip(*(c.to_pylist() for c in total.told().columns), strict=True)) == {b"x": 12, b"y": 6}
+    spelled = Spelled([b"", "é".encode(), b"\xc3", b"\xa9", b"ab"])
+    rows = pa.array([[1, 4], None, [], [0, 0], [2, 3]], pa.list_(pa.int32()))
+    assert spelled(rows).to_pylist() == ["éab", "", "", "", "é"]
+    # half a character at the end of a row and the other half at the start of the next are no character
+    assert spelled(pa.array([[4, 2], [3, 4]], pa.list_(pa.int32()))).to_pylist() == ["ab�", "�ab"]
