@@ -139,15 +139,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(p: np.uint64, n: int) -> np.ndarray:
-    """p**0 ... p**(n-1); those of one step are kept."""
+def powers(p: np.uint64, n: int, keep: bool = True) -> np.ndarray:
+    """p**0 ... p**(n-1); those of one step are kept, 8 MB in every worker, for what asks for them at each step."""
     kept = _KEPT.get(int(p))
     if kept is not None and n <= len(kept):
         return kept[:n]
-    out = np.full(max(n, STEP_BYTES + 2), p, np.uint64)
-    out[0] = 1
-    out = np.multiply.accumulate(out)
-    if n <= STEP_BYTES + 2:
+    out = np.full(max(n, STEP_BYTES + 2) if keep else n, p, np.uint64)
+    out[:1] = 1
+    np.multiply.accumulate(out, out=out)
+    if keep and n <= STEP_BYTES + 2:
         _KEPT[int(p)] = out
     return out[:n]
 

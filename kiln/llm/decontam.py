@@ -165,6 +165,7 @@ def told_halves(docs: DataFrame, text: str, buckets: np.ndarray, s: Settings) ->
             yield _told_row(ids, ends, [None] * len(ids))
         at = np.flatnonzero(total)
         yield _told_row([b""], [b""], [np.append(np.stack([at, total[at]]), [[-1], [documents]], axis=1).tobytes()])
+        trim()
 
     return written(docs.select(text).mapInArrow(tell, "ids binary, ends binary, seen binary"), "leak-passages")
 
@@ -187,11 +188,18 @@ def document_frequencies(told: DataFrame, terms: int) -> tuple[np.ndarray, int]:
     return np.array([found.get(b, 0) for b in range(terms)], np.int64), found.get(-1, 0)
 
 
+def _numbers(column: pa.Array, kind: type) -> Iterator[np.ndarray]:
+    """The numbers of each row of a binary column, as views of its buffer."""
+    edge, data = utf8(column)
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        yield data[a:b].view(kind)
+
+
 def _passages(frames: Iterator[pa.RecordBatch], place: np.ndarray, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(terms, weights, sizes) of some halves, as unit rows on the terms that have a ``place``."""
     for frame in frames:
-        for ids, ends in zip(frame.column("ids").to_pylist(), frame.column("ends").to_pylist(), strict=True):
-            term, end = place[np.frombuffer(ids, np.int32)], np.frombuffer(ends, np.int32)
+        for ids, ends in zip(_numbers(frame.column("ids"), np.int32), _numbers(frame.column("ends"), np.int32), strict=True):
+            term, end = place[ids], ends
             half = np.repeat(np.arange(len(end)), np.diff(end, prepend=0))[term >= 0]
             term = term[term >= 0]
             size = np.bincount(half, minlength=1)
@@ -209,29 +217,28 @@ GRAM = 4096
 def gram(told: DataFrame, place: np.ndarray, idf: np.ndarray) -> DataFrame:
     """``(c, v)``, written: the Gram matrix A'A of all passages as U + U', some rows of U from row ``c`` on.
 
-    U is the upper triangle with half the diagonal.
+    U is the upper triangle with half the diagonal; a task holds it packed, row
+    by row, and adds the pairs of some halves at a time.
     """
     shared = told.sparkSession.sparkContext.broadcast((place, idf))
     terms = len(idf)
     lines = max(1, (1 << 16) // terms)
+    row = np.arange(terms) * terms - np.arange(terms) * (np.arange(terms) + 1) // 2
 
     def multiply(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(terms * terms)
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        n = 0
+        total = np.zeros(terms * (terms + 1) // 2)
         for term, value, size in _passages(frames, *shared.value):
-            held.append((term, value, size))
-            n += int((size * (size + 1) // 2).sum())
-            if n >= 1 << 21:
-                total += _pairs(held, terms)
-                held, n = [], 0
-        if held:
-            total += _pairs(held, terms)
+            _add_pairs(total, row, term, value, size)
         for c in range(0, terms, lines):
-            part = total[c * terms : (c + lines) * terms]
+            part = np.zeros((min(lines, terms - c), terms))
+            for i, own in enumerate(part, c):
+                own[i:] = total[row[i] + i : row[i] + terms]
+            part = part.ravel()
             at = np.flatnonzero(part)
             if len(at):
                 yield _stripe(c, at.astype(np.int32).tobytes(), part[at].tobytes())
+        del total
+        trim()
 
     def _stripe(c: int, at: bytes | None, v: bytes) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"c": pa.array([c], pa.int32()), "at": pa.array([at], pa.binary()), "v": pa.array([v], pa.binary())})
@@ -239,29 +246,32 @@ def gram(told: DataFrame, place: np.ndarray, idf: np.ndarray) -> DataFrame:
     def add(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total = None, np.zeros(0)
         for frame in frames:
-            for c, at, v in zip(*(frame.column(x).to_pylist() for x in ("c", "at", "v")), strict=True):
+            for c, at, v in zip(frame.column("c").to_pylist(), _numbers(frame.column("at"), np.int32), _numbers(frame.column("v"), np.float64), strict=True):
                 if c != now:
                     if now is not None:
                         yield _stripe(now, None, total.tobytes())
                     now, total = c, np.zeros(min(lines, terms - c) * terms)
-                total[np.frombuffer(at, np.int32)] += np.frombuffer(v)
+                total[at] += v
         if now is not None:
             yield _stripe(now, None, total.tobytes())
+        trim()
 
     schema = "c int, at binary, v binary"
     parts = told.select("ids", "ends").mapInArrow(multiply, schema).repartition("c").sortWithinPartitions("c")
     return written(parts.mapInArrow(add, schema).select("c", "v"), "leak-gram")
 
 
-def _pairs(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], terms: int) -> np.ndarray:
-    """The products of the weights of all pairs of terms of each passage, halved for a term with itself."""
-    term, value, size = (np.concatenate(x) for x in zip(*held, strict=True))
+def _add_pairs(total: np.ndarray, row: np.ndarray, term: np.ndarray, value: np.ndarray, size: np.ndarray) -> None:
+    """Add the products of the weights of all pairs of terms of each passage, halved for a term with itself.
+
+    The terms of a passage rise, so a pair stands in the upper triangle.
+    """
     n = np.repeat(np.cumsum(size), size) - np.arange(len(term))  # from each entry on to the end of its passage
     left = np.repeat(np.arange(len(term)), n)
     right = left + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
     weight = value[left] * value[right]
     weight[left == right] /= 2
-    return np.bincount(term[left] * np.int64(terms) + term[right], weight, minlength=terms * terms)
+    np.add.at(total, row[term[left]] + term[right], weight)
 
 
 def _products(rows: DataFrame, q: np.ndarray, place: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -272,8 +282,8 @@ def _products(rows: DataFrame, q: np.ndarray, place: np.ndarray, idf: np.ndarray
 
     def from_gram(frames: Iterator[pa.RecordBatch], q: np.ndarray, total: np.ndarray) -> None:
         for frame in frames:
-            for c, v in zip(frame.column("c").to_pylist(), frame.column("v").to_pylist(), strict=True):
-                part = np.frombuffer(v).reshape(-1, terms)
+            for c, part in zip(frame.column("c").to_pylist(), _numbers(frame.column("v"), np.float64), strict=True):
+                part = part.reshape(-1, terms)
                 total[c : c + len(part)] += part @ q
                 total += part.T @ q[c : c + len(part)]
 
@@ -301,6 +311,7 @@ def _products(rows: DataFrame, q: np.ndarray, place: np.ndarray, idf: np.ndarray
             from_passages(frames, q, total, place, idf)
         for c in range(0, terms, chunk):
             yield pa.RecordBatch.from_pydict({"c": pa.array([c], pa.int32()), "v": pa.array([total[c : c + chunk].tobytes()], pa.binary())})
+        trim()
 
     def add(table: pa.Table) -> pa.Table:
         parts = [np.frombuffer(v, np.float64) for v in table.column("v").to_pylist()]
@@ -320,6 +331,7 @@ def _passage_count(told: DataFrame, place: np.ndarray) -> int:
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = sum(len(size) for *_, size in _passages(frames, shared.value, np.ones(len(shared.value))))
         yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+        trim()
 
     return told.select("ids", "ends").mapInArrow(count, "n bigint").agg(F.sum("n")).first()[0] or 0
 

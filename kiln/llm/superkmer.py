@@ -87,8 +87,8 @@ def digests(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarr
     out = np.empty((len(first), 2), np.uint64)
     for column, p in enumerate(_P):
         prefix = np.zeros(len(hashes) + 1, np.uint64)
-        np.cumsum(mix(hashes + np.uint64(column + 1)) * powers(p, len(hashes)), out=prefix[1:])
-        back = powers(np.uint64(pow(int(p), -1, 1 << 64)), len(hashes) + 1)
+        np.cumsum(mix(hashes + np.uint64(column + 1)) * powers(p, len(hashes), keep=False), out=prefix[1:])
+        back = powers(np.uint64(pow(int(p), -1, 1 << 64)), len(hashes) + 1, keep=False)
         out[:, column] = mix((prefix[last] - prefix[first]) * back[first] + (last - first).astype(np.uint64))
     return out
 

@@ -1,5 +1,7 @@
 import random
 import re
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 from llm_fixtures import documents  # noqa: F401
@@ -239,3 +241,57 @@ def test_the_latent_space_is_that_of_all_passages(spark, documents, monkeypatch)
         own = space.slot[decontam._bucket(hashes[np.argsort(rows)], s.bits)]
         basis = space.blocks[0].basis[space.blocks[0].row_of[own]] / idf[:, None]
         assert np.abs(basis @ basis.T - want).max() < 1e-4
+
+
+class Steps:
+    """A table that keeps the functions a plan would run."""
+
+    def __init__(self):
+        self.made = []
+        self.sparkSession = self.sparkContext = self
+
+    def broadcast(self, value):
+        return SimpleNamespace(value=value)
+
+    def mapInArrow(self, function, schema):  # noqa: N802
+        self.made.append(function)
+        return self
+
+    def select(self, *columns):
+        return self
+
+    repartition = sortWithinPartitions = select  # noqa: N815
+
+
+def test_a_task_of_the_gram_matrix_stays_small(monkeypatch):
+    rng, terms, steps = np.random.default_rng(4), 3_000, Steps()
+    monkeypatch.setattr(decontam, "written", lambda df, what: df)
+    idf = rng.random(terms) + 0.5
+    place = np.full(terms + 500, -1, np.int32)  # terms of other blocks are left out
+    place[np.sort(rng.choice(len(place), terms, replace=False))] = np.arange(terms)
+    decontam.gram(steps, place, idf)
+    multiply, add = steps.made
+
+    def frame(halves):
+        ids = np.concatenate([*halves, np.zeros(0)]).astype(np.int32).tobytes()
+        ends = np.cumsum([len(h) for h in halves]).astype(np.int32).tobytes()
+        return decontam._told_row([ids, b""], [ends, b""], [None, None])
+
+    told = [[np.sort(rng.choice(len(place), rng.integers(1, 33), replace=False)) for _ in range(1024)] for _ in range(12)]
+    list(multiply(iter([])))  # what is imported and kept once
+    tracemalloc.start()
+    parts = [p for t in (told[:6], told[6:]) for p in multiply(frame(h) for h in t)]
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 90 << 20  # the packed triangle takes 36 MB, the square 72 MB
+    parts.sort(key=lambda p: p.column("c")[0].as_py())
+    got = np.zeros((terms, terms))
+    for stripe in add(iter(parts)):
+        c, v = stripe.column("c")[0].as_py(), np.frombuffer(stripe.column("v")[0].as_py()).reshape(-1, terms)
+        got[c : c + len(v)] = v
+    a = np.zeros((12 * 1024, terms))
+    for i, half in enumerate(h for t in told for h in t):
+        own = place[half][place[half] >= 0]
+        a[i, own] = idf[own]
+    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
+    assert np.abs(got + got.T - a.T @ a).max() < 1e-5
