@@ -38,6 +38,9 @@ from kiln.llm.common import long_word_hashes, mix, powers, runs, trim, word_span
 
 NO_KEY = np.iinfo(np.int64).max
 
+#: Words that one vectorised step handles; bounds the temporaries of a task.
+STEP_WORDS = 1 << 17
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -76,10 +79,13 @@ def rolled(hashes: np.ndarray, width: int, salt: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    for i in range(width):
-        part = hashes[i : n + i] * np.uint64(0x9E3779B97F4A7C15 + 2 * (i + salt))
-        out += part ^ (part >> np.uint64(31))
-    return mix(out)
+    for lo in range(0, n, STEP_WORDS):
+        own = out[lo : lo + STEP_WORDS]
+        for i in range(width):
+            part = hashes[lo + i : lo + i + len(own)] * np.uint64(0x9E3779B97F4A7C15 + 2 * (i + salt))
+            own += part ^ (part >> np.uint64(31))
+        own[:] = mix(own)
+    return out
 
 
 def digests(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -87,7 +93,10 @@ def digests(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarr
     out = np.empty((len(first), 2), np.uint64)
     for column, p in enumerate(_P):
         prefix = np.zeros(len(hashes) + 1, np.uint64)
-        np.cumsum(mix(hashes + np.uint64(column + 1)) * powers(p, len(hashes), keep=False), out=prefix[1:])
+        for i in range(0, len(hashes), STEP_WORDS):  # their temporaries are several times the words
+            prefix[i + 1 : i + 1 + STEP_WORDS] = mix(hashes[i : i + STEP_WORDS] + np.uint64(column + 1))
+        prefix[1:] *= powers(p, len(hashes), keep=False)
+        np.cumsum(prefix, out=prefix)
         back = powers(np.uint64(pow(int(p), -1, 1 << 64)), len(hashes) + 1, keep=False)
         out[:, column] = mix((prefix[last] - prefix[first]) * back[first] + (last - first).astype(np.uint64))
     return out
@@ -130,6 +139,7 @@ class Block:
             first, count = first[which] + within * s.longest, np.minimum(s.longest, left)
         self.first, self.count = first, count
         self.minimiser = least[first]
+        del least, inside, new, at, run
         self.digest = digests(self.hashes, first, first + count + s.k - 1)
 
     def string(self, i: int, k: int) -> bytes:
