@@ -99,3 +99,32 @@ def test_a_task_encodes_some_blocks_at_a_time(tmp_path, monkeypatch):
     back = pa.Table.from_batches([b for part in reader.partitions() for b in reader.read(part)])
     assert back["input_ids"].combine_chunks().flatten().to_pylist() == ids.tolist()
     assert back["labels"].combine_chunks().flatten().to_pylist() == (ids + 1).tolist()
+
+
+def test_blocks_that_ids_tell_are_short(spark, tmpdir_fresh):
+    rows, _ = blocks(spark, {"train": 600, "val": 3})
+    short = lambda r: (*r[:4], [*r[3][1:], 7], [1] * r[2] + [0] * (SIZE - r[2]))
+    rows = [r if r[0] == "val" or r[1] >= 550 else short(r) for r in rows]
+    path = os.path.join(tmpdir_fresh, "packed")
+    packed.write_blocks(spark.createDataFrame(rows, KIND), path, SIZE, files=1)
+    assert sorted(map(tuple, packed.read_blocks(spark, path).collect())) == sorted(rows)
+    runs = packed._manifest(path)["runs"]
+    assert [(r["split"], r["first"], r["n"], r["at"], r["pad"]) for r in runs] == [("train", 0, 512, 0, 7), ("train", 512, 88, 0, None), ("val", 0, 3, 88, None)]
+    size = {f: os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.endswith(".kpb")}
+    assert size[runs[0]["file"]] < 512 * packed.width(SIZE, short=True) + 400 < 512 * packed.width(SIZE)
+    by = {r[1]: r for r in rows if r[0] == "train"}
+    plan = spark.createDataFrame([(i, b) for i, b in enumerate([3, 511, 512, 3, 599, 0])], "slot int, block bigint")
+    got = packed.lookup(plan.coalesce(1), path).collect()
+    assert sorted((r.slot, r.n_real, r.input_ids, r.labels, r.loss_mask) for r in got) == sorted((i, *by[b][2:]) for i, b in enumerate([3, 511, 512, 3, 599, 0]))
+
+
+def test_many_ranges_share_partitions(spark, tmpdir_fresh, monkeypatch):
+    rows, frame = blocks(spark, {"train": 53, "val": 5})
+    path = os.path.join(tmpdir_fresh, "packed")
+    packed.write_blocks(frame, path, SIZE, files=3)
+    monkeypatch.setattr(packed, "PARTITIONS", 6)
+    reader = packed.PackedReader(path, 2, None)
+    parts = reader.partitions()
+    assert len(parts) <= 6 and all(r.n <= 2 for p in parts for r in p.ranges)
+    back = pa.Table.from_batches([b for p in parts for b in reader.read(p)])
+    assert sorted(zip(*(back[c].to_pylist() for c in back.column_names))) == sorted(rows)
