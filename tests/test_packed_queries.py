@@ -1,6 +1,7 @@
 """The queries over the packed format on rows of their own: right rows, and what they leave on the disk."""
 
 import glob
+import hashlib
 import os
 import random
 import time
@@ -73,3 +74,15 @@ def test_a_lean_stage_leaves_no_shuffle(spark):
     assert out.count() == 700 and spark.conf.get(session.SHUFFLE_CLEANUP, None) in (None, "false")
     session.drop_stage(out)
     assert not os.path.exists(out._stage.removeprefix("file:"))
+
+
+def test_batch_plan_keeps_the_short_blocks_alone(spark, corpus):
+    folder, blocks = corpus
+    rows, left = left_behind(spark, lambda: catalog.q_batch_plan(spark, folder).collect())
+    train = blocks["train"]
+    draw = lambda i: int(hashlib.md5(f"0:{i // catalog.BATCH}:{i % catalog.BATCH}".encode()).hexdigest()[:15], 16) % len(train)
+    want = [(i // catalog.BATCH, i % catalog.BATCH, draw(i), len(train[draw(i)])) for i in range(catalog.STEPS * catalog.BATCH)]
+    assert sorted(map(tuple, rows)) == want
+    assert no_stage_of_texts(left)
+    written = sum(n for d, n in left.items() if d.startswith("packed-blocks"))
+    assert 0 < written < 1.5 * 4 * S * sum(map(len, blocks.values()))
