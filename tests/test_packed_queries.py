@@ -86,3 +86,13 @@ def test_batch_plan_keeps_the_short_blocks_alone(spark, corpus):
     assert no_stage_of_texts(left)
     written = sum(n for d, n in left.items() if d.startswith("packed-blocks"))
     assert 0 < written < 1.5 * 4 * S * sum(map(len, blocks.values()))
+
+
+def test_batch_contract_over_short_blocks(spark, corpus):
+    folder, blocks = corpus
+    rows, left = left_behind(spark, lambda: catalog.q_batch_contract(spark, folder).collect())
+    train = blocks["train"]
+    drawn = [[int(hashlib.md5(f"0:{i}:{j}".encode()).hexdigest()[:15], 16) % len(train) for j in range(catalog.BATCH)] for i in range(catalog.STEPS)]
+    want = [(i, catalog.BATCH, True, sum(len(train[b]) for b in own), 4 * S * catalog.BATCH) for i, own in enumerate(drawn)]
+    assert sorted((r.step, r.batch_size, r.same_shape, r.masked_tokens, r.tokens_per_step) for r in rows) == want
+    assert no_stage_of_texts(left)
